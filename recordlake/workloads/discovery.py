@@ -1,2 +1,187 @@
-QUERIES = {}
-ORACLE = {}
+"""Discovery checks (X1-X10, D4) over ``pages`` and listing pages derived from them."""
+
+from pyspark.sql import functions as F
+
+from recordlake.operators.dedupe import dedupe_by_priority
+from recordlake.operators.discover import (
+    ANCHOR_START_PATTERN, CELL_PATTERN, HREF_PATTERN, NON_CONTENT, ROW_PATTERN, TABLE_PATTERN, TOKEN_PATTERN,
+    candidates_from_page_links, candidates_from_table_links, classify_with_context, extract_page_links,
+    extract_table_links,
+)
+from recordlake.functions import filename_of, filter_extension, normalize_url, resolve_url
+from recordlake.workloads import _sql as S
+from recordlake.workloads._tables import table
+from recordlake.workloads.dedupe import sql_normalize_url
+
+LABELS = ["LCA Program", "PERM Program", "Prevailing Wage", "H-2A Program", "FY 2016 Report"]
+EXTS = [".xlsx", ".csv", ".pdf", "_fy19.XLS"]
+
+
+def listing_pages(spark, d):
+    """Pages whose navigation lists become file tables: each list item is a row
+    (program label cell, link cell) and each link points to a data file."""
+    p = table(spark, d, "pages")
+    label = F.element_at(F.array(*[F.lit(x) for x in LABELS]), (F.col("page_id") % len(LABELS) + 1).cast("int"))
+    ext = F.element_at(F.array(*[F.lit(x) for x in EXTS]), (F.col("page_id") % len(EXTS) + 1).cast("int"))
+    h = F.col("html")
+    h = F.replace(h, F.lit("<li>"), F.concat(F.lit("<tr><td>"), label, F.lit("</td><td>")))
+    h = F.replace(h, F.lit("</li>"), F.lit("</td></tr>"))
+    h = F.replace(F.replace(h, F.lit("<ul>"), F.lit("<table>")), F.lit("</ul>"), F.lit("</table>"))
+    h = F.regexp_replace(h, F.lit(r'href="(/[^"]*)"'), F.concat(F.lit('href="$1'), ext, F.lit('"')))
+    return p.select("page_id", "url", h.alias("html"))
+
+
+def _sql_listing_pages():
+    label = S.pick(f"page_id % {len(LABELS)}", LABELS)
+    ext = S.pick(f"page_id % {len(EXTS)}", EXTS)
+    h = "html"
+    h = f"replace({h}, '<li>', '<tr><td>' || {label} || '</td><td>')"
+    h = f"replace({h}, '</li>', '</td></tr>')"
+    h = f"replace(replace({h}, '<ul>', '<table>'), '</ul>', '</table>')"
+    h = f"""regexp_replace({h}, 'href="(/[^"]*)"', 'href="\\1' || {ext} || '"', 'g')"""
+    return f"SELECT page_id, url, {h} AS html FROM pages"
+
+
+def _sql_clean(h):
+    return f"regexp_replace({h}, {S.q(NON_CONTENT)}, ' ', 'g')"
+
+
+def _sql_href(attrs):
+    v = " || ".join(f"COALESCE(regexp_extract({attrs}, {S.q(HREF_PATTERN)}, {i}), '')" for i in (1, 2, 3))
+    for ent, ch in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"),
+                    ("&#x27;", "'"), ("&amp;", "&")):
+        v = f"replace({v}, {S.q(ent)}, {S.q(ch)})"
+    return f"(CASE WHEN regexp_matches({attrs}, {S.q(HREF_PATTERN)}) THEN {v} END)"
+
+
+# ---- X2 + X3 + X9 + X10 + X8
+
+def q_extract_page_links(spark, d):
+    links = extract_page_links(table(spark, d, "pages"))
+    return links.select("page_id", "pos", "href", filename_of("href").alias("filename"),
+                        filter_extension(F.col("href")).alias("is_file"),
+                        normalize_url(resolve_url(F.col("page_url"), F.col("href"))).alias("url"))
+
+
+SQL_PAGE_LINKS = f"""
+WITH a AS (
+  SELECT page_id, url AS page_url,
+         unnest(regexp_extract_all({_sql_clean('html')}, {S.q(ANCHOR_START_PATTERN)}, 1)) AS attrs,
+         generate_subscripts(regexp_extract_all({_sql_clean('html')}, {S.q(ANCHOR_START_PATTERN)}, 1), 1) - 1 AS pos
+  FROM pages),
+h AS (SELECT page_id, page_url, pos, {_sql_href('attrs')} AS href FROM a)
+SELECT page_id, pos, href, regexp_extract(href, '([^/]*)$', 1) AS filename, {S.file_ext_ok('href')} AS is_file,
+       {sql_normalize_url(S.resolve_root_relative('page_url', 'href'))} AS url
+FROM h WHERE href IS NOT NULL
+"""
+
+
+# ---- X1 on the derived listing pages
+
+def q_extract_table_links(spark, d):
+    return extract_table_links(listing_pages(spark, d)).drop("page_url")
+
+
+SQL_TABLE_LINKS = f"""
+WITH lp AS ({_sql_listing_pages()}),
+t AS (SELECT page_id, unnest(regexp_extract_all({_sql_clean('html')}, {S.q(TABLE_PATTERN)}, 0)) AS tbl,
+             generate_subscripts(regexp_extract_all({_sql_clean('html')}, {S.q(TABLE_PATTERN)}, 0), 1) - 1 AS table_pos
+      FROM lp),
+r AS (SELECT page_id, table_pos, unnest(regexp_extract_all(tbl, {S.q(ROW_PATTERN)}, 1)) AS row,
+             generate_subscripts(regexp_extract_all(tbl, {S.q(ROW_PATTERN)}, 1), 1) - 1 AS row_pos FROM t),
+c AS (SELECT page_id, table_pos, row_pos, regexp_extract_all(row, {S.q(CELL_PATTERN)}, 1) AS cells FROM r),
+c2 AS (SELECT * FROM c WHERE len(cells) >= 2),
+an AS (SELECT page_id, table_pos, row_pos, {S.html_text('cells[1]')} AS context,
+              flatten(list_transform(cells[2:], lambda x: regexp_extract_all(x, {S.q(ANCHOR_START_PATTERN)}, 1))) AS anchors
+       FROM c2),
+l AS (SELECT page_id, table_pos, row_pos, context, unnest(anchors) AS attrs,
+             generate_subscripts(anchors, 1) - 1 AS link_pos FROM an WHERE len(anchors) > 0)
+SELECT page_id, table_pos, row_pos, link_pos, context, {_sql_href('attrs')} AS href FROM l
+WHERE {_sql_href('attrs')} IS NOT NULL
+"""
+
+
+# ---- X6 (+ X5) on the plain pages
+
+def q_classify_with_context(spark, d):
+    c = classify_with_context(table(spark, d, "pages"))
+    return c.select("page_id", "pos", "href", "filename", "program")
+
+
+def _sql_tokens(src):
+    g = lambda i: f"regexp_extract_all({_sql_clean('html')}, {S.q(TOKEN_PATTERN)}, {i})"
+    return f"""
+    tk AS (SELECT page_id, url AS page_url, {g(1)} AS g1, {g(2)} AS g2, {g(3)} AS g3, {g(4)} AS g4,
+                  {g(5)} AS g5, {g(6)} AS g6 FROM {src}),
+    t0 AS (SELECT page_id, page_url, unnest(g1) AS g1, unnest(g2) AS g2, unnest(g3) AS g3, unnest(g4) AS g4,
+                  unnest(g5) AS g5, unnest(g6) AS g6, generate_subscripts(g1, 1) - 1 AS pos FROM tk),
+    t AS (SELECT page_id, page_url, pos,
+                 CASE WHEN COALESCE(g1, '') <> '' THEN 'a' ELSE lower(g4) END AS tag,
+                 CASE WHEN COALESCE(g1, '') <> '' THEN g2 ELSE g5 END AS attrs,
+                 CASE WHEN COALESCE(g1, '') <> '' THEN {S.html_text('COALESCE(g3, \'\')')}
+                      ELSE {S.html_text('COALESCE(g6, \'\')')} END AS text
+          FROM t0),
+    w AS (SELECT *,
+            last_value(CASE WHEN tag IN ('h2', 'h3', 'h4', 'strong', 'b') THEN {S.classify("''", 'text')} END IGNORE NULLS)
+              OVER (PARTITION BY page_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS prev_heading_program,
+            last_value(CASE WHEN tag IN ('td', 'li', 'p', 'div') THEN text END IGNORE NULLS)
+              OVER (PARTITION BY page_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS prev_block_text
+          FROM t),
+    links AS (SELECT *, {_sql_href('attrs')} AS href FROM w WHERE tag = 'a' AND {_sql_href('attrs')} IS NOT NULL),
+    cls AS (SELECT *, regexp_extract(href, '([^/]*)$', 1) AS filename FROM links),
+    classified AS (SELECT page_id, page_url, pos, href, filename, text AS link_text,
+                   COALESCE({S.classify('filename')}, {S.classify("''", "COALESCE(prev_block_text, '') || text")},
+                            prev_heading_program) AS program FROM cls)"""
+
+
+SQL_CLASSIFY = f"""
+WITH {_sql_tokens('pages')}
+SELECT page_id, pos, href, filename, program FROM classified
+"""
+
+
+# ---- E6 discovery: table links first, page links second, one per canonical URL
+
+def q_discover_candidates(spark, d):
+    lp = listing_pages(spark, d)
+    table_c = candidates_from_table_links(extract_table_links(lp))
+    page_c = candidates_from_page_links(classify_with_context(lp))
+    best = dedupe_by_priority(table_c.unionByName(page_c), "url", [F.col("section"), F.col("page_id"), F.col("position")])
+    return best.select("program", "url", "filename", "year", "page_id", "section")
+
+
+SQL_CANDIDATES = f"""
+WITH lp AS ({_sql_listing_pages()}),
+{_sql_tokens('lp')},
+tl AS ({SQL_TABLE_LINKS.replace('WITH lp AS (' + _sql_listing_pages() + '),', 'WITH ', 1)}),
+tc AS (
+  SELECT tl.page_id, lp.url AS page_url, tl.table_pos, tl.row_pos, tl.link_pos, tl.context, tl.href,
+         regexp_extract(tl.href, '([^/]*)$', 1) AS filename
+  FROM tl JOIN lp ON lp.page_id = tl.page_id
+  WHERE {S.file_ext_ok('tl.href')}),
+tc2 AS (
+  SELECT page_id, {S.classify('filename', 'context')} AS program,
+         {sql_normalize_url(S.resolve_root_relative('page_url', 'href'))} AS url, filename, {S.year('filename')} AS year,
+         0 AS section, table_pos AS p1, row_pos AS p2, link_pos AS p3
+  FROM tc WHERE NOT {S.skip('filename', 'context')}),
+pc AS (
+  SELECT page_id, program, {sql_normalize_url(S.resolve_root_relative('page_url', 'href'))} AS url, filename,
+         {S.year('filename')} AS year, 1 AS section, 0 AS p1, pos AS p2, 0 AS p3
+  FROM classified WHERE {S.file_ext_ok('href')} AND NOT {S.skip('filename')}),
+allc AS (SELECT * FROM tc2 WHERE program IS NOT NULL UNION ALL SELECT * FROM pc WHERE program IS NOT NULL)
+SELECT program, url, filename, year, page_id, section FROM (
+  SELECT *, row_number() OVER (PARTITION BY url ORDER BY section, page_id, p1, p2, p3) AS rn FROM allc) WHERE rn = 1
+"""
+
+QUERIES = {
+    "extract_page_links": q_extract_page_links,
+    "extract_table_links": q_extract_table_links,
+    "classify_with_context": q_classify_with_context,
+    "discover_candidates": q_discover_candidates,
+}
+ORACLE = {
+    "extract_page_links": SQL_PAGE_LINKS,
+    "extract_table_links": SQL_TABLE_LINKS,
+    "classify_with_context": SQL_CLASSIFY,
+    "discover_candidates": SQL_CANDIDATES,
+}
