@@ -27,25 +27,42 @@ LISTING_SCHEMA = T.StructType([
 ])
 
 
+def _glob(spark: SparkSession, pattern: str) -> list[tuple[str, bool, int, int]]:
+    """(path, is_dir, length, modification ms) of every match of a Hadoop glob."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path(pattern)
+    fs = path.getFileSystem(conf)
+    found = fs.globStatus(path)
+    if found is None:
+        return []
+    return [(st.getPath().toString(), st.isDirectory(), st.getLen(), st.getModificationTime()) for st in found]
+
+
 def vintage_scan(spark: SparkSession, root: str, extensions: Sequence[str] = (".parquet", ".csv", ".xlsx")) -> DataFrame:
-    """Files directly inside year folders of ``root``, with year, name,
-    extension and stem. Files at the top level are not listed (folders only)."""
-    try:
-        files = (spark.read.format("binaryFile").option("recursiveFileLookup", "false")
-                 .load(f"{root.rstrip('/')}/*/*").select("path", "length", "modificationTime"))
-    except Exception as e:  # noqa: BLE001 - an empty layout is an empty listing
-        if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
-            return spark.createDataFrame([], LISTING_SCHEMA)
-        raise
-    name = F.regexp_extract("path", r"([^/]+)$", 1)
-    ext = F.lower(F.regexp_extract(name, r"(\.[^.]+)$", 1))
-    out = files.select(
-        F.regexp_replace("path", r"^file:(//)?", "").alias("path"),
-        F.regexp_extract("path", r"([^/]+)/[^/]+$", 1).alias("year"),
-        name.alias("file_name"), ext.alias("extension"),
-        F.regexp_replace(name, r"\.[^.]+$", "").alias("stem"),
-        F.col("length"), F.col("modificationTime").alias("modification_time"))
-    return out.where(F.col("extension").isin(*[e.lower() for e in extensions]))
+    """Data files inside the year folders of ``root`` (``root/<year>/<file>``),
+    with year, name, extension and stem. Year entries that are not folders are
+    skipped. A "file" may be a single file or a directory of part files as
+    Spark writes them. Only metadata is listed (one glob on the driver, as any
+    file source does)."""
+    rows = []
+    for year_path, is_dir, _, _ in _glob(spark, f"{root.rstrip('/')}/*"):
+        if not is_dir:
+            continue
+        for path, _, length, mtime in _glob(spark, f"{year_path}/*"):
+            name = path.rstrip("/").rsplit("/", 1)[-1]
+            if name.startswith(("_", ".")):
+                continue
+            stem, dot, ext = name.rpartition(".")
+            ext = f".{ext.lower()}" if dot else ""
+            if ext not in {e.lower() for e in extensions}:
+                continue
+            rows.append((path, year_path.rstrip("/").rsplit("/", 1)[-1], name, ext, stem if dot else name,
+                         int(length), int(mtime)))
+    df = spark.createDataFrame(rows, "path string, year string, file_name string, extension string, stem string, "
+                                     "length long, mtime long")
+    return df.select("path", "year", "file_name", "extension", "stem", "length",
+                     F.timestamp_millis("mtime").alias("modification_time"))
 
 
 def filter_companion_files(listing: DataFrame, markers: Sequence[str] = COMPANION_FILE_MARKERS) -> DataFrame:
@@ -159,21 +176,26 @@ def scan_text_csv(spark: SparkSession, path: str, usecols: Sequence[str] | None
 
 def read_text_vintage(spark: SparkSession, path: str, extension: str) -> DataFrame:
     """Read one vintage file as all-text columns, keeping its raw header names
-    and adding the row position inside the file (``_row``) for keep-first order."""
+    and adding ``_row``: the position inside the file (part file, split start,
+    row), a total order for keep-first rules."""
     if extension == ".parquet":
         df = spark.read.parquet(path)
         names = df.columns
-        raw = df.select("*", F.col("_metadata.row_index").alias("_row"))
-        pos = raw.toDF(*positional_names(len(names)), "_row")
-        text = pos.select(*[F.col(c).cast("string").alias(c) for c in pos.columns if c != "_row"], "_row")
-        return text.toDF(*names, "_row")
-    if extension == ".csv":
+        row = F.struct(F.col("_metadata.file_path").alias("f"), F.lit(0).cast("long").alias("b"),
+                       F.col("_metadata.row_index").alias("r"))
+        raw = df.select("*", row.alias("_row"))
+    elif extension == ".csv":
         names = csv_header(spark, path)
         df = scan_text_csv(spark, path, positional=True)
-        # splits of one file are ordered by start offset, rows within a split by position
-        order = F.struct(F.input_file_block_start().alias("b"), F.monotonically_increasing_id().alias("m"))
-        return df.withColumn("_row", order).toDF(*names, "_row")
-    raise ValueError(f"no Spark reader for {extension} files (land them as CSV or Parquet first)")
+        # splits of one file in start-offset order; rows in a split in read order
+        row = F.struct(F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_block_start").alias("b"),
+                       F.monotonically_increasing_id().alias("r"))
+        raw = df.select("*", row.alias("_row"))
+    else:
+        raise ValueError(f"no Spark reader for {extension} files (land them as CSV or Parquet first)")
+    pos = raw.toDF(*positional_names(len(names)), "_row")
+    text = pos.select(*[F.col(c).cast("string").alias(c) for c in pos.columns if c != "_row"], "_row")
+    return text.toDF(*names, "_row")
 
 
 def land_text_parquet(spark: SparkSession, listing: DataFrame, skip_existing: bool = False) -> list[str]:
@@ -189,8 +211,17 @@ def land_text_parquet(spark: SparkSession, listing: DataFrame, skip_existing: bo
     written = []
     for r in src.select("path", "year", "stem").collect():  # one row per file: metadata only
         target = r["path"][: -len(".csv")] + ".parquet"
-        df = scan_text_csv(spark, r["path"], tokens=None)
-        df.write.mode("overwrite").parquet(target)
+        df = scan_text_csv(spark, r["path"], tokens=None, positional=True)
+        names = csv_header(spark, r["path"])
+        # header names are kept verbatim; Parquet cannot hold duplicates, so
+        # repeated names get a positional suffix (the header plan drops them anyway)
+        seen: dict = {}
+        out = []
+        for n in names:
+            k = n.lower()
+            seen[k] = seen.get(k, 0) + 1
+            out.append(n if seen[k] == 1 else f"{n}.{seen[k] - 1}")
+        df.toDF(*out).write.mode("overwrite").parquet(target)
         written.append(target)
     return written
 

@@ -1,2 +1,75 @@
-QUERIES = {}
-ORACLE = {}
+"""Path-layout checks (L1-L5) on ``pages``, ``nation``, ``events`` and ``orders``."""
+
+from pyspark.sql import functions as F
+
+from recordlake.functions import (
+    annual_path, monthly_path, program_year_path, sanitize_name, strip_uri_prefix, visa_year_path,
+)
+from recordlake.session import staging_path
+from recordlake.sources.sinks import write_partitioned_layout
+from recordlake.workloads._tables import table
+
+ROOT = "dbfs:/FileStore/records"
+
+
+def q_path_expressions(spark, d):
+    """L1-L4 over page URLs (unsafe characters, long names) and nation names."""
+    p = table(spark, d, "pages")
+    n = table(spark, d, "nation").select("n_nationkey", "n_name")
+    j = p.join(n, (p["page_id"] % 25) == n["n_nationkey"])
+    period = F.when(F.col("page_id") % 3 == 0, F.concat(F.lit("FY"), (2000 + F.col("page_id") % 25).cast("string"),
+                                                          F.lit("-"), F.lpad((F.col("page_id") % 12 + 1).cast("string"), 2, "0")))\
+        .otherwise(F.concat(F.lit("M"), F.col("page_id").cast("string")))
+    year = (2000 + F.col("page_id") % 25).cast("string")
+    uri = F.when(F.col("page_id") % 2 == 0, F.concat(F.lit(ROOT + "/"), F.col("n_name")))\
+        .otherwise(F.concat(F.lit("/local/"), F.col("n_name")))
+    return j.select(
+        "page_id",
+        strip_uri_prefix(uri).alias("local_path"),
+        sanitize_name(F.col("url")).alias("safe_url"),
+        monthly_path(F.lit(ROOT + "/visa_stats"), F.col("n_name"), period).alias("monthly"),
+        annual_path(F.lit(ROOT + "/visa_stats"), year).alias("annual"),
+        program_year_path(F.lit(ROOT + "/performance_data"), F.concat(F.col("n_name"), F.lit(" Program/x")), year).alias("program_dir"),
+        visa_year_path(F.lit(ROOT + "/uscis_data"), F.lower("n_name"), year).alias("visa_dir"))
+
+
+SQL_PATHS = f"""
+WITH j AS (
+  SELECT p.page_id, p.url, n.n_name,
+         CASE WHEN p.page_id % 3 = 0 THEN 'FY' || (2000 + p.page_id % 25) || '-' || lpad(CAST(p.page_id % 12 + 1 AS VARCHAR), 2, '0')
+              ELSE 'M' || p.page_id END AS period,
+         CAST(2000 + p.page_id % 25 AS VARCHAR) AS year,
+         CASE WHEN p.page_id % 2 = 0 THEN '{ROOT}/' || n.n_name ELSE '/local/' || n.n_name END AS uri
+  FROM pages p JOIN nation n ON p.page_id % 25 = n.n_nationkey)
+SELECT page_id,
+  regexp_replace(uri, '^dbfs:/', '/dbfs/') AS local_path,
+  substring(regexp_replace(regexp_replace(url, '^\\s+|\\s+$', '', 'g'), '[\\\\/*?:"<>|]', '_', 'g'), 1, 80) AS safe_url,
+  CASE WHEN regexp_extract(period, '^(FY\\d{{4}})', 1) <> ''
+       THEN '{ROOT}/visa_stats/monthly/' || n_name || '/' || regexp_extract(period, '^(FY\\d{{4}})', 1) || '/' || period
+       ELSE '{ROOT}/visa_stats/monthly/' || n_name || '/' || period END AS monthly,
+  '{ROOT}/visa_stats/annual/' || year AS annual,
+  '{ROOT}/performance_data/' || substring(regexp_replace(n_name || ' Program/x', '[\\\\/*?:"<>|]', '_', 'g'), 1, 80) || '/' || year AS program_dir,
+  '{ROOT}/uscis_data/' || lower(n_name) || '/' || year AS visa_dir
+FROM j
+"""
+
+
+def q_partitioned_layout(spark, d):
+    """Write orders as {{root}}/{{program}}/{{year}}/..., read back, count per folder."""
+    o = table(spark, d, "orders")
+    df = o.select("o_orderkey", F.col("o_orderpriority").alias("program"),
+                  F.year("o_orderdate").cast("string").alias("year"))
+    root = staging_path(spark, "layout")
+    write_partitioned_layout(df, root)
+    back = spark.read.option("basePath", root).parquet(root)
+    return back.groupBy(F.col("program").cast("string").alias("program"), F.col("year").cast("string").alias("year")) \
+               .agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+SQL_PARTITIONED = """
+SELECT o_orderpriority AS program, CAST(year(o_orderdate) AS VARCHAR) AS year, count(*) AS n_rows
+FROM orders GROUP BY 1, 2
+"""
+
+QUERIES = {"path_expressions": q_path_expressions, "partitioned_layout": q_partitioned_layout}
+ORACLE = {"path_expressions": SQL_PATHS, "partitioned_layout": SQL_PARTITIONED}

@@ -1,2 +1,110 @@
-QUERIES = {}
-ORACLE = {}
+"""File-source checks (S1-S9, K1-K3) on vintages of ``orders`` and ``events``
+written to the shared folder and scanned back."""
+
+from pyspark.sql import functions as F
+
+from recordlake.config.nulls import PANDAS_DEFAULT_NA_TOKENS
+from recordlake.operators.align import align_to_schema, stamp_year, union_vintages
+from recordlake.operators.headers import harmonize_vintage
+from recordlake.session import staging_path
+from recordlake.sources.files import (
+    filter_companion_files, land_text_parquet, pick_main_file, read_text_vintage, scan_text_csv, source_fallback,
+    vintage_scan,
+)
+from recordlake.sources.sinks import write_csv, write_parquet
+from recordlake.workloads import _sql as S
+from recordlake.workloads._tables import table
+from recordlake.workloads.harmonise import CANON, SQL_HARMONIZE, orders_vintages
+
+
+def stage_orders_vintages(spark, d, root):
+    """Write the three header eras as files: CSV, CSV + Parquet sibling, Parquet,
+    plus a companion file that must be skipped."""
+    (y1, v1), (y2, v2), (y3, v3) = orders_vintages(spark, d)
+    write_csv(v1, f"{root}/{y1}/LCA_Disclosure_FY{y1}.csv")
+    write_csv(v1.limit(5), f"{root}/{y1}/LCA_FY{y1}_Appendix_A.csv")
+    write_csv(v2, f"{root}/{y2}/LCA_Disclosure_FY{y2}.csv")
+    write_parquet(v3, f"{root}/{y3}/LCA_Disclosure_FY{y3}.parquet")
+    write_csv(v3.limit(3), f"{root}/{y3}/LCA_Worksites_FY{y3}.csv")
+    return root
+
+
+def q_vintage_scan(spark, d):
+    """S1 -> S4 (land CSV as text Parquet, skipping existing) -> S5 -> S7 ->
+    read each vintage as text -> harmonise -> align -> union."""
+    root = stage_orders_vintages(spark, d, staging_path(spark, "vintages"))
+    land_text_parquet(spark, vintage_scan(spark, root), skip_existing=True)
+    listing = source_fallback(filter_companion_files(vintage_scan(spark, root)))
+    frames = []
+    for r in listing.orderBy("year", "file_name").collect():  # one row per file: metadata only
+        v = read_text_vintage(spark, r["path"], r["extension"]).drop("_row")
+        frames.append(align_to_schema(stamp_year(harmonize_vintage(v), r["year"]), CANON))
+    return union_vintages(frames)
+
+
+def q_scan_text_csv(spark, d):
+    """S3 + C11: CSV with pandas-style null tokens read back as text."""
+    e = table(spark, d, "events")
+    tokens = list(PANDAS_DEFAULT_NA_TOKENS) + ["NAN", "NONE", "na", "-", " "]
+    tok = F.element_at(F.array(*[F.lit(t) for t in tokens]), (F.col("event_id") % len(tokens) + 1).cast("int"))
+    df = e.select(F.col("event_id").cast("string").alias("event_id"),
+                  F.when(F.col("event_id") % 3 == 0, tok).otherwise(F.col("event_type")).alias("Status"),
+                  F.col("props").alias("props"))
+    path = staging_path(spark, "tokens")
+    write_csv(df, path)
+    return scan_text_csv(spark, path, usecols=["event_id", "Status"])
+
+
+SQL_SCAN_TEXT = f"""
+WITH t AS (SELECT event_id, CASE WHEN event_id % 3 = 0
+                  THEN {S.pick(f'event_id % {len(PANDAS_DEFAULT_NA_TOKENS) + 5}', list(PANDAS_DEFAULT_NA_TOKENS) + ['NAN', 'NONE', 'na', '-', ' '])}
+                  ELSE event_type END AS s FROM events)
+SELECT CAST(event_id AS VARCHAR) AS event_id,
+       CASE WHEN s IN ({', '.join(S.q(t) for t in PANDAS_DEFAULT_NA_TOKENS)}) THEN NULL ELSE s END AS Status
+FROM t
+"""
+
+# S6 listing: year folders with several candidate files
+NAMES = ["PW_Disclosure_Data_FY{y}", "PW_Disclosure_Data_FY{y}_new_form", "PW_Disclosure_Data_FY{y}_old",
+         "pw_{y}_summary", "PW_Disclosure_Data_FY{y}_Revised_Form", "PW_{y}"]
+EXTS = [".parquet", ".xlsx", ".csv"]
+
+
+def _listing(spark, d):
+    p = table(spark, d, "part")
+    y = (2010 + F.col("p_partkey") % 16).cast("string")
+    name = F.replace(F.element_at(F.array(*[F.lit(n) for n in NAMES]), (F.col("p_size") % len(NAMES) + 1).cast("int")),
+                     F.lit("{y}"), y)
+    ext = F.element_at(F.array(*[F.lit(e) for e in EXTS]), (F.col("p_partkey") % 7 % 3 + 1).cast("int"))
+    files = p.where(F.col("p_partkey") % 9 < 2).select(y.alias("year"), F.concat(name, ext).alias("file_name"),
+                                                       ext.alias("extension")).distinct()
+    return files
+
+
+def q_pick_main_file(spark, d):
+    return pick_main_file(_listing(spark, d)).select("year", "file_name", "extension")
+
+
+SQL_PICK = f"""
+WITH f AS (
+  SELECT DISTINCT CAST(2010 + p_partkey % 16 AS VARCHAR) AS year,
+         replace({S.pick(f'p_size % {len(NAMES)}', NAMES)}, '{{y}}', CAST(2010 + p_partkey % 16 AS VARCHAR))
+           || {S.pick('p_partkey % 7 % 3', EXTS)} AS file_name,
+         {S.pick('p_partkey % 7 % 3', EXTS)} AS extension
+  FROM part WHERE p_partkey % 9 < 2),
+e AS (SELECT *, CASE extension WHEN '.parquet' THEN 0 WHEN '.xlsx' THEN 1 END AS ext_rank FROM f),
+c AS (SELECT *, count(*) OVER (PARTITION BY year, ext_rank) AS n_ext,
+             sum(CASE WHEN contains(file_name, 'Disclosure_Data') THEN 1 ELSE 0 END) OVER (PARTITION BY year, ext_rank) AS n_marker
+      FROM e WHERE ext_rank IS NOT NULL),
+r AS (SELECT *, CASE WHEN n_ext = 1 THEN 0
+                     WHEN contains(file_name, 'Disclosure_Data') AND n_marker = 1 THEN 1
+                     WHEN contains(file_name, 'Disclosure_Data') AND (contains(lower(file_name), 'new_form')
+                          OR contains(lower(file_name), 'revised_form')) THEN 2
+                     WHEN contains(file_name, 'Disclosure_Data') THEN 3 END AS rule FROM c)
+SELECT year, file_name, extension FROM (
+  SELECT *, row_number() OVER (PARTITION BY year ORDER BY ext_rank, rule, file_name) AS rn FROM r WHERE rule IS NOT NULL)
+WHERE rn = 1
+"""
+
+QUERIES = {"vintage_scan": q_vintage_scan, "scan_text_csv": q_scan_text_csv, "pick_main_file": q_pick_main_file}
+ORACLE = {"vintage_scan": SQL_HARMONIZE, "scan_text_csv": SQL_SCAN_TEXT, "pick_main_file": SQL_PICK}
