@@ -65,8 +65,10 @@ def coerce_long(c, on_fraction: str = "raise") -> Column:
 
 
 def coerce_timestamp(c, formats=TIMESTAMP_FORMATS) -> Column:
-    """Text -> timestamp via an ordered format list; failures and out-of-range -> null."""
+    """Text -> timestamp (without zone) via an ordered format list; failures and out-of-range -> null."""
     s = _stripped(c)
-    ts = F.coalesce(*[F.try_to_timestamp(s, F.lit(f)) for f in formats])
-    in_range = ts.between(F.lit(TIMESTAMP_MIN).cast("timestamp"), F.lit(TIMESTAMP_MAX).cast("timestamp"))
+    # wall-clock (zone-less) result, like a naive parsed timestamp: parse in the
+    # session zone and convert back, so the session zone never shifts values
+    ts = F.coalesce(*[F.try_to_timestamp(s, F.lit(f)) for f in formats]).cast("timestamp_ntz")
+    in_range = ts.between(F.lit(TIMESTAMP_MIN).cast("timestamp_ntz"), F.lit(TIMESTAMP_MAX).cast("timestamp_ntz"))
     return F.when(in_range, ts)

@@ -17,7 +17,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from recordlake.functions._col import as_col
@@ -83,6 +83,22 @@ def batch_of(position, batch_rows: int) -> Column:
     return F.floor(as_col(position) / F.lit(batch_rows)).cast("long")
 
 
+def global_positions(df: DataFrame, segment: Sequence[str], row: str, name: str = "_pos") -> DataFrame:
+    """Dense 0-based position of every row in (segment..., row) order.
+
+    ``segment`` columns identify ordered chunks (file ordinal, part file, split
+    start) and ``row`` increases by one per row inside a chunk (Parquet's
+    ``_metadata.row_index``, or a monotonically increasing id within a split). Chunk sizes are one small aggregate (one row per
+    chunk); their running offsets come from a window over that small table and
+    are joined back on the chunk key. No task ever sees more than its own rows.
+    """
+    sizes = df.groupBy(*segment).agg(F.count(F.lit(1)).alias("_n"), F.min(row).alias("_m0"))
+    w = Window.orderBy(*segment).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(*segment, F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"), "_m0")
+    return (df.join(offsets, list(segment), "left")
+            .withColumn(name, F.col("_off") + F.col(row) - F.col("_m0")).drop("_off", "_m0"))
+
+
 def distinct_rows(df: DataFrame) -> DataFrame:
     """D3: drop fully identical rows (nulls compare equal)."""
     return df.distinct()

@@ -187,19 +187,21 @@ def harmonize_vintage(df: DataFrame, aliases: Mapping[str, str] = lca_cfg.ALIASE
                       repeat_group_prefixes=lca_cfg.REPEAT_GROUP_PREFIXES,
                       second_site_prefixes=lca_cfg.SECOND_SITE_PREFIXES,
                       alias_policy: str = "first_wins",
-                      non_null_indices: Iterable[int] | None = None) -> DataFrame:
+                      non_null_indices: Iterable[int] | None = None, carry: int = 0) -> DataFrame:
     """H1 -> H2 -> H3 -> H4 -> H5 -> H6 -> H7 (or H8) -> H2 on one vintage.
 
     The order matters: duplicates go before the all-null test, and all-null
     columns go before aliasing, so an empty alias never shadows a filled one.
+    The last ``carry`` columns (e.g. row-order metadata) pass through untouched.
     """
-    slots = slots_of(df.columns)
+    data_cols = df.columns[: len(df.columns) - carry] if carry else df.columns
+    slots = slots_of(data_cols)
     if normalize:
         slots = normalize_headers(slots)
     slots = drop_duplicate_headers(slots)
     if drop_all_null:
         if non_null_indices is None:
-            non_null_indices = non_null_column_indices(df)
+            non_null_indices = non_null_column_indices(to_positional(df).select(*positional_names(len(data_cols))))
         slots = drop_all_null_columns(slots, non_null_indices)
     slots = drop_blank_headers(slots)
     if repeat_group_prefixes:
@@ -211,7 +213,8 @@ def harmonize_vintage(df: DataFrame, aliases: Mapping[str, str] = lca_cfg.ALIASE
     else:
         slots = alias_sequential_move(slots, aliases, policy=alias_policy)
     slots = drop_duplicate_headers(slots)
-    return select_slots(to_positional(df), slots)
+    extra = [F.col(f"_p{len(data_cols) + i}").alias(df.columns[len(data_cols) + i]) for i in range(carry)]
+    return select_slots(to_positional(df), slots, extra)
 
 
 def unmapped_column_report(spark, unmapped_by_year: Mapping[int, Iterable[str]]) -> DataFrame:

@@ -221,7 +221,10 @@ def land_text_parquet(spark: SparkSession, listing: DataFrame, skip_existing: bo
             k = n.lower()
             seen[k] = seen.get(k, 0) + 1
             out.append(n if seen[k] == 1 else f"{n}.{seen[k] - 1}")
-        df.toDF(*out).write.mode("overwrite").parquet(target)
+        # keep the file's row order: order by (split start, row in split) before writing
+        order = F.struct(F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_block_start").alias("b"),
+                         F.monotonically_increasing_id().alias("r"))
+        df.withColumn("_o", order).orderBy("_o").drop("_o").toDF(*out).write.mode("overwrite").parquet(target)
         written.append(target)
     return written
 

@@ -6,8 +6,10 @@ from pyspark.sql import DataFrame
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """K1 (and K2 with ``mode="append"``): CSV with a header, no index."""
-    df.write.mode(mode).option("header", True).option("escape", '"').csv(path)
+    """K1 (and K2 with ``mode="append"``): CSV with a header, no index; values
+    are written as they are (Spark's writer trims whitespace unless told not to)."""
+    (df.write.mode(mode).option("header", True).option("escape", '"')
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
 
 
 def write_parquet(df: DataFrame, path: str, partition_by: str | None = None, mode: str = "overwrite") -> None:

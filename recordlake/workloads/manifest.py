@@ -195,7 +195,7 @@ def _version_table(spark, d):
 
 def q_record_versions(spark, d):
     return _version_table(spark, d).select("period", "url", "saved_path", "version", "status", "error_message",
-                                           "downloaded_at")
+                                           F.col("downloaded_at").cast("timestamp_ntz").alias("downloaded_at"))
 
 
 def _sql_downloads():
