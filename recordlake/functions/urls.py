@@ -96,7 +96,7 @@ def _remove_dot_segments(path: Column) -> Column:
         .otherwise(F.concat(acc, F.array(s))),
     )
     last = F.element_at(segs, -1)
-    trailing = F.when((last == ".") | (last == ".."), F.lit("/")).otherwise(F.lit(""))
+    trailing = F.when(((last == ".") | (last == "..")) & (F.size(folded) > 0), F.lit("/")).otherwise(F.lit(""))
     return F.concat(F.lit("/"), F.array_join(folded, "/"), trailing)
 
 

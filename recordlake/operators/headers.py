@@ -91,8 +91,12 @@ def alias_first_wins(slots: list[Slot], aliases: Mapping[str, str]) -> list[Slot
 
     A whole column wins, never a row-wise coalesce.
     """
+    pairs = aliases.items() if isinstance(aliases, Mapping) else aliases
     present = {s.name for s in slots}
-    rename = {old: new for old, new in aliases.items() if old in present and old != new}
+    rename: dict = {}
+    for old, new in pairs:
+        if old in present and old != new:
+            rename.setdefault(old, new)
     return drop_duplicate_headers([Slot(s.index, rename.get(s.name, s.name)) for s in slots])
 
 
