@@ -49,19 +49,20 @@ def href_of(attrs) -> Column:
 
 def page_tokens(pages: DataFrame, id_col: str = "page_id", html_col: str = "html",
                 url_col: str = "url") -> DataFrame:
-    """Anchors, headings and block starts of every page in document order."""
+    """Anchors, headings and block starts of every page in document order.
+
+    One regex pass over each page finds the tokens; each token (a short
+    string) is then split into tag, attributes and text.
+    """
     clean = strip_non_content(F.col(html_col))
-    arrays = pages.select(
-        F.col(id_col).alias("page_id"), F.col(url_col).alias("page_url"),
-        F.arrays_zip(*[F.regexp_extract_all(clean, F.lit(TOKEN_PATTERN), i).alias(f"g{i}") for i in range(1, 7)]
-                     ).alias("toks"))
-    t = arrays.select("page_id", "page_url", F.posexplode("toks").alias("pos", "tok"))
-    tag = F.when(F.col("tok.g1") != "", F.lit("a")).otherwise(F.lower(F.col("tok.g4")))
-    return t.select(
-        "page_id", "page_url", "pos", tag.alias("tag"),
-        F.when(F.col("tok.g1") != "", F.col("tok.g2")).otherwise(F.col("tok.g5")).alias("attrs"),
-        F.when(F.col("tok.g1") != "", html_text(F.col("tok.g3"))).otherwise(html_text(F.col("tok.g6"))).alias("text"),
-    )
+    t = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("page_url"),
+                     F.posexplode(F.regexp_extract_all(clean, F.lit(TOKEN_PATTERN), 0)).alias("pos", "tok"))
+    tag = F.lower(F.regexp_extract("tok", r"^<([A-Za-z0-9]+)", 1))
+    is_a = tag == "a"
+    attrs = F.regexp_extract("tok", r"(?s)^<[A-Za-z0-9]+([^>]*)>", 1)
+    inner = F.when(is_a, F.regexp_extract("tok", r"(?is)^<a\b[^>]*>(.*)</a\s*>$", 1)) \
+        .otherwise(F.regexp_extract("tok", r"(?s)>([^<]*)$", 1))
+    return t.select("page_id", "page_url", "pos", tag.alias("tag"), attrs.alias("attrs"), html_text(inner).alias("text"))
 
 
 def extract_page_links(pages: DataFrame, id_col: str = "page_id", html_col: str = "html",

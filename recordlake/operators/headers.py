@@ -186,6 +186,28 @@ def select_slots(df_positional: DataFrame, slots: list[Slot], extra: Sequence[Co
     return df_positional.select(*[F.col(f"_p{s.index}").alias(s.name) for s in slots], *extra)
 
 
+def contested_columns(slots: list[Slot], resolve) -> list[int]:
+    """Positions whose presence can change which column ends up under a name:
+    all members of a group of columns that the rules map to one output name.
+    Dropping any other all-null column gives the same aligned result (it
+    would be null either way)."""
+    base = {s.index: s.name for s in resolve(slots)}
+    groups: dict = {}
+    for s in slots:
+        alone = resolve([s])
+        # where would this column land on its own? (chained renames included)
+        for r in alone:
+            groups.setdefault(r.name, set()).add(s.index)
+    out = set()
+    for name, members in groups.items():
+        if len(members) > 1:
+            out |= members
+    # a column that resolves alone but disappears together with the others
+    # (e.g. a later move overwrote it) is contested as well
+    out |= {s.index for s in slots if resolve([s]) and s.index not in base and s.index not in out}
+    return sorted(out)
+
+
 def harmonize_vintage(df: DataFrame, aliases: Mapping[str, str] = lca_cfg.ALIASES, *,
                       normalize: bool = True, drop_all_null: bool = True,
                       repeat_group_prefixes=lca_cfg.REPEAT_GROUP_PREFIXES,
@@ -203,20 +225,31 @@ def harmonize_vintage(df: DataFrame, aliases: Mapping[str, str] = lca_cfg.ALIASE
     if normalize:
         slots = normalize_headers(slots)
     slots = drop_duplicate_headers(slots)
+    def resolve(ss):
+        ss = drop_blank_headers(ss)
+        if repeat_group_prefixes:
+            ss = drop_repeat_group_columns(ss, repeat_group_prefixes)
+        if second_site_prefixes:
+            ss = drop_second_site_columns(ss, second_site_prefixes)
+        if alias_policy == "first_wins":
+            ss = alias_first_wins(ss, aliases)
+        else:
+            ss = alias_sequential_move(ss, aliases, policy=alias_policy)
+        return drop_duplicate_headers(ss)
+
     if drop_all_null:
+        # H3 can only change the result where several columns compete for one
+        # output name; only those columns are tested, and only when they exist
+        # (one aggregate over just those columns, none in the common case)
+        suspects = contested_columns(slots, resolve)
         if non_null_indices is None:
-            non_null_indices = non_null_column_indices(to_positional(df).select(*positional_names(len(data_cols))))
+            non_null_indices = set(range(len(data_cols))) - set(suspects)
+            if suspects:
+                pos = to_positional(df)
+                row = pos.agg(*[F.count(F.col(f"_p{i}")).alias(f"_p{i}") for i in suspects]).first()
+                non_null_indices |= {i for i in suspects if row[f"_p{i}"] > 0}
         slots = drop_all_null_columns(slots, non_null_indices)
-    slots = drop_blank_headers(slots)
-    if repeat_group_prefixes:
-        slots = drop_repeat_group_columns(slots, repeat_group_prefixes)
-    if second_site_prefixes:
-        slots = drop_second_site_columns(slots, second_site_prefixes)
-    if alias_policy == "first_wins":
-        slots = alias_first_wins(slots, aliases)
-    else:
-        slots = alias_sequential_move(slots, aliases, policy=alias_policy)
-    slots = drop_duplicate_headers(slots)
+    slots = resolve(slots)
     extra = [F.col(f"_p{len(data_cols) + i}").alias(df.columns[len(data_cols) + i]) for i in range(carry)]
     return select_slots(to_positional(df), slots, extra)
 

@@ -10,6 +10,7 @@ from recordlake.operators.manifest import (
     MANIFEST_V1_SCHEMA, change_status, load_manifest, manifest_upsert, run_summary, save_manifest, utc_now_iso,
 )
 from recordlake.operators.profile import outcome_counts
+from recordlake.session import shared_dir
 from recordlake.sources.sinks import write_json_summary
 
 
@@ -31,6 +32,10 @@ def refresh(spark: SparkSession, pages: DataFrame, observations: DataFrame, mani
     manifest, version = load_manifest(spark, manifest_root, MANIFEST_V1_SCHEMA)
     statuses = change_status(obs.select("url", "program", "year", "filename", "fetch_ok", "etag", "last_modified",
                                         "sha256"), manifest)
+    # several outputs (manifest, counts, summary) read the statuses: materialise
+    # them once in the shared checkpoint folder instead of re-running discovery
+    shared_dir(spark)
+    statuses = statuses.checkpoint(eager=True)
     new_manifest = manifest_upsert(manifest, statuses, run_time, data_root=data_root)
     if save:
         save_manifest(new_manifest, manifest_root, version + 1)

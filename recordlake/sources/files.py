@@ -154,7 +154,8 @@ def csv_header(spark: SparkSession, path: str) -> list[str]:
 
 
 def scan_text_csv(spark: SparkSession, path: str, usecols: Sequence[str] | None = None,
-                  tokens: Sequence[str] | None = PANDAS_DEFAULT_NA_TOKENS, positional: bool = False) -> DataFrame:
+                  tokens: Sequence[str] | None = PANDAS_DEFAULT_NA_TOKENS, positional: bool = False,
+                  names: Sequence[str] | None = None) -> DataFrame:
     """S3: read a CSV as text with the reader-level null tokens applied.
 
     Headers are taken verbatim (duplicates, blanks and case are kept; see T20):
@@ -162,7 +163,7 @@ def scan_text_csv(spark: SparkSession, path: str, usecols: Sequence[str] | None
     skipped. With ``positional=True`` columns stay ``_p0.._pN`` for header
     resolution; otherwise they get the header names (``usecols`` subsets them).
     """
-    names = csv_header(spark, path)
+    names = list(names) if names is not None else csv_header(spark, path)
     schema = T.StructType([T.StructField(n, T.StringType()) for n in positional_names(len(names))])
     df = (spark.read.option("header", True).option("enforceSchema", True).option("multiLine", True)
           .option("escape", '"').schema(schema).csv(path))
@@ -186,7 +187,7 @@ def read_text_vintage(spark: SparkSession, path: str, extension: str) -> DataFra
         raw = df.select("*", row.alias("_row"))
     elif extension == ".csv":
         names = csv_header(spark, path)
-        df = scan_text_csv(spark, path, positional=True)
+        df = scan_text_csv(spark, path, positional=True, names=names)
         # splits of one file in start-offset order; rows in a split in read order
         row = F.struct(F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_block_start").alias("b"),
                        F.monotonically_increasing_id().alias("r"))
