@@ -83,7 +83,8 @@ def batch_of(position, batch_rows: int) -> Column:
     return F.floor(as_col(position) / F.lit(batch_rows)).cast("long")
 
 
-def global_positions(df: DataFrame, segment: Sequence[str], row: str, name: str = "_pos") -> DataFrame:
+def global_positions(df: DataFrame, segment: Sequence[str], row: str, name: str = "_pos",
+                     materialize: bool = True, max_broadcast_rows: int = 2_000_000) -> DataFrame:
     """Dense 0-based position of every row in (segment..., row) order.
 
     ``segment`` columns identify ordered chunks (file ordinal, part file, split
@@ -95,6 +96,14 @@ def global_positions(df: DataFrame, segment: Sequence[str], row: str, name: str
     sizes = df.groupBy(*segment).agg(F.count(F.lit(1)).alias("_n"), F.min(row).alias("_m0"))
     w = Window.orderBy(*segment).rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(*segment, F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"), "_m0")
+    if materialize:
+        # one row per chunk: computed once into the shared checkpoint folder,
+        # then broadcast only when its row count is known to be small
+        from recordlake.session import shared_dir
+        shared_dir(df.sparkSession)
+        offsets = offsets.checkpoint(eager=True)
+        if offsets.count() <= max_broadcast_rows:
+            offsets = F.broadcast(offsets)
     return (df.join(offsets, list(segment), "left")
             .withColumn(name, F.col("_off") + F.col(row) - F.col("_m0")).drop("_off", "_m0"))
 

@@ -180,7 +180,7 @@ def _version_table(spark, d):
     w = Window.partitionBy("period", "url").orderBy("downloaded_at")
     wl = Window.partitionBy("period", "url").orderBy(F.desc("downloaded_at"))
     existing = old.select(
-        F.lit("dolstats").alias("source_id"), F.lit("dol").alias("file_type"), F.lit(None).cast("string").alias("program"),
+        F.lit("records").alias("source_id"), F.lit("performance").alias("file_type"), F.lit(None).cast("string").alias("program"),
         "period", "url", "filename", "saved_path", F.col("bytes").cast("long").alias("bytes"), "sha256", "etag",
         "last_modified", F.row_number().over(w).cast("int").alias("version"),
         F.when(F.row_number().over(wl) == 1, F.lit("active")).otherwise(F.lit("replaced")).alias("status"),
@@ -189,8 +189,8 @@ def _version_table(spark, d):
     new = ok.where(F.col("downloaded_at") >= cutoff).drop("value", "event_id")
     fails = dl.where((F.col("value") < 2) & (F.col("downloaded_at") >= cutoff)).select(
         "period", "url", "filename", F.concat(F.lit("timeout "), F.col("event_id").cast("string")).alias("error"))
-    t = record_versions(existing, new, "dolstats", "dol", now=now)
-    return record_failures(t, fails, "dolstats", "dol", now=now)
+    t = record_versions(existing, new, "records", "performance", now=now)
+    return record_failures(t, fails, "records", "performance", now=now)
 
 
 def q_record_versions(spark, d):
@@ -299,7 +299,7 @@ def q_create_manifest_table(spark, d):
     dl.createOrReplaceTempView(f"{name}_src")
     spark.sql(f"""INSERT INTO {name} (source_id, file_type, program, period, url, filename, saved_path, bytes, sha256,
                   etag, last_modified, error_message, downloaded_at)
-                  SELECT 'dolstats', 'dol', NULL, period, url, filename, saved_path, bytes, sha256, etag,
+                  SELECT 'records', 'performance', NULL, period, url, filename, saved_path, bytes, sha256, etag,
                          last_modified, NULL, downloaded_at FROM {name}_src""")
     return spark.table(name).select("period", "url", "saved_path", "version", "status",
                                     F.col("created_at").isNotNull().alias("has_created_at"))

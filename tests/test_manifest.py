@@ -79,7 +79,7 @@ def versioned(spark, rows):
 
 def v_row(period, url, version, status, path, t):
     ts = dt.datetime(2024, 1, t)
-    return ("src", "dol", None, period, url, "f", path, 10, "h", None, None, version, status, None, ts, ts, ts)
+    return ("src", "performance", None, period, url, "f", path, 10, "h", None, None, version, status, None, ts, ts, ts)
 
 
 def test_versions_failures_and_plan(spark):
@@ -91,9 +91,9 @@ def test_versions_failures_and_plan(spark):
                                "period string, url string, filename string, saved_path string, bytes long, "
                                "sha256 string, etag string, last_modified string, downloaded_at timestamp")
     now = F.lit("2026-01-01 00:00:00").cast("timestamp")
-    nt = record_versions(t, dl, "src", "dol", now=now)
+    nt = record_versions(t, dl, "src", "performance", now=now)
     fails = spark.createDataFrame([("P", "w", "f", "timeout")], "period string, url string, filename string, error string")
-    nt = record_failures(nt, fails, "src", "dol", now=now)
+    nt = record_failures(nt, fails, "src", "performance", now=now)
     got = sorted((r["period"], r["url"], r["version"], r["status"], r["saved_path"]) for r in nt.collect())
     assert got == [("P", "u", 1, "replaced", "/p1"), ("P", "u", 2, "replaced", "/p2"), ("P", "u", 3, "replaced", "/p3"),
                    ("P", "u", 4, "active", "/p4"), ("P", "w", 1, "active", "/w1"), ("P", "w", 1, "failed", ""),
@@ -119,7 +119,7 @@ def test_not_null_check(spark):
 def test_table_defaults(spark, tmp_root):
     create_manifest_table(spark, "test_manifest_defaults", f"{tmp_root}/tbl")
     spark.sql("INSERT INTO test_manifest_defaults (source_id, file_type, period, url, filename, saved_path) "
-              "VALUES ('s', 'dol', 'P', 'u', 'f', '/p')")
+              "VALUES ('s', 'performance', 'P', 'u', 'f', '/p')")
     r = spark.table("test_manifest_defaults").first()
     assert r["version"] == 1 and r["status"] == "active" and r["created_at"] is not None
     spark.sql("DROP TABLE test_manifest_defaults")
