@@ -155,17 +155,19 @@ def csv_header(spark: SparkSession, path: str) -> list[str]:
 
 def scan_text_csv(spark: SparkSession, path: str, usecols: Sequence[str] | None = None,
                   tokens: Sequence[str] | None = PANDAS_DEFAULT_NA_TOKENS, positional: bool = False,
-                  names: Sequence[str] | None = None) -> DataFrame:
+                  names: Sequence[str] | None = None, multiline: bool = True) -> DataFrame:
     """S3: read a CSV as text with the reader-level null tokens applied.
 
     Headers are taken verbatim (duplicates, blanks and case are kept; see T20):
     the file is read with a positional all-string schema and the header line
     skipped. With ``positional=True`` columns stay ``_p0.._pN`` for header
     resolution; otherwise they get the header names (``usecols`` subsets them).
+    ``multiline=True`` allows quoted values with line breaks, which makes each
+    file one task; pass ``False`` for files without them to split large files.
     """
     names = list(names) if names is not None else csv_header(spark, path)
     schema = T.StructType([T.StructField(n, T.StringType()) for n in positional_names(len(names))])
-    df = (spark.read.option("header", True).option("enforceSchema", True).option("multiLine", True)
+    df = (spark.read.option("header", True).option("enforceSchema", True).option("multiLine", multiline)
           .option("escape", '"').schema(schema).csv(path))
     if tokens:
         df = df.select(*[null_tokens(F.col(c), tokens).alias(c) for c in df.columns])
@@ -175,7 +177,7 @@ def scan_text_csv(spark: SparkSession, path: str, usecols: Sequence[str] | None
     return df.select(*[F.col(f"_p{i}").alias(n) for i, n in keep])
 
 
-def read_text_vintage(spark: SparkSession, path: str, extension: str) -> DataFrame:
+def read_text_vintage(spark: SparkSession, path: str, extension: str, multiline: bool = True) -> DataFrame:
     """Read one vintage file as all-text columns, keeping its raw header names
     and adding ``_row``: the position inside the file (part file, split start,
     row), a total order for keep-first rules."""
@@ -187,7 +189,7 @@ def read_text_vintage(spark: SparkSession, path: str, extension: str) -> DataFra
         raw = df.select("*", row.alias("_row"))
     elif extension == ".csv":
         names = csv_header(spark, path)
-        df = scan_text_csv(spark, path, positional=True, names=names)
+        df = scan_text_csv(spark, path, positional=True, names=names, multiline=multiline)
         # splits of one file in start-offset order; rows in a split in read order
         row = F.struct(F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_block_start").alias("b"),
                        F.monotonically_increasing_id().alias("r"))

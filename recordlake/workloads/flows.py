@@ -112,7 +112,7 @@ def stage_lca(spark, d):
     write_csv(v1, f"{root}/1996/LCA_FY1996.csv")
     write_csv(v2, f"{root}/1998/LCA_FY1998.csv")
     write_parquet(v3, f"{root}/2001/LCA_Disclosure_Data_FY2001.parquet")
-    write_csv(v3.limit(10), f"{root}/2001/LCA_Worksites_FY2001.csv")
+    write_csv(v3, f"{root}/2001/LCA_Worksites_FY2001.csv")
     return root
 
 
@@ -400,8 +400,8 @@ def stage_pw(spark, d):
     write_parquet(t2025, f"{root}/2025/PW_Disclosure_Data_FY2025.parquet")
     write_parquet(t2015, f"{root}/2015/PW_FY2015.parquet")
     write_parquet(t2019, f"{root}/2019/PW_Disclosure_Data_FY2019_new_form.parquet")
-    write_parquet(t2019.limit(3), f"{root}/2019/PW_Disclosure_Data_FY2019.parquet")
-    write_parquet(t2025.limit(3), f"{root}/misc/notes.parquet")
+    write_parquet(t2019, f"{root}/2019/PW_Disclosure_Data_FY2019.parquet")
+    write_parquet(t2025, f"{root}/misc/notes.parquet")
     mapping = spark.createDataFrame(PW_MAPPING, "ORIGINAL string, FINAL_2025 string")
     write_csv(mapping.coalesce(1), f"{root}/mapping.csv")
     return root

@@ -277,7 +277,7 @@ def q_load_manifest_with_backup(spark, d):
     prev = hconf.get(key)
     hconf.set(key, "false")  # a writer that never marked its version complete
     try:
-        save_manifest(v.limit(1), root, 3)
+        save_manifest(v, root, 3)
     finally:
         hconf.set(key, prev if prev is not None else "true")
     df, version = load_manifest(spark, root, MANIFEST_V1_SCHEMA)
@@ -295,7 +295,7 @@ SELECT url, program, year, sha256, 2 AS version FROM obs
 def q_create_manifest_table(spark, d):
     name = f"manifest_{uuid.uuid4().hex[:10]}"
     create_manifest_table(spark, name, staging_path(spark, "table"))
-    dl = _downloads(spark, d).where(F.col("value") >= 250)
+    dl = _downloads(spark, d)
     dl.createOrReplaceTempView(f"{name}_src")
     spark.sql(f"""INSERT INTO {name} (source_id, file_type, program, period, url, filename, saved_path, bytes, sha256,
                   etag, last_modified, error_message, downloaded_at)
@@ -307,7 +307,7 @@ def q_create_manifest_table(spark, d):
 
 SQL_CREATE_TABLE = f"""
 WITH {_sql_downloads()}
-SELECT period, url, saved_path, 1 AS version, 'active' AS status, true AS has_created_at FROM dl WHERE value >= 250
+SELECT period, url, saved_path, 1 AS version, 'active' AS status, true AS has_created_at FROM dl
 """
 
 QUERIES = {

@@ -22,10 +22,10 @@ def stage_orders_vintages(spark, d, root):
     plus a companion file that must be skipped."""
     (y1, v1), (y2, v2), (y3, v3) = orders_vintages(spark, d)
     write_csv(v1, f"{root}/{y1}/LCA_Disclosure_FY{y1}.csv")
-    write_csv(v1.limit(5), f"{root}/{y1}/LCA_FY{y1}_Appendix_A.csv")
+    write_csv(v1, f"{root}/{y1}/LCA_FY{y1}_Appendix_A.csv")
     write_csv(v2, f"{root}/{y2}/LCA_Disclosure_FY{y2}.csv")
     write_parquet(v3, f"{root}/{y3}/LCA_Disclosure_FY{y3}.parquet")
-    write_csv(v3.limit(3), f"{root}/{y3}/LCA_Worksites_FY{y3}.csv")
+    write_csv(v3, f"{root}/{y3}/LCA_Worksites_FY{y3}.csv")
     return root
 
 
@@ -64,34 +64,35 @@ SELECT CAST(event_id AS VARCHAR) AS event_id,
 FROM t
 """
 
-# S6 listing: year folders with several candidate files
+# S6 listing: one candidate file per nation row, about three per year folder
 NAMES = ["PW_Disclosure_Data_FY{y}", "PW_Disclosure_Data_FY{y}_new_form", "PW_Disclosure_Data_FY{y}_old",
          "pw_{y}_summary", "PW_Disclosure_Data_FY{y}_Revised_Form", "PW_{y}"]
 EXTS = [".parquet", ".xlsx", ".csv"]
 
 
 def _listing(spark, d):
-    p = table(spark, d, "part")
-    y = (2010 + F.col("p_partkey") % 16).cast("string")
-    name = F.replace(F.element_at(F.array(*[F.lit(n) for n in NAMES]), (F.col("p_size") % len(NAMES) + 1).cast("int")),
+    n = table(spark, d, "nation")
+    y = (2010 + F.col("n_nationkey") % 9).cast("string")
+    name = F.replace(F.element_at(F.array(*[F.lit(x) for x in NAMES]),
+                                  ((F.floor(F.col("n_nationkey") / 9) + F.col("n_regionkey")) % len(NAMES) + 1).cast("int")),
                      F.lit("{y}"), y)
-    ext = F.element_at(F.array(*[F.lit(e) for e in EXTS]), (F.col("p_partkey") % 7 % 3 + 1).cast("int"))
-    files = p.where(F.col("p_partkey") % 9 < 2).select(y.alias("year"), F.concat(name, ext).alias("file_name"),
-                                                       ext.alias("extension")).distinct()
-    return files
+    ext = F.element_at(F.array(*[F.lit(e) for e in EXTS]),
+                       ((F.col("n_nationkey") + F.col("n_regionkey")) % len(EXTS) + 1).cast("int"))
+    return n.select(y.alias("year"), F.concat(name, ext).alias("file_name"), ext.alias("extension")).distinct()
 
 
 def q_pick_main_file(spark, d):
     return pick_main_file(_listing(spark, d)).select("year", "file_name", "extension")
 
 
+_Y = "CAST(2010 + n_nationkey % 9 AS VARCHAR)"
+_EXT = S.pick(f"(n_nationkey + n_regionkey) % {len(EXTS)}", EXTS)
 SQL_PICK = f"""
 WITH f AS (
-  SELECT DISTINCT CAST(2010 + p_partkey % 16 AS VARCHAR) AS year,
-         replace({S.pick(f'p_size % {len(NAMES)}', NAMES)}, '{{y}}', CAST(2010 + p_partkey % 16 AS VARCHAR))
-           || {S.pick('p_partkey % 7 % 3', EXTS)} AS file_name,
-         {S.pick('p_partkey % 7 % 3', EXTS)} AS extension
-  FROM part WHERE p_partkey % 9 < 2),
+  SELECT DISTINCT {_Y} AS year,
+         replace({S.pick(f'(floor(n_nationkey / 9) + n_regionkey) % {len(NAMES)}', NAMES)}, '{{y}}', {_Y}) || {_EXT} AS file_name,
+         {_EXT} AS extension
+  FROM nation),
 e AS (SELECT *, CASE extension WHEN '.parquet' THEN 0 WHEN '.xlsx' THEN 1 END AS ext_rank FROM f),
 c AS (SELECT *, count(*) OVER (PARTITION BY year, ext_rank) AS n_ext,
              sum(CASE WHEN contains(file_name, 'Disclosure_Data') THEN 1 ELSE 0 END) OVER (PARTITION BY year, ext_rank) AS n_marker
