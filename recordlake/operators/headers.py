@@ -208,6 +208,23 @@ def contested_columns(slots: list[Slot], resolve) -> list[int]:
     return sorted(out)
 
 
+def resolve_names(aliases=lca_cfg.ALIASES, *, repeat_group_prefixes=lca_cfg.REPEAT_GROUP_PREFIXES,
+                  second_site_prefixes=lca_cfg.SECOND_SITE_PREFIXES, alias_policy: str = "first_wins"):
+    """The header rules after H3 (H4 -> H5 -> H6 -> H7/H8 -> H2) as one function on slots."""
+    def resolve(ss):
+        ss = drop_blank_headers(ss)
+        if repeat_group_prefixes:
+            ss = drop_repeat_group_columns(ss, repeat_group_prefixes)
+        if second_site_prefixes:
+            ss = drop_second_site_columns(ss, second_site_prefixes)
+        if alias_policy == "first_wins":
+            ss = alias_first_wins(ss, aliases)
+        else:
+            ss = alias_sequential_move(ss, aliases, policy=alias_policy)
+        return drop_duplicate_headers(ss)
+    return resolve
+
+
 def harmonize_vintage(df: DataFrame, aliases: Mapping[str, str] = lca_cfg.ALIASES, *,
                       normalize: bool = True, drop_all_null: bool = True,
                       repeat_group_prefixes=lca_cfg.REPEAT_GROUP_PREFIXES,
@@ -225,17 +242,8 @@ def harmonize_vintage(df: DataFrame, aliases: Mapping[str, str] = lca_cfg.ALIASE
     if normalize:
         slots = normalize_headers(slots)
     slots = drop_duplicate_headers(slots)
-    def resolve(ss):
-        ss = drop_blank_headers(ss)
-        if repeat_group_prefixes:
-            ss = drop_repeat_group_columns(ss, repeat_group_prefixes)
-        if second_site_prefixes:
-            ss = drop_second_site_columns(ss, second_site_prefixes)
-        if alias_policy == "first_wins":
-            ss = alias_first_wins(ss, aliases)
-        else:
-            ss = alias_sequential_move(ss, aliases, policy=alias_policy)
-        return drop_duplicate_headers(ss)
+    resolve = resolve_names(aliases, repeat_group_prefixes=repeat_group_prefixes,
+                            second_site_prefixes=second_site_prefixes, alias_policy=alias_policy)
 
     if drop_all_null:
         # H3 can only change the result where several columns compete for one

@@ -2,19 +2,28 @@ from __future__ import annotations
 
 import logging
 import warnings
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recordlake.sources.files import land_text_parquet, read_text_vintage, source_fallback, vintage_scan
+from recordlake.operators.align import align_to_schema
+from recordlake.operators.headers import (
+    Slot, contested_columns, drop_all_null_columns, drop_duplicate_headers, normalize_headers, positional_names,
+    resolve_names, select_slots, slots_of,
+)
+from recordlake.sources.files import (
+    csv_header, land_text_parquet, read_text_vintage, scan_text_csv, source_fallback, vintage_scan,
+)
 
 log = logging.getLogger("recordlake")
 
 
 def main_files(spark: SparkSession, root: str, companion_filter=None, land: bool = True) -> list:
-    """List ``root/<year>/<file>``, land CSV files as text Parquet (S4, existing
-    siblings kept), drop companions, keep one format per (year, stem) (S7), and
-    return the file rows in (year, name) order. Metadata only."""
+    """List ``root/<year>/<file>``, optionally land CSV files as text Parquet
+    (S4, existing siblings kept), drop companions, keep one format per
+    (year, stem) (S7), and return the file rows in (year, name) order.
+    Metadata only."""
     if land:
         land_text_parquet(spark, vintage_scan(spark, root), skip_existing=True)
     listing = vintage_scan(spark, root)
@@ -35,7 +44,114 @@ def read_vintage(spark: SparkSession, f) -> DataFrame:
     return read_text_vintage(spark, f["path"], f["extension"])
 
 
-def order_key(file_ordinal: int) -> F.Column:
+def order_key(file_ordinal: int) -> Column:
     """Load-order key: (file ordinal in year/name order, part file, row)."""
     return F.struct(F.lit(file_ordinal).alias("i"), F.col("_row.f").alias("f"), F.col("_row.b").alias("b"),
                     F.col("_row.r").alias("r"))
+
+
+def _raw_header(spark: SparkSession, f) -> tuple:
+    if f["extension"] == ".parquet":
+        return tuple(spark.read.parquet(f["path"]).columns)  # footer only
+    return tuple(csv_header(spark, f["path"]))
+
+
+def _encoded(spark: SparkSession, path: str) -> str:
+    """A path as file scans report it (URI-encoded)."""
+    return spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path).toUri().toString()
+
+
+MAX_FILES_BROADCAST = 200_000
+
+
+def _attach_entries(spark: SparkSession, pos: DataFrame, members: Sequence) -> DataFrame:
+    first = members[0]
+    root = first["path"].rstrip("/")[: -len(f"/{first['year']}/{first['file_name']}")]
+    root_enc = _encoded(spark, root).rstrip("/")
+    rows = []
+    for m in members:
+        rel = _encoded(spark, m["path"].rstrip("/"))[len(root_enc) + 1:]
+        ey, en = rel.split("/", 1)
+        rows.append((ey, en, m["year"], m["file_name"], int(m["_i"])))
+    entries = spark.createDataFrame(rows, "_ey string, _en string, _year string, _file string, _i int")
+    if len(rows) <= MAX_FILES_BROADCAST:  # one row per file: a known, small bound
+        entries = F.broadcast(entries)
+    pat = r"^\Q" + root_enc + r"\E/([^/]+)/([^/]+)"
+    pos = pos.withColumn("_ey", F.regexp_extract("_fp", pat, 1)).withColumn("_en", F.regexp_extract("_fp", pat, 2))
+    return pos.join(entries, ["_ey", "_en"], "inner").drop("_ey", "_en")
+
+
+def harmonized_union(spark: SparkSession, files: Sequence, schema: Sequence[str], resolve: Callable,
+                     per_file: Callable[[Column, Column], dict] | None = None,
+                     normalize: bool = True, drop_all_null: bool = True) -> DataFrame:
+    """Read vintage files grouped by identical raw header lists (one scan per
+    group, not per file), resolve headers once per group, and align all groups
+    to ``schema``.
+
+    Every row gets ``year`` (its folder name, from ``_metadata.file_path``) and
+    ``_ord`` = (file ordinal in ``files`` order, part file, split, row), the
+    load order. ``resolve`` maps slots to output slots (the header
+    rules after H3); the all-null test (H3) runs as one grouped aggregate per
+    header group, only on contested columns. ``per_file`` returns extra
+    columns computed from (year, file name) columns, e.g. a form type.
+    """
+    groups: dict = {}
+    for i, f in enumerate(files):
+        row = dict(f.asDict(), _i=i)
+        groups.setdefault((f["extension"], _raw_header(spark, f)), []).append(row)
+    frames = []
+    for (ext, header), members in groups.items():
+        names = list(header)
+        paths = [m["path"] for m in members]
+        if ext == ".parquet":
+            raw = spark.read.parquet(*paths)
+            raw = raw.select("*", F.col("_metadata.file_path").alias("_fp"),
+                             F.struct(F.col("_metadata.file_path").alias("f"), F.lit(0).cast("long").alias("b"),
+                                      F.col("_metadata.row_index").alias("r")).alias("_row"))
+            pos = raw.toDF(*positional_names(len(names)), "_fp", "_row")
+            pos = pos.select(*[F.col(c).cast("string").alias(c) for c in positional_names(len(names))], "_fp", "_row")
+        else:
+            raw = scan_text_csv(spark, paths, positional=True, names=names)
+            pos = raw.select("*", F.col("_metadata.file_path").alias("_fp"),
+                             F.struct(F.col("_metadata.file_path").alias("f"),
+                                      F.col("_metadata.file_block_start").alias("b"),
+                                      F.monotonically_increasing_id().alias("r")).alias("_row"))
+        # the listing entry (year folder, file) of every part file: file paths in
+        # the scan metadata are URI-encoded, so the group's files are matched on
+        # their encoded (folder, name) segments; the table has one row per file
+        pos = _attach_entries(spark, pos, members)
+        slots = slots_of(names)
+        if normalize:
+            slots = normalize_headers(slots)
+        slots = drop_duplicate_headers(slots)
+        subsets = [(None, slots)]
+        if drop_all_null:
+            suspects = contested_columns(slots, resolve)
+            if suspects:
+                counts = (pos.groupBy("_i")
+                          .agg(*[F.count(F.col(f"_p{i}")).alias(f"_p{i}") for i in suspects]).collect())
+                by_result: dict = {}
+                for r in counts:  # one row per file: metadata-sized
+                    keep = frozenset(i for i in suspects if r[f"_p{i}"] > 0)
+                    by_result.setdefault(keep, []).append(r["_i"])
+                others = set(range(len(names))) - set(suspects)
+                subsets = [(entries, drop_all_null_columns(slots, others | keep)) for keep, entries in by_result.items()]
+        for entries, ss in subsets:
+            part = pos
+            if entries is not None and len(subsets) > 1:
+                part = pos.where(F.col("_i").isin(*entries))
+            out = resolve(ss)
+            h = select_slots(part, out, [F.col("_year"), F.col("_file"), F.col("_i"), F.col("_row")])
+            h = h.withColumn("year", F.col("_year"))
+            if per_file:
+                for k, v in per_file(F.col("_year"), F.col("_file")).items():
+                    h = h.withColumn(k, v)
+            h = h.withColumn("_ord", F.struct(F.col("_i").alias("i"), F.col("_row.f").alias("f"),
+                                              F.col("_row.b").alias("b"), F.col("_row.r").alias("r")))
+            frames.append(align_to_schema(h, schema, keep=["_ord"]))
+    if not frames:
+        raise FileNotFoundError("no readable vintage files")
+    out = frames[0]
+    for fr in frames[1:]:
+        out = out.unionByName(fr)
+    return out

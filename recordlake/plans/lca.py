@@ -22,7 +22,8 @@ from recordlake.operators.headers import harmonize_vintage
 from recordlake.operators.profile import (
     date_range, frequencies_by_key_order, null_percentages, run_counts, value_frequencies,
 )
-from recordlake.plans._common import main_files, order_key, read_vintage
+from recordlake.operators.headers import resolve_names
+from recordlake.plans._common import harmonized_union, main_files
 from recordlake.sources.files import filter_companion_files
 from recordlake.sources.sinks import write_csv
 
@@ -32,7 +33,8 @@ def compile_lca(spark: SparkSession, root: str, *, schema: Sequence[str] = cfg.C
                 null_key: str = "literal", out: str | None = None) -> DataFrame:
     """S1 -> S5 -> S7 -> H1..H7 -> H12 -> H11 -> U2 -> U1 -> D2 (-> K1).
 
-    Every vintage becomes one ``select``; the union is one lazy plan. Dedupe
+    Files with identical raw headers are read as one scan and resolved once
+    (one ``select`` per header group); the union is one lazy plan. Dedupe
     keeps a row iff its case number occurs in no earlier ``batch_rows`` batch of
     the load order (year, file, row), as the chunked source did.
     ``csv_hop_nulls`` applies the reader null tokens that the source's CSV
@@ -41,12 +43,7 @@ def compile_lca(spark: SparkSession, root: str, *, schema: Sequence[str] = cfg.C
     files = main_files(spark, root, filter_companion_files, land=False)
     if not files:
         raise FileNotFoundError(f"no vintage files under {root}")
-    frames = []
-    for i, f in enumerate(files):
-        h = harmonize_vintage(read_vintage(spark, f), aliases, carry=1)
-        h = stamp_year(h, f["year"]).withColumn("_ord", order_key(i))
-        frames.append(align_to_schema(h, schema, keep=["_ord"]))
-    u = union_vintages(frames)
+    u = harmonized_union(spark, files, schema, resolve_names(aliases))
     u = u.withColumn("case_number", normalize_key_strip_upper(F.col("case_number"), null_key=null_key))
     if csv_hop_nulls:
         u = u.select(*[null_tokens(F.col(c)).alias(c) for c in schema], "_ord")

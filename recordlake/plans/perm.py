@@ -16,7 +16,8 @@ from recordlake.operators.align import align_to_schema, stamp_year, union_vintag
 from recordlake.operators.dedupe import dedupe_keep_first, distinct_rows, normalize_key_upper
 from recordlake.operators.headers import harmonize_vintage
 from recordlake.operators.profile import date_range, run_counts, value_frequencies
-from recordlake.plans._common import main_files, order_key, read_vintage
+from recordlake.operators.headers import detect_form_type, resolve_names
+from recordlake.plans._common import harmonized_union, main_files
 from recordlake.sources.sinks import write_csv
 
 
@@ -46,13 +47,11 @@ def compile_perm(spark: SparkSession, root: str, schema: Sequence[str], *, alias
     files = main_files(spark, root, land=False)
     if not files:
         raise FileNotFoundError(f"no vintage files under {root}")
-    frames = []
-    for i, f in enumerate(files):
-        h = harmonize_vintage(read_vintage(spark, f), aliases, repeat_group_prefixes=(), second_site_prefixes=(),
-                              alias_policy=alias_policy, carry=1)
-        h = stamp_year(h, f["year"]).withColumn("form_type", F.lit(form_type_of(f["file_name"], f["year"])).cast("string"))
-        frames.append(align_to_schema(h.withColumn("_ord", order_key(i)), schema, keep=["_ord"]))
-    u = union_vintages(frames)
+    for f in files:
+        form_type_of(f["file_name"], f["year"])  # warns about year folders that are not numbers (T14)
+    resolve = resolve_names(aliases, repeat_group_prefixes=(), second_site_prefixes=(), alias_policy=alias_policy)
+    u = harmonized_union(spark, files, schema, resolve,
+                         per_file=lambda year, name: {"form_type": detect_form_type(name, year)})
     if "case_number" in schema:
         u = u.withColumn("case_number", normalize_key_upper(F.col("case_number"), null_key=null_key))
         u = dedupe_keep_first(u, "case_number", [F.col("_ord")], null_key="keep" if null_key == "keep" else "group")

@@ -153,7 +153,7 @@ def csv_header(spark: SparkSession, path: str) -> list[str]:
     return ["" if v is None else v for v in first[0]]
 
 
-def scan_text_csv(spark: SparkSession, path: str, usecols: Sequence[str] | None = None,
+def scan_text_csv(spark: SparkSession, path, usecols: Sequence[str] | None = None,
                   tokens: Sequence[str] | None = PANDAS_DEFAULT_NA_TOKENS, positional: bool = False,
                   names: Sequence[str] | None = None, multiline: bool = True) -> DataFrame:
     """S3: read a CSV as text with the reader-level null tokens applied.
@@ -165,7 +165,7 @@ def scan_text_csv(spark: SparkSession, path: str, usecols: Sequence[str] | None
     ``multiline=True`` allows quoted values with line breaks, which makes each
     file one task; pass ``False`` for files without them to split large files.
     """
-    names = list(names) if names is not None else csv_header(spark, path)
+    names = list(names) if names is not None else csv_header(spark, path if isinstance(path, str) else path[0])
     schema = T.StructType([T.StructField(n, T.StringType()) for n in positional_names(len(names))])
     df = (spark.read.option("header", True).option("enforceSchema", True).option("multiLine", multiline)
           .option("escape", '"').schema(schema).csv(path))

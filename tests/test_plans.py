@@ -106,3 +106,17 @@ def test_refresh_end_to_end(spark, tmp_root):
     second = refresh(spark, pages, obs, root, run_time="t2")
     assert {r["status"] for r in second["statuses"].collect()} == {"skipped_etag"}
     assert second["manifest_version"] == 2
+
+
+def test_grouped_vintages_share_one_scan(spark, tmp_root):
+    root = f"{tmp_root}/LCA Program"
+    # two quarterly files with the same headers: in Q1 the first status column is
+    # empty (so the second wins), in Q2 it is filled (so it wins)
+    write(f"{root}/2020/LCA_FY2020_Q1.csv", "CASE_NO,STATUS,CASE_STATUS\nq1-a,,Certified\nq1-b,,Denied\n")
+    write(f"{root}/2020/LCA_FY2020_Q2.csv", "CASE_NO,STATUS,CASE_STATUS\nq2-a,Withdrawn,Certified\nq1-a,Denied,x\n")
+    write(f"{root}/2021/LCA FY2021.csv", "CASE_NUMBER,CASE_STATUS\nq1-b,Certified\nz,Denied\n")
+    out = compile_lca(spark, root, batch_rows=2)
+    got = {r["case_number"]: (r["case_status"], r["year"]) for r in out.collect()}
+    # batches (2 rows each, load order Q1, Q2, 2021): [q1-a q1-b] [q2-a q1-a] [q1-b z]
+    assert got == {"Q1-A": ("Certified", "2020"), "Q1-B": ("Denied", "2020"), "Q2-A": ("Withdrawn", "2020"),
+                   "Z": ("Denied", "2021")}
