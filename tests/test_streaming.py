@@ -18,3 +18,23 @@ def test_stream_folds_observations(spark, tmp_root):
     q.awaitTermination(120)
     m, v = load_manifest(spark, f"{tmp_root}/manifest")
     assert v == 1 and [r["url"] for r in m.collect()] == ["u1"]
+
+
+def test_streaming_statuses_against_static_manifest(spark, tmp_root):
+    from recordlake.operators.manifest import MANIFEST_V1_SCHEMA
+    from recordlake.streaming.refresh_stream import statuses_stream
+    src = f"{tmp_root}/obs2"
+    os.makedirs(src)
+    rows = [{"url": "u1", "program": "LCA Program", "year": "2024", "filename": "a.xlsx", "fetch_ok": True,
+             "etag": "e1", "last_modified": "l1", "sha256": "h1"},
+            {"url": "u2", "program": "PERM Program", "year": "2024", "filename": "b.xlsx", "fetch_ok": False,
+             "etag": "e9", "last_modified": "l9", "sha256": None}]
+    with open(f"{src}/b.json", "w") as f:
+        f.write("\n".join(json.dumps(r) for r in rows))
+    man = spark.createDataFrame([("u1", "LCA Program", "2024", "a.xlsx", "p", "h1", "e1", "l1", "t", None)],
+                                MANIFEST_V1_SCHEMA)
+    q = (statuses_stream(spark, src, man).writeStream.format("memory").queryName("statuses_test")
+         .trigger(availableNow=True).start())
+    q.awaitTermination(120)
+    got = {r["url"]: r["status"] for r in spark.sql("SELECT * FROM statuses_test").collect()}
+    assert got == {"u1": "skipped_etag", "u2": "failed"}
