@@ -3,3 +3,21 @@ from pyspark.sql import DataFrame, SparkSession
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+_STAGED: dict = {}
+
+
+def staged(spark: SparkSession, sf_dir: str, name: str, build) -> str:
+    """Write derived input files once per session and data folder, then reuse
+    them (they are deterministic functions of the driver tables)."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), name)
+    root = _STAGED.get(key)
+    if root is not None:
+        jvm = spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(root)
+        if p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p):
+            return root
+    root = build()
+    _STAGED[key] = root
+    return root

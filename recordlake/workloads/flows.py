@@ -16,7 +16,7 @@ from recordlake.plans import clean_lca, clean_perm, compile_lca, compile_perm, c
 from recordlake.session import staging_path
 from recordlake.sources.sinks import write_csv, write_parquet
 from recordlake.workloads import _sql as S
-from recordlake.workloads._tables import table
+from recordlake.workloads._tables import staged, table
 from recordlake.workloads.discovery import SQL_CANDIDATES, listing_pages
 from recordlake.workloads.harmonise import CANON, orders_vintages
 from recordlake.workloads.standardise import STATUS_RAW, UNIT_RAW, VISA_RAW, YESNO_RAW
@@ -107,6 +107,10 @@ def lca_vintages(spark, d):
 
 
 def stage_lca(spark, d):
+    return staged(spark, d, "lca", lambda: _stage_lca(spark, d))
+
+
+def _stage_lca(spark, d):
     root = staging_path(spark, "lca")
     v1, v2, v3 = lca_vintages(spark, d)
     write_csv(v1, f"{root}/1996/LCA_FY1996.csv")
@@ -298,6 +302,10 @@ def perm_vintages(spark, d):
 
 
 def stage_perm(spark, d):
+    return staged(spark, d, "perm", lambda: _stage_perm(spark, d))
+
+
+def _stage_perm(spark, d):
     root = staging_path(spark, "perm")
     a, b, c = perm_vintages(spark, d)
     write_parquet(a, f"{root}/2019/PERM_Disclosure_Data_FY2019.parquet")
@@ -382,6 +390,10 @@ PW_MAPPING = [("CASE_NO", "CASE_NUMBER"), ("STATUS", "CASE_STATUS"), ("BUSINESS_
 
 
 def stage_pw(spark, d):
+    return staged(spark, d, "pw", lambda: _stage_pw(spark, d))
+
+
+def _stage_pw(spark, d):
     root = staging_path(spark, "pw")
     c = table(spark, d, "customer")
     key = F.concat(F.lit("P-"), F.col("c_custkey").cast("string"))
