@@ -147,8 +147,9 @@ def manifest_upsert(manifest: DataFrame, statuses: DataFrame, run_time: str, dat
 
 # ------------------------------------------------------------ M4
 
-def _version_dirs(spark: SparkSession, root: str) -> list[tuple[int, str]]:
-    """Committed version directories ``root/version=N`` (with ``_SUCCESS``), newest first."""
+def _version_dirs(spark: SparkSession, root: str, complete_only: bool = True) -> list[tuple[int, str]]:
+    """Version directories ``root/version=N``, newest first; by default only
+    committed ones (with ``_SUCCESS``)."""
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     path = jvm.org.apache.hadoop.fs.Path(root)
@@ -159,7 +160,7 @@ def _version_dirs(spark: SparkSession, root: str) -> list[tuple[int, str]]:
     for st in fs.listStatus(path):
         name = st.getPath().getName()
         if st.isDirectory() and name.startswith("version=") and name[8:].isdigit():
-            if fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
+            if not complete_only or fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
                 out.append((int(name[8:]), st.getPath().toString()))
     return sorted(out, reverse=True)
 
@@ -179,6 +180,13 @@ def load_manifest(spark: SparkSession, root: str, schema: T.StructType = MANIFES
     return spark.createDataFrame([], schema), 0
 
 
+def next_version(spark: SparkSession, root: str) -> int:
+    """Number for a new version: after every existing folder, complete or not,
+    so a retry never collides with what a failed run left behind."""
+    found = _version_dirs(spark, root, complete_only=False)
+    return (found[0][0] + 1) if found else 1
+
+
 def save_manifest(df: DataFrame, root: str, version: int) -> str:
     """Write a new manifest version directory (never the one being read)."""
     path = f"{root.rstrip('/')}/version={version}"

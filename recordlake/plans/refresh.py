@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from recordlake.operators.discover import discover_candidates
 from recordlake.operators.manifest import (
-    MANIFEST_V1_SCHEMA, change_status, load_manifest, manifest_upsert, run_summary, save_manifest, utc_now_iso,
+    MANIFEST_V1_SCHEMA, change_status, load_manifest, manifest_upsert, next_version, run_summary, save_manifest,
+    utc_now_iso,
 )
 from recordlake.operators.profile import outcome_counts
 from recordlake.session import shared_dir
@@ -37,10 +38,12 @@ def refresh(spark: SparkSession, pages: DataFrame, observations: DataFrame, mani
     shared_dir(spark)
     statuses = statuses.checkpoint(eager=True)
     new_manifest = manifest_upsert(manifest, statuses, run_time, data_root=data_root)
+    new_version = next_version(spark, manifest_root)
     if save:
-        save_manifest(new_manifest, manifest_root, version + 1)
+        save_manifest(new_manifest, manifest_root, new_version)
     summary = run_summary(statuses, run_time)
     if summary_out:
         write_json_summary(summary, summary_out)
     return {"candidates": cands, "statuses": statuses, "outcomes": outcome_counts(statuses),
-            "summary": summary, "manifest": new_manifest, "manifest_version": version + 1}
+            "summary": summary, "manifest": new_manifest, "manifest_version": new_version,
+            "previous_version": version}

@@ -13,7 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recordlake.operators.manifest import (
-    MANIFEST_V1_SCHEMA, OBSERVATION_SCHEMA, change_status, load_manifest, manifest_upsert, save_manifest, utc_now_iso,
+    MANIFEST_V1_SCHEMA, OBSERVATION_SCHEMA, change_status, load_manifest, manifest_upsert, next_version, save_manifest,
+    utc_now_iso,
 )
 
 
@@ -22,6 +23,9 @@ def start_manifest_stream(spark: SparkSession, observations_dir: str, manifest_r
     """Start the stream; returns the ``StreamingQuery`` (``awaitTermination()`` to wait)."""
     stream = spark.readStream.schema(OBSERVATION_SCHEMA).format(fmt).load(observations_dir)
 
+    from recordlake.session import shared_dir
+    shared_dir(spark)
+
     def fold(batch: DataFrame, epoch_id: int) -> None:
         manifest, version = load_manifest(spark, manifest_root, MANIFEST_V1_SCHEMA)
         # one observation per url and batch (repeats within a batch are the same fetch)
@@ -29,7 +33,7 @@ def start_manifest_stream(spark: SparkSession, observations_dir: str, manifest_r
         statuses = change_status(obs, manifest)
         new = manifest_upsert(manifest, statuses, utc_now_iso(), data_root=data_root)
         # cut lineage from the version being read before writing the next one
-        save_manifest(new.checkpoint(eager=True), manifest_root, version + 1)
+        save_manifest(new.checkpoint(eager=True), manifest_root, next_version(spark, manifest_root))
 
     return (stream.writeStream.foreachBatch(fold).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())

@@ -7,10 +7,6 @@ from pyspark.sql import functions as F
 from recordlake.config import codes
 from recordlake.config import lca as lca_cfg
 from recordlake.config.nulls import PANDAS_DEFAULT_NA_TOKENS
-from recordlake.functions import standardize_status
-from recordlake.operators.align import align_to_schema, stamp_year, union_vintages
-from recordlake.operators.dedupe import dedupe_keep_first, normalize_key_strip_upper
-from recordlake.operators.headers import harmonize_vintage
 from recordlake.operators.manifest import save_manifest
 from recordlake.plans import clean_lca, clean_perm, compile_lca, compile_perm, compile_pw, refresh
 from recordlake.session import staging_path
@@ -18,7 +14,6 @@ from recordlake.sources.sinks import write_csv, write_parquet
 from recordlake.workloads import _sql as S
 from recordlake.workloads._tables import staged, table
 from recordlake.workloads.discovery import SQL_CANDIDATES, listing_pages
-from recordlake.workloads.harmonise import CANON, orders_vintages
 from recordlake.workloads.standardise import STATUS_RAW, UNIT_RAW, VISA_RAW, YESNO_RAW
 
 BATCH_ROWS = 2000
@@ -29,15 +24,11 @@ DATE_SHAPES = 6
 
 def flagship(spark, d):
     """Records per standardised status and fiscal year over harmonised,
-    de-duplicated vintages (H1-H12 -> U1 -> U2 -> D1 -> C2 -> P3)."""
-    frames = []
-    for i, (label, v) in enumerate(orders_vintages(spark, d)):
-        h = harmonize_vintage(v).withColumn("_ord", F.struct(F.lit(i).alias("v"), F.col("case_number").alias("k")))
-        frames.append(align_to_schema(stamp_year(h, label), CANON, keep=["_ord"]))
-    u = union_vintages(frames).withColumn("case_number", normalize_key_strip_upper(F.col("case_number")))
-    first = dedupe_keep_first(u, "case_number", [F.col("_ord")])
-    s = first.select(standardize_status("case_status").alias("status"), F.col("year").alias("fiscal_year"))
-    return s.groupBy("status", "fiscal_year").agg(F.count(F.lit(1)).alias("n_records"))
+    de-duplicated vintages: E1 (S1 -> H1..H12 -> U1 -> U2 -> D2) -> E2 (C1..C11
+    -> D3) -> P3 by (status, year)."""
+    clean, _ = clean_lca(spark, compile_lca(spark, stage_lca(spark, d), batch_rows=BATCH_ROWS))
+    return (clean.groupBy(F.col("Status").alias("status"), F.col("Fiscal Year").alias("fiscal_year"))
+            .agg(F.count(F.lit(1)).alias("n_records")))
 
 
 # ------------------------------------------------------------------ E1 / E2
@@ -512,7 +503,11 @@ QUERIES = {
     "compile_pw_unmapped_report": q_compile_pw_report,
     "refresh": q_refresh,
 }
+SQL_FLAGSHIP = f"""WITH {_sql_compile_lca()}, {_sql_clean_lca()}
+SELECT "Status" AS status, "Fiscal Year" AS fiscal_year, count(*) AS n_records FROM clean GROUP BY 1, 2"""
+
 ORACLE = {
+    "flagship_status_by_year": SQL_FLAGSHIP,
     "compile_lca": SQL_COMPILE_LCA,
     "clean_lca": SQL_CLEAN_LCA,
     "compile_perm": SQL_COMPILE_PERM,

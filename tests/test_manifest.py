@@ -71,6 +71,8 @@ def test_load_manifest_fallbacks(spark, tmp_root):
         hconf.set("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true")
     df, v = load_manifest(spark, root)
     assert v == 2
+    from recordlake.operators.manifest import next_version
+    assert next_version(spark, root) == 4  # after the incomplete folder too
 
 
 def versioned(spark, rows):
