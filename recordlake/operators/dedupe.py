@@ -63,14 +63,18 @@ def dedupe_keep_first(df: DataFrame, key: str, order: Sequence, null_key: str =
     return first if nulls is None else first.unionByName(nulls)
 
 
-def dedupe_first_batch(df: DataFrame, key: str, batch: str) -> DataFrame:
+def dedupe_first_batch(df: DataFrame, key: str, batch: str, null_key: str = "group") -> DataFrame:
     """A row survives iff its key occurs in no earlier batch; duplicates
     inside that first batch all survive. Null keys count as one key.
 
     Plan: partial-aggregated ``min(batch)`` per key, then a left-semi join on
     (key, batch) = (key, min batch). The join is keyed on the pair, so a hot key
     is spread over its batches instead of landing in one task.
+    ``null_key="keep"`` lets rows with a null key bypass the dedupe.
     """
+    if null_key == "keep":
+        nulls = df.where(F.col(key).isNull())
+        return dedupe_first_batch(df.where(F.col(key).isNotNull()), key, batch).unionByName(nulls)
     k = F.coalesce(F.col(key).cast("string"), F.lit("\u0000null"))
     keyed = df.withColumn("_dk", k)
     firsts = keyed.groupBy("_dk").agg(F.min(batch).alias("_db"))

@@ -51,7 +51,8 @@ def compile_lca(spark: SparkSession, root: str, *, schema: Sequence[str] = cfg.C
                  F.col("_ord.r").alias("_r"))
     u = global_positions(u, ["_i", "_f", "_b"], "_r")
     u = u.withColumn("_batch", batch_of(F.col("_pos"), batch_rows))
-    result = dedupe_first_batch(u, "case_number", "_batch").select(*schema)
+    result = dedupe_first_batch(u, "case_number", "_batch",
+                                null_key="keep" if null_key == "keep" else "group").select(*schema)
     if out:
         write_csv(result, out)
     return result

@@ -36,7 +36,9 @@ def compile_pw(spark: SparkSession, root: str, mapping_path: str, *, target_year
     """
     mapping = load_mapping_table(spark, mapping_path, cfg.MAPPING_SOURCE_COLUMN, cfg.MAPPING_TARGET_COLUMN)
     listing = vintage_scan(spark, root, extensions=(".parquet", ".xlsx", ".csv"))
-    mains = {r["year"]: r for r in pick_main_file(listing, extension_order=(".parquet", ".xlsx", ".csv")).collect()}
+    # Parquet first, as in the source; a CSV sibling before a spreadsheet because
+    # spreadsheets have no Spark reader here
+    mains = {r["year"]: r for r in pick_main_file(listing, extension_order=(".parquet", ".csv", ".xlsx")).collect()}
     tgt = mains.get(str(target_year))
     if tgt is None:
         raise FileNotFoundError(f"no main data file for the target year {target_year}")

@@ -45,6 +45,11 @@ def test_first_batch_semantics(spark):
     df = spark.createDataFrame(rows, "pos long, k string").withColumn("batch", batch_of(F.col("pos"), 3))
     kept = sorted(r["pos"] for r in dedupe_first_batch(df, "k", "batch").collect())
     assert kept == [0, 1, 2, 4, 5, 7, 8]
+    df2 = df.withColumn("k", F.when(F.col("pos") == 2, F.lit(None)).otherwise(F.col("k")))
+    kept = sorted(r["pos"] for r in dedupe_first_batch(df2, "k", "batch").collect())
+    assert kept == [0, 1, 2, 4, 5, 6]  # null keys form one key: 7, 8 are in a later batch than 2
+    kept = sorted(r["pos"] for r in dedupe_first_batch(df2, "k", "batch", null_key="keep").collect())
+    assert kept == [0, 1, 2, 4, 5, 6, 7, 8]
 
 
 def test_global_positions(spark):
@@ -64,3 +69,19 @@ def test_distinct_and_priority_and_anti(spark):
     new = spark.createDataFrame([(1,), (2,), (3,)], "k int")
     seen = spark.createDataFrame([(2,)], "k int")
     assert sorted(r[0] for r in anti_join_seen(new, seen, "k").collect()) == [1, 3]
+
+
+def test_first_batch_join_is_keyed_on_key_and_batch(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        hot = F.when(F.col("id") % 3 == 0, F.lit("HOT")).otherwise(F.col("id").cast("string"))
+        df = spark.range(20000).select(hot.alias("k"), F.col("id").alias("pos"))
+        out = dedupe_first_batch(df.withColumn("b", batch_of(F.col("pos"), 1000)), "k", "b")
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        import re
+        flat = " ".join(re.sub(r"#\d+L?", "", plan).split())
+        assert re.search(r"SortMergeJoin \[\w+, b\], \[_dk, _db\], LeftSemi", flat), flat
+        # the hot key keeps its first batch (334 rows); every other key is unique
+        assert out.count() == 334 + (20000 - 6667)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

@@ -110,6 +110,14 @@ def test_versions_failures_and_plan(spark):
     assert safe["u"][0] == "skip" and safe["w"] == ("download", "file missing from DBFS") and safe["z"][0] == "download"
 
 
+def test_save_versions(spark, tmp_root):
+    from recordlake.operators.manifest import save_versions
+    t = versioned(spark, [v_row("P", "u", 1, "active", "/p1", 1)])
+    _, v1 = save_versions(t, f"{tmp_root}/v")
+    _, v2 = save_versions(t, f"{tmp_root}/v")
+    assert (v1, v2) == (1, 2)
+
+
 def test_not_null_check(spark):
     t = versioned(spark, [v_row("P", "u", 1, "active", "/p1", 1)])
     assert check_not_null(t).count() == 1
