@@ -67,7 +67,7 @@ SQL_PAGE_LINKS = f"""
 WITH a AS (
   SELECT page_id, url AS page_url,
          unnest(regexp_extract_all({_sql_clean('html')}, {S.q(ANCHOR_START_PATTERN)}, 1)) AS attrs,
-         generate_subscripts(regexp_extract_all({_sql_clean('html')}, {S.q(ANCHOR_START_PATTERN)}, 1), 1) - 1 AS pos
+         CAST(generate_subscripts(regexp_extract_all({_sql_clean('html')}, {S.q(ANCHOR_START_PATTERN)}, 1), 1) - 1 AS INTEGER) AS pos
   FROM pages),
 h AS (SELECT page_id, page_url, pos, {_sql_href('attrs')} AS href FROM a)
 SELECT page_id, pos, href, regexp_extract(href, '([^/]*)$', 1) AS filename, {S.file_ext_ok('href')} AS is_file,
@@ -85,17 +85,17 @@ def q_extract_table_links(spark, d):
 SQL_TABLE_LINKS = f"""
 WITH lp AS ({_sql_listing_pages()}),
 t AS (SELECT page_id, unnest(regexp_extract_all({_sql_clean('html')}, {S.q(TABLE_PATTERN)}, 0)) AS tbl,
-             generate_subscripts(regexp_extract_all({_sql_clean('html')}, {S.q(TABLE_PATTERN)}, 0), 1) - 1 AS table_pos
+             CAST(generate_subscripts(regexp_extract_all({_sql_clean('html')}, {S.q(TABLE_PATTERN)}, 0), 1) - 1 AS INTEGER) AS table_pos
       FROM lp),
 r AS (SELECT page_id, table_pos, unnest(regexp_extract_all(tbl, {S.q(ROW_PATTERN)}, 1)) AS row,
-             generate_subscripts(regexp_extract_all(tbl, {S.q(ROW_PATTERN)}, 1), 1) - 1 AS row_pos FROM t),
+             CAST(generate_subscripts(regexp_extract_all(tbl, {S.q(ROW_PATTERN)}, 1), 1) - 1 AS INTEGER) AS row_pos FROM t),
 c AS (SELECT page_id, table_pos, row_pos, regexp_extract_all(row, {S.q(CELL_PATTERN)}, 1) AS cells FROM r),
 c2 AS (SELECT * FROM c WHERE len(cells) >= 2),
 an AS (SELECT page_id, table_pos, row_pos, {S.html_text('cells[1]')} AS context,
               flatten(list_transform(cells[2:], lambda x: regexp_extract_all(x, {S.q(ANCHOR_START_PATTERN)}, 1))) AS anchors
        FROM c2),
 l AS (SELECT page_id, table_pos, row_pos, context, unnest(anchors) AS attrs,
-             generate_subscripts(anchors, 1) - 1 AS link_pos FROM an WHERE len(anchors) > 0)
+             CAST(generate_subscripts(anchors, 1) - 1 AS INTEGER) AS link_pos FROM an WHERE len(anchors) > 0)
 SELECT page_id, table_pos, row_pos, link_pos, context, {_sql_href('attrs')} AS href FROM l
 WHERE {_sql_href('attrs')} IS NOT NULL
 """
@@ -114,7 +114,7 @@ def _sql_tokens(src):
     tk AS (SELECT page_id, url AS page_url, {g(1)} AS g1, {g(2)} AS g2, {g(3)} AS g3, {g(4)} AS g4,
                   {g(5)} AS g5, {g(6)} AS g6 FROM {src}),
     t0 AS (SELECT page_id, page_url, unnest(g1) AS g1, unnest(g2) AS g2, unnest(g3) AS g3, unnest(g4) AS g4,
-                  unnest(g5) AS g5, unnest(g6) AS g6, generate_subscripts(g1, 1) - 1 AS pos FROM tk),
+                  unnest(g5) AS g5, unnest(g6) AS g6, CAST(generate_subscripts(g1, 1) - 1 AS INTEGER) AS pos FROM tk),
     t AS (SELECT page_id, page_url, pos,
                  CASE WHEN COALESCE(g1, '') <> '' THEN 'a' ELSE lower(g4) END AS tag,
                  CASE WHEN COALESCE(g1, '') <> '' THEN g2 ELSE g5 END AS attrs,
