@@ -81,6 +81,23 @@ def _attach_entries(spark: SparkSession, pos: DataFrame, members: Sequence) -> D
     return pos.join(entries, ["_ey", "_en"], "inner").drop("_ey", "_en")
 
 
+def union_schema(spark: SparkSession, files: Sequence, resolve: Callable, normalize: bool = True,
+                 extra: Sequence[str] = ("year",)) -> list[str]:
+    """A canonical column list by rule: the resolved header names of all
+    vintages in first-seen order (load order), then ``extra``. Header metadata only."""
+    out: list = []
+    seen: set = set()
+    for f in files:
+        slots = slots_of(list(_raw_header(spark, f)))
+        if normalize:
+            slots = normalize_headers(slots)
+        for s in resolve(drop_duplicate_headers(slots)):
+            if s.name not in seen and s.name not in extra:
+                seen.add(s.name)
+                out.append(s.name)
+    return out + list(extra)
+
+
 def harmonized_union(spark: SparkSession, files: Sequence, schema: Sequence[str], resolve: Callable,
                      per_file: Callable[[Column, Column], dict] | None = None,
                      normalize: bool = True, drop_all_null: bool = True) -> DataFrame:

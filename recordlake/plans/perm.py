@@ -17,7 +17,7 @@ from recordlake.operators.dedupe import dedupe_keep_first, distinct_rows, normal
 from recordlake.operators.headers import harmonize_vintage
 from recordlake.operators.profile import date_range, run_counts, value_frequencies
 from recordlake.operators.headers import detect_form_type, resolve_names
-from recordlake.plans._common import harmonized_union, main_files
+from recordlake.plans._common import harmonized_union, main_files, union_schema
 from recordlake.sources.sinks import write_csv
 
 
@@ -34,12 +34,14 @@ def form_type_of(filename: str, year: str, last_old_year: int = cfg.LAST_OLD_FOR
     return "old" if y <= last_old_year else "new"
 
 
-def compile_perm(spark: SparkSession, root: str, schema: Sequence[str], *, aliases=cfg.ALIASES,
+def compile_perm(spark: SparkSession, root: str, schema: Sequence[str] | None = None, *, aliases=cfg.ALIASES,
                  alias_policy: str = "sequential_move", null_key: str = "literal",
                  out: str | None = None) -> DataFrame:
     """S1 -> H13 -> S7 -> H1..H4 -> H8 -> H12 -> H11 -> U1 -> U3 -> D1 (-> K1).
 
-    ``schema`` is the canonical column list (required). The default alias
+    ``schema`` is the canonical column list; without it, the ordered union of
+    the resolved headers of all vintages is used (then ``year``, ``form_type``).
+    The default alias
     policy is the literal sequential move (T1); ``"first_wins"`` is the
     documented intent. One row per case number survives: the first in
     (year, file, row) order, via a partially aggregated ``min_by``.
@@ -50,6 +52,8 @@ def compile_perm(spark: SparkSession, root: str, schema: Sequence[str], *, alias
     for f in files:
         form_type_of(f["file_name"], f["year"])  # warns about year folders that are not numbers (T14)
     resolve = resolve_names(aliases, repeat_group_prefixes=(), second_site_prefixes=(), alias_policy=alias_policy)
+    if schema is None:
+        schema = union_schema(spark, files, resolve, extra=("year", "form_type"))
     u = harmonized_union(spark, files, schema, resolve,
                          per_file=lambda year, name: {"form_type": detect_form_type(name, year)})
     if "case_number" in schema:

@@ -58,6 +58,10 @@ def test_compile_perm_literal_and_intended(spark, tmp_root):
     assert lit["NONE"]["form_type"] == "old"  # file without case numbers collapses to one row (T3)
     fw = {r["case_number"]: r for r in compile_perm(spark, tmp_root, schema, alias_policy="first_wins").collect()}
     assert fw["A-1"]["employer_name"] == "Acme" and fw["A-1"]["pw_wage"] == "100"
+    derived = compile_perm(spark, tmp_root)
+    assert derived.columns == ["case_number", "case_status", "employer_name", "employer_city",
+                               "pw_track_number", "year", "form_type"]
+    assert derived.count() == 3
     clean, prof = clean_perm(spark, compile_perm(spark, tmp_root, schema))
     assert clean.columns == ["Case Number", "Status", "Fiscal Year", "Form Type"]
     assert {r["Form Type"] for r in clean.collect()} == {"OLD", "NEW"}
