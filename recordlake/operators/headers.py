@@ -172,15 +172,6 @@ def non_null_column_indices(df: DataFrame) -> set[int]:
     return {i for i, c in enumerate(pos.columns) if row[c] > 0}
 
 
-def non_null_column_indices_by_group(df: DataFrame, group_col: str) -> dict:
-    """H3 for many vintages that share one header list: one grouped aggregate
-    returning, per group value, the positions holding data. ``df`` must already
-    be positional apart from ``group_col``."""
-    data_cols = [c for c in df.columns if c != group_col]
-    rows = df.groupBy(group_col).agg(*[F.count(F.col(c)).alias(c) for c in data_cols]).collect()
-    return {r[group_col]: {i for i, c in enumerate(data_cols) if r[c] > 0} for r in rows}
-
-
 def select_slots(df_positional: DataFrame, slots: list[Slot], extra: Sequence[Column] = ()) -> DataFrame:
     """Project a positional DataFrame to the resolved slots (one select)."""
     return df_positional.select(*[F.col(f"_p{s.index}").alias(s.name) for s in slots], *extra)

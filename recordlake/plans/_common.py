@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from recordlake.operators.align import align_to_schema
 from recordlake.operators.headers import (
-    Slot, contested_columns, drop_all_null_columns, drop_duplicate_headers, normalize_headers, positional_names,
-    resolve_names, select_slots, slots_of,
+    contested_columns, drop_all_null_columns, drop_duplicate_headers, normalize_headers, positional_names,
+    select_slots, slots_of,
 )
 from recordlake.sources.files import (
     csv_header, land_text_parquet, read_text_vintage, scan_text_csv, source_fallback, vintage_scan,

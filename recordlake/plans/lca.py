@@ -14,11 +14,9 @@ from recordlake.functions import (
     standardize_visa_class, standardize_yes_no,
 )
 from recordlake.functions.text import null_tokens
-from recordlake.operators.align import align_to_schema, stamp_year, union_vintages
 from recordlake.operators.dedupe import (
     batch_of, dedupe_first_batch, distinct_rows, global_positions, normalize_key_strip_upper,
 )
-from recordlake.operators.headers import harmonize_vintage
 from recordlake.operators.profile import (
     date_range, frequencies_by_key_order, null_percentages, run_counts, value_frequencies,
 )

@@ -12,9 +12,7 @@ from recordlake.config import perm as cfg
 from recordlake.config.nulls import PANDAS_DEFAULT_NA_TOKENS
 from recordlake.functions import clean_upper_text, coerce_timestamp, standardize_status
 from recordlake.functions.text import null_tokens
-from recordlake.operators.align import align_to_schema, stamp_year, union_vintages
 from recordlake.operators.dedupe import dedupe_keep_first, distinct_rows, normalize_key_upper
-from recordlake.operators.headers import harmonize_vintage
 from recordlake.operators.profile import date_range, run_counts, value_frequencies
 from recordlake.operators.headers import detect_form_type, resolve_names
 from recordlake.plans._common import harmonized_union, main_files, union_schema

@@ -5,7 +5,6 @@ from __future__ import annotations
 import warnings
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from recordlake.config import pw as cfg

@@ -7,7 +7,6 @@ driver only sees file *metadata* (names, headers), never rows.
 
 from __future__ import annotations
 
-import csv
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -147,7 +146,7 @@ def read_name_list(path: str) -> list[str]:
 
 def csv_header(spark: SparkSession, path: str) -> list[str]:
     """Raw header row of a CSV file (first record only), exactly as written."""
-    first = spark.read.option("header", False).csv(path).limit(1).collect()
+    first = spark.read.option("header", False).option("escape", '"').csv(path).limit(1).collect()
     if not first:
         return []
     return ["" if v is None else v for v in first[0]]

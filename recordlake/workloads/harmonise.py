@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from recordlake.operators.align import align_to_schema, stamp_year, union_vintages
 from recordlake.operators.headers import (
-    Slot, alias_sequential_move, harmonize_vintage, mapping_table_rename, select_slots, slots_of, to_positional,
+    alias_sequential_move, harmonize_vintage, mapping_table_rename, select_slots, slots_of, to_positional,
     unmapped_report_from_pairs, detect_form_type, normalize_headers, drop_duplicate_headers,
     drop_all_null_columns, non_null_column_indices, drop_blank_headers,
 )
