@@ -19,9 +19,12 @@ from recordlake.operators.manifest import (
 
 
 def start_manifest_stream(spark: SparkSession, observations_dir: str, manifest_root: str, checkpoint: str,
-                          fmt: str = "json", data_root: str = "data"):
+                          fmt: str = "json", data_root: str = "data", max_files_per_trigger: int | None = None):
     """Start the stream; returns the ``StreamingQuery`` (``awaitTermination()`` to wait)."""
-    stream = spark.readStream.schema(OBSERVATION_SCHEMA).format(fmt).load(observations_dir)
+    reader = spark.readStream.schema(OBSERVATION_SCHEMA).format(fmt)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    stream = reader.load(observations_dir)
 
     from recordlake.session import shared_dir
     shared_dir(spark)

@@ -8,10 +8,10 @@ directly.
 """
 
 from recordlake.workloads import (  # noqa: F401
-    harmonise, standardise, dedupe, profile, discovery, manifest, layout, sources, flows,
+    harmonise, standardise, dedupe, profile, discovery, manifest, layout, sources, flows, streaming,
 )
 
-MODULES = [harmonise, standardise, dedupe, profile, discovery, manifest, layout, sources, flows]
+MODULES = [harmonise, standardise, dedupe, profile, discovery, manifest, layout, sources, flows, streaming]
 
 
 def all_queries() -> dict:
