@@ -93,13 +93,27 @@ def global_positions(df: DataFrame, segment: Sequence[str], row: str, name: str
 
     ``segment`` columns identify ordered chunks (file ordinal, part file, split
     start) and ``row`` increases by one per row inside a chunk (Parquet's
-    ``_metadata.row_index``, or a monotonically increasing id within a split). Chunk sizes are one small aggregate (one row per
+    ``_metadata.row_index``, or a monotonically increasing id within a split).
+    The first segment column is the file level: offsets are summed per file
+    (a window partition per file) and over per-file totals (one row per file). Chunk sizes are one small aggregate (one row per
     chunk); their running offsets come from a window over that small table and
     are joined back on the chunk key. No task ever sees more than its own rows.
     """
     sizes = df.groupBy(*segment).agg(F.count(F.lit(1)).alias("_n"), F.min(row).alias("_m0"))
-    w = Window.orderBy(*segment).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(*segment, F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"), "_m0")
+    top, rest = segment[0], list(segment[1:])
+    before = (Window.unboundedPreceding, -1)
+    # running offsets in two levels: chunks inside their file (one window
+    # partition per file), then files (one row per file)
+    if rest:
+        inner = sizes.withColumn("_in", F.coalesce(F.sum("_n").over(
+            Window.partitionBy(top).orderBy(*rest).rowsBetween(*before)), F.lit(0)))
+    else:
+        inner = sizes.withColumn("_in", F.lit(0).cast("long"))
+    files = sizes.groupBy(top).agg(F.sum("_n").alias("_fn"))
+    files = files.select(top, F.coalesce(F.sum("_fn").over(Window.orderBy(top).rowsBetween(*before)),
+                                         F.lit(0)).alias("_fo"))
+    offsets = (inner.join(files, [top], "left")
+               .select(*segment, (F.col("_fo") + F.col("_in")).alias("_off"), "_m0"))
     if materialize:
         # one row per chunk: computed once into the shared checkpoint folder,
         # then broadcast only when its row count is known to be small

@@ -9,7 +9,7 @@ from recordlake.config import lca as lca_cfg
 from recordlake.config.nulls import PANDAS_DEFAULT_NA_TOKENS
 from recordlake.operators.manifest import save_manifest
 from recordlake.plans import clean_lca, clean_perm, compile_lca, compile_perm, compile_pw, refresh
-from recordlake.session import staging_path
+from recordlake.session import shared_dir, staging_path
 from recordlake.sources.sinks import write_csv, write_parquet
 from recordlake.workloads import _sql as S
 from recordlake.workloads._tables import staged, table
@@ -455,7 +455,10 @@ def q_refresh(spark, d):
     from recordlake.operators.discover import discover_candidates
     from recordlake.operators.manifest import MANIFEST_V1_SCHEMA
     lp = listing_pages(spark, d)
-    cands = discover_candidates(lp)
+    # fixture setup (the previous manifest and what fetching returned) is
+    # derived from one discovery run, materialised once
+    shared_dir(spark)
+    cands = discover_candidates(lp).checkpoint(eager=True)
     root = staging_path(spark, "refresh")
     u = F.col("url")
     prev = cands.where(F.length(u) % 4 != 0).select(
