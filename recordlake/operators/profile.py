@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -23,6 +23,16 @@ def run_counts(before: DataFrame, after: DataFrame) -> DataFrame:
                     (F.col("rows_before") - F.col("rows_after")).alias("rows_removed")))
 
 
+def run_counts_observed(spark, rows_before: int, cols_before: int, after: DataFrame) -> DataFrame:
+    """P1 when the "before" row count was observed while the stage ran
+    (``DataFrame.observe``), so no extra pass over the input is needed."""
+    n = after.count()
+    return spark.createDataFrame([(int(rows_before), int(n), int(cols_before), len(after.columns),
+                                   int(rows_before) - int(n))],
+                                 "rows_before long, rows_after long, columns_before int, columns_after int, "
+                                 "rows_removed long")
+
+
 def date_range(df: DataFrame, column: str) -> DataFrame:
     """Min and max of a column, nulls ignored."""
     return df.agg(F.min(column).alias("min_value"), F.max(column).alias("max_value"))
@@ -82,3 +92,23 @@ def program_change_flags(df: DataFrame, program_col: str = "program", is_new_col
 def files_per_program(df: DataFrame, program_col: str = "program") -> DataFrame:
     """Candidates per program."""
     return df.groupBy(program_col).agg(F.count(F.lit(1)).alias("n_files"))
+
+
+class Profiles(Mapping):
+    """Named profiles built on first access (each one is a separate job, so
+    none is planned or run unless it is asked for)."""
+
+    def __init__(self, builders: dict[str, Callable[[], DataFrame]]):
+        self._builders = dict(builders)
+        self._built: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._built:
+            self._built[name] = self._builders[name]()
+        return self._built[name]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._builders)
+
+    def __len__(self) -> int:
+        return len(self._builders)

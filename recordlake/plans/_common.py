@@ -7,10 +7,9 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recordlake.operators.align import align_to_schema
 from recordlake.operators.headers import (
     contested_columns, drop_all_null_columns, drop_duplicate_headers, normalize_headers, positional_names,
-    select_slots, slots_of,
+    slots_of,
 )
 from recordlake.sources.files import (
     csv_header, land_text_parquet, read_text_vintage, scan_text_csv, source_fallback, vintage_scan,
@@ -157,15 +156,16 @@ def harmonized_union(spark: SparkSession, files: Sequence, schema: Sequence[str]
             part = pos
             if entries is not None and len(subsets) > 1:
                 part = pos.where(F.col("_i").isin(*entries))
-            out = resolve(ss)
-            h = select_slots(part, out, [F.col("_year"), F.col("_file"), F.col("_i"), F.col("_row")])
-            h = h.withColumn("year", F.col("_year"))
+            # one select per group: resolved columns, year (H12), per-file
+            # columns, typed nulls for the rest of the schema (H11), load order
+            cols = {s.name: F.col(f"_p{s.index}") for s in resolve(ss)}
+            cols["year"] = F.col("_year")
             if per_file:
-                for k, v in per_file(F.col("_year"), F.col("_file")).items():
-                    h = h.withColumn(k, v)
-            h = h.withColumn("_ord", F.struct(F.col("_i").alias("i"), F.col("_row.f").alias("f"),
-                                              F.col("_row.b").alias("b"), F.col("_row.r").alias("r")))
-            frames.append(align_to_schema(h, schema, keep=["_ord"]))
+                cols.update(per_file(F.col("_year"), F.col("_file")))
+            order = F.struct(F.col("_i").alias("i"), F.col("_row.f").alias("f"), F.col("_row.b").alias("b"),
+                             F.col("_row.r").alias("r"))
+            frames.append(part.select(*[(cols[n] if n in cols else F.lit(None)).cast("string").alias(n) for n in schema],
+                                      order.alias("_ord")))
     if not frames:
         raise FileNotFoundError("no readable vintage files")
     out = frames[0]

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from recordlake.config import lca as cfg
@@ -18,8 +18,10 @@ from recordlake.operators.dedupe import (
     batch_of, dedupe_first_batch, distinct_rows, global_positions, normalize_key_strip_upper,
 )
 from recordlake.operators.profile import (
-    date_range, frequencies_by_key_order, null_percentages, run_counts, value_frequencies,
+    Profiles, date_range, frequencies_by_key_order, null_percentages, run_counts, run_counts_observed,
+    value_frequencies,
 )
+from recordlake.session import shared_dir
 from recordlake.operators.headers import resolve_names
 from recordlake.plans._common import harmonized_union, main_files
 from recordlake.sources.files import filter_companion_files
@@ -42,10 +44,10 @@ def compile_lca(spark: SparkSession, root: str, *, schema: Sequence[str] = cfg.C
     if not files:
         raise FileNotFoundError(f"no vintage files under {root}")
     u = harmonized_union(spark, files, schema, resolve_names(aliases))
-    u = u.withColumn("case_number", normalize_key_strip_upper(F.col("case_number"), null_key=null_key))
-    if csv_hop_nulls:
-        u = u.select(*[null_tokens(F.col(c)).alias(c) for c in schema], "_ord")
-    u = u.select(*schema, F.col("_ord.i").alias("_i"), F.col("_ord.f").alias("_f"), F.col("_ord.b").alias("_b"),
+    key = normalize_key_strip_upper(F.col("case_number"), null_key=null_key)
+    hop = null_tokens if csv_hop_nulls else (lambda c: c)
+    u = u.select(*[hop(key if c == "case_number" else F.col(c)).alias(c) for c in schema],
+                 F.col("_ord.i").alias("_i"), F.col("_ord.f").alias("_f"), F.col("_ord.b").alias("_b"),
                  F.col("_ord.r").alias("_r"))
     u = global_positions(u, ["_i", "_f", "_b"], "_r")
     u = u.withColumn("_batch", batch_of(F.col("_pos"), batch_rows))
@@ -90,11 +92,14 @@ def standardize_lca(df: DataFrame, on_fraction: str = "raise") -> DataFrame:
 
 
 def clean_lca(spark: SparkSession, source, *, out: str | None = None, on_fraction: str = "raise",
-              read_tokens=PANDAS_DEFAULT_NA_TOKENS) -> tuple[DataFrame, dict]:
+              read_tokens=PANDAS_DEFAULT_NA_TOKENS, materialize: bool = True) -> tuple[DataFrame, Profiles]:
     """S3 -> C1 -> C2..C9 -> D3 (-> K1) and the P1-P5 profiles.
 
     ``source`` is the compiled DataFrame or a CSV path (read as text with the
-    reader null tokens). Returns (clean DataFrame, dict of profile DataFrames).
+    reader null tokens). The clean table is materialised once in the shared
+    checkpoint folder (``materialize``), so the write and every profile read
+    it instead of recomputing the whole lineage. Returns (clean DataFrame,
+    profiles built on first access).
     """
     if isinstance(source, str):
         from recordlake.sources.files import scan_text_csv
@@ -102,16 +107,23 @@ def clean_lca(spark: SparkSession, source, *, out: str | None = None, on_fractio
     else:
         raw = source
     projected = project_business_columns(raw)
+    seen = Observation("rows_before")
+    if materialize:
+        projected = projected.observe(seen, F.count(F.lit(1)).alias("n"))
     clean = distinct_rows(standardize_lca(projected, on_fraction))
+    if materialize:
+        shared_dir(spark)
+        clean = clean.checkpoint(eager=True)  # also fills the observed row count
     if out:
         write_csv(clean, out)
-    prof = {"counts": run_counts(projected, clean)}
+    b = {"counts": (lambda: run_counts_observed(spark, seen.get["n"], len(projected.columns), clean))
+         if materialize else (lambda: run_counts(projected, clean))}
     if "Decision Date" in clean.columns:
-        prof["decision_date_range"] = date_range(clean, "Decision Date")
+        b["decision_date_range"] = lambda: date_range(clean, "Decision Date")
     if "Fiscal Year" in clean.columns:
-        prof["fiscal_year"] = frequencies_by_key_order(clean, "Fiscal Year")
+        b["fiscal_year"] = lambda: frequencies_by_key_order(clean, "Fiscal Year")
     for name in ("Status", "Visa Class", "Wage Unit", "Full Time", "H-1B Dependent"):
         if name in clean.columns:
-            prof[name] = value_frequencies(clean, f"`{name}`")
-    prof["null_percentages"] = null_percentages(clean.toDF(*[c for c in clean.columns]))
-    return clean, prof
+            b[name] = (lambda n: lambda: value_frequencies(clean, f"`{n}`"))(name)
+    b["null_percentages"] = lambda: null_percentages(clean)
+    return clean, Profiles(b)

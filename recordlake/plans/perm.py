@@ -5,7 +5,7 @@ from __future__ import annotations
 import warnings
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from recordlake.config import perm as cfg
@@ -13,7 +13,8 @@ from recordlake.config.nulls import PANDAS_DEFAULT_NA_TOKENS
 from recordlake.functions import clean_upper_text, coerce_timestamp, standardize_status
 from recordlake.functions.text import null_tokens
 from recordlake.operators.dedupe import dedupe_keep_first, distinct_rows, normalize_key_upper
-from recordlake.operators.profile import date_range, run_counts, value_frequencies
+from recordlake.operators.profile import Profiles, date_range, run_counts, run_counts_observed, value_frequencies
+from recordlake.session import shared_dir
 from recordlake.operators.headers import detect_form_type, resolve_names
 from recordlake.plans._common import harmonized_union, main_files, union_schema
 from recordlake.sources.sinks import write_csv
@@ -64,14 +65,19 @@ def compile_perm(spark: SparkSession, root: str, schema: Sequence[str] | None =
 
 
 def clean_perm(spark: SparkSession, source, *, out: str | None = None,
-               read_tokens=PANDAS_DEFAULT_NA_TOKENS) -> tuple[DataFrame, dict]:
-    """S3 -> C1 -> C2 (permanent variant) -> C6 -> C10 -> D3 (-> K1), P1-P3."""
+               read_tokens=PANDAS_DEFAULT_NA_TOKENS, materialize: bool = True) -> tuple[DataFrame, Profiles]:
+    """S3 -> C1 -> C2 (permanent variant) -> C6 -> C10 -> D3 (-> K1), P1-P3.
+
+    As in E2, the clean table is materialised once and the profiles read it."""
     if isinstance(source, str):
         from recordlake.sources.files import scan_text_csv
         raw = scan_text_csv(spark, source, tokens=read_tokens)
     else:
         raw = source.select(*[null_tokens(F.col(c), read_tokens).alias(c) if dict(source.dtypes)[c] == "string"
                               else F.col(c) for c in source.columns]) if read_tokens else source
+    seen = Observation("rows_before")
+    if materialize:
+        raw = raw.observe(seen, F.count(F.lit(1)).alias("n"))
     present = [c for c in cfg.DISPLAY_COLUMNS if c in raw.columns]
     projected = raw.select(*[F.col(c).alias(cfg.DISPLAY_COLUMNS[c]) for c in present])
     conv = {
@@ -82,12 +88,16 @@ def clean_perm(spark: SparkSession, source, *, out: str | None = None,
     }
     clean = distinct_rows(projected.select(*[
         conv[c](F.col(f"`{c}`")).alias(c) if c in conv else F.col(f"`{c}`") for c in projected.columns]))
+    if materialize:
+        shared_dir(spark)
+        clean = clean.checkpoint(eager=True)
     if out:
         write_csv(clean, out)
-    prof = {"counts": run_counts(raw, clean)}
+    b = {"counts": (lambda: run_counts_observed(spark, seen.get["n"], len(raw.columns), clean))
+         if materialize else (lambda: run_counts(raw, clean))}
     if "Decision Date" in clean.columns:
-        prof["decision_date_range"] = date_range(clean, "`Decision Date`")
+        b["decision_date_range"] = lambda: date_range(clean, "`Decision Date`")
     for name in ("Status", "Form Type", "Current Visa Type"):
         if name in clean.columns:
-            prof[name] = value_frequencies(clean, f"`{name}`", top=10)
-    return clean, prof
+            b[name] = (lambda n: lambda: value_frequencies(clean, f"`{n}`", top=10))(name)
+    return clean, Profiles(b)

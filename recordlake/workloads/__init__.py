@@ -14,6 +14,14 @@ from recordlake.workloads import (  # noqa: F401
 MODULES = [harmonise, standardise, dedupe, profile, discovery, manifest, layout, sources, flows, streaming]
 
 
+def prepare(spark, sf_dir: str) -> None:
+    """Write the derived input files that several checks read (fixture setup,
+    reused within the session)."""
+    flows.stage_lca(spark, sf_dir)
+    flows.stage_perm(spark, sf_dir)
+    flows.stage_pw(spark, sf_dir)
+
+
 def all_queries() -> dict:
     out: dict = {}
     for m in MODULES:
