@@ -66,8 +66,14 @@ def page_tokens(pages: DataFrame, id_col: str = "page_id", html_col: str = "html
 
 
 def extract_page_links(pages: DataFrame, id_col: str = "page_id", html_col: str = "html",
-                       url_col: str = "url") -> DataFrame:
-    """Every ``<a href>`` start tag of every page, in page order."""
+                       url_col: str = "url", engine: str = "regex") -> DataFrame:
+    """Every ``<a href>`` of every page, in page order.
+
+    ``engine="regex"`` (default) scans start tags in the JVM; ``engine="tree"``
+    uses the parsed element tree (see ``html_tree``)."""
+    if engine == "tree":
+        ev = _tree_events(pages, id_col, html_col, url_col)
+        return ev.where(F.col("kind") == "a").select("page_id", "page_url", "pos", "href")
     clean = strip_non_content(F.col(html_col))
     a = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("page_url"),
                      F.posexplode(F.regexp_extract_all(clean, F.lit(ANCHOR_START_PATTERN), 1)).alias("pos", "attrs"))
@@ -75,27 +81,44 @@ def extract_page_links(pages: DataFrame, id_col: str = "page_id", html_col: str
             .where(F.col("href").isNotNull()))
 
 
+def _tree_events(pages, id_col, html_col, url_col):
+    from recordlake.operators.html_tree import page_events
+    return page_events(pages, id_col, html_col, url_col)
+
+
 def classify_with_context(pages: DataFrame, id_col: str = "page_id", html_col: str = "html",
-                          url_col: str = "url", use_block_context: bool = True) -> DataFrame:
+                          url_col: str = "url", use_block_context: bool = True, engine: str = "regex",
+                          events: DataFrame | None = None) -> DataFrame:
     """Program of each link from (a) its file name, else (b) its enclosing
     block's text, else (c) the nearest previous heading whose text classifies.
 
     (c) is an as-of lookup: ``last(program, ignorenulls)`` over the page's
     tokens up to the link. The window is per page, and a page is one input row,
-    so no window partition can outgrow one document.
+    so no window partition can outgrow one document. With ``engine="tree"`` the
+    block text is the full text of the nearest enclosing element and heading
+    texts are complete.
     """
-    t = page_tokens(pages, id_col, html_col, url_col)
-    is_heading = F.col("tag").isin(*discovery.HEADING_TAGS)
-    is_block = F.col("tag").isin(*discovery.CONTEXT_BLOCK_TAGS)
     w = Window.partitionBy("page_id").orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    t = (t.withColumn("heading_program", F.when(is_heading, classify_program(F.lit(""), F.col("text"))))
-         .withColumn("block_text", F.when(is_block, F.col("text")))
-         .withColumn("prev_heading_program", F.last("heading_program", ignorenulls=True).over(w))
-         .withColumn("prev_block_text", F.last("block_text", ignorenulls=True).over(w)))
-    links = t.where(F.col("tag") == "a").withColumn("href", href_of("attrs")).where(F.col("href").isNotNull())
+    if engine == "tree":
+        ev = events if events is not None else _tree_events(pages, id_col, html_col, url_col)
+        t = ev.where(F.col("kind").isin("a", "h"))
+        t = (t.withColumn("heading_program", F.when(F.col("kind") == "h", classify_program(F.lit(""), F.col("text"))))
+             .withColumn("prev_heading_program", F.last("heading_program", ignorenulls=True).over(w)))
+        links = t.where(F.col("kind") == "a")
+        block = F.col("block_text")
+    else:
+        t = page_tokens(pages, id_col, html_col, url_col)
+        is_heading = F.col("tag").isin(*discovery.HEADING_TAGS)
+        is_block = F.col("tag").isin(*discovery.CONTEXT_BLOCK_TAGS)
+        t = (t.withColumn("heading_program", F.when(is_heading, classify_program(F.lit(""), F.col("text"))))
+             .withColumn("block_text", F.when(is_block, F.col("text")))
+             .withColumn("prev_heading_program", F.last("heading_program", ignorenulls=True).over(w))
+             .withColumn("prev_block_text", F.last("block_text", ignorenulls=True).over(w)))
+        links = t.where(F.col("tag") == "a").withColumn("href", href_of("attrs")).where(F.col("href").isNotNull())
+        block = F.concat(F.coalesce(F.col("prev_block_text"), F.lit("")), F.col("text"))
     fname = filename_of(F.col("href"))
     from_name = classify_program(fname)
-    from_block = classify_program(F.lit(""), F.concat(F.coalesce(F.col("prev_block_text"), F.lit("")), F.col("text")))
+    from_block = classify_program(F.lit(""), block)
     program = (F.coalesce(from_name, from_block, F.col("prev_heading_program")) if use_block_context
                else F.coalesce(from_name, F.col("prev_heading_program")))
     return links.select("page_id", "page_url", "pos", "href", fname.alias("filename"),
@@ -103,9 +126,15 @@ def classify_with_context(pages: DataFrame, id_col: str = "page_id", html_col: s
 
 
 def extract_table_links(pages: DataFrame, id_col: str = "page_id", html_col: str = "html",
-                        url_col: str = "url") -> DataFrame:
+                        url_col: str = "url", engine: str = "regex", events: DataFrame | None = None) -> DataFrame:
     """For each table row with at least two ``<td>``: the first cell's text
-    is the context; every anchor of the other cells is a link."""
+    is the context; every anchor of the other cells is a link. With
+    ``engine="tree"`` rows, cells and anchors are found recursively in the
+    element tree, so nested tables are handled."""
+    if engine == "tree":
+        ev = events if events is not None else _tree_events(pages, id_col, html_col, url_col)
+        return ev.where(F.col("kind") == "t").select(
+            "page_id", "page_url", "table_pos", "row_pos", "link_pos", F.col("block_text").alias("context"), "href")
     clean = strip_non_content(F.col(html_col))
     tables = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("page_url"),
                           F.posexplode(F.regexp_extract_all(clean, F.lit(TABLE_PATTERN), 0)).alias("table_pos", "tbl"))
@@ -152,12 +181,15 @@ def candidates_from_page_links(classified: DataFrame) -> DataFrame:
 
 
 def discover_candidates(pages: DataFrame, id_col: str = "page_id", html_col: str = "html",
-                        url_col: str = "url") -> DataFrame:
+                        url_col: str = "url", engine: str = "regex") -> DataFrame:
     """E6 discovery: table links first, then page links; one candidate per
-    canonical URL (D4), table section winning, then page and position order."""
+    canonical URL (D4), table section winning, then page and position order.
+    With ``engine="tree"`` both sections come from one parse of each page."""
     from recordlake.operators.dedupe import dedupe_by_priority
-    table = candidates_from_table_links(extract_table_links(pages, id_col, html_col, url_col))
-    page = candidates_from_page_links(classify_with_context(pages, id_col, html_col, url_col))
+    ev = _tree_events(pages, id_col, html_col, url_col) if engine == "tree" else None
+    table = candidates_from_table_links(extract_table_links(pages, id_col, html_col, url_col, engine, ev))
+    page = candidates_from_page_links(classify_with_context(pages, id_col, html_col, url_col,
+                                                            engine=engine, events=ev))
     both = table.unionByName(page)
     best = dedupe_by_priority(both, "url", [F.col("section"), F.col("page_id"), F.col("position")])
     return best.select("program", "url", "filename", "year", "page_id", "section")

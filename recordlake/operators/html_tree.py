@@ -1,0 +1,161 @@
+"""Tree-based discovery events for pages with nested or irregular markup.
+
+The regular-expression tokeniser in ``discover`` stays in the JVM and is the
+default. When nested tables or the full text of an enclosing element matter,
+``page_events`` parses each page with the standard-library HTML parser inside
+``mapInPandas`` (Arrow batches, one page at a time) and emits a few small
+event rows per page; everything after that (classification, the as-of
+heading lookup, URL handling, dedupe) is the same Spark code as the default
+engine.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from recordlake.config import discovery
+
+EVENT_SCHEMA = ("page_id long, page_url string, kind string, pos int, table_pos int, row_pos int, "
+                "link_pos int, href string, text string, block_text string")
+
+
+def _make_mapper(block_tags, heading_tags):
+    """Build the per-batch mapper with everything it needs defined locally, so
+    it is shipped by value: executors need only the standard library and pandas."""
+    from html.parser import HTMLParser
+
+    import pandas as pd
+
+    _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source",
+             "track", "wbr"}
+    _SKIP_TEXT = {"script", "style"}
+    # start tags that implicitly close an open <p> (HTML parsing rules, abridged)
+    _CLOSES_P = {"address", "article", "aside", "blockquote", "div", "dl", "fieldset", "footer", "form", "h1", "h2",
+                 "h3", "h4", "h5", "h6", "header", "hr", "li", "nav", "ol", "p", "pre", "section", "table", "ul"}
+
+    class _Node:
+        __slots__ = ("tag", "attrs", "children", "parent", "pos")
+
+        def __init__(self, tag, attrs, parent, pos):
+            self.tag, self.attrs, self.children, self.parent, self.pos = tag, attrs, [], parent, pos
+
+    class _TreeBuilder(HTMLParser):
+        def __init__(self):
+            super().__init__(convert_charrefs=True)
+            self.root = _Node("#root", {}, None, -1)
+            self.cur = self.root
+            self.n = 0
+
+        def _close_until(self, tags, stop=()):
+            n = self.cur
+            while n is not self.root and n.tag not in stop:
+                if n.tag in tags:
+                    self.cur = n.parent
+                    return
+                n = n.parent
+
+        def handle_starttag(self, tag, attrs):
+            if tag in _CLOSES_P:
+                self._close_until({"p"}, stop={"table", "td", "th", "caption", "button"})
+            if tag == "li":
+                self._close_until({"li"}, stop={"ul", "ol", "table", "td", "th"})
+            elif tag in ("td", "th"):
+                self._close_until({"td", "th"}, stop={"tr", "table"})
+            elif tag == "tr":
+                self._close_until({"tr"}, stop={"table"})
+            node = _Node(tag, dict(attrs), self.cur, self.n)
+            self.n += 1
+            self.cur.children.append(node)
+            if tag not in _VOID:
+                self.cur = node
+
+        def handle_startendtag(self, tag, attrs):
+            node = _Node(tag, dict(attrs), self.cur, self.n)
+            self.n += 1
+            self.cur.children.append(node)
+
+        def handle_endtag(self, tag):
+            n = self.cur
+            while n is not self.root and n.tag != tag:
+                n = n.parent
+            if n is not self.root:
+                self.cur = n.parent
+
+        def handle_data(self, data):
+            if self.cur.tag not in _SKIP_TEXT:
+                self.cur.children.append(data)
+
+    def _text(node) -> str:
+        """Every descendant text node stripped, joined without separator."""
+        out, stack = [], [node]
+        while stack:
+            n = stack.pop()
+            if isinstance(n, str):
+                s = n.strip()
+                if s:
+                    out.append(s)
+            elif n.tag not in _SKIP_TEXT:
+                stack.extend(reversed(n.children))
+        return "".join(out)
+
+    def _find_all(node, tags):
+        """Descendant elements with one of ``tags``, in document order."""
+        stack = list(reversed([c for c in node.children if not isinstance(c, str)]))
+        while stack:
+            n = stack.pop()
+            if n.tag in tags:
+                yield n
+            stack.extend(reversed([c for c in n.children if not isinstance(c, str)]))
+
+    def _events(page_id, url, html):
+        b = _TreeBuilder()
+        b.feed(html or "")
+        b.close()
+        rows = []
+        blocks = set(block_tags)
+        for a in _find_all(b.root, {"a"}):
+            if "href" not in a.attrs or a.attrs["href"] is None:
+                continue
+            p = a.parent
+            while p is not b.root and p.tag not in blocks:
+                p = p.parent
+            rows.append((page_id, url, "a", a.pos, None, None, None, a.attrs["href"], _text(a),
+                         _text(p) if p is not b.root else None))
+        for h in _find_all(b.root, set(heading_tags)):
+            rows.append((page_id, url, "h", h.pos, None, None, None, None, _text(h), None))
+        for ti, table in enumerate(_find_all(b.root, {"table"})):
+            for ri, tr in enumerate(_find_all(table, {"tr"})):
+                cells = list(_find_all(tr, {"td"}))
+                if len(cells) < 2:
+                    continue
+                context = _text(cells[0])
+                li = 0
+                for cell in cells[1:]:
+                    for a in _find_all(cell, {"a"}):
+                        if "href" in a.attrs and a.attrs["href"] is not None:
+                            rows.append((page_id, url, "t", a.pos, ti, ri, li, a.attrs["href"], _text(a), context))
+                            li += 1
+        return rows
+
+    def _map_pages(batches):
+        cols = ["page_id", "page_url", "kind", "pos", "table_pos", "row_pos", "link_pos", "href", "text", "block_text"]
+        for pdf in batches:
+            rows = []
+            for pid, url, html in zip(pdf["page_id"], pdf["page_url"], pdf["html"]):
+                rows.extend(_events(int(pid), url, html))
+            out = pd.DataFrame(rows, columns=cols)
+            for c in ("pos", "table_pos", "row_pos", "link_pos"):
+                out[c] = out[c].astype("Int32")
+            yield out
+
+    return _map_pages
+
+
+def page_events(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", url_col: str = "url") -> DataFrame:
+    """Anchor (``a``), heading (``h``) and table-link (``t``) events of every
+    page, hash-partitioned by page so every consumer reuses one exchange."""
+    src = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).alias("page_url"),
+                       F.col(html_col).alias("html"))
+    mapper = _make_mapper(tuple(discovery.CONTEXT_BLOCK_TAGS), tuple(discovery.HEADING_TAGS))
+    return src.mapInPandas(mapper, EVENT_SCHEMA).repartition("page_id")

@@ -5,8 +5,8 @@ from pyspark.sql import functions as F
 from recordlake.operators.dedupe import dedupe_by_priority
 from recordlake.operators.discover import (
     ANCHOR_START_PATTERN, CELL_PATTERN, HREF_PATTERN, NON_CONTENT, ROW_PATTERN, TABLE_PATTERN, TOKEN_PATTERN,
-    candidates_from_page_links, candidates_from_table_links, classify_with_context, extract_page_links,
-    extract_table_links,
+    candidates_from_page_links, candidates_from_table_links, classify_with_context, discover_candidates,
+    extract_page_links, extract_table_links,
 )
 from recordlake.functions import filename_of, filter_extension, normalize_url, resolve_url
 from recordlake.workloads import _sql as S
@@ -173,13 +173,22 @@ SELECT program, url, filename, year, page_id, section FROM (
   SELECT *, row_number() OVER (PARTITION BY url ORDER BY section, page_id, p1, p2, p3) AS rn FROM allc) WHERE rn = 1
 """
 
+def q_discover_candidates_tree(spark, d):
+    """E6 discovery with the element-tree engine (mapInPandas + stdlib parser);
+    on these pages its candidates equal the default engine's."""
+    lp = listing_pages(spark, d)
+    return discover_candidates(lp, engine="tree").select("program", "url", "filename", "year", "page_id", "section")
+
+
 QUERIES = {
+    "discover_candidates_tree": q_discover_candidates_tree,
     "extract_page_links": q_extract_page_links,
     "extract_table_links": q_extract_table_links,
     "classify_with_context": q_classify_with_context,
     "discover_candidates": q_discover_candidates,
 }
 ORACLE = {
+    "discover_candidates_tree": SQL_CANDIDATES,
     "extract_page_links": SQL_PAGE_LINKS,
     "extract_table_links": SQL_TABLE_LINKS,
     "classify_with_context": SQL_CLASSIFY,

@@ -96,3 +96,35 @@ def test_discover_candidates(spark):
     # skipped as a deprecated report in the table, found again page-wide (no context there)
     assert got["https://www.example.gov/files/perm_fy2016.xlsx"] == ("PERM Program", "2016", 1)
     assert len([u for u in got if "H1B_Disclosure" in u]) == 1            # fragment variant deduped
+
+
+NESTED = """<table><tr><td>LCA</td><td><table><tr><td>x</td><td><a href="/a.xlsx">a</a></td></tr></table></td></tr>
+</table>
+<h3><span>PERM</span> Program</h3>
+<ul><li>Prevailing wage data: <a href="/f1.xlsx">file</a> (updated)<li><a href="/f2.xlsx">next</a></ul>
+<p>intro<div><a href="/f3.csv">x</a></div>"""
+
+
+def test_tree_engine_nested_markup(spark):
+    pages = spark.createDataFrame([(7, BASE, NESTED)], "page_id long, url string, html string")
+    t = sorted((r["table_pos"], r["row_pos"], r["context"], r["href"])
+               for r in extract_table_links(pages, engine="tree").collect())
+    # every table and row is visited recursively, as a tree search does
+    assert t == [(0, 0, "LCA", "/a.xlsx"), (0, 0, "LCA", "/a.xlsx"), (0, 1, "x", "/a.xlsx"), (1, 0, "x", "/a.xlsx")]
+    c = {r["href"]: r["program"] for r in classify_with_context(pages, engine="tree").collect()}
+    assert c["/f1.xlsx"] == "Prevailing Wage Program"   # full text of the enclosing <li>
+    assert c["/f2.xlsx"] == "PERM Program"              # implicitly closed <li>; heading with nested markup
+    assert c["/f3.csv"] == "PERM Program"               # <div> closes the open <p>
+    regex = {r["href"]: r["program"] for r in classify_with_context(pages).collect()}
+    assert regex["/f2.xlsx"] is None                    # the regex engine sees only the heading's first text node
+
+
+def test_tree_and_regex_engines_agree_on_links(spark):
+    import os
+    sf = "/root/testdata/sf0.001"
+    if not os.path.isdir(sf):
+        pytest.skip("driver data not present")
+    pages = spark.read.parquet(f"{sf}/pages.parquet")
+    a = sorted((r["page_id"], r["href"]) for r in extract_page_links(pages).collect())
+    b = sorted((r["page_id"], r["href"]) for r in extract_page_links(pages, engine="tree").collect())
+    assert a == b and len(a) > 0
