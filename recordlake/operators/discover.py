@@ -180,16 +180,39 @@ def candidates_from_page_links(classified: DataFrame) -> DataFrame:
                              F.lit(0).alias("link_pos")).alias("position")))
 
 
+def _tree_candidates(ev: DataFrame) -> DataFrame:
+    """Both sections from one pass over the tree events: table links (``t``)
+    and page links (``a``) with the nearest previous classified heading (``h``)."""
+    w = Window.partitionBy("page_id").orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    kind = F.col("kind")
+    t = ev.withColumn("_hp", F.when(kind == "h", classify_program(F.lit(""), F.col("text")))) \
+          .withColumn("_prev", F.last("_hp", ignorenulls=True).over(w)) \
+          .where(kind.isin("t", "a") & filter_extension(F.col("href")))
+    fname = filename_of(F.col("href"))
+    is_t = kind == "t"
+    skip = F.when(is_t, skip_deprecated(fname, F.col("block_text"))).otherwise(skip_deprecated(fname))
+    program = F.when(is_t, classify_program(fname, F.col("block_text"))).otherwise(
+        F.coalesce(classify_program(fname), classify_program(F.lit(""), F.col("block_text")), F.col("_prev")))
+    position = F.when(is_t, F.struct(F.col("table_pos").alias("table_pos"), F.col("row_pos").alias("row_pos"),
+                                     F.col("link_pos").alias("link_pos"))) \
+        .otherwise(F.struct(F.lit(0).alias("table_pos"), F.col("pos").alias("row_pos"), F.lit(0).alias("link_pos")))
+    return (t.where(~skip).withColumn("program", program).where(F.col("program").isNotNull())
+            .select("page_id", "program", normalize_url(resolve_url(F.col("page_url"), F.col("href"))).alias("url"),
+                    fname.alias("filename"), extract_year(fname).alias("year"),
+                    F.when(is_t, F.lit(0)).otherwise(F.lit(1)).alias("section"), position.alias("position")))
+
+
 def discover_candidates(pages: DataFrame, id_col: str = "page_id", html_col: str = "html",
                         url_col: str = "url", engine: str = "regex") -> DataFrame:
     """E6 discovery: table links first, then page links; one candidate per
     canonical URL (D4), table section winning, then page and position order.
     With ``engine="tree"`` both sections come from one parse of each page."""
     from recordlake.operators.dedupe import dedupe_by_priority
-    ev = _tree_events(pages, id_col, html_col, url_col) if engine == "tree" else None
-    table = candidates_from_table_links(extract_table_links(pages, id_col, html_col, url_col, engine, ev))
-    page = candidates_from_page_links(classify_with_context(pages, id_col, html_col, url_col,
-                                                            engine=engine, events=ev))
-    both = table.unionByName(page)
+    if engine == "tree":
+        both = _tree_candidates(_tree_events(pages, id_col, html_col, url_col))
+    else:
+        table = candidates_from_table_links(extract_table_links(pages, id_col, html_col, url_col))
+        page = candidates_from_page_links(classify_with_context(pages, id_col, html_col, url_col))
+        both = table.unionByName(page)
     best = dedupe_by_priority(both, "url", [F.col("section"), F.col("page_id"), F.col("position")])
     return best.select("program", "url", "filename", "year", "page_id", "section")
