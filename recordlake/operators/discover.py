@@ -180,8 +180,57 @@ def candidates_from_page_links(classified: DataFrame) -> DataFrame:
                              F.lit(0).alias("link_pos")).alias("position")))
 
 
-def _tree_candidates(ev: DataFrame) -> DataFrame:
-    """Both sections from one pass over the tree events: table links (``t``)
+def _regex_events(pages: DataFrame, id_col: str, html_col: str, url_col: str) -> DataFrame:
+    """One scan and one cleaning pass per page: document tokens and table links
+    are built as two arrays in one projection and exploded once, giving the
+    same event rows as the tree engine: ``a`` (with its block text), ``h``, ``t``."""
+    clean = strip_non_content(F.col(html_col))
+
+    def tok_event(tok, i):
+        return F.struct(F.lit("tok").alias("kind"), i.alias("pos"), F.lit(None).cast("int").alias("table_pos"),
+                        F.lit(None).cast("int").alias("row_pos"), F.lit(None).cast("int").alias("link_pos"),
+                        tok.alias("tok"), F.lit(None).cast("string").alias("context"))
+
+    def row_links(row, ti, ri):
+        cells = F.regexp_extract_all(row, F.lit(CELL_PATTERN), 1)
+        anchors = F.flatten(F.transform(F.slice(cells, 2, 1 << 30),
+                                        lambda c: F.regexp_extract_all(c, F.lit(ANCHOR_START_PATTERN), 1)))
+        links = F.transform(anchors, lambda a, li: F.struct(
+            F.lit("t").alias("kind"), F.lit(None).cast("int").alias("pos"), ti.alias("table_pos"),
+            ri.alias("row_pos"), li.alias("link_pos"), a.alias("tok"),
+            html_text(F.element_at(cells, 1)).alias("context")))
+        return F.filter(links, lambda x: F.size(cells) >= 2)
+
+    toks = F.transform(F.regexp_extract_all(clean, F.lit(TOKEN_PATTERN), 0), tok_event)
+    tabs = F.flatten(F.transform(
+        F.regexp_extract_all(clean, F.lit(TABLE_PATTERN), 0),
+        lambda tbl, ti: F.flatten(F.transform(F.regexp_extract_all(tbl, F.lit(ROW_PATTERN), 1),
+                                              lambda row, ri: row_links(row, ti, ri)))))
+    ev = (pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("page_url"),
+                       F.explode(F.concat(toks, tabs)).alias("e"))
+          .select("page_id", "page_url", "e.*"))
+    tag = F.lower(F.regexp_extract("tok", r"^<([A-Za-z0-9]+)", 1))
+    attrs = F.regexp_extract("tok", r"(?s)^<[A-Za-z0-9]+([^>]*)>", 1)
+    inner = F.when(tag == "a", F.regexp_extract("tok", r"(?is)^<a\b[^>]*>(.*)</a\s*>$", 1)) \
+        .otherwise(F.regexp_extract("tok", r"(?s)>([^<]*)$", 1))
+    is_tok = F.col("kind") == "tok"
+    ev = ev.select("page_id", "page_url", "pos", "table_pos", "row_pos", "link_pos", "context",
+                   F.when(is_tok, F.when(tag == "a", F.lit("a"))
+                          .when(tag.isin(*discovery.HEADING_TAGS), F.lit("h"))
+                          .when(tag.isin(*discovery.CONTEXT_BLOCK_TAGS), F.lit("blk"))).otherwise(F.col("kind")).alias("kind"),
+                   F.when(is_tok, href_of(attrs)).otherwise(href_of("tok")).alias("href"),
+                   F.when(is_tok, html_text(inner)).alias("text"))
+    w = Window.partitionBy("page_id").orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    prev_block = F.last(F.when(F.col("kind") == "blk", F.col("text")), ignorenulls=True).over(w)
+    block_text = F.when(F.col("kind") == "a", F.concat(F.coalesce(prev_block, F.lit("")), F.col("text"))) \
+        .when(F.col("kind") == "t", F.col("context"))
+    return ev.select("page_id", "page_url", "kind", "pos", "table_pos", "row_pos", "link_pos", "href", "text",
+                     block_text.alias("block_text")) \
+             .where(F.col("kind").isin("a", "h", "t") & (F.col("href").isNotNull() | (F.col("kind") == "h")))
+
+
+def _candidates_from_events(ev: DataFrame) -> DataFrame:
+    """Both sections from one pass over discovery events: table links (``t``)
     and page links (``a``) with the nearest previous classified heading (``h``)."""
     w = Window.partitionBy("page_id").orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     kind = F.col("kind")
@@ -206,13 +255,11 @@ def discover_candidates(pages: DataFrame, id_col: str = "page_id", html_col: str
                         url_col: str = "url", engine: str = "regex") -> DataFrame:
     """E6 discovery: table links first, then page links; one candidate per
     canonical URL (D4), table section winning, then page and position order.
-    With ``engine="tree"`` both sections come from one parse of each page."""
+    Either engine reads each page once and builds both sections from one pass
+    over its events."""
     from recordlake.operators.dedupe import dedupe_by_priority
-    if engine == "tree":
-        both = _tree_candidates(_tree_events(pages, id_col, html_col, url_col))
-    else:
-        table = candidates_from_table_links(extract_table_links(pages, id_col, html_col, url_col))
-        page = candidates_from_page_links(classify_with_context(pages, id_col, html_col, url_col))
-        both = table.unionByName(page)
+    ev = (_tree_events(pages, id_col, html_col, url_col) if engine == "tree"
+          else _regex_events(pages, id_col, html_col, url_col))
+    both = _candidates_from_events(ev)
     best = dedupe_by_priority(both, "url", [F.col("section"), F.col("page_id"), F.col("position")])
     return best.select("program", "url", "filename", "year", "page_id", "section")

@@ -2,11 +2,9 @@
 
 from pyspark.sql import functions as F
 
-from recordlake.operators.dedupe import dedupe_by_priority
 from recordlake.operators.discover import (
     ANCHOR_START_PATTERN, CELL_PATTERN, HREF_PATTERN, NON_CONTENT, ROW_PATTERN, TABLE_PATTERN, TOKEN_PATTERN,
-    candidates_from_page_links, candidates_from_table_links, classify_with_context, discover_candidates,
-    extract_page_links, extract_table_links,
+    classify_with_context, discover_candidates, extract_page_links, extract_table_links,
 )
 from recordlake.functions import filename_of, filter_extension, normalize_url, resolve_url
 from recordlake.workloads import _sql as S
@@ -143,11 +141,7 @@ SELECT page_id, pos, href, filename, program FROM classified
 # ---- E6 discovery: table links first, page links second, one per canonical URL
 
 def q_discover_candidates(spark, d):
-    lp = listing_pages(spark, d)
-    table_c = candidates_from_table_links(extract_table_links(lp))
-    page_c = candidates_from_page_links(classify_with_context(lp))
-    best = dedupe_by_priority(table_c.unionByName(page_c), "url", [F.col("section"), F.col("page_id"), F.col("position")])
-    return best.select("program", "url", "filename", "year", "page_id", "section")
+    return discover_candidates(listing_pages(spark, d)).select("program", "url", "filename", "year", "page_id", "section")
 
 
 SQL_CANDIDATES = f"""
