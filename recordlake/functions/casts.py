@@ -17,15 +17,17 @@ INFINITY_PATTERN = r"(?i)^\s*[+-]?(inf|infinity)\s*$"
 
 # Formats tried in order; the first that parses wins (a row-wise superset of a
 # per-column inferred format). Single-letter fields accept one or two digits.
+# Each format has a cheap shape test, so a value is handed only to the parser
+# that can accept it (failed parse attempts are expensive).
 TIMESTAMP_FORMATS = (
-    "yyyy-M-d H:m:s",
-    "yyyy-M-d'T'H:m:s",
-    "yyyy-M-d",
-    "M/d/yyyy H:m:s",
-    "M/d/yyyy H:m",
-    "M/d/yyyy",
-    "d-MMM-yyyy",
-    "d-MMM-yy",
+    ("yyyy-M-d H:m:s", r"^\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{1,2}:\d{1,2}$"),
+    ("yyyy-M-d'T'H:m:s", r"^\d{4}-\d{1,2}-\d{1,2}T\d{1,2}:\d{1,2}:\d{1,2}$"),
+    ("yyyy-M-d", r"^\d{4}-\d{1,2}-\d{1,2}$"),
+    ("M/d/yyyy H:m:s", r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{1,2}:\d{1,2}$"),
+    ("M/d/yyyy H:m", r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{1,2}$"),
+    ("M/d/yyyy", r"^\d{1,2}/\d{1,2}/\d{4}$"),
+    ("d-MMM-yyyy", r"^\d{1,2}-[A-Za-z]{3}-\d{4}$"),
+    ("d-MMM-yy", r"^\d{1,2}-[A-Za-z]{3}-\d{2}$"),
 )
 
 # Range of a nanosecond timestamp: values outside become null.
@@ -69,6 +71,7 @@ def coerce_timestamp(c, formats=TIMESTAMP_FORMATS) -> Column:
     s = _stripped(c)
     # wall-clock (zone-less) result, like a naive parsed timestamp: parse in the
     # session zone and convert back, so the session zone never shifts values
-    ts = F.coalesce(*[F.try_to_timestamp(s, F.lit(f)) for f in formats]).cast("timestamp_ntz")
+    ts = F.coalesce(*[F.when(s.rlike(shape), F.try_to_timestamp(s, F.lit(fmt))) for fmt, shape in formats]
+                    ).cast("timestamp_ntz")
     in_range = ts.between(F.lit(TIMESTAMP_MIN).cast("timestamp_ntz"), F.lit(TIMESTAMP_MAX).cast("timestamp_ntz"))
     return F.when(in_range, ts)
