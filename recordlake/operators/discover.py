@@ -6,8 +6,10 @@ whole-stage code and scales with the number of pages.
 
 Tokenisation is regular, not a DOM: an element's text is its first text node,
 and the "enclosing block" of a link is the nearest block start tag before it.
-Script, style and comment sections are removed first. Deeply nested or broken
-markup can therefore differ from a tree parser; see README.
+Script, style and comment sections are removed first. Where nested tables or
+full element texts matter, ``engine="tree"`` uses the element tree built by
+``html_tree`` instead; both engines feed the same event shape (``a`` links with
+their block text, ``h`` headings, ``t`` table links) into the same Spark code.
 """
 
 from __future__ import annotations
@@ -152,34 +154,6 @@ def extract_table_links(pages: DataFrame, id_col: str = "page_id", html_col: str
             .select("page_id", "page_url", "table_pos", "row_pos", "link_pos", "context", "href"))
 
 
-def candidates_from_table_links(links: DataFrame) -> DataFrame:
-    """X1 -> X3/X4/X5/X7/X8/X9/X10: table-section file candidates."""
-    fname = filename_of(F.col("href"))
-    return (links.where(filter_extension(F.col("href")))
-            .withColumn("filename", fname)
-            .where(~skip_deprecated(F.col("filename"), F.col("context")))
-            .withColumn("program", classify_program(F.col("filename"), F.col("context")))
-            .where(F.col("program").isNotNull())
-            .select("page_id", "program",
-                    normalize_url(resolve_url(F.col("page_url"), F.col("href"))).alias("url"),
-                    "filename", extract_year(F.col("filename")).alias("year"),
-                    F.lit(0).alias("section"),
-                    F.struct("table_pos", "row_pos", "link_pos").alias("position")))
-
-
-def candidates_from_page_links(classified: DataFrame) -> DataFrame:
-    """X6 output -> page-wide file candidates (no context for the skip test)."""
-    return (classified.where(filter_extension(F.col("href")))
-            .where(~skip_deprecated(F.col("filename")))
-            .where(F.col("program").isNotNull())
-            .select("page_id", "program",
-                    normalize_url(resolve_url(F.col("page_url"), F.col("href"))).alias("url"),
-                    "filename", extract_year(F.col("filename")).alias("year"),
-                    F.lit(1).alias("section"),
-                    F.struct(F.lit(0).alias("table_pos"), F.col("pos").alias("row_pos"),
-                             F.lit(0).alias("link_pos")).alias("position")))
-
-
 def _regex_events(pages: DataFrame, id_col: str, html_col: str, url_col: str) -> DataFrame:
     """One scan and one cleaning pass per page: document tokens and table links
     are built as two arrays in one projection and exploded once, giving the
