@@ -289,11 +289,16 @@ def record_failures(table: DataFrame, failures: DataFrame, source_id: str, file_
     return table.unionByName(rows.select(*table.columns))
 
 
-def create_manifest_table(spark: SparkSession, name: str, location: str | None = None) -> None:
-    """M9: create the 17-column versioned manifest table if it does not exist
-    (Parquet; defaults honoured, NOT NULL documented but not enforced by the
-    format: check with :func:`check_not_null` before writing)."""
+def create_manifest_table(spark: SparkSession, name: str, location: str | None = None,
+                          database: str | None = None) -> None:
+    """M9: create the schema (``database``, optional) and the 17-column
+    versioned manifest table if they do not exist (Parquet; defaults honoured,
+    NOT NULL documented but not enforced by the format: check with
+    :func:`check_not_null` before writing)."""
     loc = f" LOCATION '{location}'" if location else ""
+    if database:
+        spark.sql(f"CREATE SCHEMA IF NOT EXISTS {database}")
+        name = f"{database}.{name}"
     spark.sql(f"""
         CREATE TABLE IF NOT EXISTS {name} (
             source_id      STRING    NOT NULL COMMENT 'data source',

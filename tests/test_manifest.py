@@ -127,6 +127,9 @@ def test_not_null_check(spark):
 
 
 def test_table_defaults(spark, tmp_root):
+    create_manifest_table(spark, "m", f"{tmp_root}/tbl_db", database="recordlake_test_db")
+    assert spark.catalog.tableExists("recordlake_test_db.m")
+    spark.sql("DROP TABLE recordlake_test_db.m")
     create_manifest_table(spark, "test_manifest_defaults", f"{tmp_root}/tbl")
     spark.sql("INSERT INTO test_manifest_defaults (source_id, file_type, period, url, filename, saved_path) "
               "VALUES ('s', 'performance', 'P', 'u', 'f', '/p')")
