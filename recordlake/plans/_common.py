@@ -125,7 +125,8 @@ def harmonized_union(spark: SparkSession, files: Sequence, schema: Sequence[str]
                              F.struct(F.col("_metadata.file_path").alias("f"), F.lit(0).cast("long").alias("b"),
                                       F.col("_metadata.row_index").alias("r")).alias("_row"))
             pos = raw.toDF(*positional_names(len(names)), "_fp", "_row")
-            pos = pos.select(*[F.col(c).cast("string").alias(c) for c in positional_names(len(names))], "_fp", "_row")
+            text = [F.col(c).cast("string").alias(c) for c in positional_names(len(names))]
+            pos = pos.select(*text, "_fp", "_row")
         else:
             raw = scan_text_csv(spark, paths, positional=True, names=names)
             pos = raw.select("*", F.col("_metadata.file_path").alias("_fp"),
@@ -151,7 +152,8 @@ def harmonized_union(spark: SparkSession, files: Sequence, schema: Sequence[str]
                     keep = frozenset(i for i in suspects if r[f"_p{i}"] > 0)
                     by_result.setdefault(keep, []).append(r["_i"])
                 others = set(range(len(names))) - set(suspects)
-                subsets = [(entries, drop_all_null_columns(slots, others | keep)) for keep, entries in by_result.items()]
+                subsets = [(entries, drop_all_null_columns(slots, others | keep))
+                           for keep, entries in by_result.items()]
         for entries, ss in subsets:
             part = pos
             if entries is not None and len(subsets) > 1:
@@ -164,8 +166,8 @@ def harmonized_union(spark: SparkSession, files: Sequence, schema: Sequence[str]
                 cols.update(per_file(F.col("_year"), F.col("_file")))
             order = F.struct(F.col("_i").alias("i"), F.col("_row.f").alias("f"), F.col("_row.b").alias("b"),
                              F.col("_row.r").alias("r"))
-            frames.append(part.select(*[(cols[n] if n in cols else F.lit(None)).cast("string").alias(n) for n in schema],
-                                      order.alias("_ord")))
+            aligned = [(cols[n] if n in cols else F.lit(None)).cast("string").alias(n) for n in schema]
+            frames.append(part.select(*aligned, order.alias("_ord")))
     if not frames:
         raise FileNotFoundError("no readable vintage files")
     out = frames[0]
