@@ -99,7 +99,8 @@ def union_schema(spark: SparkSession, files: Sequence, resolve: Callable, normal
 
 def harmonized_union(spark: SparkSession, files: Sequence, schema: Sequence[str], resolve: Callable,
                      per_file: Callable[[Column, Column], dict] | None = None,
-                     normalize: bool = True, drop_all_null: bool = True) -> DataFrame:
+                     normalize: bool = True, drop_all_null: bool = True,
+                     ignore_corrupt: bool = False) -> DataFrame:
     """Read vintage files grouped by identical raw header lists (one scan per
     group, not per file), resolve headers once per group, and align all groups
     to ``schema``.
@@ -110,6 +111,8 @@ def harmonized_union(spark: SparkSession, files: Sequence, schema: Sequence[str]
     rules after H3); the all-null test (H3) runs as one grouped aggregate per
     header group, only on contested columns. ``per_file`` returns extra
     columns computed from (year, file name) columns, e.g. a form type.
+    ``ignore_corrupt=True`` skips unreadable files instead of failing (off by
+    default: a silently missing vintage changes the result).
     """
     groups: dict = {}
     for i, f in enumerate(files):
@@ -120,7 +123,7 @@ def harmonized_union(spark: SparkSession, files: Sequence, schema: Sequence[str]
         names = list(header)
         paths = [m["path"] for m in members]
         if ext == ".parquet":
-            raw = spark.read.parquet(*paths)
+            raw = spark.read.option("ignoreCorruptFiles", ignore_corrupt).parquet(*paths)
             raw = raw.select("*", F.col("_metadata.file_path").alias("_fp"),
                              F.struct(F.col("_metadata.file_path").alias("f"), F.lit(0).cast("long").alias("b"),
                                       F.col("_metadata.row_index").alias("r")).alias("_row"))
@@ -128,7 +131,7 @@ def harmonized_union(spark: SparkSession, files: Sequence, schema: Sequence[str]
             text = [F.col(c).cast("string").alias(c) for c in positional_names(len(names))]
             pos = pos.select(*text, "_fp", "_row")
         else:
-            raw = scan_text_csv(spark, paths, positional=True, names=names)
+            raw = scan_text_csv(spark, paths, positional=True, names=names, ignore_corrupt=ignore_corrupt)
             pos = raw.select("*", F.col("_metadata.file_path").alias("_fp"),
                              F.struct(F.col("_metadata.file_path").alias("f"),
                                       F.col("_metadata.file_block_start").alias("b"),

@@ -30,7 +30,7 @@ from recordlake.sources.sinks import write_csv
 
 def compile_lca(spark: SparkSession, root: str, *, schema: Sequence[str] = cfg.CANONICAL_COLUMNS,
                 aliases=cfg.ALIASES, batch_rows: int = cfg.DEDUPE_BATCH_ROWS, csv_hop_nulls: bool = True,
-                null_key: str = "literal", out: str | None = None) -> DataFrame:
+                null_key: str = "literal", out: str | None = None, ignore_corrupt: bool = False) -> DataFrame:
     """S1 -> S5 -> S7 -> H1..H7 -> H12 -> H11 -> U2 -> U1 -> D2 (-> K1).
 
     Files with identical raw headers are read as one scan and resolved once
@@ -43,7 +43,7 @@ def compile_lca(spark: SparkSession, root: str, *, schema: Sequence[str] = cfg.C
     files = main_files(spark, root, filter_companion_files, land=False)
     if not files:
         raise FileNotFoundError(f"no vintage files under {root}")
-    u = harmonized_union(spark, files, schema, resolve_names(aliases))
+    u = harmonized_union(spark, files, schema, resolve_names(aliases), ignore_corrupt=ignore_corrupt)
     key = normalize_key_strip_upper(F.col("case_number"), null_key=null_key)
     hop = null_tokens if csv_hop_nulls else (lambda c: c)
     u = u.select(*[hop(key if c == "case_number" else F.col(c)).alias(c) for c in schema],

@@ -35,7 +35,7 @@ def form_type_of(filename: str, year: str, last_old_year: int = cfg.LAST_OLD_FOR
 
 def compile_perm(spark: SparkSession, root: str, schema: Sequence[str] | None = None, *, aliases=cfg.ALIASES,
                  alias_policy: str = "sequential_move", null_key: str = "literal",
-                 out: str | None = None) -> DataFrame:
+                 out: str | None = None, ignore_corrupt: bool = False) -> DataFrame:
     """S1 -> H13 -> S7 -> H1..H4 -> H8 -> H12 -> H11 -> U1 -> U3 -> D1 (-> K1).
 
     ``schema`` is the canonical column list; without it, the ordered union of
@@ -54,7 +54,8 @@ def compile_perm(spark: SparkSession, root: str, schema: Sequence[str] | None =
     if schema is None:
         schema = union_schema(spark, files, resolve, extra=("year", "form_type"))
     u = harmonized_union(spark, files, schema, resolve,
-                         per_file=lambda year, name: {"form_type": detect_form_type(name, year)})
+                         per_file=lambda year, name: {"form_type": detect_form_type(name, year)},
+                         ignore_corrupt=ignore_corrupt)
     if "case_number" in schema:
         u = u.withColumn("case_number", normalize_key_upper(F.col("case_number"), null_key=null_key))
         u = dedupe_keep_first(u, "case_number", [F.col("_ord")], null_key="keep" if null_key == "keep" else "group")

@@ -154,7 +154,8 @@ def csv_header(spark: SparkSession, path: str) -> list[str]:
 
 def scan_text_csv(spark: SparkSession, path, usecols: Sequence[str] | None = None,
                   tokens: Sequence[str] | None = PANDAS_DEFAULT_NA_TOKENS, positional: bool = False,
-                  names: Sequence[str] | None = None, multiline: bool = True) -> DataFrame:
+                  names: Sequence[str] | None = None, multiline: bool = True,
+                  ignore_corrupt: bool = False) -> DataFrame:
     """S3: read a CSV as text with the reader-level null tokens applied.
 
     Headers are taken verbatim (duplicates, blanks and case are kept; see T20):
@@ -167,7 +168,7 @@ def scan_text_csv(spark: SparkSession, path, usecols: Sequence[str] | None = Non
     names = list(names) if names is not None else csv_header(spark, path if isinstance(path, str) else path[0])
     schema = T.StructType([T.StructField(n, T.StringType()) for n in positional_names(len(names))])
     df = (spark.read.option("header", True).option("enforceSchema", True).option("multiLine", multiline)
-          .option("escape", '"').schema(schema).csv(path))
+          .option("escape", '"').option("ignoreCorruptFiles", ignore_corrupt).schema(schema).csv(path))
     if tokens:
         df = df.select(*[null_tokens(F.col(c), tokens).alias(c) for c in df.columns])
     if positional:
