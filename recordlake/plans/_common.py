@@ -1,11 +1,13 @@
 from __future__ import annotations
 
+import json
 import logging
 import warnings
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from recordlake.operators.headers import (
     contested_columns, drop_all_null_columns, drop_duplicate_headers, normalize_headers, positional_names,
@@ -55,6 +57,26 @@ def _raw_header(spark: SparkSession, f) -> tuple:
     return tuple(csv_header(spark, f["path"]))
 
 
+def _group_key(spark: SparkSession, f) -> tuple:
+    """Files read together must agree on raw header names (and, for Parquet, types)."""
+    if f["extension"] == ".parquet":
+        schema = spark.read.parquet(f["path"]).schema  # footer only
+        return (tuple(schema.fieldNames()), schema.json())
+    return (tuple(csv_header(spark, f["path"])), None)
+
+
+def _readable_header(spark: SparkSession, f, ignore_corrupt: bool):
+    """Raw header of a file; with ``ignore_corrupt`` an unreadable file gives
+    None (and a warning) instead of an error."""
+    try:
+        return _group_key(spark, f)
+    except Exception as e:  # noqa: BLE001 - only swallowed when asked to
+        if not ignore_corrupt:
+            raise
+        warnings.warn(f"skipping unreadable file {f['path']}: {str(e).splitlines()[0][:200]}")
+        return None
+
+
 def _encoded(spark: SparkSession, path: str) -> str:
     """A path as file scans report it (URI-encoded)."""
     return spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path).toUri().toString()
@@ -116,14 +138,19 @@ def harmonized_union(spark: SparkSession, files: Sequence, schema: Sequence[str]
     """
     groups: dict = {}
     for i, f in enumerate(files):
+        header = _readable_header(spark, f, ignore_corrupt)
+        if header is None:
+            continue
         row = dict(f.asDict(), _i=i)
-        groups.setdefault((f["extension"], _raw_header(spark, f)), []).append(row)
+        groups.setdefault((f["extension"], header), []).append(row)
     frames = []
-    for (ext, header), members in groups.items():
+    for (ext, (header, schema_json)), members in groups.items():
         names = list(header)
         paths = [m["path"] for m in members]
         if ext == ".parquet":
-            raw = spark.read.option("ignoreCorruptFiles", ignore_corrupt).parquet(*paths)
+            # the group's schema is known from the footers already read: no inference
+            schema_of_group = T.StructType.fromJson(json.loads(schema_json))
+            raw = spark.read.schema(schema_of_group).option("ignoreCorruptFiles", ignore_corrupt).parquet(*paths)
             raw = raw.select("*", F.col("_metadata.file_path").alias("_fp"),
                              F.struct(F.col("_metadata.file_path").alias("f"), F.lit(0).cast("long").alias("b"),
                                       F.col("_metadata.row_index").alias("r")).alias("_row"))

@@ -124,3 +124,18 @@ def test_grouped_vintages_share_one_scan(spark, tmp_root):
     # batches (2 rows each, load order Q1, Q2, 2021): [q1-a q1-b] [q2-a q1-a] [q1-b z]
     assert got == {"Q1-A": ("Certified", "2020"), "Q1-B": ("Denied", "2020"), "Q2-A": ("Withdrawn", "2020"),
                    "Z": ("Denied", "2021")}
+
+
+def test_corrupt_vintage_fails_unless_ignored(spark, tmp_root):
+    write(f"{tmp_root}/2020/LCA_FY2020.csv", "CASE_NUMBER,CASE_STATUS\na,Certified\n")
+    spark.createDataFrame([("b", "Denied")], "CASE_NUMBER string, CASE_STATUS string").write.parquet(
+        f"{tmp_root}/2021/LCA_FY2021.parquet")
+    import glob
+    part = sorted(glob.glob(f"{tmp_root}/2021/LCA_FY2021.parquet/part-*.parquet"))[0]
+    with open(part, "r+b") as f:  # keep the footer, break the data pages
+        f.seek(4)
+        f.write(b"\x00" * 64)
+    with pytest.raises(Exception):
+        compile_lca(spark, tmp_root).count()
+    out = compile_lca(spark, tmp_root, ignore_corrupt=True)
+    assert "A" in {r["case_number"] for r in out.collect()}
