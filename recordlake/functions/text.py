@@ -21,10 +21,26 @@ def ustrip(c) -> Column:
     return F.regexp_replace(as_col(c), _STRIP_PATTERN, "")
 
 
+_TOKEN_ARRAYS: dict = {}
+
+
+def token_array(tokens) -> Column:
+    """One array literal per token list and session, built once: applying a
+    token test to hundreds of columns then costs no per-column literal setup."""
+    from pyspark.sql import SparkSession
+    spark = SparkSession.getActiveSession()
+    key = (tuple(tokens), spark.sparkContext.applicationId if spark else None)
+    arr = _TOKEN_ARRAYS.get(key)
+    if arr is None:
+        arr = F.array(*[F.lit(t) for t in tokens]).cast("array<string>")
+        _TOKEN_ARRAYS[key] = arr
+    return arr
+
+
 def null_tokens(c, tokens=PANDAS_DEFAULT_NA_TOKENS) -> Column:
     """C11: map reader-level null tokens (exact match, no strip) to null."""
     c = as_col(c)
-    return F.when(c.isin(*tokens), F.lit(None).cast("string")).otherwise(c)
+    return F.when(F.array_contains(token_array(tokens), c), F.lit(None).cast("string")).otherwise(c)
 
 
 def clean_text(c, tokens=STRINGIFIED_NULL_TOKENS) -> Column:

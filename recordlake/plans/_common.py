@@ -122,7 +122,8 @@ def union_schema(spark: SparkSession, files: Sequence, resolve: Callable, normal
 def harmonized_union(spark: SparkSession, files: Sequence, schema: Sequence[str], resolve: Callable,
                      per_file: Callable[[Column, Column], dict] | None = None,
                      normalize: bool = True, drop_all_null: bool = True,
-                     ignore_corrupt: bool = False) -> DataFrame:
+                     ignore_corrupt: bool = False,
+                     value_fn: Callable[[str, Column], Column] | None = None) -> DataFrame:
     """Read vintage files grouped by identical raw header lists (one scan per
     group, not per file), resolve headers once per group, and align all groups
     to ``schema``.
@@ -134,7 +135,8 @@ def harmonized_union(spark: SparkSession, files: Sequence, schema: Sequence[str]
     header group, only on contested columns. ``per_file`` returns extra
     columns computed from (year, file name) columns, e.g. a form type.
     ``ignore_corrupt=True`` skips unreadable files instead of failing (off by
-    default: a silently missing vintage changes the result).
+    default: a silently missing vintage changes the result). ``value_fn(name,
+    column)`` transforms the columns a vintage has (missing ones stay null).
     """
     groups: dict = {}
     for i, f in enumerate(files):
@@ -191,12 +193,15 @@ def harmonized_union(spark: SparkSession, files: Sequence, schema: Sequence[str]
             # one select per group: resolved columns, year (H12), per-file
             # columns, typed nulls for the rest of the schema (H11), load order
             cols = {s.name: F.col(f"_p{s.index}") for s in resolve(ss)}
+            if value_fn is not None:
+                cols = {n: value_fn(n, c) for n, c in cols.items()}
             cols["year"] = F.col("_year")
             if per_file:
                 cols.update(per_file(F.col("_year"), F.col("_file")))
             order = F.struct(F.col("_i").alias("i"), F.col("_row.f").alias("f"), F.col("_row.b").alias("b"),
                              F.col("_row.r").alias("r"))
-            aligned = [(cols[n] if n in cols else F.lit(None)).cast("string").alias(n) for n in schema]
+            missing = F.lit(None).cast("string")  # one typed null, aliased per missing column
+            aligned = [(cols[n].cast("string") if n in cols else missing).alias(n) for n in schema]
             frames.append(part.select(*aligned, order.alias("_ord")))
     if not frames:
         raise FileNotFoundError("no readable vintage files")

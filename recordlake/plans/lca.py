@@ -43,10 +43,13 @@ def compile_lca(spark: SparkSession, root: str, *, schema: Sequence[str] = cfg.C
     files = main_files(spark, root, filter_companion_files, land=False)
     if not files:
         raise FileNotFoundError(f"no vintage files under {root}")
-    u = harmonized_union(spark, files, schema, resolve_names(aliases), ignore_corrupt=ignore_corrupt)
-    key = normalize_key_strip_upper(F.col("case_number"), null_key=null_key)
+    # the CSV hop's null tokens: on the columns a vintage has, and on the key
+    # only after it is normalised (as the source wrote keys, then read them back)
     hop = null_tokens if csv_hop_nulls else (lambda c: c)
-    u = u.select(*[hop(key if c == "case_number" else F.col(c)).alias(c) for c in schema],
+    u = harmonized_union(spark, files, schema, resolve_names(aliases), ignore_corrupt=ignore_corrupt,
+                         value_fn=lambda name, c: c if name == "case_number" else hop(c))
+    key = hop(normalize_key_strip_upper(F.col("case_number"), null_key=null_key))
+    u = u.select(*[key.alias(c) if c == "case_number" else F.col(c) for c in schema],
                  F.col("_ord.i").alias("_i"), F.col("_ord.f").alias("_f"), F.col("_ord.b").alias("_b"),
                  F.col("_ord.r").alias("_r"))
     u = global_positions(u, ["_i", "_f", "_b"], "_r")

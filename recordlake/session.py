@@ -19,7 +19,9 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: st
          .config("spark.sql.adaptive.skewJoin.enabled", "true")
          .config("spark.sql.session.timeZone", "UTC")
          .config("spark.ui.enabled", "false")
-         .config("spark.sql.execution.arrow.pyspark.enabled", "true"))
+         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+         # no Python call-site capture per Column call (plans here build many columns)
+         .config("spark.python.sql.dataFrameDebugging.enabled", "false"))
     for k, v in (extra or {}).items():
         b = b.config(k, v)
     spark = b.getOrCreate()
