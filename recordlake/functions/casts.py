@@ -51,14 +51,16 @@ def coerce_double(c) -> Column:
 def coerce_long(c, on_fraction: str = "raise") -> Column:
     """Text -> number -> nullable long.
 
-    A fractional or infinite value is an error by default (``on_fraction="raise"``),
-    as a nullable-integer cast would refuse it; ``on_fraction="null"`` maps it to null.
+    A fractional, infinite or out-of-range value is an error by default
+    (``on_fraction="raise"``), as a nullable-integer cast would refuse it;
+    ``on_fraction="null"`` maps it to null.
     Never truncates or rounds.
     """
     d = coerce_double(c)
-    bad = d.isNotNull() & ((F.abs(d) == float("inf")) | (d != F.floor(d)))
+    # fractions, infinities and values beyond the 64-bit range cannot become a long
+    bad = d.isNotNull() & ((F.abs(d) >= 9.223372036854775807e18) | (d != F.floor(d)))
     if on_fraction == "raise":
-        fail = F.raise_error(F.concat(F.lit("cannot cast a fractional value to an integer: "),
+        fail = F.raise_error(F.concat(F.lit("cannot cast a fractional or out-of-range value to an integer: "),
                                       as_col(c).cast("string")))
         return F.when(bad, fail.cast("long")).otherwise(d.cast("long"))
     if on_fraction == "null":

@@ -216,7 +216,7 @@ def _sql_double(x):
 
 def _sql_long(x):
     v = _sql_double(x)
-    return f"(CASE WHEN {v} = floor({v}) THEN CAST({v} AS BIGINT) END)"
+    return f"(CASE WHEN {v} = floor({v}) AND abs({v}) < 9.223372036854775807e18 THEN CAST({v} AS BIGINT) END)"
 
 
 def _sql_text(x):

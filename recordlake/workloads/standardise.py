@@ -183,7 +183,7 @@ p AS (
 SELECT orderkey, linenumber, raw,
   CASE WHEN isinf(d0) OR isnan(d0) THEN NULL ELSE d0 END AS as_double,
   qty_raw,
-  CASE WHEN q0 = floor(q0) AND NOT isinf(q0) THEN CAST(q0 AS BIGINT) END AS as_long
+  CASE WHEN q0 = floor(q0) AND abs(q0) < 9.223372036854775807e18 THEN CAST(q0 AS BIGINT) END AS as_long
 FROM p
 """
 

@@ -59,7 +59,8 @@ def test_t6_numbers(spark):
 
 def test_t7_fractions(spark):
     assert col1(spark, ["1", "0", "1.0", None], coerce_long) == [1, 0, 1, None]
-    assert col1(spark, ["0.5", "2"], lambda c: coerce_long(c, on_fraction="null")) == [None, 2]
+    assert col1(spark, ["0.5", "2", "1e30", "-9e18"], lambda c: coerce_long(c, on_fraction="null")) == [
+        None, 2, None, -9000000000000000000]
     with pytest.raises(Exception, match="fractional"):
         col1(spark, ["0.5"], coerce_long)
 
