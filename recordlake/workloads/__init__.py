@@ -8,10 +8,11 @@ directly.
 """
 
 from recordlake.workloads import (  # noqa: F401
-    harmonise, standardise, dedupe, profile, discovery, manifest, layout, sources, flows, streaming,
+    harmonise, standardise, dedupe, profile, discovery, manifest, layout, sources, flows, streaming, scalars,
 )
 
-MODULES = [harmonise, standardise, dedupe, profile, discovery, manifest, layout, sources, flows, streaming]
+MODULES = [harmonise, standardise, dedupe, profile, discovery, manifest, layout, sources, flows, streaming,
+           scalars]
 
 
 def prepare(spark, sf_dir: str) -> None:

@@ -41,7 +41,7 @@ def con():
 def test_contract():
     q, o = E.queries(), E.oracle_sql()
     assert set(o) <= set(q)
-    assert len(o) >= 50
+    assert len(o) >= 56
 
 
 def test_entry(spark):
