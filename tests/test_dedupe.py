@@ -85,3 +85,16 @@ def test_first_batch_join_is_keyed_on_key_and_batch(spark):
         assert out.count() == 334 + (20000 - 6667)
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_global_positions_without_broadcast(spark):
+    df = spark.createDataFrame([(1, "f2", 10), (1, "f2", 11), (0, "f9", 0), (1, "f1", 0), (0, "f9", 1)],
+                               "i int, f string, r long")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = global_positions(df, ["i", "f"], "r", max_broadcast_rows=0)  # beyond the bound: plain join
+        assert "BroadcastHashJoin" not in out._jdf.queryExecution().executedPlan().toString()
+        got = sorted((r["i"], r["f"], r["r"], r["_pos"]) for r in out.collect())
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert got == [(0, "f9", 0, 0), (0, "f9", 1, 1), (1, "f1", 0, 2), (1, "f2", 10, 3), (1, "f2", 11, 4)]

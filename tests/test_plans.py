@@ -139,3 +139,13 @@ def test_corrupt_vintage_fails_unless_ignored(spark, tmp_root):
         compile_lca(spark, tmp_root).count()
     out = compile_lca(spark, tmp_root, ignore_corrupt=True)
     assert "A" in {r["case_number"] for r in out.collect()}
+
+
+def test_compile_without_listing_broadcast(spark, tmp_root, monkeypatch):
+    import recordlake.plans._common as common
+    monkeypatch.setattr(common, "MAX_FILES_BROADCAST", 0)  # beyond the bound: a plain join on the entry
+    write(f"{tmp_root}/2020/LCA_FY2020_Q1.csv", "CASE_NO,STATUS\na,Certified\nb,Denied\n")
+    write(f"{tmp_root}/2020/LCA_FY2020_Q2.csv", "CASE_NO,STATUS\na,Withdrawn\nc,Denied\n")
+    got = sorted((r["case_number"], r["case_status"]) for r in compile_lca(spark, tmp_root, batch_rows=10).collect())
+    # one batch holds all four rows, so both rows of A survive (duplicates inside the first batch stay)
+    assert got == [("A", "Certified"), ("A", "Withdrawn"), ("B", "Denied"), ("C", "Denied")]
