@@ -57,3 +57,20 @@ def test_mapping_table_last_duplicate_wins(spark, tmp_root):
     p = f"{tmp_root}/map.csv"
     write(p, "ORIGINAL,FINAL_2025\n A ,X\nB,Y\nA, Z \n")
     assert load_mapping_table(spark, p) == {"A": "Z", "B": "Y"}
+
+
+def test_csv_row_order_across_splits(spark, tmp_root):
+    from pyspark.sql import functions as F
+    from recordlake.operators.dedupe import global_positions
+    p = f"{tmp_root}/2020/big.csv"
+    write(p, "k,v\n" + "".join(f"{i},{'x' * (i % 7)}\n" for i in range(3000)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        df = read_text_vintage(spark, p, ".csv", multiline=False)
+        assert df.rdd.getNumPartitions() > 1
+        pos = global_positions(df.select("k", F.col("_row.f").alias("f"), F.col("_row.b").alias("b"),
+                                         F.col("_row.r").alias("r")), ["f", "b"], "r")
+        got = sorted((int(r["_pos"]), int(r["k"])) for r in pos.collect())
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert got == [(i, i) for i in range(3000)]
