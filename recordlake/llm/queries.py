@@ -8,7 +8,9 @@ from recordlake.llm import op1_langid as langid
 from recordlake.llm import op2_probminhash as near
 from recordlake.llm import op4_containment as containment
 from recordlake.llm import op5_sentencepiece as sentencepiece_
+from recordlake.llm import op6_pii as pii
 from recordlake.llm import op7_hash_tree as hash_tree
+from recordlake.llm import op8_licences as licence
 from recordlake.llm import op10_stream_dedup as stream
 from recordlake.llm.common import table
 
@@ -33,11 +35,19 @@ def op5(spark, sf_dir):
     return sentencepiece_.encode(spark, docs, ids=False, check=True).drop("text")
 
 
+def op6(spark, sf_dir):
+    return pii.personal_data(table(spark, sf_dir, "documents")).drop("found")
+
+
 def op7(spark, sf_dir):
     root = hash_tree.tree(16)
     return hash_tree.shard_rows(table(spark, sf_dir, "documents"), root, hash_tree.grow(root, 16))
 
 
+def op8(spark, sf_dir):
+    return licence.scan(table(spark, sf_dir, "documents"))
+
+
 def op10(spark, sf_dir):
     out = stream.stream_dedup(spark, table(spark, sf_dir, "documents"))
     return out.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
@@ -48,7 +58,9 @@ QUERIES = {
     "op2_probminhash": op2,
     "op4_minhash_containment": op4,
     "op5_suffix_array_sentencepiece": op5,
+    "op6_bootstrapped_pii": op6,
     "op7_weighted_hash_tree": op7,
+    "op8_licence_digests": op8,
     "op10_streaming_exact_dedup": op10,
 }
 
