@@ -6,11 +6,13 @@ from pyspark.sql import functions as F
 
 from recordlake.llm import op1_langid as langid
 from recordlake.llm import op2_probminhash as near
+from recordlake.llm import op3_segment_join as lines
 from recordlake.llm import op4_containment as containment
 from recordlake.llm import op5_sentencepiece as sentencepiece_
 from recordlake.llm import op6_pii as pii
 from recordlake.llm import op7_hash_tree as hash_tree
 from recordlake.llm import op8_licences as licence
+from recordlake.llm import op9_masked_lm as lm
 from recordlake.llm import op10_stream_dedup as stream
 from recordlake.llm.common import table
 
@@ -25,6 +27,11 @@ def op2(spark, sf_dir):
     return near.near_classes(table(spark, sf_dir, "documents")).drop("fh", "row")
 
 
+def op3(spark, sf_dir):
+    out = lines.dedup_lines(table(spark, sf_dir, "documents"))
+    return out.withColumn("clean_sha256", F.sha2(F.coalesce("clean", F.lit("")), 256)).drop("fh", "row", "clean")
+
+
 def op4(spark, sf_dir):
     found = containment.leaks(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.drop("fh", "row")
@@ -48,6 +55,10 @@ def op8(spark, sf_dir):
     return licence.scan(table(spark, sf_dir, "documents"))
 
 
+def op9(spark, sf_dir):
+    return lm.score(spark, table(spark, sf_dir, "documents"))
+
+
 def op10(spark, sf_dir):
     out = stream.stream_dedup(spark, table(spark, sf_dir, "documents"))
     return out.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
@@ -56,11 +67,13 @@ def op10(spark, sf_dir):
 QUERIES = {
     "op1_segmentation_unigrams": op1,
     "op2_probminhash": op2,
+    "op3_segment_line_dedup": op3,
     "op4_minhash_containment": op4,
     "op5_suffix_array_sentencepiece": op5,
     "op6_bootstrapped_pii": op6,
     "op7_weighted_hash_tree": op7,
     "op8_licence_digests": op8,
+    "op9_masked_lm": op9,
     "op10_streaming_exact_dedup": op10,
 }
 
