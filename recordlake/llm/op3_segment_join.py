@@ -5,7 +5,7 @@ Lines within an edit distance of ``DISTANCE`` are near copies. A line is split i
 include one that occurs in the other, near its own place (pigeonhole). Every line indexes
 its segments under (length, number, content) and probes the substrings of the multi-match
 aware ranges for each length that is not longer and at most ``DISTANCE`` shorter. Pairs
-that meet are verified with a banded bit-parallel automaton: bits are the diagonals of the
+that meet, and whose character pairs' parities don't prove them farther apart, are verified with a banded bit-parallel automaton: bits are the diagonals of the
 band, one word for each number of errors, all pairs of a batch at a time.
 
 Equal lines are one node, combined before any shuffle. Classes are the connected
@@ -82,6 +82,17 @@ def keys(lines: list[str], distance: int, index: bool) -> tuple[np.ndarray, np.n
     return np.concatenate(who), np.concatenate(out)
 
 
+def parities(lines: list[str]) -> np.ndarray:
+    """64 bits of each line: the parities of its hashed character pairs. One edit changes at
+    most four of them, so lines within d edits differ in at most 4d bits."""
+    data = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    length = np.fromiter(map(len, lines), np.int64, len(lines))
+    pair = mix(data[:-1] * np.uint64(0x1F123BB5) + data[1:])
+    bit = np.append(np.uint64(1) << (pair >> np.uint64(58)), np.uint64(0))
+    bit[np.cumsum(length) - 1] = 0  # a pair that reaches into the next line
+    return np.bitwise_xor.reduceat(bit, np.cumsum(length) - length)
+
+
 def within(pairs: list[tuple[str, str]], distance: int) -> np.ndarray:
     """Whether the edit distance of each pair is at most ``distance``."""
     n = len(pairs)
@@ -145,11 +156,15 @@ def near_pairs(docs: DataFrame, text: str = "text", distance: int = DISTANCE, sh
             for batch, texts in chunks(batches):
                 ids = batch.column(batch.schema.get_field_index("id")).to_numpy()
                 _, one = np.unique(ids, return_index=True)
-                who, key = keys([texts[i] for i in one], distance, index)
-                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(ids[one][who])], ["key", "id"])
-        return long.mapInArrow(run, "key long, id long")
-    index, probe = sign(True).withColumnRenamed("id", "x"), sign(False).withColumnRenamed("id", "y")
-    pairs = index.join(probe, "key").where("x != y").select(
+                mine = [texts[i] for i in one]
+                who, key = keys(mine, distance, index)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(key.view(np.int64)), pa.array(ids[one][who]), pa.array(parities(mine).view(np.int64)[who])],
+                    ["key", *names])
+        names = ["x", "px"] if index else ["y", "py"]
+        return long.mapInArrow(run, f"key long, {names[0]} long, {names[1]} long")
+    alike = F.bit_count(F.col("px").bitwiseXOR(F.col("py"))) <= 4 * distance
+    pairs = sign(True).join(sign(False), "key").where((F.col("x") != F.col("y")) & alike).select(
         F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
     pairs = stage(pairs, "candidates")
     wanted = small(stage(pairs.select(F.explode(F.array("x", "y")).alias("id")).distinct(), "wanted"))
