@@ -34,25 +34,26 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def positioned(docs: DataFrame, **cols) -> DataFrame:
-    """``cols`` of each row with ``fh`` and ``row``: a hash of the file's path and the
-    row's index in it, a stable identity for rows whatever their ids.
-
-    A frame that doesn't come straight from files is written to the shared folder
-    first.
-    """
-    def select(d: DataFrame) -> DataFrame:
-        return d.select(*[c.alias(k) for k, c in cols.items()],
-                        F.xxhash64(F.col("_metadata.file_path")).alias("fh"),
-                        F.col("_metadata.row_index").alias("row"))
-    if "_metadata" not in docs.columns:
+def anchored(docs: DataFrame) -> DataFrame:
+    """``docs`` if its rows have positions in files; else the same rows, written to the
+    shared folder once. Operators that read positions more than once start with this."""
+    names = docs.columns
+    if "_metadata" not in names:
         try:
-            return select(docs)
+            docs.select(F.col("_metadata.row_index"))
+            return docs
         except AnalysisException:
             pass
-    names = docs.columns
     plain = stage(docs.toDF(*[f"c{i}" for i in range(len(names))]), "rows")
-    return select(plain.select(*[F.col(f"c{i}").alias(n) for i, n in enumerate(names) if n != "_metadata"]))
+    return plain.select(*[F.col(f"c{i}").alias(n) for i, n in enumerate(names) if n != "_metadata"])
+
+
+def positioned(docs: DataFrame, **cols) -> DataFrame:
+    """``cols`` of each row with ``fh`` and ``row``: a hash of the file's path and the
+    row's index in it, a stable identity for rows whatever their ids."""
+    return anchored(docs).select(
+        *[c.alias(k) for k, c in cols.items()], F.xxhash64(F.col("_metadata.file_path")).alias("fh"),
+        F.col("_metadata.row_index").alias("row"))
 
 
 def whole(docs: DataFrame):

@@ -26,7 +26,7 @@ from contextlib import contextmanager
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recordlake.llm.common import col, keep_positions, positioned, small, stage
+from recordlake.llm.common import anchored, col, keep_positions, positioned, small, stage
 from recordlake.session import staging_path
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -77,6 +77,7 @@ def hits_of(spark: SparkSession, prints: DataFrame, state_dir: str | None = None
 def stream_dedup(spark: SparkSession, docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                  digest: Callable[[Column], Column] = sha256, state_dir: str | None = None) -> DataFrame:
     """digest, doc_id, fh, row, keep_id, group_size, kept: one row per row of ``docs``."""
+    docs = anchored(docs)
     prints = fingerprints(docs, digest, doc_id, text)
     if not prints.take(1):
         groups = None
@@ -114,5 +115,6 @@ def stream_dedup(spark: SparkSession, docs: DataFrame, doc_id: str = "doc_id", t
 
 def drop_copies(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
+    docs = anchored(docs)
     gone = stage(stream_dedup(spark, docs).where("not kept").select("fh", "row"), "copies")
     return keep_positions(docs, gone, "left_anti")

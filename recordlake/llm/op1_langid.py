@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recordlake.llm import pieces
-from recordlake.llm.common import chunks, col, keep_positions, positioned, stage
+from recordlake.llm.common import anchored, chunks, col, keep_positions, positioned, stage
 from recordlake.llm.op5_sentencepiece import hashed
 from recordlake.llm.pieces import SPACE, Matcher, Vocabulary
 
@@ -237,6 +237,7 @@ def identify(spark: SparkSession, docs: DataFrame, model: Model, doc_id: str = "
 def keep_identified(spark: SparkSession, docs: DataFrame, least: float = 0.5) -> DataFrame:
     """The rows of ``docs`` whose language is determined with at least ``least`` posterior
     probability, with all their columns."""
+    docs = anchored(docs)
     found = identify(spark, docs, train(spark, docs))
     gone = stage(found.where((F.col("lang_pred") == UNDETERMINED) | (F.col("score") < least)).select("fh", "row"), "und")
     return keep_positions(docs, gone, "left_anti")

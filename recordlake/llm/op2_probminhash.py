@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recordlake.llm.common import chunks, col, keep_positions, positioned, stage
+from recordlake.llm.common import anchored, chunks, col, keep_positions, positioned, stage
 from recordlake.llm.shingles import mix, shingle_hashes
 
 SIMILARITY = 0.8
@@ -41,6 +41,8 @@ BANDS, ROWS = 36, 7  # a pair at 0.8 shares no band with a chance of 0.0002
 #: standard deviation of 6.2, so in more than this with a chance of 0.00003.
 WORDS_OF_BITS, PLANES = 4, 4
 MOST_UNLIKE = 72
+#: First rounds compare only pairs that are probably links, to merge classes with few comparisons.
+FIRST_ROUNDS, LIKELY = 3, 44
 
 
 def uniform(x: np.ndarray) -> np.ndarray:
@@ -210,19 +212,21 @@ def links(docs: DataFrame, sketched: DataFrame, similarity: float = SIMILARITY,
     classes, not all pairs); and node, comp: the class of every text that shares a bucket."""
     nodes = stage(sketched.where("node is not null").groupBy("node").agg(
         F.min(F.struct("fh", "row")).alias("at"), F.max("bands").alias("bands"), F.max("bits").alias("bits")), "nodes")
-    rows = nodes.select("node", "bits", F.explode("bands").alias("key"))
+    rows = nodes.select("node", F.explode("bands").alias("key"))
     # Tables are staged before a join on a key that may be hot: Spark can split such a
     # key only where both sides are shuffled for the join itself.
     shared = stage(rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"), "shared")
-    buckets = stage(rows.join(shared, "key"), "buckets")
+    buckets = stage(stage(rows.join(shared, "key"), "shared").join(nodes.select("node", "bits"), "node"), "buckets")
     members = buckets.select("node").distinct()
     wanted = nodes.select("node", "at.fh", "at.row").join(members, "node")
     sets = stage(shingle_sets(docs, stage(wanted, "wanted"), text), "sets")
 
     labels = buckets.select("node", F.col("node").alias("comp")).distinct()
     open_ = buckets.withColumn("done", F.lit(False))
-    found, slots = None, 1
+    found, slots, round_ = None, 1, 0
     while True:
+        round_ += 1
+        first_rounds = round_ <= FIRST_ROUNDS
         labels = stage(labels, "labels")
         sizes = stage(labels.groupBy("comp").agg(F.count("*").alias("size")), "sizes")
         named = open_.join(labels.join(sizes, "comp"), "node")
@@ -232,16 +236,17 @@ def links(docs: DataFrame, sketched: DataFrame, similarity: float = SIMILARITY,
         active = stage(named.join(top, "key"), "active")
         waiting = active.where("comp != top and not done")
         centres = waiting.groupBy("key", F.pmod(F.xxhash64("node"), F.lit(slots)).alias("slot")).agg(
-            F.min_by(F.struct("node", "comp", "bits"), F.xxhash64("node", "key")).alias("c"))
+            F.min_by(F.struct("node", "comp", "bits"), F.xxhash64("node", "key", F.lit(round_))).alias("c"))
         centres = stage(centres.select("key", F.col("c.node").alias("c"), F.col("c.comp").alias("cc"),
                                        F.col("c.bits").alias("cb")), "centres")
         if not centres.take(1):
             break
-        pairs = (active.join(centres, "key").where((F.col("comp") != F.col("cc")) & (unlike("bits", "cb") <= MOST_UNLIKE))
+        most = LIKELY if first_rounds else MOST_UNLIKE
+        pairs = (active.join(centres, "key").where((F.col("comp") != F.col("cc")) & (unlike("bits", "cb") <= most))
                  .select(F.least("node", "c").alias("a"), F.greatest("node", "c").alias("b")).distinct())
         new = stage(compare(stage(pairs, "pairs"), sets).where(F.col("sim") >= similarity), "links")
         found = new if found is None else found.unionByName(new)
-        met = centres.select("key", F.col("c").alias("node"), F.lit(True).alias("met"))
+        met = centres.select("key", F.col("c").alias("node"), F.lit(not first_rounds).alias("met"))
         open_ = active.join(met, ["key", "node"], "left").select(
             "key", "node", "bits", (F.col("done") | F.coalesce("met", F.lit(False))).alias("done"))
         if new.take(1):
@@ -250,7 +255,7 @@ def links(docs: DataFrame, sketched: DataFrame, similarity: float = SIMILARITY,
             merged = components(ends.select(F.col("ca").alias("a"), F.col("cb").alias("b")))
             labels = labels.join(merged.select(F.col("node").alias("comp"), F.col("comp").alias("to")), "comp", "left").select(
                 "node", F.coalesce("to", "comp").alias("comp"))
-        slots *= 1 if slots == 1 and found is new else 8
+        slots *= 1 if first_rounds else 8
     if found is None:
         found = buckets.select(F.col("node").alias("a"), F.col("node").alias("b"), F.lit(1.0).alias("sim")).limit(0)
     return found, labels
@@ -260,6 +265,7 @@ def near_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                  similarity: float = SIMILARITY) -> DataFrame:
     """doc_id, fh, row, class_id (doc_id of the row that stays), class_size, n_links (to other
     texts), kept: one row per row of ``docs``."""
+    docs = anchored(docs)
     sketched = stage(sketch(docs, doc_id, text), "sketch")
     found, comps = links(docs, sketched, similarity, text)
     ends = found.select(F.explode(F.array("a", "b")).alias("node"))
@@ -281,5 +287,6 @@ def near_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """One row of each class, with all columns of ``docs``."""
+    docs = anchored(docs)
     gone = stage(near_classes(docs).where("not kept").select("fh", "row"), "near")
     return keep_positions(docs, gone, "left_anti")

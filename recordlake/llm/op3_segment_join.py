@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from recordlake.llm.common import chunks, col, positioned, small, stage
+from recordlake.llm.common import anchored, chunks, col, positioned, small, stage
 from recordlake.llm.op2_probminhash import components
 from recordlake.llm.shingles import mix
 
@@ -188,6 +188,7 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", dis
     """doc_id, fh, row, n_lines, n_copies (lines that go as exact copies), n_near (that go as near
     copies), n_links (of the document's lines to different lines), clean (the text without
     them): one row per row of ``docs``."""
+    docs = anchored(docs)
     found = stage(near_pairs(docs, text, distance, shortest), "near")
     comps = components(found) if found.take(1) else found.select(F.col("a").alias("node"), F.col("b").alias("comp"))
     place = F.struct("doc_id", "fh", "row", "pos")

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recordlake.llm.common import chunks, col, keep_positions, positioned, stage, table
+from recordlake.llm.common import anchored, chunks, col, keep_positions, positioned, stage, table
 from recordlake.llm.shingles import WORDS, mix, shingle_hashes, word_hashes
 
 CONTAINMENT = 0.8
@@ -155,5 +155,6 @@ def leaks(spark: SparkSession, docs: DataFrame, items: DataFrame, doc_id: str =
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The rows of ``docs`` that contain no benchmark item, with all their columns."""
+    docs = anchored(docs)
     gone = stage(leaks(spark, docs, table(spark, sf_dir, "benchmark")).select("fh", "row").distinct(), "leaks")
     return keep_positions(docs, gone, "left_anti")

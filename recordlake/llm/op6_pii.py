@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from recordlake.llm.common import col, positioned, stage
+from recordlake.llm.common import anchored, col, positioned, stage
 
 KINDS = ("email", "ip", "card", "phone")
 CONTEXT = "id"
@@ -146,6 +146,7 @@ def score(edges: DataFrame) -> DataFrame:
 def personal_data(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_email, n_ip, n_card, n_phone, n_id, base_sha256, spans, and ``found``
     (array of kind, start, stop): one row per row of ``docs``."""
+    docs = anchored(docs)
     found = stage(matches(docs, text), "matches")
     base = found.where((F.col("kind") != "token") & is_valid(F.col("kind"), F.col("match"))).select("fh", "row", "kind", "start", "stop")
     seen = stage(occurrences(found), "occurrences")

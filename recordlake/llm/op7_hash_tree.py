@@ -22,7 +22,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from recordlake.llm.common import col, positioned
+from recordlake.llm.common import anchored, col, positioned
 
 #: Rows of a file whose slots one task numbers.
 CHUNK_ROWS = 16_384
@@ -88,6 +88,8 @@ def shard_of(key: Column, root: Node) -> Column:
 def shard_rows(docs: DataFrame, root: Node, grown: Node | None = None, key: str = "doc_id",
                text: str = "text") -> DataFrame:
     """doc_id, size, text_crc32, law, shard, slot, grown_shard: one row per row of ``docs``."""
+    docs = anchored(docs)
+
     def rows(**more) -> DataFrame:
         df = positioned(docs, key=col(key), **more).withColumn("chunk", F.floor(F.col("row") / CHUNK_ROWS))
         return df.withColumn("shard", shard_of(F.col("key"), root))

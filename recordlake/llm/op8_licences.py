@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recordlake.llm import licences
-from recordlake.llm.common import col, positioned, stage
+from recordlake.llm.common import anchored, col, positioned, stage
 
 COPYRIGHT = r"^[^a-z0-9]*(copyright|\(c\)|©|all rights reserved)"
 
@@ -57,6 +57,7 @@ def known(spark: SparkSession) -> DataFrame:
 def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, whole_licence (of the entire text), licences (sorted, comma-joined), n_found: one
     row per row of ``docs``."""
+    docs = anchored(docs)
     table = stage(known(docs.sparkSession), "licences")
     sizes = F.array(*[F.lit(r["size"]) for r in table.select("size").distinct().collect()])
     src = positioned(docs, text=F.coalesce(col(text), F.lit("")))
