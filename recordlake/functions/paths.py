@@ -12,6 +12,11 @@ def strip_uri_prefix(path, scheme: str = "dbfs") -> Column:
     return F.regexp_replace(as_col(path), rf"^{scheme}:/", f"/{scheme}/")
 
 
+def local_path(path, scheme: str = "dbfs") -> Column:
+    """One spelling for a stored file: L1, and ``file:`` paths without their scheme."""
+    return strip_uri_prefix(F.regexp_replace(as_col(path), r"^file:(//)?(?=/)", ""), scheme)
+
+
 def sanitize_name(name, max_len: int = 80) -> Column:
     r"""L2: strip, each of ``\ / * ? : " < > |`` -> ``_``, first ``max_len`` characters."""
     return F.substring(F.regexp_replace(ustrip(as_col(name)), r'[\\/*?:"<>|]', "_"), 1, max_len)

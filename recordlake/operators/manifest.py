@@ -10,13 +10,16 @@ manifest grows with the number of files, so it is not forced to broadcast).
 from __future__ import annotations
 
 import datetime as _dt
+import warnings
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from recordlake.config import discovery as D
-from recordlake.functions.paths import strip_uri_prefix
+from recordlake.functions.paths import local_path
 
 # --------------------------------------------------------------- schemas
 
@@ -79,9 +82,8 @@ def scan_fingerprints(spark: SparkSession, path_glob: str) -> DataFrame:
 
 def verify_fingerprints(manifest: DataFrame, stored: DataFrame, path_col: str = "saved_path") -> DataFrame:
     """Manifest rows whose stored file is missing or hashes differently."""
-    m = manifest.withColumn("_local", strip_uri_prefix(F.col(path_col)))
-    s = stored.select(F.regexp_replace("path", r"^file:", "").alias("_local"),
-                      F.col("sha256").alias("stored_sha256"))
+    m = manifest.withColumn("_local", local_path(F.col(path_col)))
+    s = stored.select(local_path(F.col("path")).alias("_local"), F.col("sha256").alias("stored_sha256"))
     j = m.join(s, "_local", "left")
     return (j.where(F.col("stored_sha256").isNull() | (F.col("stored_sha256") != F.col("sha256")))
             .drop("_local"))
@@ -168,15 +170,22 @@ def _version_dirs(spark: SparkSession, root: str, complete_only: bool = True) ->
 def load_manifest(spark: SparkSession, root: str, schema: T.StructType = MANIFEST_V1_SCHEMA) -> tuple[DataFrame, int]:
     """M4: newest complete version, else the previous one, else an empty table.
 
-    Returns (manifest, version number; 0 when empty).
+    Returns (manifest, version number; 0 when there is no version). A version that
+    can't be read in full is skipped with a warning; if versions exist and none can be
+    read, this raises.
     """
-    for version, path in _version_dirs(spark, root):
+    found = _version_dirs(spark, root)
+    for version, path in found:
+        df = spark.read.schema(schema).parquet(path)
         try:
-            df = spark.read.schema(schema).parquet(path)
-            df.limit(1).count()  # fail here, not later, if the version is unreadable
+            df.write.format("noop").mode("overwrite").save()  # reads all parts, so that failures show here
             return df, version
-        except Exception:  # noqa: BLE001 - unreadable version: fall back to the previous one
-            continue
+        except (PySparkException, Py4JJavaError) as e:
+            if "FAILED_READ_FILE" not in str(e):  # anything but an unreadable file is an error of its own
+                raise
+            warnings.warn(f"manifest version {version} has an unreadable file", stacklevel=2)
+    if found:
+        raise RuntimeError(f"none of {len(found)} manifest versions under {root} can be read")
     return spark.createDataFrame([], schema), 0
 
 
@@ -228,8 +237,11 @@ def plan_downloads(requests: DataFrame, table: DataFrame, mode: str = "safe",
         return j.select(*requests.columns, decision.alias("decision"), reason.alias("reason"))
     if stored is None:
         raise ValueError("safe mode needs the stored-file listing")
-    files = stored.select(F.regexp_replace("path", r"^file:", "").alias("_local"), F.lit(True).alias("_present"))
-    j = j.withColumn("_local", strip_uri_prefix(F.col("_saved"))).join(files, "_local", "left")
+    files = stored.select(local_path(F.col("path")).alias("_local")).distinct().withColumn("_present", F.lit(True))
+    j = j.withColumn("_local", local_path(F.col("_saved")))
+    # requests without a saved file never match: keep them out of the join, where they would be one hot null key
+    new = j.where(F.col("_local").isNull()).withColumn("_present", F.lit(False))
+    j = j.where(F.col("_local").isNotNull()).join(files, "_local", "left").unionByName(new)
     present = F.coalesce(F.col("_present"), F.lit(False))
     decision = F.when(~exists, "download").when(~present, "download").otherwise("skip")
     reason = (F.when(~exists, D.PLAN_REASON_NEW).when(~present, D.PLAN_REASON_MISSING)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -32,12 +33,14 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: st
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this must be set (storage every executor sees). Only when it
-    is unset (local tests) a folder is created and registered here.
+    On a cluster this must be set (storage every executor sees); an error says so
+    where it isn't. With a local master a folder is created and registered here.
     """
     sc = spark.sparkContext
     d = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not d:
+        if not re.match(r"local(\[[^-]*\])?$", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="recordlake-ckpt-")
         sc.setCheckpointDir(d)
     elif sc.getCheckpointDir() is None:

@@ -149,3 +149,21 @@ def test_fingerprint_and_summary(spark, tmp_root):
                                "program string, status string, is_new boolean")
     s = run_summary(st, RUN).first()
     assert (s["lca"], s["perm"], s["pw"], s["files_downloaded"], s["files_failed"]) == (True, False, False, 1, 1)
+
+
+def test_paths_of_every_spelling_match(spark):
+    from recordlake.operators.manifest import verify_fingerprints
+    names = ["dbfs:/data/a.xlsx", "file:/data/b.xlsx", "file:///data/c.xlsx", "s3a://bucket/d.xlsx", "/data/e.xlsx"]
+    manifest = spark.createDataFrame([(n, "h") for n in names], "saved_path string, sha256 string")
+    stored = spark.createDataFrame([(n, "h") for n in [*names[:4], "file:/data/e.xlsx"]], "path string, sha256 string")
+    assert verify_fingerprints(manifest, stored).count() == 0
+
+
+def test_load_manifest_raises_when_no_version_can_be_read(spark, tmp_path):
+    import pytest
+    folder = tmp_path / "version=1"
+    folder.mkdir()
+    (folder / "_SUCCESS").touch()
+    (folder / "part-00000.parquet").write_bytes(b"no parquet file")
+    with pytest.warns(UserWarning, match="version 1"), pytest.raises(RuntimeError, match="none of 1"):
+        load_manifest(spark, str(tmp_path))
