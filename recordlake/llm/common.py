@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Iterable, Iterator
+from pathlib import Path
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -16,6 +19,26 @@ BROADCAST_ROWS = 200_000
 CHUNK_CHARS = 4_000_000
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package's modules to the executors, once per application, so that tasks can
+    import them wherever they run."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    package = Path(__file__).resolve().parents[1]
+    target = Path(tempfile.mkdtemp(prefix="recordlake-code-")) / "recordlake_code.zip"
+    with zipfile.ZipFile(target, "w") as z:
+        if not (package / "__init__.py").exists():
+            z.writestr(f"{package.name}/__init__.py", "")
+        for f in sorted(package.rglob("*.py")):
+            z.write(f, f.relative_to(package.parent))
+    sc.addPyFile(str(target))
+    _SHIPPED.add(sc.applicationId)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -37,6 +60,7 @@ def stage(df: DataFrame, name: str) -> DataFrame:
 def anchored(docs: DataFrame) -> DataFrame:
     """``docs`` if its rows have positions in files; else the same rows, written to the
     shared folder once. Operators that read positions more than once start with this."""
+    ship(docs.sparkSession)
     names = docs.columns
     if "_metadata" not in names:
         try:

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recordlake.llm import pieces
-from recordlake.llm.common import chunks, col, whole
+from recordlake.llm.common import chunks, col, ship, whole
 from recordlake.llm.pieces import SPACE, Matcher, Vocabulary
 from recordlake.llm.shingles import mix
 
@@ -271,6 +271,7 @@ def encode(spark: SparkSession, df: DataFrame, text: str = "text", path: str | N
            ids: bool = True, check: bool = False) -> DataFrame:
     """``df`` with n_tokens and, as asked for, ids (array<int>); ids_crc32 (of the ids as
     little-endian 32-bit numbers) and round_trip (whether decoding them gives the text back)."""
+    ship(spark)
     vocabulary = spark.sparkContext.broadcast(pieces.load(path))
     src = df.select(whole(df).alias("d"), col(text).alias("t"))
     new = {"n_tokens": "long"} | ({"ids": "array<int>"} if ids else {})
@@ -298,6 +299,7 @@ def encode(spark: SparkSession, df: DataFrame, text: str = "text", path: str | N
 def decode(spark: SparkSession, df: DataFrame, ids: str = "ids", out: str = "decoded",
            path: str | None = None) -> DataFrame:
     """``df`` with the text of its ids."""
+    ship(spark)
     vocabulary = spark.sparkContext.broadcast(pieces.load(path))
     src = df.select(whole(df).alias("d"), col(ids).alias("i"))
 

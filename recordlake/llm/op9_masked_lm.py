@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recordlake.llm.common import chunks, col, positioned
+from recordlake.llm.common import chunks, col, positioned, ship
 from recordlake.llm.shingles import mix, word_hashes
 
 BUCKETS, INPUTS, SIZE = 1 << 16, 1 << 12, 16
@@ -183,6 +183,7 @@ def train(spark: SparkSession, docs: DataFrame, classes: Classes, text: str = "t
 
 def score(spark: SparkSession, docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_tokens, pll (summed log-probability), pll_mean: one row per row of ``docs``."""
+    ship(spark)
     classes = Classes.from_counts(count_words(docs, text))
     net = train(spark, docs, classes, text)
     shared = spark.sparkContext.broadcast((classes, net.flat))
