@@ -42,7 +42,9 @@ BANDS, ROWS = 36, 7  # a pair at 0.8 shares no band with a chance of 0.0002
 WORDS_OF_BITS, PLANES = 4, 4
 MOST_UNLIKE = 72
 #: First rounds compare only pairs that are probably links, to merge classes with few comparisons.
-FIRST_ROUNDS, LIKELY = 3, 44
+FIRST_ROUNDS, LIKELY = 2, 44
+#: Centres a bucket and round: this many times more each round, so rounds grow with the logarithm of a bucket.
+SLOT_GROWTH = 16
 
 
 def uniform(x: np.ndarray) -> np.ndarray:
@@ -221,18 +223,16 @@ def links(docs: DataFrame, sketched: DataFrame, similarity: float = SIMILARITY,
     wanted = nodes.select("node", "at.fh", "at.row").join(members, "node")
     sets = stage(shingle_sets(docs, stage(wanted, "wanted"), text), "sets")
 
-    labels = buckets.select("node", F.col("node").alias("comp")).distinct()
+    labels = stage(buckets.select("node", F.col("node").alias("comp")).distinct(), "labels")
     open_ = buckets.withColumn("done", F.lit(False))
     found, slots, round_ = None, 1, 0
     while True:
         round_ += 1
         first_rounds = round_ <= FIRST_ROUNDS
-        labels = stage(labels, "labels")
-        sizes = stage(labels.groupBy("comp").agg(F.count("*").alias("size")), "sizes")
-        named = open_.join(labels.join(sizes, "comp"), "node")
-        top = named.groupBy("key").agg(F.max(F.struct("size", "comp")).alias("top"),
-                                       F.min("comp").alias("low"), F.max("comp").alias("high"))
-        top = stage(top.where("low != high").select("key", F.col("top.comp").alias("top")), "top")
+        named = stage(open_.join(labels, "node"), "named")
+        top = (named.groupBy("key", "comp").agg(F.count("*").alias("n")).groupBy("key")
+               .agg(F.max(F.struct("n", "comp")).alias("top"), F.count("*").alias("classes")))
+        top = stage(top.where("classes > 1").select("key", F.col("top.comp").alias("top")), "top")
         active = stage(named.join(top, "key"), "active")
         waiting = active.where("comp != top and not done")
         centres = waiting.groupBy("key", F.pmod(F.xxhash64("node"), F.lit(slots)).alias("slot")).agg(
@@ -246,21 +246,40 @@ def links(docs: DataFrame, sketched: DataFrame, similarity: float = SIMILARITY,
                  .select(F.least("node", "c").alias("a"), F.greatest("node", "c").alias("b")).distinct())
         new = stage(compare(stage(pairs, "pairs"), sets).where(F.col("sim") >= similarity), "links")
         found = new if found is None else found.unionByName(new)
-        met = centres.select("key", F.col("c").alias("node"), F.lit(not first_rounds).alias("met"))
-        open_ = active.join(met, ["key", "node"], "left").select(
-            "key", "node", "bits", (F.col("done") | F.coalesce("met", F.lit(False))).alias("done"))
-        if new.take(1):
-            name = labels.select(F.col("node").alias("a"), F.col("comp").alias("ca"))
-            ends = (new.join(name, "a").join(name.select(F.col("a").alias("b"), F.col("ca").alias("cb")), "b"))
-            merged = components(ends.select(F.col("ca").alias("a"), F.col("cb").alias("b")))
-            labels = labels.join(merged.select(F.col("node").alias("comp"), F.col("comp").alias("to")), "comp", "left").select(
-                "node", F.coalesce("to", "comp").alias("comp"))
-        slots *= 1 if first_rounds else 8
+        open_ = active.select("key", "node", "bits", "done")
+        if not first_rounds:
+            met = centres.select("key", F.col("c").alias("node"), F.lit(True).alias("met"))
+            open_ = open_.join(met, ["key", "node"], "left").select(
+                "key", "node", "bits", (F.col("done") | F.coalesce("met", F.lit(False))).alias("done"))
+        labels = merged(labels, new)
+        slots *= 1 if round_ < FIRST_ROUNDS else SLOT_GROWTH
     if found is None:
         found = buckets.select(F.col("node").alias("a"), F.col("node").alias("b"), F.lit(1.0).alias("sim")).limit(0)
     return found, labels
 
 
+def merged(labels: DataFrame, edges: DataFrame) -> DataFrame:
+    """``labels`` (node, comp) after the classes that ``edges`` (a, b: nodes) connect became one.
+
+    Edges between labels are contracted over and over: each label becomes the smallest one at most
+    two edges away, which leaves a fraction of them, until no edge joins different labels. Hubs are
+    fine: neighbours' minima are aggregates, combined before the shuffle.
+    """
+    name = labels.select(F.col("node").alias("a"), F.col("comp").alias("u"))
+    ends = edges.join(name, "a").join(name.select(F.col("a").alias("b"), F.col("u").alias("v")), "b")
+    ends = stage(ends.where("u != v").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct(), "ends")
+    while ends.take(1):
+        both = ends.unionByName(ends.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        near = both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("v"), F.least("u", "m").alias("m"))
+        far = both.join(near, "v").groupBy("u").agg(F.min("m").alias("m"))
+        far = stage(far.select(F.col("u").alias("comp"), F.least("u", "m").alias("to")), "smallest")
+        labels = stage(labels.join(far, "comp", "left").select("node", F.coalesce("to", "comp").alias("comp")), "labels")
+        left = ends.join(far.select(F.col("comp").alias("u"), F.col("to").alias("a")), "u").join(
+            far.select(F.col("comp").alias("v"), F.col("to").alias("b")), "v").where("a != b")
+        ends = stage(left.select(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v")).distinct(), "ends")
+    return labels
+
+
 def near_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                  similarity: float = SIMILARITY) -> DataFrame:
     """doc_id, fh, row, class_id (doc_id of the row that stays), class_size, n_links (to other
