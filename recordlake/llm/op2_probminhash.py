@@ -10,9 +10,13 @@ agree in a register with the probability Jaccard similarity of the weighted sets
 Bands of registers become bucket keys. Texts that are equal after normalisation are
 one node, combined before any shuffle. In each bucket some centres are compared with the
 members of other classes found so far, if compact signatures don't show them too unlike;
-then classes are merged, and what is left gets new centres. Only members outside a bucket's
+then classes are merged, and what is left gets new centres. The first centres are the members
+that meet most others, the same in all buckets of a group, so most classes are whole after few
+comparisons. Then every open member's shingles that no other open member has are counted: they
+bound its similarity to any other, and members or pairs whose bound is too low are done without
+a comparison. Only members outside a bucket's
 largest class ever become centres, each once, and a bucket is done when none is left, so
-every two members have then been compared or are in one class. A group of near copies soon is
+every two members have then been compared, bounded or are in one class. A group of near copies soon is
 one class, so buckets aren't expanded into all their pairs, and no bucket has a cap. Every
 comparison is the exact similarity of the shingle sets, at least 0.8 for a link. Classes are
 the connected components of the links.
@@ -217,15 +221,17 @@ def links(docs: DataFrame, sketched: DataFrame, similarity: float = SIMILARITY,
     rows = nodes.select("node", F.explode("bands").alias("key"))
     # Tables are staged before a join on a key that may be hot: Spark can split such a
     # key only where both sides are shuffled for the join itself.
-    shared = stage(rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"), "shared")
-    buckets = stage(stage(rows.join(shared, "key"), "shared").join(nodes.select("node", "bits"), "node"), "buckets")
+    shared = stage(rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "shared")
+    met = stage(rows.join(shared, "key"), "shared")
+    central = met.groupBy("node").agg(F.sum("n").alias("meets"))
+    buckets = stage(met.select("key", "node").join(nodes.select("node", "bits").join(central, "node"), "node"), "buckets")
     members = buckets.select("node").distinct()
     wanted = nodes.select("node", "at.fh", "at.row").join(members, "node")
     sets = stage(shingle_sets(docs, stage(wanted, "wanted"), text), "sets")
 
     labels = stage(buckets.select("node", F.col("node").alias("comp")).distinct(), "labels")
-    open_ = buckets.withColumn("done", F.lit(False))
-    found, slots, round_ = None, 1, 0
+    open_ = buckets.withColumns({"done": F.lit(False), "size": F.lit(0), "rest": F.lit(0)})
+    found, tried, slots, round_ = None, None, 1, 0
     while True:
         round_ += 1
         first_rounds = round_ <= FIRST_ROUNDS
@@ -234,30 +240,58 @@ def links(docs: DataFrame, sketched: DataFrame, similarity: float = SIMILARITY,
                .agg(F.max(F.struct("n", "comp")).alias("top"), F.count("*").alias("classes")))
         top = stage(top.where("classes > 1").select("key", F.col("top.comp").alias("top")), "top")
         active = stage(named.join(top, "key"), "active")
+        if round_ == FIRST_ROUNDS + 1:
+            active = stage(bounded(active, sets, similarity), "active")
         waiting = active.where("comp != top and not done")
+        by_chance = F.xxhash64("node", F.lit(round_))
+        order = F.struct(by_chance) if round_ == FIRST_ROUNDS else F.struct("meets", by_chance)
         centres = waiting.groupBy("key", F.pmod(F.xxhash64("node"), F.lit(slots)).alias("slot")).agg(
-            F.min_by(F.struct("node", "comp", "bits"), F.xxhash64("node", "key", F.lit(round_))).alias("c"))
-        centres = stage(centres.select("key", F.col("c.node").alias("c"), F.col("c.comp").alias("cc"),
-                                       F.col("c.bits").alias("cb")), "centres")
+            F.max_by(F.struct("node", "comp", "bits", "size", "rest"), order).alias("c"))
+        centres = stage(centres.select("key", F.col("c.node").alias("c"), F.col("c.comp").alias("cc"), F.col("c.bits").alias("cb"),
+                                       F.col("c.size").alias("csize"), F.col("c.rest").alias("crest")), "centres")
         if not centres.take(1):
             break
         most = LIKELY if first_rounds else MOST_UNLIKE
-        pairs = (active.join(centres, "key").where((F.col("comp") != F.col("cc")) & (unlike("bits", "cb") <= most))
+        # A former centre has met all members; of two centres of a round, one is a member to the other.
+        met = centres.select("key", F.col("c").alias("node"), F.lit(True).alias("met"))
+        turn = active if first_rounds else active.join(met, ["key", "node"], "left").withColumn("met", F.coalesce("met", F.lit(False)))
+        new_pair = F.lit(True) if first_rounds else ~F.col("done") & (~F.col("met") | (F.col("node") < F.col("c")))
+        pairs = (turn.join(centres, "key").where(new_pair & (F.col("comp") != F.col("cc")) & (unlike("bits", "cb") <= most)
+                                                     & (F.lit(first_rounds) | can_link("size", "rest", "csize", "crest", similarity)))
                  .select(F.least("node", "c").alias("a"), F.greatest("node", "c").alias("b")).distinct())
-        new = stage(compare(stage(pairs, "pairs"), sets).where(F.col("sim") >= similarity), "links")
+        pairs = stage(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
+        tried = pairs if tried is None else tried.unionByName(pairs)
+        new = stage(compare(pairs, sets).where(F.col("sim") >= similarity), "links")
         found = new if found is None else found.unionByName(new)
-        open_ = active.select("key", "node", "bits", "done")
-        if not first_rounds:
-            met = centres.select("key", F.col("c").alias("node"), F.lit(True).alias("met"))
-            open_ = open_.join(met, ["key", "node"], "left").select(
-                "key", "node", "bits", (F.col("done") | F.coalesce("met", F.lit(False))).alias("done"))
+        kept = ["key", "node", "bits", "meets", "size", "rest"]
+        open_ = turn.select(*kept, "done" if first_rounds else (F.col("done") | F.col("met")).alias("done"))
         labels = merged(labels, new)
-        slots *= 1 if round_ < FIRST_ROUNDS else SLOT_GROWTH
+        slots *= 1 if first_rounds else SLOT_GROWTH
     if found is None:
         found = buckets.select(F.col("node").alias("a"), F.col("node").alias("b"), F.lit(1.0).alias("sim")).limit(0)
     return found, labels
 
 
+def can_link(size: str, rest: str, other_size: str, other_rest: str, similarity: float):
+    """Whether two texts can be similar enough, going by the sizes of their shingle sets and of
+    the parts of these that other texts have too."""
+    most = F.least(rest, other_rest)
+    return most >= similarity * (F.col(size) + F.col(other_size) - most) - 1e-6
+
+
+def bounded(active: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """``active`` with ``size`` (of a text's shingle set) and ``rest`` (those that another active text
+    has too). Texts whose ``rest`` is too small to be linked to any other are left out."""
+    mine = sets.join(active.select("node").distinct(), "node").select("node", F.xxhash64("node").alias("id"), "shingles")
+    mine = stage(mine, "open")
+    once = (mine.select("id", F.explode("shingles").alias("s")).groupBy("s")
+            .agg(F.count("*").alias("n"), F.min("id").alias("id")).where("n = 1").groupBy("id").agg(F.count("*").alias("own")))
+    sizes = mine.select("node", "id", F.size("shingles").alias("size")).join(once, "id", "left").select(
+        "node", "size", (F.col("size") - F.coalesce("own", F.lit(0))).cast("int").alias("rest"))
+    sizes = stage(sizes.where(F.col("rest") >= similarity * F.col("size") - 1e-6), "sizes")
+    return active.drop("size", "rest").join(sizes, "node")
+
+
 def merged(labels: DataFrame, edges: DataFrame) -> DataFrame:
     """``labels`` (node, comp) after the classes that ``edges`` (a, b: nodes) connect became one.
 
