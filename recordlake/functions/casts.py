@@ -15,21 +15,34 @@ from recordlake.functions._col import as_col
 NUMBER_PATTERN = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 INFINITY_PATTERN = r"(?i)^\s*[+-]?(inf|infinity)\s*$"
 
-# Formats tried in order; the first that parses wins (a row-wise superset of a
-# per-column inferred format). Single-letter fields accept one or two digits.
+# Formats tried in order; the first that parses wins, row by row. Shapes that
+# aren't listed become null. Single-letter fields accept one or two digits.
+# Two-digit years: see TWO_DIGIT_PIVOT.
 # Each format has a cheap shape test, so a value is handed only to the parser
 # that can accept it (failed parse attempts are expensive).
 TIMESTAMP_FORMATS = (
     ("yyyy-M-d H:m:s", r"^\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{1,2}:\d{1,2}$"),
     ("yyyy-M-d'T'H:m:s", r"^\d{4}-\d{1,2}-\d{1,2}T\d{1,2}:\d{1,2}:\d{1,2}$"),
+    ("yyyy-M-d H:m:s.SSSSSSSSS", r"^\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{1,2}:\d{1,2}\.\d{1,9}$"),
     ("yyyy-M-d", r"^\d{4}-\d{1,2}-\d{1,2}$"),
+    ("yyyy/M/d H:m:s", r"^\d{4}/\d{1,2}/\d{1,2} \d{1,2}:\d{1,2}:\d{1,2}$"),
+    ("yyyy/M/d", r"^\d{4}/\d{1,2}/\d{1,2}$"),
+    ("yyyyMMdd", r"^\d{8}$"),
     ("M/d/yyyy H:m:s", r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{1,2}:\d{1,2}$"),
     ("M/d/yyyy H:m", r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{1,2}$"),
+    ("M/d/yyyy h:m:s a", r"(?i)^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{1,2}:\d{1,2} [ap]m$"),
+    ("M/d/yyyy h:m a", r"(?i)^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{1,2} [ap]m$"),
     ("M/d/yyyy", r"^\d{1,2}/\d{1,2}/\d{4}$"),
+    ("M/d/yy", r"^\d{1,2}/\d{1,2}/\d{2}$"),
+    ("MMM d, yyyy", r"^[A-Za-z]{3} \d{1,2}, \d{4}$"),
+    ("MMMM d, yyyy", r"^[A-Za-z]{4,9} \d{1,2}, \d{4}$"),
     ("d-MMM-yyyy", r"^\d{1,2}-[A-Za-z]{3}-\d{4}$"),
     ("d-MMM-yy", r"^\d{1,2}-[A-Za-z]{3}-\d{2}$"),
 )
 
+# Two-digit years from here on are 19yy, smaller ones 20yy.
+TWO_DIGIT_PIVOT = 69
+
 # Range of a nanosecond timestamp: values outside become null.
 TIMESTAMP_MIN = "1677-09-21 00:12:44"
 TIMESTAMP_MAX = "2262-04-11 23:47:16"
@@ -73,7 +86,11 @@ def coerce_timestamp(c, formats=TIMESTAMP_FORMATS) -> Column:
     s = _stripped(c)
     # wall-clock (zone-less) result, like a naive parsed timestamp: parse in the
     # session zone and convert back, so the session zone never shifts values
-    ts = F.coalesce(*[F.when(s.rlike(shape), F.try_to_timestamp(s, F.lit(fmt))) for fmt, shape in formats]
-                    ).cast("timestamp_ntz")
+    def parsed(fmt: str) -> Column:
+        ts = F.try_to_timestamp(s, F.lit(fmt)).cast("timestamp_ntz")
+        if "yy" not in fmt or "yyyy" in fmt:
+            return ts
+        return F.when(F.year(ts) >= 2000 + TWO_DIGIT_PIVOT, ts - F.expr("INTERVAL '100' YEAR")).otherwise(ts)
+    ts = F.coalesce(*[F.when(s.rlike(shape), parsed(fmt)) for fmt, shape in formats])
     in_range = ts.between(F.lit(TIMESTAMP_MIN).cast("timestamp_ntz"), F.lit(TIMESTAMP_MAX).cast("timestamp_ntz"))
     return F.when(in_range, ts)

@@ -117,16 +117,33 @@ def change_status(observations: DataFrame, manifest: DataFrame) -> DataFrame:
             .drop("_known", "_m_etag", "_m_lastmod", "_m_sha256"))
 
 
+def last_observations(observations: DataFrame) -> DataFrame:
+    """One row per url: the one with the largest ``observed_at`` (rows without it come first; ties
+    go to the largest row), so that a file seen twice is one fetch."""
+    cols = observations.columns
+    when = [F.col("observed_at")] if "observed_at" in cols else []
+    row = F.struct(*when, *[F.col(c) for c in cols if c != "observed_at"])
+    last = observations.groupBy("url").agg(F.max(row).alias("_o"))
+    return last.select(*[F.col(f"_o.{c}").alias(c) for c in cols])
+
+
 def manifest_upsert(manifest: DataFrame, statuses: DataFrame, run_time: str, data_root: str = "data") -> DataFrame:
     """M3: ``downloaded`` replaces the entry; ``skipped_hash`` refreshes etag,
     last_modified and checked_at only; other outcomes leave the entry.
 
-    A full outer join on url; the result is the next manifest version.
+    A full outer join on url; the result is the next manifest version. Statuses that
+    hold a url more than once raise an error (see ``last_observations``).
     """
     s = statuses.where(F.col("status").isin("downloaded", "skipped_hash")).select(
         "url", F.col("status").alias("_st"), F.col("program").alias("_program"), F.col("year").alias("_year"),
         F.col("filename").alias("_filename"), F.col("sha256").alias("_sha256"),
         F.col("etag").alias("_etag"), F.col("last_modified").alias("_lastmod"))
+    # one row per url; the aggregate is on the join's key, so it adds no shuffle
+    rest = [c for c in s.columns if c != "url"]
+    twice = F.raise_error(F.concat(F.lit("several statuses for "), "url"))
+    s = s.groupBy("url").agg(F.count("*").alias("_n"), F.max(F.struct(*rest)).alias("_s"))
+    s = s.select("url", F.when(F.col("_n") > 1, twice.cast("string")).otherwise(F.col("_s._st")).alias("_st"),
+                 *[F.col(f"_s.{c}").alias(c) for c in rest if c != "_st"])
     j = manifest.join(s, "url", "full_outer")
     dl = F.col("_st") == "downloaded"
     hs = F.col("_st") == "skipped_hash"

@@ -13,6 +13,7 @@ from recordlake.operators.headers import (
     contested_columns, drop_all_null_columns, drop_duplicate_headers, normalize_headers, positional_names,
     slots_of,
 )
+from recordlake.session import shared_dir, staging_path
 from recordlake.sources.files import (
     csv_header, land_text_parquet, read_text_vintage, scan_text_csv, source_fallback, vintage_scan,
 )
@@ -99,7 +100,10 @@ def _attach_entries(spark: SparkSession, pos: DataFrame, members: Sequence) -> D
         entries = F.broadcast(entries)
     pat = r"^\Q" + root_enc + r"\E/([^/]+)/([^/]+)"
     pos = pos.withColumn("_ey", F.regexp_extract("_fp", pat, 1)).withColumn("_en", F.regexp_extract("_fp", pat, 2))
-    return pos.join(entries, ["_ey", "_en"], "inner").drop("_ey", "_en")
+    # a file that the listing doesn't name is an error, not a silent loss of its rows
+    missing = F.raise_error(F.concat(F.lit("no listing entry for "), "_fp")).cast("int")
+    return (pos.join(entries, ["_ey", "_en"], "left").withColumn("_i", F.coalesce("_i", missing))
+            .drop("_ey", "_en"))
 
 
 def union_schema(spark: SparkSession, files: Sequence, resolve: Callable, normalize: bool = True,
@@ -165,6 +169,12 @@ def harmonized_union(spark: SparkSession, files: Sequence, schema: Sequence[str]
                              F.struct(F.col("_metadata.file_path").alias("f"),
                                       F.col("_metadata.file_block_start").alias("b"),
                                       F.monotonically_increasing_id().alias("r")).alias("_row"))
+            # a row's place in a text file depends on how files are split into tasks: rows and
+            # places are written once, so that no later job sees other places for the same rows
+            shared_dir(spark)
+            target = staging_path(spark, "text")
+            pos.write.parquet(target)
+            pos = spark.read.schema(pos.schema).parquet(target)
         # the listing entry (year folder, file) of every part file: file paths in
         # the scan metadata are URI-encoded, so the group's files are matched on
         # their encoded (folder, name) segments; the table has one row per file

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from recordlake.operators.discover import discover_candidates
 from recordlake.operators.manifest import (
-    MANIFEST_V1_SCHEMA, change_status, load_manifest, manifest_upsert, next_version, run_summary, save_manifest,
+    MANIFEST_V1_SCHEMA, change_status, last_observations, load_manifest, manifest_upsert, next_version, run_summary, save_manifest,
     utc_now_iso,
 )
 from recordlake.operators.profile import outcome_counts
@@ -21,14 +21,16 @@ def refresh(spark: SparkSession, pages: DataFrame, observations: DataFrame, mani
     """E6 as one set-based job.
 
     ``pages``: (page_id, url, html). ``observations``: what fetching each file
-    URL returned (url, fetch_ok, etag, last_modified, sha256); fetching itself
-    is outside Spark. The new manifest is written as the next version under
+    URL returned (url, fetch_ok, etag, last_modified, sha256 and, where a URL may
+    be seen twice, observed_at: the last one counts); fetching itself is outside Spark. The new manifest is written as the next version under
     ``manifest_root``; the one read is never overwritten.
     Returns candidates, statuses, outcome counts, summary and the new manifest.
     """
     run_time = run_time or utc_now_iso()
     cands = discover_candidates(pages)
-    obs = cands.join(observations.select("url", "fetch_ok", "etag", "last_modified", "sha256"), "url", "left") \
+    fetched = ["url", "fetch_ok", "etag", "last_modified", "sha256"]
+    seen = last_observations(observations.select(*fetched, *[c for c in ["observed_at"] if c in observations.columns]))
+    obs = cands.join(seen.select(*fetched), "url", "left") \
                .withColumn("fetch_ok", F.coalesce(F.col("fetch_ok"), F.lit(False)))
     manifest, version = load_manifest(spark, manifest_root, MANIFEST_V1_SCHEMA)
     statuses = change_status(obs.select("url", "program", "year", "filename", "fetch_ok", "etag", "last_modified",

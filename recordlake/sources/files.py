@@ -144,9 +144,11 @@ def read_name_list(path: str) -> list[str]:
         return [ln.strip() for ln in f if ln.strip()]
 
 
-def csv_header(spark: SparkSession, path: str) -> list[str]:
-    """Raw header row of a CSV file (first record only), exactly as written."""
-    first = spark.read.option("header", False).option("escape", '"').csv(path).limit(1).collect()
+def csv_header(spark: SparkSession, path: str, multiline: bool = True) -> list[str]:
+    """Raw header row of a CSV file (first record only), exactly as written. ``multiline`` must be
+    that of the data's read: a quoted header cell may hold a line break."""
+    first = (spark.read.option("header", False).option("escape", '"').option("multiLine", multiline)
+             .csv(path).limit(1).collect())
     if not first:
         return []
     return ["" if v is None else v for v in first[0]]
@@ -165,7 +167,7 @@ def scan_text_csv(spark: SparkSession, path, usecols: Sequence[str] | None = Non
     ``multiline=True`` allows quoted values with line breaks, which makes each
     file one task; pass ``False`` for files without them to split large files.
     """
-    names = list(names) if names is not None else csv_header(spark, path if isinstance(path, str) else path[0])
+    names = list(names) if names is not None else csv_header(spark, path if isinstance(path, str) else path[0], multiline)
     schema = T.StructType([T.StructField(n, T.StringType()) for n in positional_names(len(names))])
     df = (spark.read.option("header", True).option("enforceSchema", True).option("multiLine", multiline)
           .option("escape", '"').option("ignoreCorruptFiles", ignore_corrupt).schema(schema).csv(path))
@@ -188,7 +190,7 @@ def read_text_vintage(spark: SparkSession, path: str, extension: str, multiline:
                        F.col("_metadata.row_index").alias("r"))
         raw = df.select("*", row.alias("_row"))
     elif extension == ".csv":
-        names = csv_header(spark, path)
+        names = csv_header(spark, path, multiline)
         df = scan_text_csv(spark, path, positional=True, names=names, multiline=multiline)
         # splits of one file in start-offset order; rows in a split in read order
         row = F.struct(F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_block_start").alias("b"),

@@ -4,24 +4,30 @@ Each micro-batch of observations (one row per fetched file) is folded into the
 manifest with the same set-based M2/M3 operators as the batch refresh, and the
 result is written as the next manifest version. ``trigger(availableNow=True)``
 processes whatever has arrived and stops, which fits a monthly schedule; the
-checkpoint makes reruns exactly-once per input file.
+checkpoint skips files already folded; a run that dies between writing a version
+and committing its batch folds that batch once more (the entries stay equal, but
+one more version is written).
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from recordlake.operators.manifest import (
-    MANIFEST_V1_SCHEMA, OBSERVATION_SCHEMA, change_status, load_manifest, manifest_upsert, next_version, save_manifest,
-    utc_now_iso,
+    MANIFEST_V1_SCHEMA, OBSERVATION_SCHEMA, change_status, last_observations, load_manifest, manifest_upsert,
+    next_version, save_manifest, utc_now_iso,
 )
 
+#: Observations as they arrive; ``observed_at`` (an ISO time) orders repeated ones of a url.
+STREAM_SCHEMA = T.StructType([*OBSERVATION_SCHEMA.fields, T.StructField("observed_at", T.StringType())])
+
 
 def start_manifest_stream(spark: SparkSession, observations_dir: str, manifest_root: str, checkpoint: str,
                           fmt: str = "json", data_root: str = "data", max_files_per_trigger: int | None = None):
     """Start the stream; returns the ``StreamingQuery`` (``awaitTermination()`` to wait)."""
-    reader = spark.readStream.schema(OBSERVATION_SCHEMA).format(fmt)
+    reader = spark.readStream.schema(STREAM_SCHEMA).format(fmt)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.load(observations_dir)
@@ -31,8 +37,7 @@ def start_manifest_stream(spark: SparkSession, observations_dir: str, manifest_r
 
     def fold(batch: DataFrame, epoch_id: int) -> None:
         manifest, version = load_manifest(spark, manifest_root, MANIFEST_V1_SCHEMA)
-        # one observation per url and batch (repeats within a batch are the same fetch)
-        obs = batch.dropDuplicates(["url"])
+        obs = last_observations(batch).drop("observed_at")
         statuses = change_status(obs, manifest)
         new = manifest_upsert(manifest, statuses, utc_now_iso(), data_root=data_root)
         # cut lineage from the version being read before writing the next one
@@ -44,5 +49,5 @@ def start_manifest_stream(spark: SparkSession, observations_dir: str, manifest_r
 
 def statuses_stream(spark: SparkSession, observations_dir: str, manifest: DataFrame, fmt: str = "json") -> DataFrame:
     """Streaming M2 against a static manifest (stream-static left join)."""
-    stream = spark.readStream.schema(OBSERVATION_SCHEMA).format(fmt).load(observations_dir)
+    stream = spark.readStream.schema(STREAM_SCHEMA).format(fmt).load(observations_dir)
     return change_status(stream, manifest).withColumn("observed_at", F.current_timestamp())

@@ -83,7 +83,7 @@ def _sql_codes():
 
 # ---- C6: dates in several text shapes plus junk
 
-DATE_SHAPES = 6
+DATE_SHAPES = 13
 
 
 def q_coerce_timestamp(spark, d):
@@ -95,23 +95,40 @@ def q_coerce_timestamp(spark, d):
            .when(k == 2, F.date_format(ts, "M/d/yyyy"))
            .when(k == 3, F.concat(F.lit(" "), F.date_format(ts, "MM/dd/yyyy"), F.lit(" ")))
            .when(k == 4, F.concat(F.lit("x"), F.date_format(ts, "yyyyMMdd")))
+           .when(k == 6, F.date_format(ts, "yyyy-MM-dd 00:00:00.5"))
+           .when(k == 7, F.date_format(ts, "M/d/yy"))
+           .when(k == 8, F.date_format(ts, "yyyy/MM/dd"))
+           .when(k == 9, F.concat(F.date_format(ts, "M/d/yyyy"), F.lit(" 3:15 PM")))
+           .when(k == 10, F.date_format(ts, "MMM d, yyyy"))
+           .when(k == 11, F.date_format(ts, "yyyyMMdd"))
+           .when(k == 12, F.date_format(ts, "MMMM d, yyyy"))
            .otherwise(F.col("o_custkey").cast("string")))
     return o.select(F.col("o_orderkey").alias("id"), raw.alias("raw"), coerce_timestamp(raw).alias("parsed"))
 
 
 SQL_COERCE_TIMESTAMP = f"""
 WITH r AS (
-  SELECT o_orderkey AS id,
+  SELECT o_orderkey AS id, CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) AS day, o_orderkey % {DATE_SHAPES} AS k,
     CASE o_orderkey % {DATE_SHAPES}
       WHEN 0 THEN strftime(o_orderdate, '%Y-%m-%d %H:%M:%S')
       WHEN 1 THEN strftime(o_orderdate, '%Y-%m-%d')
       WHEN 2 THEN strftime(o_orderdate, '%-m/%-d/%Y')
       WHEN 3 THEN ' ' || strftime(o_orderdate, '%m/%d/%Y') || ' '
       WHEN 4 THEN 'x' || strftime(o_orderdate, '%Y%m%d')
+      WHEN 6 THEN strftime(o_orderdate, '%Y-%m-%d') || ' 00:00:00.5'
+      WHEN 7 THEN strftime(o_orderdate, '%-m/%-d/%y')
+      WHEN 8 THEN strftime(o_orderdate, '%Y/%m/%d')
+      WHEN 9 THEN strftime(o_orderdate, '%-m/%-d/%Y') || ' 3:15 PM'
+      WHEN 10 THEN strftime(o_orderdate, '%b %-d, %Y')
+      WHEN 11 THEN strftime(o_orderdate, '%Y%m%d')
+      WHEN 12 THEN strftime(o_orderdate, '%B %-d, %Y')
       ELSE CAST(o_custkey AS VARCHAR) END AS raw
   FROM orders)
 SELECT id, raw,
-  CASE WHEN regexp_matches(raw, '^\\s*\\d{{4}}-\\d{{1,2}}-\\d{{1,2}}( \\d{{1,2}}:\\d{{1,2}}:\\d{{1,2}})?\\s*$')
+  CASE WHEN k = 6 THEN day + INTERVAL 500 MILLISECOND
+       WHEN k = 9 THEN day + INTERVAL '15 hours 15 minutes'
+       WHEN k IN (7, 8, 10, 11, 12) THEN day
+       WHEN regexp_matches(raw, '^\\s*\\d{{4}}-\\d{{1,2}}-\\d{{1,2}}( \\d{{1,2}}:\\d{{1,2}}:\\d{{1,2}})?\\s*$')
          THEN CAST(trim(raw) AS TIMESTAMP)
        WHEN regexp_matches(raw, '^\\s*\\d{{1,2}}/\\d{{1,2}}/\\d{{4}}\\s*$')
          THEN strptime(trim(raw), '%m/%d/%Y')

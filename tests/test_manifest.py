@@ -167,3 +167,17 @@ def test_load_manifest_raises_when_no_version_can_be_read(spark, tmp_path):
     (folder / "part-00000.parquet").write_bytes(b"no parquet file")
     with pytest.warns(UserWarning, match="version 1"), pytest.raises(RuntimeError, match="none of 1"):
         load_manifest(spark, str(tmp_path))
+
+
+def test_repeated_observations_are_one_fetch(spark):
+    from recordlake.operators.manifest import last_observations
+    m = manifest(spark, [])
+    twice = obs(spark, [o_row("u", sha="h1"), o_row("u", sha="h2"), o_row("v")])
+    timed = twice.withColumn("observed_at", F.when(F.col("sha256") == "h1", "2026-01-02").otherwise("2026-01-01"))
+    one = last_observations(timed)
+    assert {(r["url"], r["sha256"]) for r in one.collect()} == {("u", "h1"), ("v", "h1")}
+    assert last_observations(twice).count() == 2
+    new = manifest_upsert(m, change_status(one.drop("observed_at"), m), RUN)
+    assert sorted(r["url"] for r in new.collect()) == ["u", "v"]
+    with pytest.raises(Exception, match="several statuses"):
+        manifest_upsert(m, change_status(twice, m), RUN).collect()

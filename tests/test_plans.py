@@ -149,3 +149,29 @@ def test_compile_without_listing_broadcast(spark, tmp_root, monkeypatch):
     got = sorted((r["case_number"], r["case_status"]) for r in compile_lca(spark, tmp_root, batch_rows=10).collect())
     # one batch holds all four rows, so both rows of A survive (duplicates inside the first batch stay)
     assert got == [("A", "Certified"), ("A", "Withdrawn"), ("B", "Denied"), ("C", "Denied")]
+
+
+def test_first_batches_survive_another_split_of_the_files(spark, tmp_root):
+    for y in range(2009, 2021):
+        write(f"{tmp_root}/{y}/LCA_FY{y}.csv",
+              "CASE_NUMBER,STATUS\n" + "".join(f"I-{(y * 37 + i) % 400},s{i}\n" for i in range(120)))
+    keys = ["spark.sql.files.openCostInBytes", "spark.sql.files.minPartitionNum", "spark.sql.files.maxPartitionBytes"]
+    before = {k: spark.conf.get(k, None) for k in keys}
+    out = compile_lca(spark, tmp_root, batch_rows=50)
+    try:
+        n = out.count()
+        for values in (("1", "1", "1g"), ("100m", "24", "64")):
+            for k, v in zip(keys, values):
+                spark.conf.set(k, v)
+            again = out.where(F.lit(True)).select("*")
+            assert again.count() == n
+            assert compile_lca(spark, tmp_root, batch_rows=50).count() == n
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_header_with_a_line_break_keeps_every_column(spark, tmp_root):
+    write(f"{tmp_root}/2020/LCA_FY2020.csv", '"CASE_NUMBER","CASE\nSTATUS",EMPLOYER_NAME\nI-1,x,Acme\nI-2,y,Beta\n')
+    rows = {r["case_number"]: r["employer_name"] for r in compile_lca(spark, tmp_root).collect()}
+    assert rows == {"I-1": "Acme", "I-2": "Beta"}

@@ -70,3 +70,14 @@ def test_t5_dates(spark):
             "9999-01-01"]
     d = dt.datetime(2009, 10, 1)
     assert col1(spark, vals, coerce_timestamp) == [d, d, d, d, None, None, None, None, None]
+
+
+def test_more_date_shapes(spark):
+    d = dt.datetime(2009, 10, 1)
+    vals = ["2009-10-01 00:00:00.5", "10/1/09", "2009/10/01", "10/1/2009 3:15 PM", "10/1/2009 12:05:30 am", "Oct 1, 2009",
+            "October 1, 2009", "May 1, 2009", "20091001", "10/1/68", "10/1/69", "01-OCT-99", "13/45/09", "20091345",
+            "Foo 1, 2009", "10/1/2009 15:15 PM", "12/31/99", "2/29/00"]
+    assert col1(spark, vals, coerce_timestamp) == [
+        d.replace(microsecond=500000), d, d, d.replace(hour=15, minute=15), d.replace(minute=5, second=30), d, d,
+        dt.datetime(2009, 5, 1), d, dt.datetime(2068, 10, 1), dt.datetime(1969, 10, 1), dt.datetime(1999, 10, 1), None, None,
+        None, None, dt.datetime(1999, 12, 31), dt.datetime(2000, 2, 29)]
