@@ -7,14 +7,17 @@ item has one sketch per class. A segment that shares a bin's minimum with an ite
 sketch makes (document, item) a candidate. At a bin load of at most 1/4 a common shingle
 is a common minimum with a chance of about 0.85, so an item of ten shingles, eight of
 them in the document, is missed with a chance below 1e-6 whatever the document's length;
-that is what the partition by size buys. Candidates are then verified by the exact share
-of the item's distinct shingles that occur in the document, at least 0.8.
+that is what the partition by size buys. Items of up to ``EXACT`` shingles leave nothing to
+chance: each of their shingles in a document makes a candidate. Candidates are then verified
+by the exact share of the item's distinct shingles that occur in the document, at least 0.8.
+Items of fewer than five words are searched as the sequence of all their words, which is
+then their one shingle.
 
 The index of items may be of any size: tasks get only a bitmap of its hashes (at most
 2^25 bits, built by Spark), and what passes is joined to the index by Spark.
 
-Defined cases: null and empty texts contain nothing; items of fewer than five words can't
-be searched and match nothing; repeated items and documents give one row for each pair of
+Defined cases: null, empty and wordless texts contain nothing and match nothing; ``shortest``
+leaves out items of fewer words; repeated items and documents give one row for each pair of
 rows' ids and positions; empty tables give no rows; other columns are ignored, and kept
 by ``drop_leaks``.
 """
@@ -34,6 +37,7 @@ from recordlake.llm.shingles import WORDS, mix, shingle_hashes, word_hashes
 CONTAINMENT = 0.8
 SIZES = (32, 64, 128, 256)
 BINS = 4
+EXACT = 12  # items of up to so many shingles are found without sketches
 BITS = 2 ** 25
 _BUCKET = 32_768  # bits of one bitmap row
 
@@ -59,17 +63,22 @@ def segments(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return seg, np.searchsorted(SIZES, np.where(whole > most, most, size))
 
 
+def short_class(words: int) -> int:
+    """Class of the word sequences of items of ``words`` words, fewer than a shingle's."""
+    return words - WORDS - 1
+
+
 def item_index(items: DataFrame, item_id: str = "item_id", text: str = "text") -> DataFrame:
-    """item_id, at (a row number), hash, size class (-1: a shingle of the item itself), n (its
-    number of distinct shingles); items of fewer than five words have no rows."""
+    """item_id, at (a row number), hash, size class (-1: a shingle of the item itself;
+    k - 6: all k words of an item of fewer than five), n (its number of distinct shingles); items without
+    words have no rows."""
     src = positioned(items, item_id=col(item_id), text=col(text))
     kind = src.schema["item_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in chunks(batches):
-            _, at = word_hashes(texts)
-            texts = [t if n >= WORDS else None for t, n in zip(texts, np.diff(at))]
-            hashes, offsets = shingle_hashes(texts)
+            words = np.diff(word_hashes(texts)[1])
+            hashes, offsets = shingle_hashes([t if n >= WORDS else None for t, n in zip(texts, words)])
             text_of = np.repeat(np.arange(len(texts)), np.diff(offsets))
             pairs = np.unique(np.stack([text_of.astype(np.uint64), hashes]), axis=1)
             who, h = pairs[0].astype(np.int64), pairs[1]
@@ -78,6 +87,10 @@ def item_index(items: DataFrame, item_id: str = "item_id", text: str = "text") -
             for c, u in enumerate(SIZES):
                 g, least = sketch(h, who, len(texts), BINS * u)
                 parts.append((g, least, np.full(len(g), c)))
+            for k in range(1, WORDS):
+                own = np.flatnonzero(words == k)
+                parts.append((own, shingle_hashes([texts[i] for i in own], k)[0], np.full(len(own), short_class(k))))
+                n[own] = 1
             who, h, c = (np.concatenate(x) for x in zip(*parts))
             take = pa.array(who)
             yield pa.RecordBatch.from_arrays(
@@ -101,16 +114,21 @@ def bitmap(index: DataFrame, bits: int = BITS) -> np.ndarray:
 
 
 def leaks(spark: SparkSession, docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text",
-          item_id: str = "item_id", item_text: str = "text", containment: float = CONTAINMENT) -> DataFrame:
-    """doc_id, fh, row, item_id, n_item, n_shared, containment: documents that contain an item."""
-    index = stage(item_index(items, item_id, item_text), "items")
+          item_id: str = "item_id", item_text: str = "text", containment: float = CONTAINMENT,
+          shortest: int = 1) -> DataFrame:
+    """doc_id, fh, row, item_id, n_item, n_shared, containment: documents that contain an item of at least
+    ``shortest`` words."""
+    index = item_index(items, item_id, item_text)
+    index = stage(index.where((F.col("class") >= -1) | (F.col("class") >= short_class(shortest))), "items")
     mask = spark.sparkContext.broadcast(bitmap(index))
+    every = spark.sparkContext.broadcast(bitmap(index.where((F.col("class") < 0) & (F.col("n") <= EXACT))))
+    short = [k for k in range(1, WORDS) if index.where(F.col("class") == short_class(k)).take(1)]
     src = positioned(docs, doc_id=col(doc_id), text=col(text))
     kind = src.schema["doc_id"].dataType.simpleString()
 
-    def passes(h: np.ndarray) -> np.ndarray:
+    def passes(h: np.ndarray, of=mask) -> np.ndarray:
         p = h.view(np.int64) % BITS
-        return mask.value[p >> 3] >> (p & 7).astype(np.uint8) & 1 == 1
+        return of.value[p >> 3] >> (p & 7).astype(np.uint8) & 1 == 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in chunks(batches):
@@ -131,25 +149,29 @@ def leaks(spark: SparkSession, docs: DataFrame, items: DataFrame, doc_id: str =
                 parts.append((owner[mine[g[hit]]], least[hit], np.full(hit.sum(), c)))
             found = np.zeros(len(texts), bool)
             found[np.concatenate([p[0] for p in parts])] = True
-            own = np.flatnonzero(found[doc_of])  # for the verification: all shingles that items may have
-            own = own[passes(hashes[own])]
+            # for the verification: all shingles that items may have, in any document those of short items
+            own = np.flatnonzero(np.where(found[doc_of], passes(hashes), passes(hashes, every)))
             parts.append((doc_of[own], hashes[own], np.full(len(own), -1)))
+            for k in short:
+                seq, at = shingle_hashes(texts, k)
+                own = np.flatnonzero(passes(seq, every))
+                parts.append((np.repeat(np.arange(len(texts)), np.diff(at))[own], seq[own], np.full(len(own), short_class(k))))
             who, h, c = (np.concatenate(x) for x in zip(*parts))
-            rows = np.unique(np.stack([who.astype(np.uint64), h, (c + 1).astype(np.uint64)]), axis=1)
+            rows = np.unique(np.stack([who.astype(np.uint64), h, (c + WORDS).astype(np.uint64)]), axis=1)
             take = pa.array(rows[0].astype(np.int64))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(batch.schema.get_field_index(k)).take(take) for k in ("doc_id", "fh", "row")]
-                + [pa.array(rows[1].view(np.int64)), pa.array(rows[2].astype(np.int32) - 1)],
+                + [pa.array(rows[1].view(np.int64)), pa.array(rows[2].astype(np.int32) - WORDS)],
                 ["doc_id", "fh", "row", "hash", "class"])
     found = stage(src.mapInArrow(run, f"doc_id {kind}, fh long, row long, hash long, class int"), "found")
     both = found.join(index, ["hash", "class"])
     pair = ["fh", "row", "at"]
-    # one row of hits for each pair: candidates have a common minimum, their class is not -1
+    # one row of hits for each pair: candidates have a common minimum, their class is not negative, or a short item
     return (both.groupBy(*pair).agg(
         F.max("class").alias("class"), F.first("doc_id").alias("doc_id"), F.first("item_id").alias("item_id"),
-        F.max("n").alias("n_item"), F.count(F.when(F.col("class") == -1, 1)).alias("n_shared"))
+        F.max("n").alias("n_item"), F.count(F.when(F.col("class") < 0, 1)).alias("n_shared"))
         .withColumn("containment", F.col("n_shared") / F.col("n_item"))
-        .where((F.col("class") >= 0) & (F.col("containment") >= containment))
+        .where(((F.col("class") >= 0) | (F.col("n_item") <= EXACT)) & (F.col("containment") >= containment))
         .select("doc_id", "fh", "row", "item_id", "n_item", "n_shared", "containment"))
 
 

@@ -136,6 +136,29 @@ def test_leaks(spark, docs, empty):
     assert containment.leaks(spark, docs, items.limit(0)).count() == 0
 
 
+def test_short_items_are_found_in_every_document(spark):
+    r = random.Random(3)
+    texts = [" ".join(f"v{r.randrange(900)}" for _ in range(260)) for _ in range(80)]
+    words = [t.split() for t in texts]
+    # 1 to 7 words, and 16 words of which two at the end are changed: 10 of 12 shingles
+    rows = [(100 * k + i, " ".join(words[i][9 * k:9 * k + k])) for k in range(1, 8) for i in range(80)]
+    rows += [(900 + i, " ".join([*words[i][100:114], "end", "here"])) for i in range(80)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    items = spark.createDataFrame(rows, "item_id long, text string")
+
+    def parts(w, k):
+        return {tuple(w[i:i + k]) for i in range(len(w) - k + 1)}
+    want = set()
+    for item, t in rows:
+        k = min(5, len(t.split()))
+        mine = parts(t.split(), k)
+        want |= {(d, item, len(mine), len(mine & parts(w, k))) for d, w in enumerate(words) if len(mine & parts(w, k)) >= 0.8 * len(mine)}
+    got = containment.leaks(spark, df, items).collect()
+    assert len(got) == len(want) and {(x.doc_id, x.item_id, x.n_item, x.n_shared) for x in got} == want
+    long = {x.item_id for x in containment.leaks(spark, df, items, shortest=5).collect()}
+    assert long == {i for i, t in rows if len(t.split()) >= 5}
+
+
 def test_personal_data(spark, docs, empty):
     plain = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
              "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
