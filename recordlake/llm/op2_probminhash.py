@@ -1,11 +1,12 @@
 """Operator 2, near-duplicates: ProbMinHash signatures, banding, verification.
 
-Each distinct five-word shingle of a text, with its number of occurrences as weight,
-is a Poisson process: its arrivals come at exponential distances of rate *weight*,
-each into one register chosen evenly. A register keeps the element of the earliest
-arrival. Elements are advanced in rounds and leave as soon as their next arrival is
-later than the latest register of their text (early termination). Two signatures
-agree in a register with the probability Jaccard similarity of the weighted sets.
+Each distinct five-word shingle of a text is a Poisson process: its arrivals come at
+exponential distances of rate *weight*, each into one register chosen evenly. A register
+keeps the element of the earliest arrival. Elements are advanced in rounds and leave as
+soon as their next arrival is later than the latest register of their text (early
+termination). Two signatures agree in a register with the probability Jaccard similarity of
+the weighted sets. Every weight is 1 here, however often a shingle occurs, so that is the
+Jaccard similarity of the shingle sets, by which links are decided.
 
 Bands of registers become bucket keys. Texts that are equal after normalisation are
 one node, combined before any shuffle. In each bucket some centres are compared with the
@@ -146,8 +147,8 @@ def sketch(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", bands: i
                 if d is not None:
                     first.setdefault(d, i)
             pick = np.fromiter(first.values(), np.int64, len(first))
-            t, e, w = weighted(*_subset(hashes, offsets, pick))
-            signature = signatures(t, e, w, len(pick), bands * rows)
+            t, e, _ = weighted(*_subset(hashes, offsets, pick))
+            signature = signatures(t, e, np.ones(len(e)), len(pick), bands * rows)  # the measure of ``compare``
             keys, bits = band_keys(signature, bands, rows), compact(signature)
             place = {d: k for k, d in enumerate(first)}
             mine = [place[d] if d is not None and first[d] == i else None for i, d in enumerate(nodes)]
@@ -316,25 +317,26 @@ def merged(labels: DataFrame, edges: DataFrame) -> DataFrame:
 
 def near_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                  similarity: float = SIMILARITY) -> DataFrame:
-    """doc_id, fh, row, class_id (doc_id of the row that stays), class_size, n_links (to other
-    texts), kept: one row per row of ``docs``."""
+    """doc_id, fh, row, class_id (doc_id of the row that stays), class_size, n_links_tried
+    (links to other texts among the pairs that were compared, enough to connect the class, not all), kept: one
+    row per row of ``docs``."""
     docs = anchored(docs)
     sketched = stage(sketch(docs, doc_id, text), "sketch")
     found, comps = links(docs, sketched, similarity, text)
     ends = found.select(F.explode(F.array("a", "b")).alias("node"))
-    degree = ends.groupBy("node").agg(F.count("*").alias("n_links"))
+    degree = ends.groupBy("node").agg(F.count("*").alias("n_links_tried"))
     nodes = (sketched.where("node is not null").groupBy("node")
              .agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "fh", "row")).alias("first"))
              .join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node")))
     classes = nodes.groupBy("comp").agg(F.sum("n").alias("class_size"), F.min("first").alias("first")).where("class_size > 1")
     labels = stage(nodes.select("node", "comp").join(classes, "comp").join(degree, "node", "left")
-                   .select("node", "class_size", "first", F.coalesce("n_links", F.lit(0)).alias("n_links")), "labels")
+                   .select("node", "class_size", "first", F.coalesce("n_links_tried", F.lit(0)).alias("n_links_tried")), "labels")
     me = F.struct("doc_id", "fh", "row")
     out = sketched.select("doc_id", "fh", "row", "node").join(labels, "node", "left")
     return out.select("doc_id", "fh", "row",
                       F.when(F.col("first").isNull(), F.col("doc_id")).otherwise(F.col("first.doc_id")).alias("class_id"),
                       F.coalesce("class_size", F.lit(1)).cast("long").alias("class_size"),
-                      F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
+                      F.coalesce("n_links_tried", F.lit(0)).cast("long").alias("n_links_tried"),
                       F.coalesce(F.col("first") == me, F.lit(True)).alias("kept"))
 
 

@@ -78,3 +78,15 @@ def test_stage_keeps_columns_and_one_row_of_a_class(spark):
     out = near.drop_near_copies(spark, docs)
     assert out.columns == docs.columns
     assert sorted(r.doc_id for r in out.collect()) == [2, 9]
+
+
+@pytest.mark.parametrize("times", [5, 20])
+def test_a_passage_repeated_more_often_is_still_linked(spark, times):
+    texts = []
+    for k in range(20):
+        body = " ".join(f"b{k}x{i}" for i in range(240))
+        footer = " ".join(f"f{k}x{i}" for i in range(60))
+        texts += [f"{body} {footer}", " ".join([body, *[footer] * times])]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.class_id for r in near.near_classes(docs).collect()}
+    assert got == dict(enumerate(brute(texts))) == {i: i - i % 2 for i in range(40)}
