@@ -7,10 +7,9 @@ summed conditional log-probabilities score the text.
 
 Words are hashed to ``BUCKETS`` values, counted over all documents. The most frequent have
 a class of their own, the others fall by frequency into classes of equal mass. The network
-is trained in numpy: each task makes one pass of Adagrad over the targets of its own
-documents, in every document each ``STRIDE``-th word from an offset that a hash of the
-document's position gives, and Spark averages the tasks' parameters, weighted by their
-targets. So every document trains the model, and what is gathered grows with the input;
+is trained in numpy: each task makes one pass of Adagrad over its own documents, with every
+word a target, and Spark averages the tasks' parameters, weighted by their targets. So every
+word of every document trains the model, and what is gathered grows with the input;
 the model itself has a fixed size.
 
 Defined cases: null, empty and wordless texts have no tokens, a sum of 0 and a null mean;
@@ -29,14 +28,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recordlake.llm.common import chunks, col, positioned, ship
+from recordlake.llm.common import chunks, col, ship
 from recordlake.llm.shingles import mix, word_hashes
 
 BUCKETS, INPUTS, SIZE = 1 << 16, 1 << 12, 16
 OWN, SHARED = 96, 32
 CLASSES = OWN + SHARED
 PLACES = (-2, -1, 1, 2)
-STRIDE, BATCH, RATE = 8, 2048, 0.1
+BATCH, RATE = 2048, 0.1
 
 
 def buckets(texts) -> tuple[np.ndarray, np.ndarray]:
@@ -150,14 +149,9 @@ def train(spark: SparkSession, docs: DataFrame, classes: Classes, text: str = "t
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         net, square, seen = Network.start(), np.full(Network.LENGTH, 1e-6, np.float32), 0
         first = net.flat.copy()
-        for batch, texts in chunks(batches):
+        for _, texts in chunks(batches):
             words, at = buckets(texts)
-            place = [batch.column(batch.schema.get_field_index(c)).to_numpy().view(np.uint64) for c in ("fh", "row")]
-            offset = (mix(place[0] ^ mix(place[1])) % np.uint64(STRIDE)).astype(np.int64)
-            n = np.diff(at)
-            inner = np.arange(len(words)) - np.repeat(at[:-1], n)
-            target = np.flatnonzero((inner + np.repeat(offset, n)) % STRIDE == 0)
-            target = target[np.argsort(mix(target.astype(np.uint64)))]
+            target = np.argsort(mix(np.arange(len(words), dtype=np.uint64)))
             for i in range(0, len(target), BATCH):
                 some = target[i:i + BATCH]
                 g = net.gradient(contexts(words, at, some), classes_of(shared)[words[some]]).flat
@@ -172,7 +166,7 @@ def train(spark: SparkSession, docs: DataFrame, classes: Classes, text: str = "t
 
     def classes_of(b) -> np.ndarray:
         return b.value.of
-    rows = positioned(docs, text=col(text)).mapInArrow(run, "i long, v double")
+    rows = docs.select(col(text).alias("text")).mapInArrow(run, "i long, v double")
     total = {r["i"]: r["v"] for r in rows.groupBy("i").agg(F.sum("v").alias("v")).collect()}
     net = Network.start()
     seen = total.pop(-1, 0)

@@ -213,6 +213,14 @@ def test_masked_lm(spark, docs, empty):
     assert lm.score(spark, empty).count() == 0 and lm.score(spark, docs).count() == len(ROWS)
 
 
+def test_every_word_trains_the_model(spark):
+    texts = [f"left{i} mid{i} right{i}" for i in range(40)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").coalesce(1)
+    net = lm.train(spark, df, lm.Classes.from_counts(lm.count_words(df)))
+    inputs = np.unique(lm.buckets(texts)[0] >> 4)
+    assert (net.embed[inputs] != lm.Network.start().embed[inputs]).any(axis=1).all()
+
+
 def test_lines(spark, docs, empty):
     a = "This is a line of some length, number one."
     rows = [(1, a + "\n\nshort\nother"), (2, a.replace("some", "sme") + "\nshort\nshorx"), (3, a.replace("line", "lymph")), (4, None), (5, "")]
