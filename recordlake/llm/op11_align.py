@@ -24,6 +24,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -59,7 +60,8 @@ class Side:
     bytes: list[bytes]
 
     def __post_init__(self) -> None:
-        self.length = np.array([len(b) for b in self.bytes], np.int64)
+        self.lengths = [len(b) for b in self.bytes]
+        self.length = np.array(self.lengths, np.int64)
         self.spaced = np.array([b[:1] == b" " for b in self.bytes])
 
 
@@ -88,16 +90,27 @@ def piece_bpe(path: str) -> Side:
     return Side(lambda texts: m.encode(texts, num_threads=1), table)
 
 
-def links_of(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Places (a, b) of tokens whose byte ranges overlap; both lists of ends reach the same last byte."""
-    start_a = np.concatenate(([0], ends_a[:-1]))
-    # B tokens from the one that holds a's first byte to the one that holds its last
-    low = np.searchsorted(ends_b, start_a, "right")
-    high = np.searchsorted(ends_b, ends_a, "left")
-    n = high - low + 1
-    a = np.repeat(np.arange(len(ends_a)), n)
-    b = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(low, n)
-    return a, b
+def links_and_groups(ids_a: tuple, ids_b: tuple, length_a: list[int], length_b: list[int]) -> tuple[list[int], list[str]]:
+    """Codes of the pairs whose bytes overlap, and the groups between shared ends, of two token runs over the same
+    bytes: of the two current tokens the one that ends first gives way to its successor."""
+    links, groups, i, j, x, y = [], [], 0, 0, 0, 0
+    end_a, end_b = length_a[ids_a[0]], length_b[ids_b[0]]
+    while True:
+        links.append(ids_a[i] << 32 | ids_b[j])
+        if end_a < end_b:
+            i += 1
+            end_a += length_a[ids_a[i]]
+        elif end_b < end_a:
+            j += 1
+            end_b += length_b[ids_b[j]]
+        else:
+            i, j = i + 1, j + 1
+            groups.append(",".join(map(str, ids_a[x:i])) + "|" + ",".join(map(str, ids_b[y:j])))
+            if i == len(ids_a):
+                return links, groups
+            x, y = i, j
+            end_a += length_a[ids_a[i]]
+            end_b += length_b[ids_b[j]]
 
 
 class Windows:
@@ -111,30 +124,18 @@ class Windows:
         self.number: dict[tuple, int] = {}
         self.groups: list[int] = []
         self.text: list[str] = []
-        self.links: list[np.ndarray] = []
+        self.links: list[list[int]] = []
         self.held = 0
 
     def full(self) -> bool:
         return self.held > MEMO_LINKS or len(self.number) > MEMO_WINDOWS
 
-    def find(self, ids_a: tuple, ids_b: tuple) -> int:
-        n = self.number.get((ids_a, ids_b))
-        return self.add(ids_a, ids_b) if n is None else n
-
     def add(self, ids_a: tuple, ids_b: tuple) -> int:
-        a, b = np.array(ids_a), np.array(ids_b)
-        ends_a, ends_b = np.cumsum(self.a.length[a]), np.cumsum(self.b.length[b])
-        shared = np.intersect1d(ends_a, ends_b)
-        cut_a, cut_b = (np.searchsorted(e, shared, "right").tolist() for e in (ends_a, ends_b))
-        parts, x, y = [], 0, 0
-        for i, j in zip(cut_a, cut_b):
-            parts.append(",".join(map(str, ids_a[x:i])) + "|" + ",".join(map(str, ids_b[y:j])))
-            x, y = i, j
-        la, lb = links_of(ends_a, ends_b)
-        self.groups.append(len(parts))
-        self.text.append(";".join(parts))
-        self.links.append((a[la].astype(np.int64) << 32) | b[lb])
-        self.held += len(la)
+        links, groups = links_and_groups(ids_a, ids_b, self.a.lengths, self.b.lengths)
+        self.groups.append(len(groups))
+        self.text.append(";".join(groups))
+        self.links.append(links)
+        self.held += len(links)
         n = self.number[ids_a, ids_b] = len(self.text) - 1
         return n
 
@@ -152,19 +153,20 @@ def align_text(w: Windows, data: bytes, ids_a: list[int], ids_b: list[int]) -> t
     ends_a, ends_b = np.cumsum(w.a.length[a]), np.cumsum(w.b.length[b])
     # ends before a space-marked token, on each side; anchors are those that both have
     before_a, before_b = ends_a[:-1][w.a.spaced[a[1:]]], ends_b[:-1][w.b.spaced[b[1:]]]
-    anchors = np.intersect1d(before_a, before_b)
+    anchors = np.intersect1d(before_a, before_b, assume_unique=True)
     cut_a = np.searchsorted(ends_a, anchors, "right").tolist() + [len(a)]
     cut_b = np.searchsorted(ends_b, anchors, "right").tolist() + [len(b)]
     x = y = 0
     found = []
     get = w.number.get
+    all_a, all_b = tuple(ids_a), tuple(ids_b)
     for i, j in zip(cut_a, cut_b):
-        key = (tuple(ids_a[x:i]), tuple(ids_b[y:j]))
+        key = (all_a[x:i], all_b[y:j])
         n = get(key)
         found.append(w.add(*key) if n is None else n)
         x, y = i, j
     out = (len(a), len(b), sum([w.groups[n] for n in found]), ";".join([w.text[n] for n in found]),
-           np.concatenate([w.links[n] for n in found]))
+           np.fromiter(chain.from_iterable([w.links[n] for n in found]), np.int64))
     if w.full():
         w.clear()
     return out
