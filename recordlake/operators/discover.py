@@ -1,239 +1,169 @@
 """Discovery over a table of HTML pages (X1, X2, X6 and candidate building).
 
-The source parses one page with an HTML tree library; here every page is a row
-and links are pulled out with JVM regular expressions, so the work stays in
-whole-stage code and scales with the number of pages.
-
-Tokenisation is regular, not a DOM: an element's text is its first text node,
-and the "enclosing block" of a link is the nearest block start tag before it.
-Script, style and comment sections are removed first. Where nested tables or
-full element texts matter, ``engine="tree"`` uses the element tree built by
-``html_tree`` instead; both engines feed the same event shape (``a`` links with
-their block text, ``h`` headings, ``t`` table links) into the same Spark code.
+The source parses one page at a time into a tree; here every page is a row, its elements
+are found by Spark expressions (``markup``: a fold over the page's tags) and everything
+that needs a link's surroundings (the nearest enclosing block, the headings before it,
+the cells of its table rows) is worked out inside the row. Links are exploded at the
+end, so the only shuffle of discovery is the one that keeps one candidate per URL.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recordlake.config import discovery
-from recordlake.functions._col import as_col
-from recordlake.functions.text import html_text, unescape_entities
 from recordlake.functions.urls import (
     classify_program, extract_year, filename_of, filter_extension, normalize_url, resolve_url, skip_deprecated,
 )
+from recordlake.operators import markup
+from recordlake.operators.dedupe import dedupe_by_priority
 
-NON_CONTENT = r"(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<!--.*?-->"
 
-_HEADINGS = "|".join(discovery.HEADING_TAGS)
-_BLOCKS = "|".join(discovery.CONTEXT_BLOCK_TAGS)
-# One pass, document order: a whole anchor element, or the start tag of a
-# heading/block with its first text node.
-TOKEN_PATTERN = rf"(?is)<(a)\b([^>]*)>(.*?)</a\s*>|<({_HEADINGS}|{_BLOCKS})\b([^>]*)>([^<]*)"
-HREF_PATTERN = r"""(?is)\bhref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
-TABLE_PATTERN = r"(?is)<table\b.*?</table\s*>"
-ROW_PATTERN = r"(?is)<tr\b[^>]*>(.*?)</tr\s*>"
-CELL_PATTERN = r"(?is)<td\b[^>]*>(.*?)</td\s*>"
-ANCHOR_START_PATTERN = r"(?is)<a\b([^>]*)>"
+def parsed_pages(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", url_col: str = "url") -> DataFrame:
+    """page_id, page_url, texts, elements, links: one row per page. Each step is a projection of
+    its own, so what later steps use more than once is computed once."""
+    t = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("page_url"),
+                     markup.page_tokens(F.col(html_col)).alias("tokens"))
+    t = t.select("page_id", "page_url", markup.token_texts("tokens").alias("texts"), markup.page_elements("tokens").alias("elements"))
+    links = F.filter(F.col("elements"), lambda e: markup.is_one_of(e, "a") & e["href"].isNotNull())
+    return t.withColumn("links", links)
 
 
-def strip_non_content(html) -> Column:
-    return F.regexp_replace(as_col(html), NON_CONTENT, " ")
+def _within(names: tuple[str, ...], use: Callable[[Column], Column]) -> Column:
+    """``use`` of the named columns as one struct, bound once: an array that a lambda reads straight from its column
+    may be moved into the lambda by the optimizer and so be computed again for every item."""
+    return markup.once(F.struct(*names), use)
 
 
-def href_of(attrs) -> Column:
-    """href attribute value (any quoting), entity-decoded; null when absent."""
-    a = as_col(attrs)
-    v = F.concat(*[F.regexp_extract(a, HREF_PATTERN, i) for i in (1, 2, 3)])
-    return F.when(a.rlike(HREF_PATTERN), unescape_entities(v))
+def _element(page: Column, number: Column) -> Column:
+    return F.try_element_at(page["elements"], number + 1)
 
 
-def page_tokens(pages: DataFrame, id_col: str = "page_id", html_col: str = "html",
-                url_col: str = "url") -> DataFrame:
-    """Anchors, headings and block starts of every page in document order.
+def _lookup(keys: Column, values: Column, key: Column) -> Column:
+    """The item of ``values`` that stands where ``key`` stands in ``keys``; null if it doesn't."""
+    return markup.once(F.array_position(keys, key).cast("int"), lambda at: F.when(at > 0, F.try_element_at(values, at)))
 
-    One regex pass over each page finds the tokens; each token (a short
-    string) is then split into tag, attributes and text.
-    """
-    clean = strip_non_content(F.col(html_col))
-    t = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("page_url"),
-                     F.posexplode(F.regexp_extract_all(clean, F.lit(TOKEN_PATTERN), 0)).alias("pos", "tok"))
-    tag = F.lower(F.regexp_extract("tok", r"^<([A-Za-z0-9]+)", 1))
-    is_a = tag == "a"
-    attrs = F.regexp_extract("tok", r"(?s)^<[A-Za-z0-9]+([^>]*)>", 1)
-    inner = F.when(is_a, F.regexp_extract("tok", r"(?is)^<a\b[^>]*>(.*)</a\s*>$", 1)) \
-        .otherwise(F.regexp_extract("tok", r"(?s)>([^<]*)$", 1))
-    return t.select("page_id", "page_url", "pos", tag.alias("tag"), attrs.alias("attrs"), html_text(inner).alias("text"))
 
+def _with_surroundings(t: DataFrame, use_block_context: bool = True) -> DataFrame:
+    """Adds ``around``: for each of ``links``, the program of its nearest enclosing block's full text or else of the
+    nearest heading before it whose full text names one. Each block and each heading is classified once."""
+    def program_of(page: Column, element: Column) -> Column:
+        return markup.once(markup.text_of(page["texts"], element), lambda x: classify_program(F.lit(""), x))
+
+    def block_of(link: Column) -> Column:
+        return F.try_element_at(F.filter(link["up"], lambda u: markup.is_one_of(u, *discovery.CONTEXT_BLOCK_TAGS)), F.lit(1))["e"]
+
+    def heads(page: Column) -> Column:
+        some = F.filter(page["elements"], lambda e: markup.is_one_of(e, *discovery.HEADING_TAGS))
+        return markup.running(F.transform(some, lambda e: program_of(page, e)), "string", lambda before, p: F.coalesce(p, before))
+
+    def blocks(page: Column) -> Column:
+        found = F.filter(F.array_distinct(F.transform(page["links"], block_of)), lambda b: b.isNotNull())
+        return F.transform(found if use_block_context else F.slice(found, 1, 0), lambda b: F.struct(
+            b.alias("e"), program_of(page, _element(page, b)).alias("program")))
+
+    def around(page: Column) -> Column:
+        lists = F.struct(page["blocks"]["e"].alias("e"), page["blocks"]["program"].alias("program"))
+        return markup.once(lists, lambda known: F.transform(page["links"], lambda link: F.coalesce(
+            _lookup(known["e"], known["program"], block_of(link)),
+            F.when(link["heads"] > 0, F.try_element_at(page["head_programs"], link["heads"])))))
+    t = t.withColumns({"head_programs": _within(("texts", "elements"), heads),
+                       "blocks": _within(("texts", "elements", "links"), blocks)})
+    return t.withColumn("around", _within(("links", "blocks", "head_programs"), around))
+
+
+def _with_table_links(t: DataFrame) -> DataFrame:
+    """Adds ``table_links``: one item for each (table, row of it, cell of the row but the first, link in the cell), in
+    this order, however deep they nest: table_pos, row_pos, link_pos (in the row), cell, link, context, href."""
+    def of_row(page: Column, link: Column, row: Column, k: Column) -> Column:
+        inside = F.filter(F.slice(link["up"], F.lit(1), k), lambda c: markup.is_one_of(c, "td") & (c["e"] != row["first"]))
+        around = F.filter(F.slice(link["up"], k + 2, F.lit(1 << 30)), lambda x: markup.is_one_of(x, "table"))
+
+        def item(table: Column, cell: Column) -> Column:
+            t0, r0 = _element(page, table["e"]), _element(page, row["e"])
+            return F.struct(t0["tables"].alias("table_pos"), (r0["rows"] - t0["rows"]).alias("row_pos"), cell["e"].alias("cell"),
+                            link["e"].alias("link"), row["first"].alias("first"), link["href"].alias("href"))
+        return F.flatten(F.transform(around, lambda x: F.transform(inside, lambda c: item(x, c))))
+
+    def of_link(page: Column, link: Column) -> Column:
+        rows = F.transform(link["up"], lambda u, k: F.when(markup.is_one_of(u, "tr"), of_row(page, link, u, k)))
+        return F.flatten(F.filter(rows, lambda r: r.isNotNull()))
+
+    def cells(page: Column) -> Column:
+        return F.array_sort(F.flatten(F.transform(page["links"], lambda link: of_link(page, link))))
 
-def extract_page_links(pages: DataFrame, id_col: str = "page_id", html_col: str = "html",
-                       url_col: str = "url", engine: str = "regex") -> DataFrame:
-    """Every ``<a href>`` of every page, in page order.
+    def contexts(page: Column) -> Column:
+        return F.transform(F.array_distinct(page["cells"]["first"]), lambda e: F.struct(
+            e.alias("e"), markup.text_of(page["texts"], _element(page, e)).alias("text")))
 
-    ``engine="regex"`` (default) scans start tags in the JVM; ``engine="tree"``
-    uses the parsed element tree (see ``html_tree``)."""
-    if engine == "tree":
-        ev = _tree_events(pages, id_col, html_col, url_col)
-        return ev.where(F.col("kind") == "a").select("page_id", "page_url", "pos", "href")
-    clean = strip_non_content(F.col(html_col))
-    a = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("page_url"),
-                     F.posexplode(F.regexp_extract_all(clean, F.lit(ANCHOR_START_PATTERN), 1)).alias("pos", "attrs"))
-    return (a.select("page_id", "page_url", "pos", href_of("attrs").alias("href"))
-            .where(F.col("href").isNotNull()))
+    def numbered(page: Column) -> Column:
+        def count(known: Column, before: Column, c: Column) -> Column:
+            same = (before["table_pos"] == c["table_pos"]) & (before["row_pos"] == c["row_pos"])
+            return F.struct(c["table_pos"].alias("table_pos"), c["row_pos"].alias("row_pos"),
+                            F.when(same, before["link_pos"] + 1).otherwise(0).alias("link_pos"), c["cell"].alias("cell"),
+                            c["link"].alias("link"), _lookup(known["e"], known["text"], c["first"]).alias("context"),
+                            c["href"].alias("href"))
+        kind = "struct<table_pos:int,row_pos:int,link_pos:int,cell:int,link:int,context:string,href:string>"
+        lists = F.struct(page["contexts"]["e"].alias("e"), page["contexts"]["text"].alias("text"))
+        return markup.once(lists, lambda known: markup.running(page["cells"], kind, lambda before, c: count(known, before, c)))
+    t = t.withColumn("cells", _within(("elements", "links"), cells))
+    t = t.withColumn("contexts", _within(("texts", "elements", "cells"), contexts))
+    return t.withColumn("table_links", _within(("cells", "contexts"), numbered))
 
 
-def _tree_events(pages, id_col, html_col, url_col):
-    from recordlake.operators.html_tree import page_events
-    return page_events(pages, id_col, html_col, url_col)
+def extract_page_links(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", url_col: str = "url") -> DataFrame:
+    """Every ``<a href>`` of every page, in page order."""
+    t = parsed_pages(pages, id_col, html_col, url_col)
+    return t.select("page_id", "page_url", F.posexplode(F.transform("links", lambda x: x["href"])).alias("pos", "href"))
 
 
 def classify_with_context(pages: DataFrame, id_col: str = "page_id", html_col: str = "html",
-                          url_col: str = "url", use_block_context: bool = True, engine: str = "regex",
-                          events: DataFrame | None = None) -> DataFrame:
-    """Program of each link from (a) its file name, else (b) its enclosing
-    block's text, else (c) the nearest previous heading whose text classifies.
-
-    (c) is an as-of lookup: ``last(program, ignorenulls)`` over the page's
-    tokens up to the link. The window is per page, and a page is one input row,
-    so no window partition can outgrow one document. With ``engine="tree"`` the
-    block text is the full text of the nearest enclosing element and heading
-    texts are complete.
-    """
-    w = Window.partitionBy("page_id").orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    if engine == "tree":
-        ev = events if events is not None else _tree_events(pages, id_col, html_col, url_col)
-        t = ev.where(F.col("kind").isin("a", "h"))
-        t = (t.withColumn("heading_program", F.when(F.col("kind") == "h", classify_program(F.lit(""), F.col("text"))))
-             .withColumn("prev_heading_program", F.last("heading_program", ignorenulls=True).over(w)))
-        links = t.where(F.col("kind") == "a")
-        block = F.col("block_text")
-    else:
-        t = page_tokens(pages, id_col, html_col, url_col)
-        is_heading = F.col("tag").isin(*discovery.HEADING_TAGS)
-        is_block = F.col("tag").isin(*discovery.CONTEXT_BLOCK_TAGS)
-        t = (t.withColumn("heading_program", F.when(is_heading, classify_program(F.lit(""), F.col("text"))))
-             .withColumn("block_text", F.when(is_block, F.col("text")))
-             .withColumn("prev_heading_program", F.last("heading_program", ignorenulls=True).over(w))
-             .withColumn("prev_block_text", F.last("block_text", ignorenulls=True).over(w)))
-        links = t.where(F.col("tag") == "a").withColumn("href", href_of("attrs")).where(F.col("href").isNotNull())
-        block = F.concat(F.coalesce(F.col("prev_block_text"), F.lit("")), F.col("text"))
-    fname = filename_of(F.col("href"))
-    from_name = classify_program(fname)
-    from_block = classify_program(F.lit(""), block)
-    program = (F.coalesce(from_name, from_block, F.col("prev_heading_program")) if use_block_context
-               else F.coalesce(from_name, F.col("prev_heading_program")))
-    return links.select("page_id", "page_url", "pos", "href", fname.alias("filename"),
-                        F.col("text").alias("link_text"), program.alias("program"))
-
-
-def extract_table_links(pages: DataFrame, id_col: str = "page_id", html_col: str = "html",
-                        url_col: str = "url", engine: str = "regex", events: DataFrame | None = None) -> DataFrame:
-    """For each table row with at least two ``<td>``: the first cell's text
-    is the context; every anchor of the other cells is a link. With
-    ``engine="tree"`` rows, cells and anchors are found recursively in the
-    element tree, so nested tables are handled."""
-    if engine == "tree":
-        ev = events if events is not None else _tree_events(pages, id_col, html_col, url_col)
-        return ev.where(F.col("kind") == "t").select(
-            "page_id", "page_url", "table_pos", "row_pos", "link_pos", F.col("block_text").alias("context"), "href")
-    clean = strip_non_content(F.col(html_col))
-    tables = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("page_url"),
-                          F.posexplode(F.regexp_extract_all(clean, F.lit(TABLE_PATTERN), 0)).alias("table_pos", "tbl"))
-    rows = tables.select("page_id", "page_url", "table_pos",
-                         F.posexplode(F.regexp_extract_all("tbl", F.lit(ROW_PATTERN), 1)).alias("row_pos", "row"))
-    cells = rows.select("page_id", "page_url", "table_pos", "row_pos",
-                        F.regexp_extract_all("row", F.lit(CELL_PATTERN), 1).alias("cells"))
-    cells = cells.where(F.size("cells") >= 2)
-    anchors = F.flatten(F.transform(F.slice("cells", 2, 1 << 30),
-                                    lambda c: F.regexp_extract_all(c, F.lit(ANCHOR_START_PATTERN), 1)))
-    out = cells.select("page_id", "page_url", "table_pos", "row_pos",
-                       html_text(F.element_at("cells", 1)).alias("context"),
-                       F.posexplode(anchors).alias("link_pos", "attrs"))
-    return (out.withColumn("href", href_of("attrs")).where(F.col("href").isNotNull())
-            .select("page_id", "page_url", "table_pos", "row_pos", "link_pos", "context", "href"))
-
-
-def _regex_events(pages: DataFrame, id_col: str, html_col: str, url_col: str) -> DataFrame:
-    """One scan and one cleaning pass per page: document tokens and table links
-    are built as two arrays in one projection and exploded once, giving the
-    same event rows as the tree engine: ``a`` (with its block text), ``h``, ``t``."""
-    clean = strip_non_content(F.col(html_col))
-
-    def tok_event(tok, i):
-        return F.struct(F.lit("tok").alias("kind"), i.alias("pos"), F.lit(None).cast("int").alias("table_pos"),
-                        F.lit(None).cast("int").alias("row_pos"), F.lit(None).cast("int").alias("link_pos"),
-                        tok.alias("tok"), F.lit(None).cast("string").alias("context"))
-
-    def row_links(row, ti, ri):
-        cells = F.regexp_extract_all(row, F.lit(CELL_PATTERN), 1)
-        anchors = F.flatten(F.transform(F.slice(cells, 2, 1 << 30),
-                                        lambda c: F.regexp_extract_all(c, F.lit(ANCHOR_START_PATTERN), 1)))
-        links = F.transform(anchors, lambda a, li: F.struct(
-            F.lit("t").alias("kind"), F.lit(None).cast("int").alias("pos"), ti.alias("table_pos"),
-            ri.alias("row_pos"), li.alias("link_pos"), a.alias("tok"),
-            html_text(F.element_at(cells, 1)).alias("context")))
-        return F.filter(links, lambda x: F.size(cells) >= 2)
-
-    toks = F.transform(F.regexp_extract_all(clean, F.lit(TOKEN_PATTERN), 0), tok_event)
-    tabs = F.flatten(F.transform(
-        F.regexp_extract_all(clean, F.lit(TABLE_PATTERN), 0),
-        lambda tbl, ti: F.flatten(F.transform(F.regexp_extract_all(tbl, F.lit(ROW_PATTERN), 1),
-                                              lambda row, ri: row_links(row, ti, ri)))))
-    ev = (pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("page_url"),
-                       F.explode(F.concat(toks, tabs)).alias("e"))
-          .select("page_id", "page_url", "e.*"))
-    tag = F.lower(F.regexp_extract("tok", r"^<([A-Za-z0-9]+)", 1))
-    attrs = F.regexp_extract("tok", r"(?s)^<[A-Za-z0-9]+([^>]*)>", 1)
-    inner = F.when(tag == "a", F.regexp_extract("tok", r"(?is)^<a\b[^>]*>(.*)</a\s*>$", 1)) \
-        .otherwise(F.regexp_extract("tok", r"(?s)>([^<]*)$", 1))
-    is_tok = F.col("kind") == "tok"
-    ev = ev.select("page_id", "page_url", "pos", "table_pos", "row_pos", "link_pos", "context",
-                   F.when(is_tok, F.when(tag == "a", F.lit("a"))
-                          .when(tag.isin(*discovery.HEADING_TAGS), F.lit("h"))
-                          .when(tag.isin(*discovery.CONTEXT_BLOCK_TAGS), F.lit("blk"))).otherwise(F.col("kind")).alias("kind"),
-                   F.when(is_tok, href_of(attrs)).otherwise(href_of("tok")).alias("href"),
-                   F.when(is_tok, html_text(inner)).alias("text"))
-    w = Window.partitionBy("page_id").orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    prev_block = F.last(F.when(F.col("kind") == "blk", F.col("text")), ignorenulls=True).over(w)
-    block_text = F.when(F.col("kind") == "a", F.concat(F.coalesce(prev_block, F.lit("")), F.col("text"))) \
-        .when(F.col("kind") == "t", F.col("context"))
-    return ev.select("page_id", "page_url", "kind", "pos", "table_pos", "row_pos", "link_pos", "href", "text",
-                     block_text.alias("block_text")) \
-             .where(F.col("kind").isin("a", "h", "t") & (F.col("href").isNotNull() | (F.col("kind") == "h")))
-
-
-def _candidates_from_events(ev: DataFrame) -> DataFrame:
-    """Both sections from one pass over discovery events: table links (``t``)
-    and page links (``a``) with the nearest previous classified heading (``h``)."""
-    w = Window.partitionBy("page_id").orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    kind = F.col("kind")
-    t = ev.withColumn("_hp", F.when(kind == "h", classify_program(F.lit(""), F.col("text")))) \
-          .withColumn("_prev", F.last("_hp", ignorenulls=True).over(w)) \
-          .where(kind.isin("t", "a") & filter_extension(F.col("href")))
-    fname = filename_of(F.col("href"))
-    is_t = kind == "t"
-    skip = F.when(is_t, skip_deprecated(fname, F.col("block_text"))).otherwise(skip_deprecated(fname))
-    program = F.when(is_t, classify_program(fname, F.col("block_text"))).otherwise(
-        F.coalesce(classify_program(fname), classify_program(F.lit(""), F.col("block_text")), F.col("_prev")))
-    position = F.when(is_t, F.struct(F.col("table_pos").alias("table_pos"), F.col("row_pos").alias("row_pos"),
-                                     F.col("link_pos").alias("link_pos"))) \
-        .otherwise(F.struct(F.lit(0).alias("table_pos"), F.col("pos").alias("row_pos"), F.lit(0).alias("link_pos")))
-    return (t.where(~skip).withColumn("program", program).where(F.col("program").isNotNull())
-            .select("page_id", "program", normalize_url(resolve_url(F.col("page_url"), F.col("href"))).alias("url"),
-                    fname.alias("filename"), extract_year(fname).alias("year"),
-                    F.when(is_t, F.lit(0)).otherwise(F.lit(1)).alias("section"), position.alias("position")))
-
-
-def discover_candidates(pages: DataFrame, id_col: str = "page_id", html_col: str = "html",
-                        url_col: str = "url", engine: str = "regex") -> DataFrame:
-    """E6 discovery: table links first, then page links; one candidate per
-    canonical URL (D4), table section winning, then page and position order.
-    Either engine reads each page once and builds both sections from one pass
-    over its events."""
-    from recordlake.operators.dedupe import dedupe_by_priority
-    ev = (_tree_events(pages, id_col, html_col, url_col) if engine == "tree"
-          else _regex_events(pages, id_col, html_col, url_col))
-    both = _candidates_from_events(ev)
+                          url_col: str = "url", use_block_context: bool = True) -> DataFrame:
+    """Program of each link from (a) its file name, else (b) the full text of its nearest enclosing block,
+    else (c) the nearest previous heading whose full text classifies."""
+    t = _with_surroundings(parsed_pages(pages, id_col, html_col, url_col), use_block_context)
+    rows = _within(("texts", "links", "around"), lambda page: F.zip_with(page["links"], page["around"], lambda x, a: F.struct(
+        x["href"].alias("href"), markup.text_of(page["texts"], x).alias("link_text"), a.alias("around"))))
+    t = t.select("page_id", "page_url", F.posexplode(rows).alias("pos", "l")).select("page_id", "page_url", "pos", "l.*")
+    fname = filename_of("href")
+    return t.select("page_id", "page_url", "pos", "href", fname.alias("filename"), "link_text",
+                    F.coalesce(classify_program(fname), "around").alias("program"))
+
+
+def extract_table_links(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", url_col: str = "url") -> DataFrame:
+    """For each row, at any depth, of each table, with at least two ``<td>`` at any depth: the first cell's
+    full text is the context; every link of the other cells is a row, once for each cell that holds it."""
+    t = _with_table_links(parsed_pages(pages, id_col, html_col, url_col))
+    t = t.select("page_id", "page_url", F.explode("table_links").alias("l"))
+    return t.select("page_id", "page_url", *[F.col("l")[c].alias(c) for c in ("table_pos", "row_pos", "link_pos", "context", "href")])
+
+
+def page_candidates(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", url_col: str = "url") -> DataFrame:
+    """Both sections of discovery, before one candidate per URL is kept: each page is parsed once."""
+    t = _with_table_links(_with_surroundings(parsed_pages(pages, id_col, html_col, url_col)))
+    none = F.lit(None).cast("string")
+    in_tables = F.transform("table_links", lambda c: F.struct(
+        F.lit(0).alias("section"), F.array(c["table_pos"], c["row_pos"], c["link_pos"]).alias("position"), c["href"].alias("href"),
+        c["context"].alias("context"), none.alias("around")))
+    on_page = F.zip_with("links", "around", lambda x, a: F.struct(
+        F.lit(1).alias("section"), F.array(F.lit(0), x["e"], F.lit(0)).alias("position"), x["href"].alias("href"),
+        none.alias("context"), a.alias("around")))
+    found = F.filter(F.concat(in_tables, on_page), lambda x: filter_extension(x["href"]))
+    t = t.select("page_id", "page_url", F.explode(found).alias("l")).select("page_id", "page_url", "l.*")
+    fname = filename_of("href")
+    t = t.withColumn("filename", fname).where(~skip_deprecated(F.col("filename"), F.col("context")))
+    program = F.coalesce(classify_program(F.col("filename"), F.col("context")), "around")
+    return t.withColumn("program", program).where(F.col("program").isNotNull()).select(
+        "page_id", "program", normalize_url(resolve_url(F.col("page_url"), F.col("href"))).alias("url"), "filename",
+        extract_year(F.col("filename")).alias("year"), "section", "position")
+
+
+def discover_candidates(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", url_col: str = "url") -> DataFrame:
+    """E6 discovery: table links first, then page links; one candidate per canonical URL (D4), table section
+    winning, then page and position order."""
+    both = page_candidates(pages, id_col, html_col, url_col)
     best = dedupe_by_priority(both, "url", [F.col("section"), F.col("page_id"), F.col("position")])
     return best.select("program", "url", "filename", "year", "page_id", "section")

@@ -1,55 +1,108 @@
-"""Discovery checks (X1-X10, D4) over ``pages`` and listing pages derived from them."""
+"""Discovery checks (X1-X10, D4) over ``pages`` and listing pages derived from them.
+
+The oracles don't parse markup: they know from the navigation items of each page (one
+plain pattern) what the derived pages were built from, and so what must be found.
+"""
 
 from pyspark.sql import functions as F
 
+from recordlake.functions import filename_of, filter_extension, normalize_url, resolve_url
 from recordlake.operators.discover import (
-    ANCHOR_START_PATTERN, CELL_PATTERN, HREF_PATTERN, NON_CONTENT, ROW_PATTERN, TABLE_PATTERN, TOKEN_PATTERN,
     classify_with_context, discover_candidates, extract_page_links, extract_table_links,
 )
-from recordlake.functions import filename_of, filter_extension, normalize_url, resolve_url
 from recordlake.workloads import _sql as S
 from recordlake.workloads._tables import table
 from recordlake.workloads.dedupe import sql_normalize_url
 
 LABELS = ["LCA Program", "PERM Program", "Prevailing Wage", "H-2A Program", "FY 2016 Report"]
+HEADS = ["PERM", "H-2B", "LCA", "other"]
 EXTS = [".xlsx", ".csv", ".pdf", "_fy19.XLS"]
+ITEM = '<li><a href="(/[^"]*)">([^<]*)</a></li>'
+
+
+def _of(values, number):
+    return F.element_at(F.array(*[F.lit(x) for x in values]), (number % len(values) + 1).cast("int"))
 
 
 def listing_pages(spark, d):
-    """Pages whose navigation lists become file tables: each list item is a row
-    (program label cell, link cell) and each link points to a data file."""
+    """Pages whose navigation items become (a) rows of a table, each with a formatted label and its link in a nested
+    table, (b) links after a closed block inside a larger one, (c) items of a list without end tags; below a
+    formatted heading and above the page's own markup, which is full of elements that are never closed."""
     p = table(spark, d, "pages")
-    label = F.element_at(F.array(*[F.lit(x) for x in LABELS]), (F.col("page_id") % len(LABELS) + 1).cast("int"))
-    ext = F.element_at(F.array(*[F.lit(x) for x in EXTS]), (F.col("page_id") % len(EXTS) + 1).cast("int"))
-    h = F.col("html")
-    h = F.replace(h, F.lit("<li>"), F.concat(F.lit("<tr><td>"), label, F.lit("</td><td>")))
+    page = F.col("page_id")
+    items = F.arrays_zip(F.regexp_extract_all("html", F.lit(ITEM), 1).alias("href"),
+                         F.regexp_extract_all("html", F.lit(ITEM), 2).alias("name"))
+    p = p.select("page_id", "url", "html", items.alias("items"), _of(EXTS, page).alias("ext"))
+
+    def link(x, more=""):
+        return F.concat(F.lit('<a href="'), x["href"], F.lit(more), F.col("ext"), F.lit('">'), x["name"], F.lit("</a>"))
+
+    def each(build, keep=None):
+        rows = F.transform("items", lambda x, k: F.when(F.lit(True) if keep is None else k % 2 == keep, build(x, k)))
+        return F.array_join(rows, "")
+    rows = each(lambda x, k: F.concat(
+        F.lit("<tr><td><b>"), _of(LABELS, page + k), F.lit("</b> data</td>\n<td><table><tr><td>part "), k.cast("string"),
+        F.lit("</td><td>"), link(x), F.lit("</td></tr></table></td></tr>")), 0)
+    listed = each(lambda x, k: F.concat(F.lit("<li>"), _of(LABELS, page + k), F.lit(": "), link(x, "_list"), F.lit(" (file)")))
+    html = F.concat(
+        F.lit("<h2>Files of the <em>"), _of(HEADS, page), F.lit("</em> Program</h2>"),
+        F.lit("<table><tr><th>Program</th><th>Files</th></tr>"), rows, F.lit("</table><div><p>"), _of(LABELS, page + 2),
+        F.lit("</p>"), each(lambda x, k: link(x), 1), F.lit("</div><ul>"), listed, F.lit("</ul>"), F.col("html"))
+    return p.select("page_id", "url", html.alias("html"))
+
+
+def flat_listing_pages(spark, d):
+    """Pages whose navigation lists become file tables: each item is a row (program label cell, link cell)."""
+    p = table(spark, d, "pages")
+    h = F.replace(F.col("html"), F.lit("<li>"), F.concat(F.lit("<tr><td>"), _of(LABELS, F.col("page_id")), F.lit("</td><td>")))
     h = F.replace(h, F.lit("</li>"), F.lit("</td></tr>"))
     h = F.replace(F.replace(h, F.lit("<ul>"), F.lit("<table>")), F.lit("</ul>"), F.lit("</table>"))
-    h = F.regexp_replace(h, F.lit(r'href="(/[^"]*)"'), F.concat(F.lit('href="$1'), ext, F.lit('"')))
+    h = F.regexp_replace(h, F.lit(r'href="(/[^"]*)"'), F.concat(F.lit('href="$1'), _of(EXTS, F.col("page_id")), F.lit('"')))
     return p.select("page_id", "url", h.alias("html"))
 
 
-def _sql_listing_pages():
-    label = S.pick(f"page_id % {len(LABELS)}", LABELS)
-    ext = S.pick(f"page_id % {len(EXTS)}", EXTS)
-    h = "html"
-    h = f"replace({h}, '<li>', '<tr><td>' || {label} || '</td><td>')"
-    h = f"replace({h}, '</li>', '</td></tr>')"
-    h = f"replace(replace({h}, '<ul>', '<table>'), '</ul>', '</table>')"
-    h = f"""regexp_replace({h}, 'href="(/[^"]*)"', 'href="\\1' || {ext} || '"', 'g')"""
-    return f"SELECT page_id, url, {h} AS html FROM pages"
-
-
-def _sql_clean(h):
-    return f"regexp_replace({h}, {S.q(NON_CONTENT)}, ' ', 'g')"
-
-
-def _sql_href(attrs):
-    v = " || ".join(f"COALESCE(regexp_extract({attrs}, {S.q(HREF_PATTERN)}, {i}), '')" for i in (1, 2, 3))
-    for ent, ch in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"),
-                    ("&#x27;", "'"), ("&amp;", "&")):
-        v = f"replace({v}, {S.q(ent)}, {S.q(ch)})"
-    return f"(CASE WHEN regexp_matches({attrs}, {S.q(HREF_PATTERN)}) THEN {v} END)"
+def _label(number):
+    return S.pick(f"({number}) % {len(LABELS)}", LABELS)
+
+
+#: k-th navigation item of each page (from 0), n items in all; names and hrefs decoded.
+SQL_ITEMS = f"""
+items AS (
+  SELECT page_id, url AS page_url, k, len(hrefs) AS n, {S.html_text('hrefs[k + 1]')} AS href, {S.html_text('names[k + 1]')} AS name,
+         {S.pick(f'page_id % {len(EXTS)}', EXTS)} AS ext, list_transform(names, lambda x: {S.html_text('x')}) AS names
+  FROM (SELECT *, unnest(range(len(hrefs))) AS k FROM (
+    SELECT page_id, url, regexp_extract_all(html, {S.q(ITEM)}, 1) AS hrefs, regexp_extract_all(html, {S.q(ITEM)}, 2) AS names
+    FROM pages)))"""
+
+#: Links of the listing pages in page order: pos, href, text of the nearest enclosing block, and the labels
+#: (every second one) whose headings stand before the link.
+SQL_LINKS = f"""
+page_links AS (
+  SELECT page_id, page_url, k // 2 AS pos, href || ext AS href, name AS block, k AS upto FROM items WHERE k % 2 = 0
+  UNION ALL
+  SELECT page_id, page_url, (n + 1) // 2 + k // 2, href || ext,
+         {_label('page_id + 2')} || array_to_string(list_filter(names, lambda x, i: i % 2 = 0), ''), n - 1 FROM items WHERE k % 2 = 1
+  UNION ALL
+  SELECT page_id, page_url, n + k, href || '_list' || ext, {_label('page_id + k')} || ':' || name || '(file)', n - 1 FROM items
+  UNION ALL
+  SELECT page_id, page_url, 2 * n + k, href, name, n - 1 FROM items),
+named AS (
+  SELECT *, regexp_extract(href, '([^/]*)$', 1) AS filename,
+         list_filter([{S.classify("''", S.pick(f'page_id % {len(HEADS)}', HEADS))}]
+                     || list_transform(range(0, upto + 1, 2), lambda j: {S.classify("''", _label('page_id + j'))}),
+                     lambda x: x IS NOT NULL)[-1] AS heading FROM page_links),
+classified AS (
+  SELECT page_id, page_url, CAST(pos AS INTEGER) AS pos, href, filename,
+         COALESCE({S.classify('filename')}, {S.classify("''", 'block')}, heading) AS program FROM named)"""
+
+#: Table links: the outer row holds the link in its second and in its fourth cell (the nested one), the inner
+#: row is a row of the outer table and of its own.
+SQL_TABLES = f"""
+table_links AS (
+  SELECT page_id, page_url, CAST(t AS INTEGER) AS table_pos, CAST(r AS INTEGER) AS row_pos, CAST(l AS INTEGER) AS link_pos,
+         CASE WHEN outermost THEN {_label('page_id + k')} || 'data' ELSE 'part ' || k END AS context, href || ext AS href
+  FROM (SELECT *, unnest([0, 0, 0, k // 2 + 1]) AS t, unnest([k + 1, k + 1, k + 2, 0]) AS r, unnest([0, 1, 0, 0]) AS l,
+               unnest([true, true, false, false]) AS outermost FROM items WHERE k % 2 = 0))"""
 
 
 # ---- X2 + X3 + X9 + X10 + X8
@@ -62,80 +115,28 @@ def q_extract_page_links(spark, d):
 
 
 SQL_PAGE_LINKS = f"""
-WITH a AS (
-  SELECT page_id, url AS page_url,
-         unnest(regexp_extract_all({_sql_clean('html')}, {S.q(ANCHOR_START_PATTERN)}, 1)) AS attrs,
-         CAST(generate_subscripts(regexp_extract_all({_sql_clean('html')}, {S.q(ANCHOR_START_PATTERN)}, 1), 1) - 1 AS INTEGER) AS pos
-  FROM pages),
-h AS (SELECT page_id, page_url, pos, {_sql_href('attrs')} AS href FROM a)
-SELECT page_id, pos, href, regexp_extract(href, '([^/]*)$', 1) AS filename, {S.file_ext_ok('href')} AS is_file,
+WITH {SQL_ITEMS}
+SELECT page_id, CAST(k AS INTEGER) AS pos, href, regexp_extract(href, '([^/]*)$', 1) AS filename, {S.file_ext_ok('href')} AS is_file,
        {sql_normalize_url(S.resolve_root_relative('page_url', 'href'))} AS url
-FROM h WHERE href IS NOT NULL
+FROM items
 """
 
 
-# ---- X1 on the derived listing pages
+# ---- X1 and X6 (+ X5) on the derived pages
 
 def q_extract_table_links(spark, d):
     return extract_table_links(listing_pages(spark, d)).drop("page_url")
 
 
-SQL_TABLE_LINKS = f"""
-WITH lp AS ({_sql_listing_pages()}),
-t AS (SELECT page_id, unnest(regexp_extract_all({_sql_clean('html')}, {S.q(TABLE_PATTERN)}, 0)) AS tbl,
-             CAST(generate_subscripts(regexp_extract_all({_sql_clean('html')}, {S.q(TABLE_PATTERN)}, 0), 1) - 1 AS INTEGER) AS table_pos
-      FROM lp),
-r AS (SELECT page_id, table_pos, unnest(regexp_extract_all(tbl, {S.q(ROW_PATTERN)}, 1)) AS row,
-             CAST(generate_subscripts(regexp_extract_all(tbl, {S.q(ROW_PATTERN)}, 1), 1) - 1 AS INTEGER) AS row_pos FROM t),
-c AS (SELECT page_id, table_pos, row_pos, regexp_extract_all(row, {S.q(CELL_PATTERN)}, 1) AS cells FROM r),
-c2 AS (SELECT * FROM c WHERE len(cells) >= 2),
-an AS (SELECT page_id, table_pos, row_pos, {S.html_text('cells[1]')} AS context,
-              flatten(list_transform(cells[2:], lambda x: regexp_extract_all(x, {S.q(ANCHOR_START_PATTERN)}, 1))) AS anchors
-       FROM c2),
-l AS (SELECT page_id, table_pos, row_pos, context, unnest(anchors) AS attrs,
-             CAST(generate_subscripts(anchors, 1) - 1 AS INTEGER) AS link_pos FROM an WHERE len(anchors) > 0)
-SELECT page_id, table_pos, row_pos, link_pos, context, {_sql_href('attrs')} AS href FROM l
-WHERE {_sql_href('attrs')} IS NOT NULL
-"""
-
+SQL_TABLE_LINKS = f"WITH {SQL_ITEMS}, {SQL_TABLES} SELECT page_id, table_pos, row_pos, link_pos, context, href FROM table_links"
 
-# ---- X6 (+ X5) on the plain pages
 
 def q_classify_with_context(spark, d):
-    c = classify_with_context(table(spark, d, "pages"))
+    c = classify_with_context(listing_pages(spark, d))
     return c.select("page_id", "pos", "href", "filename", "program")
 
 
-def _sql_tokens(src):
-    g = lambda i: f"regexp_extract_all({_sql_clean('html')}, {S.q(TOKEN_PATTERN)}, {i})"
-    return f"""
-    tk AS (SELECT page_id, url AS page_url, {g(1)} AS g1, {g(2)} AS g2, {g(3)} AS g3, {g(4)} AS g4,
-                  {g(5)} AS g5, {g(6)} AS g6 FROM {src}),
-    t0 AS (SELECT page_id, page_url, unnest(g1) AS g1, unnest(g2) AS g2, unnest(g3) AS g3, unnest(g4) AS g4,
-                  unnest(g5) AS g5, unnest(g6) AS g6, CAST(generate_subscripts(g1, 1) - 1 AS INTEGER) AS pos FROM tk),
-    t AS (SELECT page_id, page_url, pos,
-                 CASE WHEN COALESCE(g1, '') <> '' THEN 'a' ELSE lower(g4) END AS tag,
-                 CASE WHEN COALESCE(g1, '') <> '' THEN g2 ELSE g5 END AS attrs,
-                 CASE WHEN COALESCE(g1, '') <> '' THEN {S.html_text('COALESCE(g3, \'\')')}
-                      ELSE {S.html_text('COALESCE(g6, \'\')')} END AS text
-          FROM t0),
-    w AS (SELECT *,
-            last_value(CASE WHEN tag IN ('h2', 'h3', 'h4', 'strong', 'b') THEN {S.classify("''", 'text')} END IGNORE NULLS)
-              OVER (PARTITION BY page_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS prev_heading_program,
-            last_value(CASE WHEN tag IN ('td', 'li', 'p', 'div') THEN text END IGNORE NULLS)
-              OVER (PARTITION BY page_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS prev_block_text
-          FROM t),
-    links AS (SELECT *, {_sql_href('attrs')} AS href FROM w WHERE tag = 'a' AND {_sql_href('attrs')} IS NOT NULL),
-    cls AS (SELECT *, regexp_extract(href, '([^/]*)$', 1) AS filename FROM links),
-    classified AS (SELECT page_id, page_url, pos, href, filename, text AS link_text,
-                   COALESCE({S.classify('filename')}, {S.classify("''", "COALESCE(prev_block_text, '') || text")},
-                            prev_heading_program) AS program FROM cls)"""
-
-
-SQL_CLASSIFY = f"""
-WITH {_sql_tokens('pages')}
-SELECT page_id, pos, href, filename, program FROM classified
-"""
+SQL_CLASSIFY = f"WITH {SQL_ITEMS}, {SQL_LINKS} SELECT page_id, pos, href, filename, program FROM classified"
 
 
 # ---- E6 discovery: table links first, page links second, one per canonical URL
@@ -144,34 +145,38 @@ def q_discover_candidates(spark, d):
     return discover_candidates(listing_pages(spark, d)).select("program", "url", "filename", "year", "page_id", "section")
 
 
-SQL_CANDIDATES = f"""
-WITH lp AS ({_sql_listing_pages()}),
-{_sql_tokens('lp')},
-tl AS ({SQL_TABLE_LINKS.replace('WITH lp AS (' + _sql_listing_pages() + '),', 'WITH ', 1)}),
-tc AS (
-  SELECT tl.page_id, lp.url AS page_url, tl.table_pos, tl.row_pos, tl.link_pos, tl.context, tl.href,
-         regexp_extract(tl.href, '([^/]*)$', 1) AS filename
-  FROM tl JOIN lp ON lp.page_id = tl.page_id
-  WHERE {S.file_ext_ok('tl.href')}),
-tc2 AS (
-  SELECT page_id, {S.classify('filename', 'context')} AS program,
-         {sql_normalize_url(S.resolve_root_relative('page_url', 'href'))} AS url, filename, {S.year('filename')} AS year,
+def _sql_candidates(links: str) -> str:
+    url = sql_normalize_url(S.resolve_root_relative('page_url', 'href'))
+    return f"""
+WITH {SQL_ITEMS}, {links},
+tc AS (SELECT *, regexp_extract(href, '([^/]*)$', 1) AS filename FROM table_links WHERE {S.file_ext_ok('href')}),
+allc AS (
+  SELECT page_id, {S.classify('filename', 'context')} AS program, {url} AS url, filename, {S.year('filename')} AS year,
          0 AS section, table_pos AS p1, row_pos AS p2, link_pos AS p3
-  FROM tc WHERE NOT {S.skip('filename', 'context')}),
-pc AS (
-  SELECT page_id, program, {sql_normalize_url(S.resolve_root_relative('page_url', 'href'))} AS url, filename,
-         {S.year('filename')} AS year, 1 AS section, 0 AS p1, pos AS p2, 0 AS p3
-  FROM classified WHERE {S.file_ext_ok('href')} AND NOT {S.skip('filename')}),
-allc AS (SELECT * FROM tc2 WHERE program IS NOT NULL UNION ALL SELECT * FROM pc WHERE program IS NOT NULL)
+  FROM tc WHERE NOT {S.skip('filename', 'context')}
+  UNION ALL
+  SELECT page_id, program, {url}, filename, {S.year('filename')}, 1, 0, pos, 0
+  FROM classified WHERE {S.file_ext_ok('href')} AND NOT {S.skip('filename')})
 SELECT program, url, filename, year, page_id, section FROM (
-  SELECT *, row_number() OVER (PARTITION BY url ORDER BY section, page_id, p1, p2, p3) AS rn FROM allc) WHERE rn = 1
+  SELECT *, row_number() OVER (PARTITION BY url ORDER BY section, page_id, p1, p2, p3) AS rn
+  FROM allc WHERE program IS NOT NULL) WHERE rn = 1
 """
 
+
+SQL_CANDIDATES = _sql_candidates(f"{SQL_LINKS}, {SQL_TABLES}")
+
+
 def q_discover_candidates_tree(spark, d):
-    """E6 discovery with the element-tree engine (mapInPandas + stdlib parser);
-    on these pages its candidates equal the default engine's."""
-    lp = listing_pages(spark, d)
-    return discover_candidates(lp, engine="tree").select("program", "url", "filename", "year", "page_id", "section")
+    """E6 discovery over pages with one flat table in the middle of the page's own markup."""
+    return discover_candidates(flat_listing_pages(spark, d)).select("program", "url", "filename", "year", "page_id", "section")
+
+
+SQL_FLAT_LINKS = f"""
+classified AS (
+  SELECT page_id, page_url, k AS pos, href || ext AS href, regexp_extract(href || ext, '([^/]*)$', 1) AS filename,
+         COALESCE({S.classify("regexp_extract(href || ext, '([^/]*)$', 1)")}, {S.classify("''", 'name')}) AS program FROM items),
+table_links AS (
+  SELECT page_id, page_url, 0 AS table_pos, k AS row_pos, 0 AS link_pos, {_label('page_id')} AS context, href || ext AS href FROM items)"""
 
 
 QUERIES = {
@@ -182,7 +187,7 @@ QUERIES = {
     "discover_candidates": q_discover_candidates,
 }
 ORACLE = {
-    "discover_candidates_tree": SQL_CANDIDATES,
+    "discover_candidates_tree": _sql_candidates(SQL_FLAT_LINKS),
     "extract_page_links": SQL_PAGE_LINKS,
     "extract_table_links": SQL_TABLE_LINKS,
     "classify_with_context": SQL_CLASSIFY,

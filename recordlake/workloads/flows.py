@@ -472,10 +472,8 @@ def q_refresh(spark, d):
     return out["statuses"].select("url", "program", "year", "status", "is_new")
 
 
-SQL_REFRESH = SQL_CANDIDATES.replace(
-    "SELECT program, url, filename, year, page_id, section FROM (",
-    "SELECT * FROM (SELECT program, url, filename, year, page_id, section FROM (", 1).rstrip() + """
-) c),
+SQL_REFRESH = f"""
+WITH cands AS ({SQL_CANDIDATES}),
 m AS (SELECT url, CASE WHEN length(url) % 4 = 1 THEN sha256(url) ELSE 'x' END AS sha256,
              CASE WHEN length(url) % 4 = 2 THEN 'e' || (length(url) % 3) ELSE '' END AS etag,
              'lm' || (length(url) % 7) AS last_modified FROM cands WHERE length(url) % 4 <> 0),
@@ -494,7 +492,6 @@ SELECT o.url, o.program, o.year,
        ELSE true END AS is_new
 FROM o LEFT JOIN m ON o.url = m.url
 """
-SQL_REFRESH = SQL_REFRESH.replace("WITH lp AS (", "WITH cands AS (WITH lp AS (", 1)
 
 QUERIES = {
     "flagship_status_by_year": flagship,

@@ -105,26 +105,101 @@ NESTED = """<table><tr><td>LCA</td><td><table><tr><td>x</td><td><a href="/a.xlsx
 <p>intro<div><a href="/f3.csv">x</a></div>"""
 
 
-def test_tree_engine_nested_markup(spark):
+def links_of(spark, html, **kw):
+    pages = spark.createDataFrame([(7, BASE, html)], "page_id long, url string, html string")
+    return {r["href"]: r["program"] for r in classify_with_context(pages, **kw).collect()}
+
+
+def test_nested_markup(spark):
     pages = spark.createDataFrame([(7, BASE, NESTED)], "page_id long, url string, html string")
-    t = sorted((r["table_pos"], r["row_pos"], r["context"], r["href"])
-               for r in extract_table_links(pages, engine="tree").collect())
+    t = sorted((r["table_pos"], r["row_pos"], r["context"], r["href"]) for r in extract_table_links(pages).collect())
     # every table and row is visited recursively, as a tree search does
     assert t == [(0, 0, "LCA", "/a.xlsx"), (0, 0, "LCA", "/a.xlsx"), (0, 1, "x", "/a.xlsx"), (1, 0, "x", "/a.xlsx")]
-    c = {r["href"]: r["program"] for r in classify_with_context(pages, engine="tree").collect()}
+    c = links_of(spark, NESTED)
     assert c["/f1.xlsx"] == "Prevailing Wage Program"   # full text of the enclosing <li>
     assert c["/f2.xlsx"] == "PERM Program"              # implicitly closed <li>; heading with nested markup
     assert c["/f3.csv"] == "PERM Program"               # <div> closes the open <p>
-    regex = {r["href"]: r["program"] for r in classify_with_context(pages).collect()}
-    assert regex["/f2.xlsx"] is None                    # the regex engine sees only the heading's first text node
-
-
-def test_tree_and_regex_engines_agree_on_links(spark):
-    import os
-    sf = "/root/testdata/sf0.001"
-    if not os.path.isdir(sf):
-        pytest.skip("driver data not present")
-    pages = spark.read.parquet(f"{sf}/pages.parquet")
-    a = sorted((r["page_id"], r["href"]) for r in extract_page_links(pages).collect())
-    b = sorted((r["page_id"], r["href"]) for r in extract_page_links(pages, engine="tree").collect())
-    assert a == b and len(a) > 0
+
+
+def test_context_is_the_enclosing_block_not_the_one_before(spark):
+    got = links_of(spark, "<h3>LCA</h3><div><p>PERM</p></div><a href=/x.csv>x</a>")
+    assert got == {"/x.csv": "LCA Program"}              # the closed blocks don't hold the link
+    got = links_of(spark, "<table><tr><td><span>PERM Program</span> data</td><td><table><tr><td>p</td><td>"
+                          "<a href='/y.csv'>y</a></td></tr></table></td></tr></table>")
+    assert got == {"/y.csv": None}                       # its own cell names none; the table section finds it
+    got = links_of(spark, "<div>about <i>pre</i>vailing <a href='/z.csv'>wage</a></div>")
+    assert got == {"/z.csv": "Prevailing Wage Program"}  # texts are stripped and joined: aboutprevailingwage
+
+
+def test_markup_traps(spark):
+    assert links_of(spark, '<p title="a > b"><a title="x>y" href="/a.csv">lca</a> 1 < 2 <b>perm</p>') == {"/a.csv": "LCA Program"}
+    assert links_of(spark, "<div>lca<b>x</div><a href='/b.csv'>q</a>") == {"/b.csv": None}        # </div> ends the open <b>
+    assert links_of(spark, "<b>pe<!-- c -->rm<table><tr><td></b><a href='/c.csv'>q</a>") == {"/c.csv": "PERM Program"}
+    assert links_of(spark, "<a data-href='/no.csv'>n</a><A HREF=/d.csv>pw</A></p></td>") == {"/d.csv": None}  # no block around
+    assert links_of(spark, "<strong>PERM</strong><li>x <a href='/e.csv'>q</a>", use_block_context=False) == {"/e.csv": "PERM Program"}
+    empty = spark.createDataFrame([(1, BASE, None), (2, BASE, ""), (3, None, "<a href='x.csv'>lca"), (3, None, "<a href='x.csv'>lca")],
+                                  "page_id long, url string, html string")
+    assert extract_page_links(empty).count() == 2 and extract_table_links(empty).count() == 0
+    assert [r["program"] for r in classify_with_context(empty).collect()] == [None, None]
+    assert discover_candidates(empty.limit(0)).count() == 0
+
+
+def py_elements(html):
+    """The same rules by a plain stack over one page's tags: (name, start, end) by order of starts."""
+    import re
+
+    from recordlake.operators import markup as M
+    toks = re.findall(r"<[^>]*>|[^<]+", html)
+    stack, out = [], []
+
+    def end(n, at):
+        for _ in range(n):
+            out.append((*stack.pop(), at))
+    for at, t in enumerate(toks):
+        m = re.match(r"<(/?)([a-z0-9]+)", t)
+        if not m or m[2] not in M.TAGS:
+            continue
+        names = [x[0] for x in reversed(stack)]
+        if m[1]:
+            rank = M.END_RANK.get(m[2], 0)
+            for k, x in enumerate(names):
+                if x == m[2]:
+                    end(k + 1, at)
+                    break
+                if M.END_RANK.get(x, 0) > rank:
+                    break
+            continue
+        most = 0
+        for new, old, stop in M.AUTO_CLOSE:
+            if m[2] in new:
+                for k, x in enumerate(names):
+                    if x in old:
+                        most = max(most, k + 1)
+                    if x in old or x in stop:
+                        break
+        end(most, at)
+        stack.append((m[2], at))
+    end(len(stack), len(toks))
+    return sorted((s, n, e) for n, s, e in out)
+
+
+def test_elements_match_a_plain_stack(spark):
+    import random
+
+    from recordlake.operators import markup as M
+    r = random.Random(5)
+    names = ["p", "li", "ul", "td", "tr", "table", "div", "b", "a", "h2", "span", "tbody", "br", "zz"]
+    pages = []
+    for k in range(150):
+        n = r.choice([0, 1, 8, 40, 400])
+        pages.append((k, "".join(r.choice([f"<{r.choice(names)}>", f"</{r.choice(names)}>", "x "]) for _ in range(n))))
+    df = spark.createDataFrame(pages, "k int, html string").withColumn("t", M.page_tokens("html"))
+    name = {s: n for n, s in M._SIGN.items()}
+    for row in df.select("k", M.page_elements("t").alias("e")).collect():
+        assert [(x.start, name[x.sign], x.end) for x in row.e] == py_elements(pages[row.k][1])
+
+
+def test_discovery_has_one_shuffle_and_no_python(spark):
+    pages = spark.createDataFrame([(1, BASE, HTML)], "page_id long, url string, html string")
+    plan = discover_candidates(pages)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Window" not in plan and "Python" not in plan and "InPandas" not in plan
