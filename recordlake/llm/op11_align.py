@@ -21,10 +21,12 @@ ignored by ``aligned``. The memo is bounded (``MEMO_LINKS``) and lives as long a
 
 from __future__ import annotations
 
+import gc
 import hashlib
+import json
+from array import array
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -65,18 +67,57 @@ class Side:
         self.spaced = np.array([b[:1] == b" " for b in self.bytes])
 
 
+def byte_ranks(path: str) -> dict[bytes, int] | None:
+    """Bytes of each token of a byte-level BPE file to its rank, if ids are ranks: bytes first, then merges in their
+    order, as the fast encoder needs; else None."""
+    with open(path, encoding="utf-8") as f:
+        data = json.load(f)
+    letters, vocab = byte_letters(), data["model"]["vocab"]
+    added = {x["content"] for x in data.get("added_tokens", [])}
+    merges = ["".join(m) if isinstance(m, list) else m.replace(" ", "", 1) for m in data["model"]["merges"]]
+    ranks = {bytes(letters[c] for c in p): i for p, i in vocab.items() if p not in added}
+    plain = data.get("normalizer") is None and data["pre_tokenizer"] in (
+        {"type": "ByteLevel", "add_prefix_space": k, "trim_offsets": o, "use_regex": True} for k in (True, False) for o in (True, False))
+    in_order = [vocab[m] for m in merges] == list(range(256, 256 + len(merges)))
+    return ranks if plain and in_order and sorted(ranks.values()) == list(range(len(ranks))) else None
+
+
+# FIXED VALUE: how byte-level BPE cuts text into words.
+WORDS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+
+
 def byte_bpe(path: str) -> Side:
+    """Tokens of the file's tokenizer. Where its ids are merge ranks the same merges are made by a faster encoder;
+    texts that it can't take (endless runs of white space) and other files go to the tokenizer itself."""
     import os
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
     t = Tokenizer.from_file(path)
     t.encode_special_tokens = True
-    letters = byte_letters()
+    letters, ranks = byte_letters(), byte_ranks(path)
     table = []
     for i in range(t.get_vocab_size()):
         p = t.id_to_token(i) or ""
         table.append(bytes(letters[c] for c in p) if all(c in letters for c in p) else p.encode())
-    return Side(lambda texts: [e.ids for e in t.encode_batch([" " + x for x in texts], add_special_tokens=False)], table)
+
+    def plainly(texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in t.encode_batch([" " + x for x in texts], add_special_tokens=False)]
+    if ranks is None:
+        return Side(plainly, table)
+    import tiktoken
+    fast = tiktoken.Encoding("byte_bpe", pat_str=WORDS, mergeable_ranks=ranks, special_tokens={})
+
+    def encode(texts: list[str]) -> list[list[int]]:
+        out = []
+        for x in texts:
+            try:
+                out.append(fast.encode_ordinary(" " + x))
+            except (KeyboardInterrupt, SystemExit, MemoryError):
+                raise
+            except BaseException:  # noqa: BLE001 - the word pattern gave up on a long run
+                out += plainly([x])
+        return out
+    return Side(encode, table)
 
 
 def piece_bpe(path: str) -> Side:
@@ -124,7 +165,7 @@ class Windows:
         self.number: dict[tuple, int] = {}
         self.groups: list[int] = []
         self.text: list[str] = []
-        self.links: list[list[int]] = []
+        self.links: list[bytes] = []
         self.held = 0
 
     def full(self) -> bool:
@@ -134,7 +175,7 @@ class Windows:
         links, groups = links_and_groups(ids_a, ids_b, self.a.lengths, self.b.lengths)
         self.groups.append(len(groups))
         self.text.append(";".join(groups))
-        self.links.append(links)
+        self.links.append(array("q", links).tobytes())
         self.held += len(links)
         n = self.number[ids_a, ids_b] = len(self.text) - 1
         return n
@@ -166,7 +207,7 @@ def align_text(w: Windows, data: bytes, ids_a: list[int], ids_b: list[int]) -> t
         found.append(w.add(*key) if n is None else n)
         x, y = i, j
     out = (len(a), len(b), sum([w.groups[n] for n in found]), ";".join([w.text[n] for n in found]),
-           np.fromiter(chain.from_iterable([w.links[n] for n in found]), np.int64))
+           np.frombuffer(b"".join([w.links[n] for n in found]), np.int64))
     if w.full():
         w.clear()
     return out
@@ -180,40 +221,42 @@ SCHEMA = ("chunk string, doc_id long, n_a long, n_b long, n_groups long, n_links
           "pairs array<long>, times array<int>")
 
 
+def _chunk(name: str, batch: pa.RecordBatch, texts: list[str | None], w: Windows) -> pa.RecordBatch:
+    full = [t for t in texts if t]
+    tokens = iter(zip(w.a.encode(full), w.b.encode(full))) if full else iter(())
+    counts, shas, pairs, times = [], [], [], []
+    for t in texts:
+        got = align_text(w, b" " + t.encode(), *next(tokens)) if t else None
+        if got is None:
+            got = 0, 0, 0, None, np.empty(0, np.int64)
+        codes, k = np.unique(got[4], return_counts=True)
+        counts.append((*got[:3], len(got[4])))
+        shas.append("" if got[3] is None else hashlib.sha256(got[3].encode()).hexdigest())
+        pairs.append(codes)
+        times.append(k.astype(np.int32))
+    sizes = np.cumsum([0, *[len(p) for p in pairs]])
+    if sizes[-1] > 2 ** 31 - 1:
+        raise ValueError("a chunk holds more pairs than one batch can")
+    offsets = pa.array(sizes, pa.int32())
+    return pa.record_batch([
+        pa.array([name] * len(texts), pa.string()), batch.column(batch.schema.get_field_index("doc_id")),
+        *[pa.array([c[k] for c in counts], pa.int64()) for k in range(4)], pa.array(shas, pa.string()),
+        pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(pairs), pa.int64())),
+        pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(times), pa.int32()))], schema=ROWS)
+
+
 def _encode(paths: tuple[str, str] | None):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
-        part, n = TaskContext.get().partitionId(), 0
+        part, w = TaskContext.get().partitionId(), None
         where = paths or default_paths()
-        w = None
-        for batch, texts in chunks(batches, most=CHUNK_CHARS):
-            w = w or Windows(byte_bpe(where[0]), piece_bpe(where[1]))
-            full = [t for t in texts if t]
-            tokens = iter(zip(w.a.encode(full), w.b.encode(full))) if full else iter(())
-            counts, sizes, shas, pairs, times = [], [], [], [], []
-            for t in texts:
-                got = align_text(w, b" " + t.encode(), *next(tokens)) if t else None
-                if got is None:
-                    counts.append((0, 0, 0, 0))
-                    shas.append("")
-                    pairs.append(np.empty(0, np.int64))
-                    times.append(np.empty(0, np.int32))
-                    continue
-                codes, k = np.unique(got[4], return_counts=True)
-                counts.append((*got[:3], len(got[4])))
-                shas.append(hashlib.sha256(got[3].encode()).hexdigest())
-                pairs.append(codes)
-                times.append(k.astype(np.int32))
-            sizes = np.cumsum([0, *[len(p) for p in pairs]])
-            if sizes[-1] > 2 ** 31 - 1:
-                raise ValueError("a chunk holds more pairs than one batch can")
-            offsets = pa.array(sizes, pa.int32())
-            yield pa.record_batch([
-                pa.array([f"{part}.{n}"] * len(texts), pa.string()), batch.column(batch.schema.get_field_index("doc_id")),
-                *[pa.array([c[k] for c in counts], pa.int64()) for k in range(4)], pa.array(shas, pa.string()),
-                pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(pairs) if pairs else [], pa.int64())),
-                pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(times) if times else [], pa.int32()))], schema=ROWS)
-            n += 1
+        gc.disable()  # the memo is large and holds no cycles
+        try:
+            for n, (batch, texts) in enumerate(chunks(batches, most=CHUNK_CHARS)):
+                w = w or Windows(byte_bpe(where[0]), piece_bpe(where[1]))
+                yield _chunk(f"{part}.{n}", batch, texts, w)
+        finally:
+            gc.enable()
     return run
 
 

@@ -287,6 +287,21 @@ def test_align(spark, corpus, nothing, monkeypatch):
     assert align.aligned(spark, nothing).collect() == []
 
 
+def test_fast_byte_encoder_equals_the_tokenizer():
+    from tokenizers import Tokenizer
+    path = align.default_paths()[0]
+    t = Tokenizer.from_file(path)
+    t.encode_special_tokens = True
+    r = random.Random(11)
+    texts = ["a" + " " * 200_000 + "b", "\n" * 50_000, "<|endoftext|>", " <|endoftext|> x", "it's 'S 's", "x" * 20_000, "日本語" * 500,
+             "\u00a0\u2003 \x85 \x1c", "e\u0301 \U0001f600\u200d"]
+    letters = [chr(c) for c in (*range(32, 127), 9, 10, 13, 0xA0, 0xE9, 0x301, 0x4E2D, 0x1F600, 0x660, 0x2028)]
+    texts += ["".join(r.choice(letters) for _ in range(60)) for _ in range(500)]
+    assert align.byte_ranks(path) is not None
+    side = align.byte_bpe(path)
+    assert side.encode(texts) == [t.encode(" " + x, add_special_tokens=False).ids for x in texts]
+
+
 def test_align_with_small_chunks_and_memo(spark, corpus):
     rows, _ = corpus
     a, b = (f(p) for f, p in zip((align.byte_bpe, align.piece_bpe), align.default_paths()))
