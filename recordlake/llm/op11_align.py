@@ -24,9 +24,9 @@ from __future__ import annotations
 import gc
 import hashlib
 import json
-from array import array
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -38,7 +38,7 @@ from recordlake.llm.common import anchored, chunks, col, stage
 #: Characters of text in a chunk (a longer text is a chunk of its own).
 CHUNK_CHARS = 1_000_000
 #: Links and windows that a task's memo holds before it starts afresh.
-MEMO_LINKS, MEMO_WINDOWS = 1_000_000, 200_000
+MEMO_LINKS, MEMO_WINDOWS = 1_500_000, 250_000
 SPACE = "▁"
 
 
@@ -131,38 +131,34 @@ def piece_bpe(path: str) -> Side:
     return Side(lambda texts: m.encode(texts, num_threads=1), table)
 
 
-def links_and_groups(ids_a: tuple, ids_b: tuple, length_a: list[int], length_b: list[int]) -> tuple[list[int], list[str]]:
-    """Codes of the pairs whose bytes overlap, and the groups between shared ends, of two token runs over the same
-    bytes: of the two current tokens the one that ends first gives way to its successor."""
-    links, groups, i, j, x, y = [], [], 0, 0, 0, 0
-    end_a, end_b = length_a[ids_a[0]], length_b[ids_b[0]]
-    while True:
-        links.append(ids_a[i] << 32 | ids_b[j])
-        if end_a < end_b:
-            i += 1
-            end_a += length_a[ids_a[i]]
-        elif end_b < end_a:
-            j += 1
-            end_b += length_b[ids_b[j]]
-        else:
-            i, j = i + 1, j + 1
-            groups.append(",".join(map(str, ids_a[x:i])) + "|" + ",".join(map(str, ids_b[y:j])))
-            if i == len(ids_a):
-                return links, groups
-            x, y = i, j
-            end_a += length_a[ids_a[i]]
-            end_b += length_b[ids_b[j]]
+def spread(low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """All numbers from low to high (exclusive) of each pair, in order."""
+    n = high - low
+    return np.arange(n.sum()) + np.repeat(low - (np.cumsum(n) - n), n)
+
+
+def links_of(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places (a, b) of tokens whose bytes overlap; both lists of ends reach the same last byte."""
+    start_a = np.concatenate(([0], ends_a[:-1]))
+    # B tokens from the one that holds a's first byte to the one that holds its last
+    low, high = np.searchsorted(ends_b, start_a, "right"), np.searchsorted(ends_b, ends_a, "left") + 1
+    return np.repeat(np.arange(len(ends_a)), high - low), spread(low, high)
 
 
 class Windows:
-    """Alignments of windows by their id tuples: number of groups, their text, and links."""
+    """Alignments of windows by their id tuples (packed as bytes, A ids, a mark and B ids): number of groups, their
+    text, and link codes (A id in the high 32 bits, B id in the low ones)."""
+
+    MARK = 0xFFFFFFFF
 
     def __init__(self, a: Side, b: Side) -> None:
         self.a, self.b = a, b
+        # an id as text with what may follow it: A's next id, B's first one, B's next id, the next group
+        self.pieces = [f"{i}{c}" for c, side in ((",", a), ("|", a), (",", b), (";", b)) for i in range(len(side.bytes))]
         self.clear()
 
     def clear(self) -> None:
-        self.number: dict[tuple, int] = {}
+        self.number: dict[bytes, int] = {}
         self.groups: list[int] = []
         self.text: list[str] = []
         self.links: list[bytes] = []
@@ -171,14 +167,52 @@ class Windows:
     def full(self) -> bool:
         return self.held > MEMO_LINKS or len(self.number) > MEMO_WINDOWS
 
-    def add(self, ids_a: tuple, ids_b: tuple) -> int:
-        links, groups = links_and_groups(ids_a, ids_b, self.a.lengths, self.b.lengths)
-        self.groups.append(len(groups))
-        self.text.append(";".join(groups))
-        self.links.append(array("q", links).tobytes())
-        self.held += len(links)
-        n = self.number[ids_a, ids_b] = len(self.text) - 1
-        return n
+    def find(self, a: np.ndarray, b: np.ndarray, cut_a: np.ndarray, cut_b: np.ndarray) -> list[int]:
+        """Numbers of the windows that the cuts (starts, and the total at the end) make of tokens ``a`` and ``b``."""
+        n = len(cut_a) - 1
+        at = np.arange(n)
+        packed = np.full(len(a) + len(b) + n, self.MARK, np.uint32)
+        packed[np.arange(len(a)) + np.repeat(cut_b[:-1] + at, np.diff(cut_a))] = a
+        packed[np.arange(len(b)) + np.repeat(cut_a[1:] + at + 1, np.diff(cut_b))] = b
+        raw, edges = packed.tobytes(), (4 * (cut_a + cut_b + np.arange(n + 1))).tolist()
+        keys = [raw[x:y] for x, y in zip(edges, edges[1:])]
+        found = list(map(self.number.get, keys))
+        new: dict[bytes, int] = {}
+        for i, k in enumerate(found):
+            if k is None:
+                new.setdefault(keys[i], i)
+        if new:
+            pick = np.fromiter(new.values(), np.int64, len(new))
+            self.add(list(new), *[x[spread(c[pick], c[pick + 1])] for x, c in ((a, cut_a), (b, cut_b))],
+                     *[np.diff(c)[pick] for c in (cut_a, cut_b)])
+            get = self.number.get
+            found = [get(keys[i]) if k is None else k for i, k in enumerate(found)]
+        return found
+
+    def add(self, keys: list[bytes], a: np.ndarray, b: np.ndarray, size_a: np.ndarray, size_b: np.ndarray) -> None:
+        """Align new windows, all at once: they follow each other on one axis of bytes."""
+        ends_a, ends_b = np.cumsum(self.a.length[a]), np.cumsum(self.b.length[b])
+        la, lb = links_of(ends_a, ends_b)
+        codes = ((a[la].astype(np.int64) << 32) | b[lb]).tobytes()
+        window_a = np.repeat(np.arange(len(keys)), size_a)
+        links = (8 * np.concatenate(([0], np.cumsum(np.bincount(window_a[la], minlength=len(keys)))))).tolist()
+        shared = np.intersect1d(ends_a, ends_b, assume_unique=True)
+        group_a, group_b = np.searchsorted(shared, ends_a), np.searchsorted(shared, ends_b)
+        last_a, last_b = (np.append(g[1:] != g[:-1], True) for g in (group_a, group_b))
+        # tokens of a group side by side, A's first: an A token stands behind the B tokens of earlier groups
+        order = np.empty(len(a) + len(b), np.int64)
+        order[np.arange(len(a)) + np.searchsorted(group_b, group_a)] = a + np.where(last_a, len(self.a.bytes), 0)
+        order[np.arange(len(b)) + np.searchsorted(group_a, group_b, "right")] = (
+            b + 2 * len(self.a.bytes) + np.where(last_b, len(self.b.bytes), 0))
+        text = [self.pieces[i] for i in order.tolist()]
+        edges = np.concatenate(([0], np.cumsum(size_a + size_b))).tolist()
+        groups = np.bincount(window_a[last_a], minlength=len(keys)).tolist()
+        for n, key in enumerate(keys):
+            self.number[key] = len(self.text)
+            self.text.append("".join(text[edges[n]:edges[n + 1]]))
+            self.links.append(codes[links[n]:links[n + 1]])
+        self.groups += groups
+        self.held += len(la)
 
 
 def whole_bytes(side: Side, ids: list[int], data: bytes) -> bool:
@@ -186,28 +220,29 @@ def whole_bytes(side: Side, ids: list[int], data: bytes) -> bool:
     return b"".join([table[i] for i in ids]) == data
 
 
-def align_text(w: Windows, data: bytes, ids_a: list[int], ids_b: list[int]) -> tuple | None:
-    """(number of A tokens, of B tokens, of groups, groups text, link codes with repeats); None if the bytes differ."""
-    if not (whole_bytes(w.a, ids_a, data) and whole_bytes(w.b, ids_b, data)):
-        return None
-    a, b = np.array(ids_a), np.array(ids_b)
+def align_texts(w: Windows, texts: list[str], ids_a: list[list[int]], ids_b: list[list[int]]) -> list[tuple | None]:
+    """For each text (number of A tokens, of B tokens, of groups, groups text, link codes with repeats); None if the
+    tokens' bytes differ from the text's. All texts are one axis of bytes; a text's first token is space-marked, so
+    where a text ends is an anchor like any other."""
+    datas = [b" " + t.encode() for t in texts]
+    good = [i for i, d in enumerate(datas) if whole_bytes(w.a, ids_a[i], d) and whole_bytes(w.b, ids_b[i], d)]
+    out: list[tuple | None] = [None] * len(texts)
+    if not good:
+        return out
+    a, b = (np.fromiter(chain.from_iterable([ids[i] for i in good]), np.int64) for ids in (ids_a, ids_b))
     ends_a, ends_b = np.cumsum(w.a.length[a]), np.cumsum(w.b.length[b])
     # ends before a space-marked token, on each side; anchors are those that both have
     before_a, before_b = ends_a[:-1][w.a.spaced[a[1:]]], ends_b[:-1][w.b.spaced[b[1:]]]
     anchors = np.intersect1d(before_a, before_b, assume_unique=True)
-    cut_a = np.searchsorted(ends_a, anchors, "right").tolist() + [len(a)]
-    cut_b = np.searchsorted(ends_b, anchors, "right").tolist() + [len(b)]
-    x = y = 0
-    found = []
-    get = w.number.get
-    all_a, all_b = tuple(ids_a), tuple(ids_b)
-    for i, j in zip(cut_a, cut_b):
-        key = (all_a[x:i], all_b[y:j])
-        n = get(key)
-        found.append(w.add(*key) if n is None else n)
-        x, y = i, j
-    out = (len(a), len(b), sum([w.groups[n] for n in found]), ";".join([w.text[n] for n in found]),
-           np.frombuffer(b"".join([w.links[n] for n in found]), np.int64))
+    cut_a, cut_b = (np.concatenate(([0], np.searchsorted(e, anchors, "right"), [len(x)])) for e, x in ((ends_a, a), (ends_b, b)))
+    found = w.find(a, b, cut_a, cut_b)
+    stops = np.searchsorted(anchors, np.cumsum([len(datas[i]) for i in good]), "left") + 1
+    x = 0
+    for i, y in zip(good, stops.tolist()):
+        mine = found[x:y]
+        out[i] = (len(ids_a[i]), len(ids_b[i]), sum([w.groups[n] for n in mine]), "".join([w.text[n] for n in mine])[:-1],
+                  np.frombuffer(b"".join([w.links[n] for n in mine]), np.int64))
+        x = y
     if w.full():
         w.clear()
     return out
@@ -223,12 +258,10 @@ SCHEMA = ("chunk string, doc_id long, n_a long, n_b long, n_groups long, n_links
 
 def _chunk(name: str, batch: pa.RecordBatch, texts: list[str | None], w: Windows) -> pa.RecordBatch:
     full = [t for t in texts if t]
-    tokens = iter(zip(w.a.encode(full), w.b.encode(full))) if full else iter(())
+    aligned_texts = iter(align_texts(w, full, w.a.encode(full), w.b.encode(full)) if full else ())
     counts, shas, pairs, times = [], [], [], []
     for t in texts:
-        got = align_text(w, b" " + t.encode(), *next(tokens)) if t else None
-        if got is None:
-            got = 0, 0, 0, None, np.empty(0, np.int64)
+        got = (next(aligned_texts) if t else None) or (0, 0, 0, None, np.empty(0, np.int64))
         codes, k = np.unique(got[4], return_counts=True)
         counts.append((*got[:3], len(got[4])))
         shas.append("" if got[3] is None else hashlib.sha256(got[3].encode()).hexdigest())

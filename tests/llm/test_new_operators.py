@@ -304,16 +304,27 @@ def test_fast_byte_encoder_equals_the_tokenizer():
 
 def test_align_with_small_chunks_and_memo(spark, corpus):
     rows, _ = corpus
-    a, b = (f(p) for f, p in zip((align.byte_bpe, align.piece_bpe), align.default_paths()))
-    w = align.Windows(a, b)
-    one = {}
-    for r in rows[:200]:
-        if r[1]:
-            data = b" " + r[1].encode()
-            got = align.align_text(w, data, *[s.encode([r[1]])[0] for s in (a, b)])
-            one[r[0]] = got and (got[:4], sorted(got[4].tolist()))
-            if r[0] % 3 == 0:
-                w.clear()
-    again = {r[0]: (g := align.align_text(w, b" " + r[1].encode(), *[s.encode([r[1]])[0] for s in (a, b)])) and
-             (g[:4], sorted(g[4].tolist())) for r in rows[:200] if r[1]}
-    assert one == again
+    w = align.Windows(*[f(p) for f, p in zip((align.byte_bpe, align.piece_bpe), align.default_paths())])
+
+    def run(texts):
+        return [g and (g[:4], sorted(g[4].tolist())) for g in align.align_texts(w, texts, w.a.encode(texts), w.b.encode(texts))]
+    texts = [r[1] for r in rows if r[1]]
+    one = []
+    for i, t in enumerate(texts):
+        one += run([t])
+        if i % 3 == 0:
+            w.clear()
+    assert one == run(texts) == run(texts)  # alone, together with new windows, and all from the memo
+
+
+def test_pairs_of_chunks_that_batches_cut(spark, corpus):
+    _, df = corpus
+    rows = align.encoded(df)
+    some, total = align.pair_counts(rows)
+    got = {r.code: (r.n, r.best) for r in total.collect()}
+    want = Counter(c for r in rows.collect() for c in r.pairs)
+    assert {c: n for c, (n, _) in got.items()} == want
+    best = defaultdict(int)
+    for c, n in want.items():
+        best[c >> 32] = max(best[c >> 32], n)
+    assert all(b == (n == best[c >> 32]) for c, (n, b) in got.items())
