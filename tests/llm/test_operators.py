@@ -55,6 +55,33 @@ def test_exact_dedup_checks_bytes_under_a_weak_digest(spark):
         (1, 3, 2, False), (2, 2, 1, True), (3, 3, 2, True), (4, 4, 1, True)]
 
 
+@pytest.mark.parametrize("weak", [False, True])
+def test_exact_dedup_over_calls(spark, tmp_path, monkeypatch, weak):
+    monkeypatch.setattr(stream, "RUNS", 2)
+    digest = (lambda t: F.length(t).cast("string").cast("binary")) if weak else stream.sha256
+    state = f"file://{tmp_path}/state"
+
+    def call(*rows):
+        df = spark.createDataFrame(list(rows), "doc_id long, text string")
+        got = stream.stream_dedup(spark, df, digest=digest, state_dir=state).collect()
+        return sorted((r.doc_id, r.keep_id, r.group_size, r.kept) for r in got)
+    assert call((1, "aa"), (2, "bb"), (3, "aa")) == [(1, 3, 2, False), (2, 2, 1, True), (3, 3, 2, True)]
+    # equal to and, under the weak digest, colliding with rows of the first call
+    assert call((4, "bb"), (5, "cc"), (6, "x")) == [(4, 4, 2, True), (5, 5, 1, True), (6, 6, 1, True)]
+    assert call((0, "aa"), (7, None)) == [(0, 3, 3, False), (7, 7, 1, True)]
+    assert call((8, "cc"), (9, "cc"), (10, "")) == [(8, 9, 3, False), (9, 9, 3, True), (10, 10, 2, True)]
+    assert len(stream.State(spark, state, "bigint").runs()) <= 3
+
+
+def test_exact_dedup_epoch_runs_again(spark, tmp_path):
+    df = spark.createDataFrame([(1, "a"), (2, "a"), (3, "b")], "doc_id long, text string").withColumn("digest", stream.sha256(F.col("text")))
+    df = df.withColumns({"fh": F.lit(1).cast("long"), "row": F.col("doc_id"), "path": F.lit(None).cast("string")})
+    state = stream.State(spark, f"file://{tmp_path}/s", "bigint")
+    for _ in range(2):
+        stream._fold(state, df, None, df.select("digest", "doc_id", "fh", "row", "path"), 0)
+        assert sorted((r.n, r.keeper.doc_id) for r in state.rows().collect()) == [(1, 3), (2, 2)]
+
+
 def test_hash_tree(spark, docs, empty):
     root = hash_tree.tree(16)
     df = spark.range(4000).select(F.col("id").alias("doc_id"), F.concat(F.lit("é"), F.col("id")).alias("text"))
