@@ -36,7 +36,8 @@ TRAIN_DOCS = 300
 ROUNDS = 3
 SMOOTHING = 0.05
 UNKNOWN = np.log(1e-7)
-REMEMBERED = 2_000_000
+#: Bytes of words and scores that a task remembers; characters that it scores at once.
+REMEMBERED, CHUNK_CHARS = 32 << 20, 1_000_000
 UNDETERMINED = "und"
 
 _LETTER: list[np.ndarray] = []
@@ -175,8 +176,10 @@ class Scorer:
 
     def __init__(self, model: Model):
         self.model, self.matcher = model, Matcher(model.vocabulary)
-        self.known = np.zeros(0, np.uint64)
-        self.score = np.zeros((0, len(model.languages)))
+        self.forget()
+
+    def forget(self) -> None:
+        self.known, self.score = np.zeros(0, np.uint64), np.zeros((0, len(self.model.languages)))
 
     def texts(self, texts: Sequence[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Log-probability of each text in each language, and its number of words."""
@@ -185,8 +188,8 @@ class Scorer:
         if not len(starts):
             return out, np.diff(at)
         unit, one, back = np.unique(word_keys(data, starts, length), return_index=True, return_inverse=True)
-        if len(self.known) > REMEMBERED:
-            self.known, self.score = self.known[:0], self.score[:0]
+        if len(self.known) * (8 + self.score.itemsize * len(self.model.languages)) > REMEMBERED:
+            self.forget()
         seen = np.searchsorted(self.known, unit)
         new = np.flatnonzero(self.known[np.minimum(seen, len(self.known) - 1)] != unit if len(self.known)
                              else np.ones(len(unit), bool))
@@ -220,7 +223,14 @@ def identify(spark: SparkSession, docs: DataFrame, model: Model, doc_id: str = "
             _WORKER[key] = Scorer(shared.value) if shared.value.languages else None
         scorer = _WORKER[key]
         names = np.array([*shared.value.languages, UNDETERMINED], object)
-        for batch, texts in chunks(batches):
+        try:
+            yield from predictions(batches, scorer, names)
+        finally:  # later stages share this process: words go when the task ends
+            if scorer:
+                scorer.forget()
+
+    def predictions(batches: Iterator[pa.RecordBatch], scorer: Scorer | None, names: np.ndarray) -> Iterator[pa.RecordBatch]:
+        for batch, texts in chunks(batches, most=CHUNK_CHARS):
             best, score, n = np.full(len(texts), -1), np.zeros(len(texts)), np.zeros(len(texts), np.int64)
             if scorer:
                 value, n = scorer.texts(texts)
