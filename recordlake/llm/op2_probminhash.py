@@ -8,8 +8,8 @@ termination). Two signatures agree in a register with the probability Jaccard si
 the weighted sets. Every weight is 1 here, however often a shingle occurs, so that is the
 Jaccard similarity of the shingle sets, by which links are decided.
 
-Bands of registers become bucket keys. Texts that are equal after normalisation are
-one node, combined before any shuffle. In each bucket some centres are compared with the
+Bands of registers become bucket keys; of buckets with the same members one is kept. Texts that are equal
+after normalisation are one node, combined before any shuffle. In each bucket some centres are compared with the
 members of other classes found so far, if compact signatures don't show them too unlike;
 then classes are merged, and what is left gets new centres. The first centres are the members
 that meet most others, the same in all buckets of a group, so most classes are whole after few
@@ -50,6 +50,8 @@ MOST_UNLIKE = 72
 FIRST_ROUNDS, LIKELY = 2, 44
 #: Centres a bucket and round: this many times more each round, so rounds grow with the logarithm of a bucket.
 SLOT_GROWTH = 16
+#: Characters of text that a task sketches at once.
+CHUNK_CHARS = 1_000_000
 
 
 def uniform(x: np.ndarray) -> np.ndarray:
@@ -139,7 +141,7 @@ def sketch(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", bands: i
     kind = src.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, texts in chunks(batches):
+        for batch, texts in chunks(batches, most=CHUNK_CHARS):
             hashes, offsets = shingle_hashes(texts)
             nodes = _content(hashes, offsets)
             first: dict[bytes, int] = {}
@@ -171,7 +173,7 @@ def shingle_sets(docs: DataFrame, wanted: DataFrame, text: str = "text") -> Data
     src = positioned(docs, text=col(text)).join(wanted, ["fh", "row"]).select("node", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, texts in chunks(batches):
+        for batch, texts in chunks(batches, most=CHUNK_CHARS):
             t, e, _ = weighted(*shingle_hashes(texts))
             at = np.searchsorted(t, np.arange(len(texts) + 1)).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
@@ -222,13 +224,17 @@ def links(docs: DataFrame, sketched: DataFrame, similarity: float = SIMILARITY,
     rows = nodes.select("node", F.explode("bands").alias("key"))
     # Tables are staged before a join on a key that may be hot: Spark can split such a
     # key only where both sides are shuffled for the join itself.
-    shared = stage(rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "shared")
-    met = stage(rows.join(shared, "key"), "shared")
+    shared = rows.groupBy("key").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("node")).alias("x"),
+                                     F.bit_xor(F.xxhash64(F.lit(1), "node")).alias("y")).where("n > 1")
+    # Buckets with the same members (equal in number and in two sums of 64 bits) are one: the others add no pair.
+    shared = stage(shared.groupBy("n", "x", "y").agg(F.min("key").alias("key"), F.count("*").alias("times")), "shared")
+    met = stage(rows.join(shared.select("key", (F.col("n") * F.col("times")).alias("n")), "key"), "met")
     central = met.groupBy("node").agg(F.sum("n").alias("meets"))
-    buckets = stage(met.select("key", "node").join(nodes.select("node", "bits").join(central, "node"), "node"), "buckets")
+    buckets = stage(met.select("key", "node").join(central, "node"), "buckets")
     members = buckets.select("node").distinct()
-    wanted = nodes.select("node", "at.fh", "at.row").join(members, "node")
-    sets = stage(shingle_sets(docs, stage(wanted, "wanted"), text), "sets")
+    wanted = stage(nodes.select("node", "at.fh", "at.row", "bits").join(members, "node"), "wanted")
+    sets = stage(shingle_sets(docs, wanted.drop("bits"), text), "sets")
+    bits = wanted.select("node", "bits")
 
     labels = stage(buckets.select("node", F.col("node").alias("comp")).distinct(), "labels")
     open_ = buckets.withColumns({"done": F.lit(False), "size": F.lit(0), "rest": F.lit(0)})
@@ -247,8 +253,8 @@ def links(docs: DataFrame, sketched: DataFrame, similarity: float = SIMILARITY,
         by_chance = F.xxhash64("node", F.lit(round_))
         order = F.struct(by_chance) if round_ == FIRST_ROUNDS else F.struct("meets", by_chance)
         centres = waiting.groupBy("key", F.pmod(F.xxhash64("node"), F.lit(slots)).alias("slot")).agg(
-            F.max_by(F.struct("node", "comp", "bits", "size", "rest"), order).alias("c"))
-        centres = stage(centres.select("key", F.col("c.node").alias("c"), F.col("c.comp").alias("cc"), F.col("c.bits").alias("cb"),
+            F.max_by(F.struct("node", "comp", "size", "rest"), order).alias("c"))
+        centres = stage(centres.select("key", F.col("c.node").alias("c"), F.col("c.comp").alias("cc"),
                                        F.col("c.size").alias("csize"), F.col("c.rest").alias("crest")), "centres")
         if not centres.take(1):
             break
@@ -257,14 +263,18 @@ def links(docs: DataFrame, sketched: DataFrame, similarity: float = SIMILARITY,
         met = centres.select("key", F.col("c").alias("node"), F.lit(True).alias("met"))
         turn = active if first_rounds else active.join(met, ["key", "node"], "left").withColumn("met", F.coalesce("met", F.lit(False)))
         new_pair = F.lit(True) if first_rounds else ~F.col("done") & (~F.col("met") | (F.col("node") < F.col("c")))
-        pairs = (turn.join(centres, "key").where(new_pair & (F.col("comp") != F.col("cc")) & (unlike("bits", "cb") <= most)
-                                                     & (F.lit(first_rounds) | can_link("size", "rest", "csize", "crest", similarity)))
+        pairs = (turn.join(centres, "key").where(new_pair & (F.col("comp") != F.col("cc"))
+                                                 & (F.lit(first_rounds) | can_link("size", "rest", "csize", "crest", similarity)))
                  .select(F.least("node", "c").alias("a"), F.greatest("node", "c").alias("b")).distinct())
-        pairs = stage(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
+        pairs = stage(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"), "met")
+        # compact signatures stay out of the buckets: only pairs fetch them, once however many buckets they share
+        pairs = pairs.join(bits.select(F.col("node").alias("a"), F.col("bits").alias("ab")), "a").join(
+            bits.select(F.col("node").alias("b"), F.col("bits").alias("bb")), "b")
+        pairs = stage(pairs.where(unlike("ab", "bb") <= most).select("a", "b"), "pairs")
         tried = pairs if tried is None else tried.unionByName(pairs)
         new = stage(compare(pairs, sets).where(F.col("sim") >= similarity), "links")
         found = new if found is None else found.unionByName(new)
-        kept = ["key", "node", "bits", "meets", "size", "rest"]
+        kept = ["key", "node", "meets", "size", "rest"]
         open_ = turn.select(*kept, "done" if first_rounds else (F.col("done") | F.col("met")).alias("done"))
         labels = merged(labels, new)
         slots *= 1 if first_rounds else SLOT_GROWTH
