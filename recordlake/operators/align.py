@@ -42,8 +42,3 @@ def union_vintages(frames: Sequence[DataFrame]) -> DataFrame:
     if not frames:
         raise ValueError("no vintages to union")
     return reduce(lambda a, b: a.unionByName(b), frames)
-
-
-def year_from_path(path_col: str = "_metadata.file_path") -> Column:
-    """Vintage folder name of ``.../<year>/<file>``."""
-    return F.regexp_extract(F.col(path_col), r"([^/]+)/[^/]+$", 1)

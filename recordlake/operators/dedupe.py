@@ -7,8 +7,9 @@ Skew: any key may hold a large share of all rows (null keys collapse to one
 literal, T3). The operators are built so that no single task ever receives a
 whole hot key group:
 
-* D1/D4 use ``min_by`` aggregates, which Spark evaluates partially on the map
-  side; each map task ships at most one row per key.
+* D1/D4 use ``min_by`` aggregates on narrow rows, which Spark evaluates partially on
+  the map side; each map task ships at most one row per key. Wide rows with a long
+  position use ``dedupe_keep_first_at``: the smallest position per key, then a semi join.
 * D2 joins rows to the per-key minimum batch on (key, batch), so a hot key is
   spread over its batches and a task holds at most one batch of one key.
 """
@@ -22,6 +23,7 @@ from pyspark.sql import functions as F
 
 from recordlake.functions._col import as_col
 from recordlake.functions.text import ustrip
+from recordlake.session import shared_dir, staging_path
 
 
 def normalize_key_strip_upper(c, null_key: str = "literal", literal: str = "NONE") -> Column:
@@ -63,6 +65,21 @@ def dedupe_keep_first(df: DataFrame, key: str, order: Sequence, null_key: str =
     return first if nulls is None else first.unionByName(nulls)
 
 
+def dedupe_keep_first_at(df: DataFrame, key: str, position: str, null_key: str = "group") -> DataFrame:
+    """D1 for wide rows: one row per ``key``, the one with the smallest ``position`` (a long, different in every row).
+
+    Two phases: the smallest position per key, a hash aggregate on a long that is combined before its narrow
+    shuffle, then a semi join of the rows on position. Rows are joined by a value that no two share, so a key that
+    holds most rows (``NONE``) is spread evenly, and no wide row is sorted before it is shuffled. Null keys are one
+    key, or with ``null_key="keep"`` all stay.
+    """
+    if null_key == "keep":
+        nulls = df.where(F.col(key).isNull())
+        return dedupe_keep_first_at(df.where(F.col(key).isNotNull()), key, position).unionByName(nulls)
+    firsts = df.groupBy(key).agg(F.min(position).alias("_first")).select("_first")
+    return df.join(firsts, F.col(position) == F.col("_first"), "left_semi")
+
+
 def dedupe_first_batch(df: DataFrame, key: str, batch: str, null_key: str = "group") -> DataFrame:
     """A row survives iff its key occurs in no earlier batch; duplicates
     inside that first batch all survive. Null keys count as one key.
@@ -88,7 +105,7 @@ def batch_of(position, batch_rows: int) -> Column:
 
 
 def global_positions(df: DataFrame, segment: Sequence[str], row: str, name: str = "_pos",
-                     materialize: bool = True, max_broadcast_rows: int = 2_000_000) -> DataFrame:
+                     materialize: bool = True) -> DataFrame:
     """Dense 0-based position of every row in (segment..., row) order.
 
     ``segment`` columns identify ordered chunks (file ordinal, part file, split
@@ -115,13 +132,11 @@ def global_positions(df: DataFrame, segment: Sequence[str], row: str, name: str
     offsets = (inner.join(files, [top], "left")
                .select(*segment, (F.col("_fo") + F.col("_in")).alias("_off"), "_m0"))
     if materialize:
-        # one row per chunk: computed once into the shared checkpoint folder,
-        # then broadcast only when its row count is known to be small
-        from recordlake.session import shared_dir
+        # one row per chunk, written once; Spark broadcasts it if its size allows
         shared_dir(df.sparkSession)
-        offsets = offsets.checkpoint(eager=True)
-        if offsets.count() <= max_broadcast_rows:
-            offsets = F.broadcast(offsets)
+        target = staging_path(df.sparkSession, "offsets")
+        offsets.write.parquet(target)
+        offsets = df.sparkSession.read.schema(offsets.schema).parquet(target)
     return (df.join(offsets, list(segment), "left")
             .withColumn(name, F.col("_off") + F.col(row) - F.col("_m0")).drop("_off", "_m0"))
 

@@ -13,6 +13,7 @@ A vintage's state is a list of :class:`Slot` = (physical position, current name)
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
+from functools import reduce
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -264,6 +265,31 @@ def unmapped_column_report(spark, unmapped_by_year: Mapping[int, Iterable[str]])
     return unmapped_report_from_pairs(df, "COLUMN_NAME", "year")
 
 
+def unmapped_values(frames: Mapping[int, tuple[DataFrame, Iterable[str]]]) -> DataFrame | None:
+    """H10 from the data: COLUMN_NAME, YEARS_APPEARED and N_VALUES, the values that are lost with the unmapped columns.
+
+    ``frames``: year -> (its rows, its unmapped header names). One aggregate a year over these columns alone; a header
+    that stands twice counts its first column. None where every header is mapped.
+    """
+    parts = []
+    for year, (df, names) in frames.items():
+        names = [str(n) for n in dict.fromkeys(names)]
+        if not names:
+            continue
+        at = [df.columns.index(n) for n in names]
+        pos = to_positional(df).select(*[F.col(f"_p{i}") for i in at])
+        counts = pos.agg(F.array(*[F.struct(F.lit(n).alias("name"), F.count(F.col(f"_p{i}")).alias("n"))
+                                   for n, i in zip(names, at)]).alias("c"))
+        parts.append(counts.select(F.explode("c").alias("c")).select(F.col("c.name").alias("name"), F.lit(int(year)).alias("year"), "c.n"))
+    if not parts:
+        return None
+    pairs = reduce(lambda a, b: a.unionByName(b), parts)
+    years = F.array_sort(F.collect_list("year"))  # one per vintage
+    return (pairs.groupBy(F.col("name").alias("COLUMN_NAME"))
+            .agg(F.array_join(F.transform(years, lambda y: y.cast("string")), ", ").alias("YEARS_APPEARED"), F.sum("n").alias("N_VALUES"))
+            .orderBy("COLUMN_NAME"))
+
+
 def unmapped_report_from_pairs(pairs: DataFrame, name_col: str, year_col: str) -> DataFrame:
     """H10 over a (header, year) DataFrame."""
     years = F.array_sort(F.collect_list(F.col(year_col).cast("int")))

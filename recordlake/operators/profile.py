@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recordlake.config import discovery
@@ -72,6 +72,40 @@ def null_percentages(df: DataFrame, columns: Sequence[str] | None = None) -> Dat
             .orderBy(F.desc("null_pct"), F.asc("position")))
 
 
+def column_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """P3-P5 in one scan: position, value, n. Of ``columns`` (positions in ``df``) every value is counted, nulls
+    included; of the others only nulls; position -1 counts rows. Every row gives one item for each of ``columns`` and
+    one for each null elsewhere, counted before the shuffle, so what is shuffled has the size of the result."""
+    wanted = set(columns)
+
+    def item(i: int, value) -> Column:
+        return F.struct(F.lit(i).alias("position"), value.cast("string").alias("value"))
+    none = F.lit(None)
+    items = [item(-1, none)]
+    for i, c in enumerate(df.columns):
+        col = F.col(f"`{c}`")
+        items.append(item(i, col) if c in wanted else F.when(col.isNull(), item(i, none)))
+    kept = F.filter(F.array(*items), lambda x: x.isNotNull())
+    return df.select(F.explode(kept).alias("i")).groupBy("i.position", "i.value").agg(F.count(F.lit(1)).alias("n"))
+
+
+def frequencies_from(counts: DataFrame, position: int, by_value: bool = False, top: int | None = None) -> DataFrame:
+    """P3 (P4 with ``by_value``) of a column from ``column_counts``."""
+    out = counts.where((F.col("position") == position) & F.col("value").isNotNull()).select("value", F.col("n").alias("count"))
+    out = out.orderBy("value") if by_value else out.orderBy(F.desc("count"), F.asc("value"))
+    return out.limit(top) if top is not None else out
+
+
+def null_percentages_from(counts: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """P5 from ``column_counts``."""
+    names = counts.sparkSession.createDataFrame(list(enumerate(columns)), "position int, column_name string")
+    nulls = counts.where((F.col("position") >= 0) & F.col("value").isNull()).select("position", F.col("n").alias("_nulls"))
+    total = counts.where("position = -1").agg(F.max("n")).first()[0]  # None for an empty table, whose shares are null
+    share = F.coalesce("_nulls", F.lit(0)) / F.lit(total).cast("double") * 100.0
+    out = names.join(nulls, "position", "left")
+    return out.select("position", "column_name", share.alias("null_pct")).orderBy(F.desc("null_pct"), F.asc("position"))
+
+
 def outcome_counts(df: DataFrame, status_col: str = "status",
                    statuses: Sequence[str] = discovery.OUTCOME_STATUSES) -> DataFrame:
     """Rows per outcome over a fixed status list, zero counts included."""

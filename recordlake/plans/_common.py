@@ -1,221 +1,147 @@
 from __future__ import annotations
 
-import json
-import logging
-import warnings
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from recordlake.operators.headers import (
-    contested_columns, drop_all_null_columns, drop_duplicate_headers, normalize_headers, positional_names,
-    slots_of,
+    contested_columns, drop_all_null_columns, drop_duplicate_headers, normalize_headers, positional_names, slots_of,
 )
 from recordlake.session import shared_dir, staging_path
-from recordlake.sources.files import (
-    csv_header, land_text_parquet, read_text_vintage, scan_text_csv, source_fallback, vintage_scan,
-)
-
-log = logging.getLogger("recordlake")
+from recordlake.sources.files import land_text_parquet, scan_text_csv, vintage_scan
+from recordlake.sources.heads import Head, group_names, groups_of, part_places, readable_files, staged_rows
 
 
-def main_files(spark: SparkSession, root: str, companion_filter=None, land: bool = True) -> list:
-    """List ``root/<year>/<file>``, optionally land CSV files as text Parquet
-    (S4, existing siblings kept), drop companions, keep one format per
-    (year, stem) (S7), and return the file rows in (year, name) order.
-    Metadata only."""
+def main_files(spark: SparkSession, root: str, companion_filter=None, land: bool = True, check_rows: bool = False,
+               ignore_corrupt: bool = False, multiline: bool = True) -> list[tuple]:
+    """List ``root/<year>/<file>``, optionally land CSV files as text Parquet (S4, existing siblings kept), drop
+    companions, and choose one readable file per (year, stem) (S7). Returns (listing row, head) pairs in
+    (year, name) order. Metadata only, unless ``check_rows``."""
     if land:
-        land_text_parquet(spark, vintage_scan(spark, root), skip_existing=True)
+        land_text_parquet(spark, vintage_scan(spark, root), skip_existing=True, multiline=multiline)
     listing = vintage_scan(spark, root)
     if companion_filter is not None:
         listing = companion_filter(listing)
-    files = source_fallback(listing).orderBy("year", "file_name").collect()
-    readable = []
-    for f in files:
-        if f["extension"] not in (".parquet", ".csv"):
-            warnings.warn(f"skipping {f['path']}: no Spark reader for {f['extension']}; land it as CSV or Parquet")
-            continue
-        readable.append(f)
-    return readable
-
-
-def read_vintage(spark: SparkSession, f) -> DataFrame:
-    """One vintage as text with its raw headers and ``_row`` = (part file, row)."""
-    return read_text_vintage(spark, f["path"], f["extension"])
-
-
-def order_key(file_ordinal: int) -> Column:
-    """Load-order key: (file ordinal in year/name order, part file, row)."""
-    return F.struct(F.lit(file_ordinal).alias("i"), F.col("_row.f").alias("f"), F.col("_row.b").alias("b"),
-                    F.col("_row.r").alias("r"))
-
-
-def _raw_header(spark: SparkSession, f) -> tuple:
-    if f["extension"] == ".parquet":
-        return tuple(spark.read.parquet(f["path"]).columns)  # footer only
-    return tuple(csv_header(spark, f["path"]))
-
-
-def _group_key(spark: SparkSession, f) -> tuple:
-    """Files read together must agree on raw header names (and, for Parquet, types)."""
-    if f["extension"] == ".parquet":
-        schema = spark.read.parquet(f["path"]).schema  # footer only
-        return (tuple(schema.fieldNames()), schema.json())
-    return (tuple(csv_header(spark, f["path"])), None)
-
-
-def _readable_header(spark: SparkSession, f, ignore_corrupt: bool):
-    """Raw header of a file; with ``ignore_corrupt`` an unreadable file gives
-    None (and a warning) instead of an error."""
-    try:
-        return _group_key(spark, f)
-    except Exception as e:  # noqa: BLE001 - only swallowed when asked to
-        if not ignore_corrupt:
-            raise
-        warnings.warn(f"skipping unreadable file {f['path']}: {str(e).splitlines()[0][:200]}")
-        return None
-
-
-def _encoded(spark: SparkSession, path: str) -> str:
-    """A path as file scans report it (URI-encoded)."""
-    return spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path).toUri().toString()
-
-
-MAX_FILES_BROADCAST = 200_000
-
-
-def _attach_entries(spark: SparkSession, pos: DataFrame, members: Sequence) -> DataFrame:
-    first = members[0]
-    root = first["path"].rstrip("/")[: -len(f"/{first['year']}/{first['file_name']}")]
-    root_enc = _encoded(spark, root).rstrip("/")
-    rows = []
-    for m in members:
-        rel = _encoded(spark, m["path"].rstrip("/"))[len(root_enc) + 1:]
-        ey, en = rel.split("/", 1)
-        rows.append((ey, en, m["year"], m["file_name"], int(m["_i"])))
-    entries = spark.createDataFrame(rows, "_ey string, _en string, _year string, _file string, _i int")
-    if len(rows) <= MAX_FILES_BROADCAST:  # one row per file: a known, small bound
-        entries = F.broadcast(entries)
-    pat = r"^\Q" + root_enc + r"\E/([^/]+)/([^/]+)"
-    pos = pos.withColumn("_ey", F.regexp_extract("_fp", pat, 1)).withColumn("_en", F.regexp_extract("_fp", pat, 2))
-    # a file that the listing doesn't name is an error, not a silent loss of its rows
-    missing = F.raise_error(F.concat(F.lit("no listing entry for "), "_fp")).cast("int")
-    return (pos.join(entries, ["_ey", "_en"], "left").withColumn("_i", F.coalesce("_i", missing))
-            .drop("_ey", "_en"))
-
-
-def union_schema(spark: SparkSession, files: Sequence, resolve: Callable, normalize: bool = True,
+    return readable_files(spark, listing, check_rows=check_rows, ignore_corrupt=ignore_corrupt, multiline=multiline)
+
+
+def union_schema(spark: SparkSession, files: Sequence[tuple], resolve: Callable, normalize: bool = True,
                  extra: Sequence[str] = ("year",)) -> list[str]:
     """A canonical column list by rule: the resolved header names of all
     vintages in first-seen order (load order), then ``extra``. Header metadata only."""
     out: list = []
-    seen: set = set()
-    for f in files:
-        slots = slots_of(list(_raw_header(spark, f)))
+    for _, group in groups_of(h for _, h in files).items():  # groups stand in the order of their first files
+        slots = slots_of(group_names(spark, group))
         if normalize:
             slots = normalize_headers(slots)
         for s in resolve(drop_duplicate_headers(slots)):
-            if s.name not in seen and s.name not in extra:
-                seen.add(s.name)
+            if s.name not in out and s.name not in extra:
                 out.append(s.name)
     return out + list(extra)
 
 
-def harmonized_union(spark: SparkSession, files: Sequence, schema: Sequence[str], resolve: Callable,
+def _read_group(spark: SparkSession, group: Sequence[Head], names: list[str], multiline: bool,
+                ignore_corrupt: bool) -> DataFrame:
+    """Rows of a group as text columns _p0.._pN with _fp (file) and _row (part file, split start, row)."""
+    paths, slots = [h.path for h in group], positional_names(len(names))
+    if group[0].extension == ".parquet":
+        raw = spark.read.option("ignoreCorruptFiles", ignore_corrupt).parquet(*paths)
+        raw = raw.select("*", F.col("_metadata.file_path").alias("_fp"),
+                         F.struct(F.col("_metadata.file_path").alias("f"), F.lit(0).cast("long").alias("b"),
+                                  F.col("_metadata.row_index").alias("r")).alias("_row"))
+        pos = raw.toDF(*slots, "_fp", "_row")
+        return pos.select(*[F.col(c).cast("string").alias(c) for c in slots], "_fp", "_row")
+    raw = scan_text_csv(spark, paths, positional=True, names=names, multiline=multiline, ignore_corrupt=ignore_corrupt)
+    pos = raw.select("*", F.col("_metadata.file_path").alias("_fp"),
+                     F.struct(F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_block_start").alias("b"),
+                              F.monotonically_increasing_id().alias("r")).alias("_row"))
+    # a row's place in a text file depends on how files are split into tasks: rows and
+    # places are written once, so that no later job sees other places for the same rows
+    shared_dir(spark)
+    target = staging_path(spark, "text")
+    pos.write.parquet(target)
+    return spark.read.schema(pos.schema).parquet(target)
+
+
+def _patterns(pos: DataFrame, places: dict, suspects: Sequence[int], files: int) -> list[frozenset]:
+    """H3: for each file of a group the suspect columns that hold a value anywhere in it."""
+    counts = pos.groupBy("_fp").agg(*[F.count(F.col(f"_p{i}")).alias(f"_p{i}") for i in suspects])
+    out = [set() for _ in range(files)]
+    for r in counts.collect():  # one row per data file: metadata-sized
+        out[places[r["_fp"]][0]] |= {i for i in suspects if r[f"_p{i}"] > 0}
+    return [frozenset(x) for x in out]
+
+
+def harmonized_union(spark: SparkSession, files: Sequence[tuple], schema: Sequence[str], resolve: Callable,
                      per_file: Callable[[Column, Column], dict] | None = None,
                      normalize: bool = True, drop_all_null: bool = True,
-                     ignore_corrupt: bool = False,
+                     ignore_corrupt: bool = False, multiline: bool = True,
                      value_fn: Callable[[str, Column], Column] | None = None) -> DataFrame:
-    """Read vintage files grouped by identical raw header lists (one scan per
-    group, not per file), resolve headers once per group, and align all groups
-    to ``schema``.
-
-    Every row gets ``year`` (its folder name, from ``_metadata.file_path``) and
-    ``_ord`` = (file ordinal in ``files`` order, part file, split, row), the
-    load order. ``resolve`` maps slots to output slots (the header
-    rules after H3); the all-null test (H3) runs as one grouped aggregate per
-    header group, only on contested columns. ``per_file`` returns extra
-    columns computed from (year, file name) columns, e.g. a form type.
-    ``ignore_corrupt=True`` skips unreadable files instead of failing (off by
-    default: a silently missing vintage changes the result). ``value_fn(name,
-    column)`` transforms the columns a vintage has (missing ones stay null).
+    """Read vintage files (pairs of ``main_files``) grouped by identical raw header lists (one scan per
+    group, not per file), resolve headers once per group, and align all groups to ``schema``.
+
+    Every row gets ``year`` (its folder name) and ``_ord`` = (file ordinal in ``files`` order, part file,
+    split, row), the load order. ``resolve`` maps slots to output slots (the header rules after H3). The
+    all-null test (H3) is one grouped aggregate per header group, only on contested columns; files of a
+    group may differ in what is null, so a column that resolves to different slots is picked row by row by
+    its file's null pattern, in the same one scan. ``per_file`` returns extra columns computed from
+    (year, file name) columns, e.g. a form type. ``multiline=False`` lets Spark split CSV files that have no
+    line breaks inside values. ``ignore_corrupt=True`` skips unreadable rows instead of failing (off by
+    default: a silently missing vintage changes the result). ``value_fn(name, column)`` transforms the
+    columns a vintage has (missing ones stay null).
     """
-    groups: dict = {}
-    for i, f in enumerate(files):
-        header = _readable_header(spark, f, ignore_corrupt)
-        if header is None:
-            continue
-        row = dict(f.asDict(), _i=i)
-        groups.setdefault((f["extension"], header), []).append(row)
+    order = {h.path: (i, r) for i, (r, h) in enumerate(files)}
     frames = []
-    for (ext, (header, schema_json)), members in groups.items():
-        names = list(header)
-        paths = [m["path"] for m in members]
-        if ext == ".parquet":
-            # the group's schema is known from the footers already read: no inference
-            schema_of_group = T.StructType.fromJson(json.loads(schema_json))
-            raw = spark.read.schema(schema_of_group).option("ignoreCorruptFiles", ignore_corrupt).parquet(*paths)
-            raw = raw.select("*", F.col("_metadata.file_path").alias("_fp"),
-                             F.struct(F.col("_metadata.file_path").alias("f"), F.lit(0).cast("long").alias("b"),
-                                      F.col("_metadata.row_index").alias("r")).alias("_row"))
-            pos = raw.toDF(*positional_names(len(names)), "_fp", "_row")
-            text = [F.col(c).cast("string").alias(c) for c in positional_names(len(names))]
-            pos = pos.select(*text, "_fp", "_row")
-        else:
-            raw = scan_text_csv(spark, paths, positional=True, names=names, ignore_corrupt=ignore_corrupt)
-            pos = raw.select("*", F.col("_metadata.file_path").alias("_fp"),
-                             F.struct(F.col("_metadata.file_path").alias("f"),
-                                      F.col("_metadata.file_block_start").alias("b"),
-                                      F.monotonically_increasing_id().alias("r")).alias("_row"))
-            # a row's place in a text file depends on how files are split into tasks: rows and
-            # places are written once, so that no later job sees other places for the same rows
-            shared_dir(spark)
-            target = staging_path(spark, "text")
-            pos.write.parquet(target)
-            pos = spark.read.schema(pos.schema).parquet(target)
-        # the listing entry (year folder, file) of every part file: file paths in
-        # the scan metadata are URI-encoded, so the group's files are matched on
-        # their encoded (folder, name) segments; the table has one row per file
-        pos = _attach_entries(spark, pos, members)
+    for group in groups_of(h for _, h in files).values():
+        names = group_names(spark, group)
+        pos = _read_group(spark, group, names, multiline, ignore_corrupt)
+        places = part_places(spark, group)
         slots = slots_of(names)
         if normalize:
             slots = normalize_headers(slots)
         slots = drop_duplicate_headers(slots)
-        subsets = [(None, slots)]
-        if drop_all_null:
-            suspects = contested_columns(slots, resolve)
-            if suspects:
-                counts = (pos.groupBy("_i")
-                          .agg(*[F.count(F.col(f"_p{i}")).alias(f"_p{i}") for i in suspects]).collect())
-                by_result: dict = {}
-                for r in counts:  # one row per file: metadata-sized
-                    keep = frozenset(i for i in suspects if r[f"_p{i}"] > 0)
-                    by_result.setdefault(keep, []).append(r["_i"])
-                others = set(range(len(names))) - set(suspects)
-                subsets = [(entries, drop_all_null_columns(slots, others | keep))
-                           for keep, entries in by_result.items()]
-        for entries, ss in subsets:
-            part = pos
-            if entries is not None and len(subsets) > 1:
-                part = pos.where(F.col("_i").isin(*entries))
-            # one select per group: resolved columns, year (H12), per-file
-            # columns, typed nulls for the rest of the schema (H11), load order
-            cols = {s.name: F.col(f"_p{s.index}") for s in resolve(ss)}
-            if value_fn is not None:
-                cols = {n: value_fn(n, c) for n, c in cols.items()}
-            cols["year"] = F.col("_year")
-            if per_file:
-                cols.update(per_file(F.col("_year"), F.col("_file")))
-            order = F.struct(F.col("_i").alias("i"), F.col("_row.f").alias("f"), F.col("_row.b").alias("b"),
-                             F.col("_row.r").alias("r"))
-            missing = F.lit(None).cast("string")  # one typed null, aliased per missing column
-            aligned = [(cols[n].cast("string") if n in cols else missing).alias(n) for n in schema]
-            frames.append(part.select(*aligned, order.alias("_ord")))
+        suspects = contested_columns(slots, resolve) if drop_all_null else []
+        kept = _patterns(pos, places, suspects, len(group)) if suspects else [frozenset()] * len(group)
+        kinds = list(dict.fromkeys(kept))
+        others = set(range(len(names))) - set(suspects)
+        resolved = [{s.name: s.index for s in resolve(drop_all_null_columns(slots, others | keep) if suspects else slots)}
+                    for keep in kinds]
+        of = [(*order[h.path], kinds.index(keep)) for h, keep in zip(group, kept)]
+        entries = staged_rows(spark, [(f, of[n][0], of[n][1]["year"], of[n][1]["file_name"], of[n][2]) for f, (n, _) in places.items()],
+                              "_fp string, _i int, _year string, _file string, _kind int", "entries")
+        # every row's file: one row per data file, which Spark broadcasts if its size allows
+        part = pos.join(entries, "_fp", "left")
+        missing_file = F.raise_error(F.concat(F.lit("no listing entry for "), "_fp")).cast("int")
+        part = part.withColumn("_i", F.coalesce("_i", missing_file))
+
+        def picked(name: str) -> Column | None:
+            at = [r.get(name) for r in resolved]
+            if all(a is None for a in at):
+                return None
+            if len(set(at)) == 1:
+                return F.col(f"_p{at[0]}")
+            out = F.lit(None).cast("string")
+            for a in sorted({a for a in at if a is not None}):
+                out = F.when(F.col("_kind").isin(*[k for k, x in enumerate(at) if x == a]), F.col(f"_p{a}")).otherwise(out)
+            return out
+        cols = {}
+        for name in dict.fromkeys(n for r in resolved for n in r):
+            c = picked(name)
+            cols[name] = value_fn(name, c) if value_fn is not None else c
+        # one select per group: resolved columns, year (H12), per-file
+        # columns, typed nulls for the rest of the schema (H11), load order
+        cols["year"] = F.col("_year")
+        if per_file:
+            cols.update(per_file(F.col("_year"), F.col("_file")))
+        load = F.struct(F.col("_i").alias("i"), F.col("_row.f").alias("f"), F.col("_row.b").alias("b"), F.col("_row.r").alias("r"))
+        missing = F.lit(None).cast("string")  # one typed null, aliased per missing column
+        aligned = [(cols[n].cast("string") if n in cols else missing).alias(n) for n in schema]
+        frames.append(part.select(*aligned, load.alias("_ord")))
     if not frames:
         raise FileNotFoundError("no readable vintage files")
     out = frames[0]
     for fr in frames[1:]:
         out = out.unionByName(fr)
     return out
+

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import cache
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -18,10 +19,9 @@ from recordlake.operators.dedupe import (
     batch_of, dedupe_first_batch, distinct_rows, global_positions, normalize_key_strip_upper,
 )
 from recordlake.operators.profile import (
-    Profiles, date_range, frequencies_by_key_order, null_percentages, run_counts, run_counts_observed,
-    value_frequencies,
+    Profiles, column_counts, date_range, frequencies_from, null_percentages_from, run_counts, run_counts_observed,
 )
-from recordlake.session import shared_dir
+from recordlake.session import written
 from recordlake.operators.headers import resolve_names
 from recordlake.plans._common import harmonized_union, main_files
 from recordlake.sources.files import filter_companion_files
@@ -30,7 +30,8 @@ from recordlake.sources.sinks import write_csv
 
 def compile_lca(spark: SparkSession, root: str, *, schema: Sequence[str] = cfg.CANONICAL_COLUMNS,
                 aliases=cfg.ALIASES, batch_rows: int = cfg.DEDUPE_BATCH_ROWS, csv_hop_nulls: bool = True,
-                null_key: str = "literal", out: str | None = None, ignore_corrupt: bool = False) -> DataFrame:
+                null_key: str = "literal", out: str | None = None, ignore_corrupt: bool = False,
+                check_rows: bool = False, multiline: bool = True) -> DataFrame:
     """S1 -> S5 -> S7 -> H1..H7 -> H12 -> H11 -> U2 -> U1 -> D2 (-> K1).
 
     Files with identical raw headers are read as one scan and resolved once
@@ -40,13 +41,14 @@ def compile_lca(spark: SparkSession, root: str, *, schema: Sequence[str] = cfg.C
     ``csv_hop_nulls`` applies the reader null tokens that the source's CSV
     round trip applied to every column.
     """
-    files = main_files(spark, root, filter_companion_files, land=False)
+    files = main_files(spark, root, filter_companion_files, land=False, check_rows=check_rows, ignore_corrupt=ignore_corrupt,
+                       multiline=multiline)
     if not files:
         raise FileNotFoundError(f"no vintage files under {root}")
     # the CSV hop's null tokens: on the columns a vintage has, and on the key
     # only after it is normalised (as the source wrote keys, then read them back)
     hop = null_tokens if csv_hop_nulls else (lambda c: c)
-    u = harmonized_union(spark, files, schema, resolve_names(aliases), ignore_corrupt=ignore_corrupt,
+    u = harmonized_union(spark, files, schema, resolve_names(aliases), ignore_corrupt=ignore_corrupt, multiline=multiline,
                          value_fn=lambda name, c: c if name == "case_number" else hop(c))
     key = hop(normalize_key_strip_upper(F.col("case_number"), null_key=null_key))
     u = u.select(*[key.alias(c) if c == "case_number" else F.col(c) for c in schema],
@@ -99,9 +101,9 @@ def clean_lca(spark: SparkSession, source, *, out: str | None = None, on_fractio
     """S3 -> C1 -> C2..C9 -> D3 (-> K1) and the P1-P5 profiles.
 
     ``source`` is the compiled DataFrame or a CSV path (read as text with the
-    reader null tokens). The clean table is materialised once in the shared
-    checkpoint folder (``materialize``), so the write and every profile read
-    it instead of recomputing the whole lineage. Returns (clean DataFrame,
+    reader null tokens). The clean table is written once as Parquet in the shared
+    folder (``materialize``), so the write and the profiles read the columns they
+    need of it instead of recomputing the whole lineage. Returns (clean DataFrame,
     profiles built on first access).
     """
     if isinstance(source, str):
@@ -115,18 +117,19 @@ def clean_lca(spark: SparkSession, source, *, out: str | None = None, on_fractio
         projected = projected.observe(seen, F.count(F.lit(1)).alias("n"))
     clean = distinct_rows(standardize_lca(projected, on_fraction))
     if materialize:
-        shared_dir(spark)
-        clean = clean.checkpoint(eager=True)  # also fills the observed row count
+        clean = written(clean, "clean")  # also fills the observed row count
     if out:
         write_csv(clean, out)
     b = {"counts": (lambda: run_counts_observed(spark, seen.get["n"], len(projected.columns), clean))
          if materialize else (lambda: run_counts(projected, clean))}
     if "Decision Date" in clean.columns:
         b["decision_date_range"] = lambda: date_range(clean, "Decision Date")
-    if "Fiscal Year" in clean.columns:
-        b["fiscal_year"] = lambda: frequencies_by_key_order(clean, "Fiscal Year")
-    for name in ("Status", "Visa Class", "Wage Unit", "Full Time", "H-1B Dependent"):
-        if name in clean.columns:
-            b[name] = (lambda n: lambda: value_frequencies(clean, f"`{n}`"))(name)
-    b["null_percentages"] = lambda: null_percentages(clean)
+    freq = [n for n in ("Fiscal Year", "Status", "Visa Class", "Wage Unit", "Full Time", "H-1B Dependent") if n in clean.columns]
+    # one scan of the clean table counts for all frequency profiles and null shares
+    counts = cache(lambda: written(column_counts(clean, freq), "profile"))
+    at = {n: i for i, n in enumerate(clean.columns)}
+    for name in freq:
+        key = "fiscal_year" if name == "Fiscal Year" else name
+        b[key] = (lambda n, k: lambda: frequencies_from(counts(), at[n], by_value=k == "fiscal_year"))(name, key)
+    b["null_percentages"] = lambda: null_percentages_from(counts(), clean.columns)
     return clean, Profiles(b)

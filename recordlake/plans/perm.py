@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import warnings
 from collections.abc import Sequence
+from functools import cache
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -12,9 +13,11 @@ from recordlake.config import perm as cfg
 from recordlake.config.nulls import PANDAS_DEFAULT_NA_TOKENS
 from recordlake.functions import clean_upper_text, coerce_timestamp, standardize_status
 from recordlake.functions.text import null_tokens
-from recordlake.operators.dedupe import dedupe_keep_first, distinct_rows, normalize_key_upper
-from recordlake.operators.profile import Profiles, date_range, run_counts, run_counts_observed, value_frequencies
-from recordlake.session import shared_dir
+from recordlake.operators.dedupe import dedupe_keep_first_at, distinct_rows, global_positions, normalize_key_upper
+from recordlake.operators.profile import (
+    Profiles, column_counts, date_range, frequencies_from, run_counts, run_counts_observed,
+)
+from recordlake.session import written
 from recordlake.operators.headers import detect_form_type, resolve_names
 from recordlake.plans._common import harmonized_union, main_files, union_schema
 from recordlake.sources.sinks import write_csv
@@ -35,7 +38,8 @@ def form_type_of(filename: str, year: str, last_old_year: int = cfg.LAST_OLD_FOR
 
 def compile_perm(spark: SparkSession, root: str, schema: Sequence[str] | None = None, *, aliases=cfg.ALIASES,
                  alias_policy: str = "sequential_move", null_key: str = "literal",
-                 out: str | None = None, ignore_corrupt: bool = False) -> DataFrame:
+                 out: str | None = None, ignore_corrupt: bool = False, check_rows: bool = False,
+                 multiline: bool = True) -> DataFrame:
     """S1 -> H13 -> S7 -> H1..H4 -> H8 -> H12 -> H11 -> U1 -> U3 -> D1 (-> K1).
 
     ``schema`` is the canonical column list; without it, the ordered union of
@@ -43,22 +47,25 @@ def compile_perm(spark: SparkSession, root: str, schema: Sequence[str] | None =
     The default alias
     policy is the literal sequential move (T1); ``"first_wins"`` is the
     documented intent. One row per case number survives: the first in
-    (year, file, row) order, via a partially aggregated ``min_by``.
+    (year, file, row) order.
     """
-    files = main_files(spark, root, land=False)
+    files = main_files(spark, root, land=False, check_rows=check_rows, ignore_corrupt=ignore_corrupt, multiline=multiline)
     if not files:
         raise FileNotFoundError(f"no vintage files under {root}")
-    for f in files:
+    for f, _ in files:
         form_type_of(f["file_name"], f["year"])  # warns about year folders that are not numbers (T14)
     resolve = resolve_names(aliases, repeat_group_prefixes=(), second_site_prefixes=(), alias_policy=alias_policy)
     if schema is None:
         schema = union_schema(spark, files, resolve, extra=("year", "form_type"))
     u = harmonized_union(spark, files, schema, resolve,
                          per_file=lambda year, name: {"form_type": detect_form_type(name, year)},
-                         ignore_corrupt=ignore_corrupt)
+                         ignore_corrupt=ignore_corrupt, multiline=multiline)
     if "case_number" in schema:
         u = u.withColumn("case_number", normalize_key_upper(F.col("case_number"), null_key=null_key))
-        u = dedupe_keep_first(u, "case_number", [F.col("_ord")], null_key="keep" if null_key == "keep" else "group")
+        u = u.select(*schema, F.col("_ord.i").alias("_i"), F.col("_ord.f").alias("_f"), F.col("_ord.b").alias("_b"),
+                     F.col("_ord.r").alias("_r"))
+        u = dedupe_keep_first_at(global_positions(u, ["_i", "_f", "_b"], "_r"), "case_number", "_pos",
+                                 null_key="keep" if null_key == "keep" else "group")
     result = u.select(*schema)
     if out:
         write_csv(result, out)
@@ -90,15 +97,15 @@ def clean_perm(spark: SparkSession, source, *, out: str | None = None,
     clean = distinct_rows(projected.select(*[
         conv[c](F.col(f"`{c}`")).alias(c) if c in conv else F.col(f"`{c}`") for c in projected.columns]))
     if materialize:
-        shared_dir(spark)
-        clean = clean.checkpoint(eager=True)
+        clean = written(clean, "clean")
     if out:
         write_csv(clean, out)
     b = {"counts": (lambda: run_counts_observed(spark, seen.get["n"], len(raw.columns), clean))
          if materialize else (lambda: run_counts(raw, clean))}
     if "Decision Date" in clean.columns:
         b["decision_date_range"] = lambda: date_range(clean, "`Decision Date`")
-    for name in ("Status", "Form Type", "Current Visa Type"):
-        if name in clean.columns:
-            b[name] = (lambda n: lambda: value_frequencies(clean, f"`{n}`", top=10))(name)
+    freq = [n for n in ("Status", "Form Type", "Current Visa Type") if n in clean.columns]
+    counts = cache(lambda: written(column_counts(clean.select(*[F.col(f"`{n}`") for n in freq]), freq), "profile"))
+    for i, name in enumerate(freq):
+        b[name] = (lambda k: lambda: frequencies_from(counts(), k, top=10))(i)
     return clean, Profiles(b)

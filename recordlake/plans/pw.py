@@ -5,11 +5,12 @@ from __future__ import annotations
 import warnings
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from recordlake.config import pw as cfg
 from recordlake.operators.align import align_to_schema, stamp_year, union_vintages
-from recordlake.operators.headers import mapping_table_rename, select_slots, to_positional, unmapped_column_report
+from recordlake.operators.headers import mapping_table_rename, select_slots, to_positional, unmapped_column_report, unmapped_values
 from recordlake.sources.files import load_mapping_table, pick_main_file, vintage_scan
 from recordlake.sources.sinks import write_parquet, write_report_csv
 
@@ -31,7 +32,8 @@ def compile_pw(spark: SparkSession, root: str, mapping_path: str, *, target_year
     headers mapping to one target in one file (T11) fail by default
     (``on_conflict="first"`` keeps the first). Per-year errors are collected;
     with ``strict=True`` they are raised at the end, otherwise reported as
-    warnings and the year is skipped.
+    warnings and the year is skipped. The report also counts the values of each
+    unmapped column (``N_VALUES``; not in the written report, whose columns are fixed).
     """
     mapping = load_mapping_table(spark, mapping_path, cfg.MAPPING_SOURCE_COLUMN, cfg.MAPPING_TARGET_COLUMN)
     listing = vintage_scan(spark, root, extensions=(".parquet", ".xlsx", ".csv"))
@@ -60,7 +62,7 @@ def compile_pw(spark: SparkSession, root: str, mapping_path: str, *, target_year
             h = select_slots(to_positional(df), slots)
             frames.append(stamp_year(align_to_schema(h, target), year, cfg.SOURCE_YEAR_COLUMN, cast="int"))
             if r.unmapped:
-                unmapped[year] = r.unmapped
+                unmapped[year] = (df, r.unmapped)
         except Exception as e:  # noqa: BLE001 - collected and reported below (T16)
             errors.append((year, e))
     if errors:
@@ -69,9 +71,11 @@ def compile_pw(spark: SparkSession, root: str, mapping_path: str, *, target_year
             raise RuntimeError(f"prevailing-wage compile failed for some years: {msg}")
         warnings.warn(f"skipped years: {msg}")
     result = union_vintages(frames)
-    report = unmapped_column_report(spark, unmapped)
+    report = unmapped_values(unmapped)
+    if report is None:
+        report = unmapped_column_report(spark, {}).withColumn("N_VALUES", F.lit(0).cast("long"))
     if out:
         write_parquet(result, out, partition_by=cfg.SOURCE_YEAR_COLUMN)
     if report_out:
-        write_report_csv(report, report_out)
+        write_report_csv(report.select("COLUMN_NAME", "YEARS_APPEARED"), report_out)
     return result, report

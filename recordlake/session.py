@@ -48,6 +48,14 @@ def shared_dir(spark: SparkSession) -> str:
     return d.rstrip("/")
 
 
+def written(df, name: str):
+    """``df`` as a Parquet table in the shared folder: lineage ends there, and later reads are pruned."""
+    spark = df.sparkSession
+    target = staging_path(spark, name)
+    df.write.parquet(target)
+    return spark.read.schema(df.schema).parquet(target)
+
+
 def staging_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared folder for intermediate tables."""
     return f"{shared_dir(spark)}/recordlake/{name}-{uuid.uuid4().hex[:12]}"

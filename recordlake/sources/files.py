@@ -7,9 +7,10 @@ driver only sees file *metadata* (names, headers), never rows.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,14 +18,7 @@ from recordlake.config.lca import COMPANION_FILE_MARKERS
 from recordlake.config.nulls import PANDAS_DEFAULT_NA_TOKENS
 from recordlake.functions.text import null_tokens, ustrip
 from recordlake.operators.headers import positional_names
-
-LISTING_SCHEMA = T.StructType([
-    T.StructField("path", T.StringType()), T.StructField("year", T.StringType()),
-    T.StructField("file_name", T.StringType()), T.StructField("extension", T.StringType()),
-    T.StructField("stem", T.StringType()), T.StructField("length", T.LongType()),
-    T.StructField("modification_time", T.TimestampType()),
-])
-
+from recordlake.sources import heads
 
 def _glob(spark: SparkSession, pattern: str) -> list[tuple[str, bool, int, int]]:
     """(path, is_dir, length, modification ms) of every match of a Hadoop glob."""
@@ -46,7 +40,7 @@ def vintage_scan(spark: SparkSession, root: str, extensions: Sequence[str] = (".
     file source does)."""
     rows = []
     for year_path, is_dir, _, _ in _glob(spark, f"{root.rstrip('/')}/*"):
-        if not is_dir:
+        if not is_dir or year_path.rstrip("/").rsplit("/", 1)[-1].startswith(("_", ".")):
             continue
         for path, _, length, mtime in _glob(spark, f"{year_path}/*"):
             name = path.rstrip("/").rsplit("/", 1)[-1]
@@ -147,11 +141,8 @@ def read_name_list(path: str) -> list[str]:
 def csv_header(spark: SparkSession, path: str, multiline: bool = True) -> list[str]:
     """Raw header row of a CSV file (first record only), exactly as written. ``multiline`` must be
     that of the data's read: a quoted header cell may hold a line break."""
-    first = (spark.read.option("header", False).option("escape", '"').option("multiLine", multiline)
-             .csv(path).limit(1).collect())
-    if not first:
-        return []
-    return ["" if v is None else v for v in first[0]]
+    files = heads.data_files(spark, path)
+    return heads.first_record(spark, files[0], multiline) if files else []
 
 
 def scan_text_csv(spark: SparkSession, path, usecols: Sequence[str] | None = None,
@@ -203,51 +194,93 @@ def read_text_vintage(spark: SparkSession, path: str, extension: str, multiline:
     return text.toDF(*names, "_row")
 
 
-def land_text_parquet(spark: SparkSession, listing: DataFrame, skip_existing: bool = False) -> list[str]:
+def land_text_parquet(spark: SparkSession, listing: DataFrame, skip_existing: bool = False,
+                      multiline: bool = True) -> list[str]:
     """Write an all-text Parquet sibling next to each CSV source file.
 
-    ``skip_existing=True`` leaves files that already have a sibling (a left-anti
-    join of the source listing with the landed listing).
+    Files with equal headers are landed by one job: rows are written to a folder per (file, part, split) and, as no
+    task holds more than its own splits, only sorted inside their task; the folders' files then get names in that
+    order and are renamed into the siblings, each at once. ``skip_existing=True`` leaves files that already have a
+    sibling (a left-anti join of the source listing with the landed listing).
     """
     src = listing.where(F.col("extension") == ".csv")
     if skip_existing:
         landed = listing.where(F.col("extension") == ".parquet").select("year", "stem")
         src = src.join(landed, ["year", "stem"], "left_anti")
+    paths = [r["path"] for r in src.select("path").collect()]  # one row per file: metadata only
+    found = heads.read_heads(spark, [(p, ".csv") for p in paths], multiline)
+    broken = [h for h in found.values() if h.error]
+    if broken:
+        raise OSError("; ".join(f"{h.path}: {h.error}" for h in broken))
     written = []
-    for r in src.select("path", "year", "stem").collect():  # one row per file: metadata only
-        target = r["path"][: -len(".csv")] + ".parquet"
-        df = scan_text_csv(spark, r["path"], tokens=None, positional=True)
-        names = csv_header(spark, r["path"])
-        # header names are kept verbatim; Parquet cannot hold duplicates, so
-        # repeated names get a positional suffix (the header plan drops them anyway)
-        seen: dict = {}
-        out = []
-        for n in names:
-            k = n.lower()
-            seen[k] = seen.get(k, 0) + 1
-            out.append(n if seen[k] == 1 else f"{n}.{seen[k] - 1}")
-        # keep the file's row order: order by (split start, row in split) before writing
-        order = F.struct(F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_block_start").alias("b"),
-                         F.monotonically_increasing_id().alias("r"))
-        df.withColumn("_o", order).orderBy("_o").drop("_o").toDF(*out).write.mode("overwrite").parquet(target)
-        written.append(target)
-    return written
-
-
-def all_text(df: DataFrame) -> DataFrame:
-    """Cast every column to text, keeping duplicate names (positional)."""
-    names = df.columns
-    pos = df.toDF(*positional_names(len(names)))
-    return pos.select(*[F.col(c).cast("string").alias(c) for c in pos.columns]).toDF(*names)
-
-
-def null_tokens_all(df: DataFrame, tokens: Sequence[str] = PANDAS_DEFAULT_NA_TOKENS,
-                    skip: Sequence[str] = ()) -> DataFrame:
-    """C11 on every string column (what a CSV hop would do)."""
-    return df.select(*[null_tokens(F.col(c), tokens).alias(c)
-                       if c not in skip and isinstance(df.schema[c].dataType, T.StringType) else F.col(c)
-                       for c in df.columns])
-
-
-def year_folder(path: Column) -> Column:
-    return F.regexp_extract(path, r"([^/]+)/[^/]+$", 1)
+    for (_, names), group in heads.groups_of(found.values()).items():
+        written += _land_group(spark, list(names), group, multiline)
+    return sorted(written)
+
+
+def unique_names(names: Sequence[str]) -> list[str]:
+    """Header names kept verbatim, but Parquet cannot hold duplicates: repeated ones (whatever their case) get a
+    positional suffix (the header plan drops them anyway)."""
+    seen: dict = {}
+    out = []
+    for n in names:
+        k = n.lower()
+        seen[k] = seen.get(k, 0) + 1
+        out.append(n if seen[k] == 1 else f"{n}.{seen[k] - 1}")
+    return out
+
+
+def _land_group(spark: SparkSession, names: list[str], group: Sequence[heads.Head], multiline: bool) -> list[str]:
+    raw = scan_text_csv(spark, [h.path for h in group], tokens=None, positional=True, names=names, multiline=multiline)
+    places = heads.part_places(spark, group)
+    parts = heads.staged_rows(spark, [(f, *at) for f, at in places.items()], "_fp string, _n int, _part int", "files")
+    out, file, split = unique_names(names), "__landed_file", "__landed_split"
+    rows = raw.select("*", F.col("_metadata.file_path").alias("_fp"), F.col("_metadata.file_block_start").alias("_b"),
+                      F.monotonically_increasing_id().alias("_m"))
+    rows = rows.join(parts, "_fp")
+    rows = rows.withColumn("_s", F.format_string("%08d-%018d", "_part", "_b")).sortWithinPartitions("_n", "_s", "_m")
+    rows = rows.select(*[F.col(c) for c in raw.columns], "_n", "_s").toDF(*out, file, split)
+    # beside the year folders: renames must stay in one file system
+    first = group[0].path.rstrip("/")
+    temp = f"{first.rsplit('/', 2)[0]}/_landing-{uuid.uuid4().hex[:12]}"
+    rows.write.partitionBy(file, split).parquet(temp)
+    targets = []
+    for n, h in enumerate(group):
+        target = h.path.rstrip("/")[: -len(".csv")] + ".parquet"
+        ready = f"{temp}/ready-{n}"
+        splits = sorted(p for p, is_dir, _, _ in _glob(spark, f"{temp}/{file}={n}/{split}=*") if is_dir)
+        if not splits:  # a header without rows
+            spark.createDataFrame([], T.StructType([T.StructField(c, T.StringType()) for c in out])).write.parquet(ready)
+        else:
+            _make_dir(spark, ready)
+        k = 0
+        for folder in splits:
+            for p, _, _, _ in sorted(_glob(spark, f"{folder}/part-*")):
+                _rename(spark, p, f"{ready}/part-{k:08d}-{uuid.uuid4().hex[:8]}.parquet")
+                k += 1
+        _delete(spark, target)
+        _rename(spark, ready, target)
+        targets.append(target)
+    _delete(spark, temp)
+    return targets
+
+
+def _path_and_fs(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def _make_dir(spark: SparkSession, path: str) -> None:
+    p, fs = _path_and_fs(spark, path)
+    fs.mkdirs(p)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    p, fs = _path_and_fs(spark, path)
+    fs.delete(p, True)
+
+
+def _rename(spark: SparkSession, source: str, target: str) -> None:
+    p, fs = _path_and_fs(spark, source)
+    if not fs.rename(p, _path_and_fs(spark, target)[0]):
+        raise OSError(f"can't rename {source} to {target}")

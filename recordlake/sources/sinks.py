@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 
 
@@ -12,9 +14,13 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
      .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
 
 
-def write_parquet(df: DataFrame, path: str, partition_by: str | None = None, mode: str = "overwrite") -> None:
-    """K3: Parquet, optionally partitioned (e.g. by ``SOURCE_YEAR``)."""
+def write_parquet(df: DataFrame, path: str, partition_by: str | None = None, mode: str = "overwrite",
+                  replace_partitions: bool = False) -> None:
+    """K3: Parquet, optionally partitioned (e.g. by ``SOURCE_YEAR``). With ``replace_partitions`` only the
+    partitions that ``df`` holds are overwritten, so one year can be loaded again beside the others."""
     w = df.write.mode(mode)
+    if replace_partitions:
+        w = w.option("partitionOverwriteMode", "dynamic")
     if partition_by:
         w = w.partitionBy(partition_by)
     w.parquet(path)
@@ -31,8 +37,17 @@ def write_report_csv(df: DataFrame, path: str) -> None:
 
 
 def append_table(df: DataFrame, table: str) -> None:
-    """K6: append to a catalog table."""
-    df.write.mode("append").saveAsTable(table)
+    """K6: append to a catalog table, by column name: columns that ``df`` lacks get the table's defaults,
+    and a null in a NOT NULL column of the versioned manifest fails the write."""
+    from recordlake.operators.manifest import check_not_null
+    spark = df.sparkSession
+    view = f"append_{uuid.uuid4().hex}"
+    check_not_null(df).createOrReplaceTempView(view)
+    try:
+        names = ", ".join("`" + c.replace("`", "``") + "`" for c in df.columns)
+        spark.sql(f"INSERT INTO {table} ({names}) SELECT {names} FROM {view}")
+    finally:
+        spark.catalog.dropTempView(view)
 
 
 def write_partitioned_layout(df: DataFrame, path: str, keys=("program", "year")) -> None:

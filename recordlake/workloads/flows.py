@@ -436,7 +436,11 @@ def q_compile_pw_report(spark, d):
 
 
 SQL_PW_REPORT = """
-SELECT * FROM (VALUES ('NATION', '2015'), ('PW_TRACKING_NUMBER', '2019'), ('SEGMENT', '2019')) t(COLUMN_NAME, YEARS_APPEARED)
+SELECT unnest(['NATION']) AS COLUMN_NAME, '2015' AS YEARS_APPEARED, count(c_nationkey) AS N_VALUES FROM customer WHERE c_custkey % 4 = 1
+UNION ALL
+SELECT 'PW_TRACKING_NUMBER', '2019', count(c_nationkey) FROM customer WHERE c_custkey % 4 >= 2
+UNION ALL
+SELECT 'SEGMENT', '2019', count(c_mktsegment) FROM customer WHERE c_custkey % 4 >= 2
 """
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from recordlake.operators.align import align_to_schema, stamp_year, union_vintages
 from recordlake.operators.headers import (
     alias_sequential_move, harmonize_vintage, mapping_table_rename, select_slots, slots_of, to_positional,
-    unmapped_report_from_pairs, detect_form_type, normalize_headers, drop_duplicate_headers,
+    unmapped_values, detect_form_type, normalize_headers, drop_duplicate_headers,
     drop_all_null_columns, non_null_column_indices, drop_blank_headers,
 )
 from recordlake.workloads._tables import table
@@ -63,19 +63,31 @@ FROM orders WHERE year(o_orderdate) >= 1999
 
 
 def q_drop_all_null_columns(spark, d):
-    """H1 -> H2 -> H3 -> H4 on the 1997-98 vintage, without aliasing: the
-    all-null ``Status`` goes, the duplicate ``STATUS`` went before the test."""
-    _, v2 = orders_vintages(spark, d)[1]
-    slots = drop_duplicate_headers(normalize_headers(slots_of(v2.columns)))
-    slots = drop_blank_headers(drop_all_null_columns(slots, non_null_column_indices(v2)))
-    return select_slots(to_positional(v2), slots)
-
-
+    """H1 -> H2 -> H3 -> H4 on every vintage, without aliasing: of 1997-98 the all-null ``Status``
+    goes, the duplicate ``STATUS`` went before the test. Columns of all vintages side by side."""
+    frames = []
+    for label, v in orders_vintages(spark, d):
+        slots = drop_duplicate_headers(normalize_headers(slots_of(v.columns)))
+        slots = drop_blank_headers(drop_all_null_columns(slots, non_null_column_indices(v)))
+        frames.append(stamp_year(select_slots(to_positional(v), slots), label))
+    names = list(dict.fromkeys(c for f in frames for c in f.columns))
+    return union_vintages([align_to_schema(f, names) for f in frames])
+
+
+_KEY, _CUST = "CAST(o_orderkey AS VARCHAR)", "CAST(o_custkey AS VARCHAR)"
 SQL_DROP_ALL_NULL = f"""
-SELECT CAST(o_orderkey AS VARCHAR) AS lca_case_number, o_orderstatus AS case_status,
-       CAST(o_custkey AS VARCHAR) AS lca_case_employer_name, {_CENTS} AS lca_case_wage_rate_from,
-       {_DAY} AS decision_date
+SELECT {_KEY} AS case_no, o_orderstatus AS approval_status, {_CUST} AS name, {_CENTS} AS wage_rate_1, o_orderpriority AS wage_rate_2,
+       '1996' AS year, NULL AS lca_case_number, NULL AS case_status, NULL AS lca_case_employer_name, NULL AS lca_case_wage_rate_from,
+       NULL AS decision_date, NULL AS case_number, NULL AS employer_name, NULL AS wage_rate_of_pay_from, NULL AS worksite_city_1,
+       NULL AS worksite_city_2, NULL AS city_2
+FROM orders WHERE year(o_orderdate) <= 1996
+UNION ALL
+SELECT NULL, NULL, NULL, NULL, NULL, '1998', {_KEY}, o_orderstatus, {_CUST}, {_CENTS}, {_DAY}, NULL, NULL, NULL, NULL, NULL, NULL
 FROM orders WHERE year(o_orderdate) BETWEEN 1997 AND 1998
+UNION ALL
+SELECT NULL, NULL, NULL, NULL, NULL, '2001', NULL, o_orderstatus, NULL, NULL, {_DAY}, {_KEY}, {_CUST}, {_CENTS}, o_orderpriority,
+       o_orderstatus, o_orderpriority
+FROM orders WHERE year(o_orderdate) >= 1999
 """
 
 
@@ -169,10 +181,10 @@ def pw_vintages(spark, d):
     a = s.where(F.col("s_suppkey") % 2 == 0).select(
         F.col("s_suppkey").alias("SUPP_KEY"), F.col("s_name").alias("SUPP_NAME"),
         F.col("s_nationkey").alias("NATION"), F.col("s_acctbal").alias("S_PHONE"),
-        F.col("s_acctbal").alias("EXTRA_COL"))
+        F.col("s_acctbal").alias("EXTRA_COL"), F.col("s_name").alias("S_COMMENT"))
     b = s.where(F.col("s_suppkey") % 2 == 1).select(
         F.col("s_suppkey").alias("SUPP_KEY"), F.col("s_name").alias("SUPP_NAME"),
-        F.col("s_acctbal").alias("ACCT_BAL"), F.col("s_nationkey").alias("PW_TRACKING_NUMBER"))
+        F.col("s_acctbal").alias("ACCT_BAL"), F.col("s_nationkey").alias("PW_TRACKING_NUMBER"), F.col("s_name").alias("S_COMMENT"))
     return [(2014, a), (2015, b)]
 
 
@@ -181,14 +193,14 @@ def _pw_plan(spark, d):
     target = table(spark, d, "customer").schema  # S8: footer only
     _, pairs = _mapping_rows(spark, d)
     mapping = dict(pairs)
-    frames, unmapped = [], []
+    frames, unmapped = [], {}
     for year, v in pw_vintages(spark, d):
         r = mapping_table_rename(v.columns, mapping, target.fieldNames(), IGNORED_COLUMNS_BY_YEAR.get(year, ()))
         if r.conflicts:
             raise ValueError(f"year {year}: several headers map to one target: {r.conflicts}")
         h = select_slots(to_positional(v), r.slots)
         frames.append(stamp_year(align_to_schema(h, target), year, "SOURCE_YEAR", cast="int"))
-        unmapped += [(name, year) for name in r.unmapped]
+        unmapped[year] = (v, r.unmapped)
     return frames, unmapped
 
 
@@ -209,13 +221,17 @@ FROM supplier WHERE s_suppkey % 2 = 1
 
 def q_unmapped_column_report(spark, d):
     _, unmapped = _pw_plan(spark, d)
-    # the (header, year) pairs are plan metadata; the report is a Spark aggregate
-    pairs = spark.createDataFrame(unmapped, "name string, year int")
-    return unmapped_report_from_pairs(pairs, "name", "year")
+    return unmapped_values(unmapped)
 
 
 SQL_UNMAPPED = """
-SELECT * FROM (VALUES ('EXTRA_COL', '2014'), ('S_PHONE', '2014')) AS t(COLUMN_NAME, YEARS_APPEARED)
+SELECT name AS COLUMN_NAME, string_agg(year, ', ' ORDER BY year) AS YEARS_APPEARED, CAST(sum(n) AS BIGINT) AS N_VALUES
+FROM (SELECT unnest(['EXTRA_COL', 'S_PHONE']) AS name, '2014' AS year, n FROM (
+        SELECT count(s_acctbal) AS n FROM supplier WHERE s_suppkey % 2 = 0)
+      UNION ALL
+      SELECT 'S_COMMENT', y, n FROM (SELECT CASE WHEN s_suppkey % 2 = 0 THEN '2014' ELSE '2015' END AS y, count(s_name) AS n
+                                     FROM supplier GROUP BY 1))
+GROUP BY 1
 """
 
 

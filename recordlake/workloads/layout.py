@@ -1,13 +1,21 @@
-"""Path-layout checks (L1-L5) on ``pages``, ``nation``, ``events`` and ``orders``."""
+"""Path-layout and sink checks (L1-L5, K2-K6) on ``pages``, ``nation``, ``events`` and ``orders``."""
+
+import uuid
 
 from pyspark.sql import functions as F
 
 from recordlake.functions import (
     annual_path, monthly_path, program_year_path, sanitize_name, strip_uri_prefix, visa_year_path,
 )
+from recordlake.operators.manifest import SUMMARY_SCHEMA, change_status, create_manifest_table, run_summary
 from recordlake.session import staging_path
-from recordlake.sources.sinks import write_partitioned_layout
+from recordlake.sources.files import scan_text_csv
+from recordlake.sources.sinks import (
+    append_table, write_csv, write_json_summary, write_parquet, write_partitioned_layout, write_report_csv,
+)
 from recordlake.workloads._tables import table
+from recordlake.workloads.harmonise import SQL_UNMAPPED, q_unmapped_column_report
+from recordlake.workloads.manifest import RUN_TIME, SQL_SUMMARY, _observations_and_manifest
 
 ROOT = "dbfs:/FileStore/records"
 
@@ -71,5 +79,96 @@ SELECT o_orderpriority AS program, CAST(year(o_orderdate) AS VARCHAR) AS year, c
 FROM orders GROUP BY 1, 2
 """
 
-QUERIES = {"path_expressions": q_path_expressions, "partitioned_layout": q_partitioned_layout}
-ORACLE = {"path_expressions": SQL_PATHS, "partitioned_layout": SQL_PARTITIONED}
+# ---- K2-K6: written in parts, read back whole
+
+def _orders(spark, d):
+    return table(spark, d, "orders").select(F.col("o_orderkey").cast("string").alias("case_number"),
+                                            F.concat(F.lit(" "), F.col("o_orderpriority"), F.lit(', "x" ')).alias("note"),
+                                            F.year("o_orderdate").alias("SOURCE_YEAR"))
+
+
+def q_append_csv(spark, d):
+    """K2: batches appended to one CSV output; each part has the header, none of it is read as a row."""
+    path = staging_path(spark, "append")
+    o = _orders(spark, d)
+    write_csv(o.where("SOURCE_YEAR < 1995"), path)
+    write_csv(o.where("SOURCE_YEAR >= 1995"), path, mode="append")
+    return scan_text_csv(spark, path, tokens=None)
+
+
+SQL_APPEND_CSV = """
+SELECT CAST(o_orderkey AS VARCHAR) AS case_number, ' ' || o_orderpriority || ', "x" ' AS note,
+       CAST(year(o_orderdate) AS VARCHAR) AS SOURCE_YEAR FROM orders
+"""
+
+
+def q_replace_partitions(spark, d):
+    """K3: all years written, then the years from 1996 on once more, with other notes."""
+    path = staging_path(spark, "years")
+    o = _orders(spark, d)
+    write_parquet(o, path, partition_by="SOURCE_YEAR")
+    again = o.where("SOURCE_YEAR >= 1996").withColumn("note", F.concat(F.lit("again "), "case_number"))
+    write_parquet(again, path, partition_by="SOURCE_YEAR", replace_partitions=True)
+    return spark.read.parquet(path).select("case_number", "note", "SOURCE_YEAR")
+
+
+SQL_REPLACE_PARTITIONS = """
+SELECT CAST(o_orderkey AS VARCHAR) AS case_number,
+       CASE WHEN year(o_orderdate) >= 1996 THEN 'again ' || o_orderkey ELSE ' ' || o_orderpriority || ', "x" ' END AS note,
+       CAST(year(o_orderdate) AS INTEGER) AS SOURCE_YEAR FROM orders
+"""
+
+
+def q_write_json_summary(spark, d):
+    """K4: the run summary as a JSON document, read back."""
+    obs, man = _observations_and_manifest(spark, d)
+    path = staging_path(spark, "summary")
+    write_json_summary(run_summary(change_status(obs, man), RUN_TIME), path)
+    return spark.read.schema(SUMMARY_SCHEMA).json(path)
+
+
+def q_write_report_csv(spark, d):
+    """K5: the report of unmapped columns as CSV, read back."""
+    path = staging_path(spark, "report")
+    write_report_csv(q_unmapped_column_report(spark, d), path)
+    return scan_text_csv(spark, path, tokens=None)
+
+
+def q_append_table(spark, d):
+    """K6: two batches appended to the manifest's catalog table; what they leave out gets the table's defaults."""
+    name = f"appended_{uuid.uuid4().hex[:10]}"
+    create_manifest_table(spark, name, staging_path(spark, "table"))
+    e = table(spark, d, "events")
+    rows = e.select(F.lit("records").alias("source_id"), F.lit("monthly").alias("file_type"),
+                    F.concat(F.lit("P"), F.col("user_id").cast("string")).alias("period"),
+                    F.concat(F.lit("https://h.org/"), F.col("event_id").cast("string")).alias("url"),
+                    F.col("event_type").alias("filename"), F.lit("/d").alias("saved_path"), F.col("event_id").alias("bytes"))
+    append_table(rows.where("bytes % 2 = 0"), name)
+    append_table(rows.where("bytes % 2 = 1"), name)
+    return spark.table(name).select("source_id", "period", "url", "filename", "bytes", "version", "status", "etag",
+                                    F.col("updated_at").isNotNull().alias("stamped"))
+
+
+SQL_APPEND_TABLE = """
+SELECT 'records' AS source_id, 'P' || user_id AS period, 'https://h.org/' || event_id AS url, event_type AS filename,
+       event_id AS bytes, 1 AS version, 'active' AS status, CAST(NULL AS VARCHAR) AS etag, true AS stamped FROM events
+"""
+
+QUERIES = {
+    "path_expressions": q_path_expressions,
+    "partitioned_layout": q_partitioned_layout,
+    "append_csv": q_append_csv,
+    "replace_partitions": q_replace_partitions,
+    "write_json_summary": q_write_json_summary,
+    "write_report_csv": q_write_report_csv,
+    "append_table": q_append_table,
+}
+ORACLE = {
+    "path_expressions": SQL_PATHS,
+    "partitioned_layout": SQL_PARTITIONED,
+    "append_csv": SQL_APPEND_CSV,
+    "replace_partitions": SQL_REPLACE_PARTITIONS,
+    "write_json_summary": SQL_SUMMARY,
+    "write_report_csv": f"SELECT COLUMN_NAME, YEARS_APPEARED, CAST(N_VALUES AS VARCHAR) AS N_VALUES FROM ({SQL_UNMAPPED})",
+    "append_table": SQL_APPEND_TABLE,
+}

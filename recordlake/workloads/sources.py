@@ -1,16 +1,15 @@
 """File-source checks (S1-S9, K1-K3) on vintages of ``orders`` and ``events``
 written to the shared folder and scanned back."""
 
+import warnings
+
 from pyspark.sql import functions as F
 
 from recordlake.config.nulls import PANDAS_DEFAULT_NA_TOKENS
-from recordlake.operators.align import align_to_schema, stamp_year, union_vintages
-from recordlake.operators.headers import harmonize_vintage
+from recordlake.operators.headers import resolve_names
+from recordlake.plans._common import harmonized_union, main_files
 from recordlake.session import staging_path
-from recordlake.sources.files import (
-    filter_companion_files, land_text_parquet, pick_main_file, read_text_vintage, scan_text_csv, source_fallback,
-    vintage_scan,
-)
+from recordlake.sources.files import filter_companion_files, pick_main_file, scan_text_csv
 from recordlake.sources.sinks import write_csv, write_parquet
 from recordlake.workloads import _sql as S
 from recordlake.workloads._tables import table
@@ -30,16 +29,22 @@ def stage_orders_vintages(spark, d, root):
 
 
 def q_vintage_scan(spark, d):
-    """S1 -> S4 (land CSV as text Parquet, skipping existing) -> S5 -> S7 ->
-    read each vintage as text -> harmonise -> align -> union."""
+    """S1 -> S4 (land CSV as text Parquet, one job per header) -> S5 -> S7 -> read vintages as text, one scan per
+    header -> harmonise -> align -> union."""
+    root = stage_orders_vintages(spark, d, staging_path(spark, "vintages"))
+    files = main_files(spark, root, filter_companion_files)
+    return harmonized_union(spark, files, CANON, resolve_names()).drop("_ord")
+
+
+def q_source_fallback_unreadable(spark, d):
+    """A vintage whose Parquet file is damaged is loaded from its CSV sibling, with a warning."""
     root = stage_orders_vintages(spark, d, staging_path(spark, "vintages"))
-    land_text_parquet(spark, vintage_scan(spark, root), skip_existing=True)
-    listing = source_fallback(filter_companion_files(vintage_scan(spark, root)))
-    frames = []
-    for r in listing.orderBy("year", "file_name").collect():  # one row per file: metadata only
-        v = read_text_vintage(spark, r["path"], r["extension"]).drop("_row")
-        frames.append(align_to_schema(stamp_year(harmonize_vintage(v), r["year"]), CANON))
-    return union_vintages(frames)
+    y2 = orders_vintages(spark, d)[1][0]
+    table(spark, d, "region").select("r_name").write.text(f"{root}/{y2}/LCA_Disclosure_FY{y2}.parquet")
+    with warnings.catch_warnings():
+        warnings.simplefilter("ignore")
+        files = main_files(spark, root, filter_companion_files, land=False, check_rows=True)
+    return harmonized_union(spark, files, CANON, resolve_names()).drop("_ord")
 
 
 def q_scan_text_csv(spark, d):
@@ -107,5 +112,5 @@ SELECT year, file_name, extension FROM (
 WHERE rn = 1
 """
 
-QUERIES = {"vintage_scan": q_vintage_scan, "scan_text_csv": q_scan_text_csv, "pick_main_file": q_pick_main_file}
-ORACLE = {"vintage_scan": SQL_HARMONIZE, "scan_text_csv": SQL_SCAN_TEXT, "pick_main_file": SQL_PICK}
+QUERIES = {"vintage_scan": q_vintage_scan, "source_fallback_unreadable": q_source_fallback_unreadable, "scan_text_csv": q_scan_text_csv, "pick_main_file": q_pick_main_file}
+ORACLE = {"vintage_scan": SQL_HARMONIZE, "source_fallback_unreadable": SQL_HARMONIZE, "scan_text_csv": SQL_SCAN_TEXT, "pick_main_file": SQL_PICK}

@@ -92,7 +92,7 @@ def test_global_positions_without_broadcast(spark):
                                "i int, f string, r long")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        out = global_positions(df, ["i", "f"], "r", max_broadcast_rows=0)  # beyond the bound: plain join
+        out = global_positions(df, ["i", "f"], "r")  # beyond the bound: plain join
         assert "BroadcastHashJoin" not in out._jdf.queryExecution().executedPlan().toString()
         got = sorted((r["i"], r["f"], r["r"], r["_pos"]) for r in out.collect())
     finally:

@@ -181,3 +181,23 @@ def test_repeated_observations_are_one_fetch(spark):
     assert sorted(r["url"] for r in new.collect()) == ["u", "v"]
     with pytest.raises(Exception, match="several statuses"):
         manifest_upsert(m, change_status(twice, m), RUN).collect()
+
+
+def test_versions_of_a_hot_url_are_counted_in_slices(spark):
+    from pyspark.sql import functions as F
+    from recordlake.operators.manifest import VERSIONED_SCHEMA, record_versions
+    from recordlake.operators.ranking import ranked
+    df = spark.range(20_000).select(
+        F.lit("P").alias("period"), F.when(F.col("id") % 10 == 0, F.concat(F.lit("u"), F.col("id").cast("string")))
+        .otherwise("hot").alias("url"), F.lit("f").alias("filename"), F.concat(F.lit("/d/"), F.col("id").cast("string")).alias("saved_path"),
+        F.lit(1).cast("long").alias("bytes"), F.lit("h").alias("sha256"), F.lit(None).cast("string").alias("etag"),
+        F.lit(None).cast("string").alias("last_modified"), F.timestamp_seconds(F.col("id") * 7919 % 20_000).alias("downloaded_at"))
+    out = record_versions(spark.createDataFrame([], VERSIONED_SCHEMA), df, "s", "t", now=F.lit("2026-01-01").cast("timestamp"))
+    hot = out.where("url = 'hot'").orderBy("downloaded_at").select("version", "status").collect()
+    assert [r.version for r in hot] == list(range(1, 18_001)) and [r.status for r in hot].index("active") == 17_999
+    assert out.where("url <> 'hot'").where("version <> 1 or status <> 'active'").count() == 0
+    ordered = df.repartitionByRange("period", "url", "downloaded_at", "saved_path")
+    sizes = sorted(r["count"] for r in ordered.groupBy(F.spark_partition_id()).count().collect())
+    assert len(sizes) == 1 or sizes[-1] <= 2 * sizes[len(sizes) // 2]  # no task holds the hot url
+    got = ranked(spark.createDataFrame([(None, 2), (None, 1), ("a", 1), (None, None)], "k string, o int"), ["k"], ["o"]).collect()
+    assert sorted((r.k or "", r.o or 0, r._rank, r._size) for r in got) == [("", 0, 1, 3), ("", 1, 2, 3), ("", 2, 3, 3), ("a", 1, 1, 1)]

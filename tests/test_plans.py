@@ -1,6 +1,8 @@
 """E1-E6 on the FIXTURES.md shapes, written as small files."""
 
 import os
+import uuid
+from contextlib import contextmanager
 
 import pytest
 from pyspark.sql import functions as F
@@ -81,7 +83,7 @@ def test_compile_pw(spark, tmp_root):
     assert out.columns == ["CASE_NUMBER", "CASE_STATUS", "EMPLOYER_FEIN", "SOURCE_YEAR"]
     assert sorted(tuple(r) for r in out.collect()) == [("C-1", "Certified", "12", 2025), ("C-2", "Denied", "34", 2015),
                                                        ("C-3", None, None, 2016)]
-    assert [tuple(r) for r in report.collect()] == [("ODD", "2016")]
+    assert [tuple(r) for r in report.collect()] == [("ODD", "2016", 1)]
 
 
 def test_compile_pw_conflict(spark, tmp_root):
@@ -142,8 +144,27 @@ def test_corrupt_vintage_fails_unless_ignored(spark, tmp_root):
 
 
 def test_compile_without_listing_broadcast(spark, tmp_root, monkeypatch):
-    import recordlake.plans._common as common
-    monkeypatch.setattr(common, "MAX_FILES_BROADCAST", 0)  # beyond the bound: a plain join on the entry
+    monkeypatch.setitem(SETTINGS, "spark.sql.autoBroadcastJoinThreshold", "-1")  # a plain join on the file
+    with settings(spark):
+        compile_quarters(spark, tmp_root)
+
+
+SETTINGS: dict = {}
+
+
+@contextmanager
+def settings(spark):
+    before = {k: spark.conf.get(k, None) for k in SETTINGS}
+    for k, v in SETTINGS.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def compile_quarters(spark, tmp_root):
     write(f"{tmp_root}/2020/LCA_FY2020_Q1.csv", "CASE_NO,STATUS\na,Certified\nb,Denied\n")
     write(f"{tmp_root}/2020/LCA_FY2020_Q2.csv", "CASE_NO,STATUS\na,Withdrawn\nc,Denied\n")
     got = sorted((r["case_number"], r["case_status"]) for r in compile_lca(spark, tmp_root, batch_rows=10).collect())
@@ -175,3 +196,73 @@ def test_header_with_a_line_break_keeps_every_column(spark, tmp_root):
     write(f"{tmp_root}/2020/LCA_FY2020.csv", '"CASE_NUMBER","CASE\nSTATUS",EMPLOYER_NAME\nI-1,x,Acme\nI-2,y,Beta\n')
     rows = {r["case_number"]: r["employer_name"] for r in compile_lca(spark, tmp_root).collect()}
     assert rows == {"I-1": "Acme", "I-2": "Beta"}
+
+
+def test_a_damaged_parquet_file_gives_way_to_its_csv_sibling(spark, tmp_root):
+    import glob
+    write(f"{tmp_root}/2020/LCA_FY2020.csv", "CASE_NUMBER,STATUS\na,Certified\nb,Denied\n")
+    rows = spark.createDataFrame([("a", "Certified"), ("b", "Denied")], "CASE_NUMBER string, STATUS string").coalesce(1)
+    rows.write.parquet(f"{tmp_root}/2020/LCA_FY2020.parquet")
+    part = sorted(glob.glob(f"{tmp_root}/2020/LCA_FY2020.parquet/part-*.parquet"))[0]
+    os.unlink(os.path.join(os.path.dirname(part), f".{os.path.basename(part)}.crc"))
+    with open(part, "r+b") as f:  # the footer stays
+        f.seek(4)
+        f.write(b"\x00" * 64)
+    with pytest.warns(UserWarning, match="0 of 2 rows can be read"):
+        out = compile_lca(spark, tmp_root, check_rows=True)
+    assert sorted(r["case_number"] for r in out.collect()) == ["A", "B"]
+    with open(part, "r+b") as f:  # now the footer is gone too: seen without reading rows
+        f.truncate(100)
+    with pytest.warns(UserWarning, match="skipping unreadable file"):
+        assert compile_lca(spark, tmp_root).count() == 2
+    write(f"{tmp_root}/2021/LCA_FY2021.parquet", "no parquet")
+    with pytest.raises(OSError, match="no readable file"), pytest.warns(UserWarning):
+        compile_lca(spark, tmp_root)
+
+
+def jobs(spark, run):
+    group = f"jobs-{uuid.uuid4()}"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        run()
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_jobs_do_not_grow_with_files(spark, tmp_root):
+    from recordlake.plans._common import main_files
+    from recordlake.sources.files import land_text_parquet, vintage_scan
+
+    def files(root, years):
+        for y in years:
+            write(f"{root}/{y}/LCA_FY{y}.csv", f"CASE_NUMBER,STATUS\nI-{y},Certified\n")
+    files(f"{tmp_root}/few", range(2015, 2018))
+    files(f"{tmp_root}/many", range(2000, 2020))
+    for f in (lambda r: compile_lca(spark, r), lambda r: land_text_parquet(spark, vintage_scan(spark, r))):
+        few, many = [jobs(spark, lambda r=r: f(r)) for r in (f"{tmp_root}/few", f"{tmp_root}/many")]
+        assert few == many > 0
+    assert len(main_files(spark, f"{tmp_root}/many", land=False)) == 20
+    got = sorted(r["case_number"] for r in compile_lca(spark, f"{tmp_root}/many").collect())
+    assert got == [f"I-{y}" for y in range(2000, 2020)]
+
+
+def test_files_of_one_header_with_different_empty_columns_are_one_scan(spark, tmp_root):
+    for y, rows in ((2018, "a,,x\n"), (2019, "b,y,\n"), (2020, "c,z,w\n")):
+        write(f"{tmp_root}/{y}/LCA_FY{y}.csv", "CASE_NUMBER,STATUS,CASE_STATUS\n" + rows)
+    out = compile_lca(spark, tmp_root)
+    assert {r["case_number"]: r["case_status"] for r in out.collect()} == {"A": "x", "B": "y", "C": "z"}
+    from recordlake.config.lca import ALIASES
+    from recordlake.operators.headers import resolve_names
+    from recordlake.plans._common import harmonized_union, main_files
+    u = harmonized_union(spark, main_files(spark, tmp_root, land=False), ["case_number", "case_status", "year"], resolve_names(ALIASES))
+    plan = u._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") == 2  # the rows once, and their files
+
+
+def test_permanent_keep_first_sorts_no_wide_rows(spark, tmp_root):
+    write(f"{tmp_root}/2019/PERM_FY2019.csv", "CASE_NUMBER,CASE_STATUS\n" + "".join(f",s{i}\n" for i in range(50)) + "k,t\nK,u\n")
+    out = compile_perm(spark, tmp_root, ["case_number", "case_status", "year", "form_type"])
+    assert sorted((r["case_number"], r["case_status"]) for r in out.collect()) == [("K", "t"), ("NONE", "s0")]
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "min_by" not in plan and "LeftSemi" in plan

@@ -74,3 +74,37 @@ def test_csv_row_order_across_splits(spark, tmp_root):
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
     assert got == [(i, i) for i in range(3000)]
+
+
+def test_first_records(spark, tmp_root, monkeypatch):
+    from recordlake.sources import heads
+    monkeypatch.setattr(heads, "HEAD_BYTES", 8)  # longer headers are read in further steps
+    cases = {"a,b\n1,2\n": ["a", "b"], "a,b": ["a", "b"], "": [], "\n\na,b\n1,2": ["a", "b"], '"x\ny","q""r",\n1,2,3\n': ["x\ny", 'q"r', ""],
+             "\ufeffcase,näme\r\n1,2\r\n": ["case", "näme"], "é" * 50 + ",z\n": ["é" * 50, "z"]}
+    for i, (text, names) in enumerate(cases.items()):
+        p = f"{tmp_root}/h/{i}.csv"
+        os.makedirs(os.path.dirname(p), exist_ok=True)
+        with open(p, "w", encoding="utf-8", newline="") as f:
+            f.write(text)
+        assert csv_header(spark, p) == names
+    assert heads.read_head(spark, f"{tmp_root}/h/none.csv", ".csv").error
+
+
+def test_landed_files_keep_their_rows_order(spark, tmp_root):
+    for y in (2019, 2020):
+        write(f"{tmp_root}/{y}/f.csv", "k,K,v\n" + "".join(f"{y}-{i},d,{'x' * (i % 9)}\n" for i in range(2000)))
+    write(f"{tmp_root}/2021/empty.csv", "k,K,v\n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        got = land_text_parquet(spark, vintage_scan(spark, tmp_root), multiline=False)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert [p.rsplit("/", 2)[1] for p in got] == ["2019", "2020", "2021"]
+    assert sorted(os.listdir(tmp_root)) == ["2019", "2020", "2021"]  # nothing left beside
+    for y in (2019, 2020):
+        parts = sorted(p for p in os.listdir(f"{tmp_root}/{y}/f.parquet") if p.startswith("part-"))
+        assert len(parts) > 3
+        rows = [r[0] for p in parts for r in spark.read.parquet(f"{tmp_root}/{y}/f.parquet/{p}").select("k").collect()]
+        assert rows == [f"{y}-{i}" for i in range(2000)]
+    back = spark.read.parquet(f"{tmp_root}/2021/empty.parquet")
+    assert back.columns == ["k", "K.1", "v"] and back.count() == 0

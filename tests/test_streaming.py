@@ -38,3 +38,25 @@ def test_streaming_statuses_against_static_manifest(spark, tmp_root):
     q.awaitTermination(120)
     got = {r["url"]: r["status"] for r in spark.sql("SELECT * FROM statuses_test").collect()}
     assert got == {"u1": "skipped_etag", "u2": "failed"}
+
+
+def test_an_epoch_that_runs_again_writes_its_own_version(spark, tmp_root):
+    from recordlake.streaming.refresh_stream import STREAM_SCHEMA, fold_epoch
+    root = f"{tmp_root}/manifest"
+
+    def batch(*rows):
+        return spark.createDataFrame([(u, "LCA Program", "2024", "a.xlsx", True, e, "", h, None) for u, e, h in rows], STREAM_SCHEMA)
+    assert fold_epoch(spark, batch(("u1", "e1", "h1")), root, "s", 0) == 1
+    second = batch(("u1", "e2", "h1"), ("u2", "e9", "h2"))
+    assert fold_epoch(spark, second, root, "s", 1) == 2
+    first = sorted(map(tuple, load_manifest(spark, root)[0].collect()), key=repr)
+    assert fold_epoch(spark, second, root, "s", 1) == 2  # the run died before its batch was committed
+    again, version = load_manifest(spark, root)
+    assert version == 2 and sorted(map(tuple, again.collect()), key=repr) == first  # checked_at and downloaded_at too
+    assert {r["url"]: r["checked_at"] is not None for r in again.collect()} == {"u1": True, "u2": False}
+    assert fold_epoch(spark, batch(("u3", "e", "h")), root, "other", 1) == 3
+    # a run that died while it wrote its version
+    import os
+    os.unlink(f"{root}/version=3/_SUCCESS")
+    assert fold_epoch(spark, batch(("u3", "e", "h")), root, "other", 1) == 3
+    assert load_manifest(spark, root)[0].count() == 3
