@@ -4,6 +4,9 @@ Spark, pandas and DuckDB accept different number and date strings, so the
 accepted shapes are spelled out here as patterns instead of left to a cast.
 """
 
+import itertools
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -15,30 +18,26 @@ from recordlake.functions._col import as_col
 NUMBER_PATTERN = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 INFINITY_PATTERN = r"(?i)^\s*[+-]?(inf|infinity)\s*$"
 
-# Formats tried in order; the first that parses wins, row by row. Shapes that
-# aren't listed become null. Single-letter fields accept one or two digits.
-# Two-digit years: see TWO_DIGIT_PIVOT.
-# Each format has a cheap shape test, so a value is handed only to the parser
-# that can accept it (failed parse attempts are expensive).
+# Accepted formats; shapes that aren't listed become null. Single-letter fields accept
+# one or two digits, no value has the shape of two formats. Two-digit years: see
+# TWO_DIGIT_PIVOT. A value is handed only to the parser of its shape (failed parse
+# attempts are expensive).
 TIMESTAMP_FORMATS = (
-    ("yyyy-M-d H:m:s", r"^\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{1,2}:\d{1,2}$"),
-    ("yyyy-M-d'T'H:m:s", r"^\d{4}-\d{1,2}-\d{1,2}T\d{1,2}:\d{1,2}:\d{1,2}$"),
-    ("yyyy-M-d H:m:s.SSSSSSSSS", r"^\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{1,2}:\d{1,2}\.\d{1,9}$"),
-    ("yyyy-M-d", r"^\d{4}-\d{1,2}-\d{1,2}$"),
-    ("yyyy/M/d H:m:s", r"^\d{4}/\d{1,2}/\d{1,2} \d{1,2}:\d{1,2}:\d{1,2}$"),
-    ("yyyy/M/d", r"^\d{4}/\d{1,2}/\d{1,2}$"),
-    ("yyyyMMdd", r"^\d{8}$"),
-    ("M/d/yyyy H:m:s", r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{1,2}:\d{1,2}$"),
-    ("M/d/yyyy H:m", r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{1,2}$"),
-    ("M/d/yyyy h:m:s a", r"(?i)^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{1,2}:\d{1,2} [ap]m$"),
-    ("M/d/yyyy h:m a", r"(?i)^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{1,2} [ap]m$"),
-    ("M/d/yyyy", r"^\d{1,2}/\d{1,2}/\d{4}$"),
-    ("M/d/yy", r"^\d{1,2}/\d{1,2}/\d{2}$"),
-    ("MMM d, yyyy", r"^[A-Za-z]{3} \d{1,2}, \d{4}$"),
-    ("MMMM d, yyyy", r"^[A-Za-z]{4,9} \d{1,2}, \d{4}$"),
-    ("d-MMM-yyyy", r"^\d{1,2}-[A-Za-z]{3}-\d{4}$"),
-    ("d-MMM-yy", r"^\d{1,2}-[A-Za-z]{3}-\d{2}$"),
+    "yyyy-M-d H:m:s", "yyyy-M-d'T'H:m:s", "yyyy-M-d H:m:s.SSSSSSSSS", "yyyy-M-d", "yyyy/M/d H:m:s", "yyyy/M/d", "yyyyMMdd",
+    "M/d/yyyy H:m:s", "M/d/yyyy H:m", "M/d/yyyy h:m:s a", "M/d/yyyy h:m a", "M/d/yyyy", "M/d/yy",
+    "MMM d, yyyy", "MMMM d, yyyy", "d-MMM-yyyy", "d-MMM-yy",
 )
+_LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
+
+
+def shapes(fmt: str) -> list[str]:
+    """All shapes of a format's values: 9 for a digit, A for a letter, other characters as they are."""
+    kinds = {"yyyy": ["9999"], "yy": ["99"], "MM": ["99"], "dd": ["99"], "SSSSSSSSS": ["9" * n for n in range(1, 10)],
+             "MMM": ["AAA"], "MMMM": ["A" * n for n in range(4, 10)], "a": ["AA"], "'T'": ["A"]}
+    fields = re.findall(r"'T'|y+|M+|d+|H+|h+|m+|s+|S+|a|.", fmt)
+    parts = [kinds.get(f, ["9", "99"] if f in "MdHhms" else [f]) for f in fields]
+    return ["".join(p) for p in itertools.product(*parts)]
+
 
 # Two-digit years from here on are 19yy, smaller ones 20yy.
 TWO_DIGIT_PIVOT = 69
@@ -82,8 +81,14 @@ def coerce_long(c, on_fraction: str = "raise") -> Column:
 
 
 def coerce_timestamp(c, formats=TIMESTAMP_FORMATS) -> Column:
-    """Text -> timestamp (without zone) via an ordered format list; failures and out-of-range -> null."""
+    """Text -> timestamp (without zone) by the format of the value's shape; failures and out-of-range -> null.
+
+    The shape is made by one ``translate`` and looked up in each format's set of shapes, so no regular expression
+    is matched and one parser runs at most.
+    """
     s = _stripped(c)
+    shape = F.translate(s, "0123456789" + _LETTERS, "9" * 10 + "A" * len(_LETTERS))
+
     # wall-clock (zone-less) result, like a naive parsed timestamp: parse in the
     # session zone and convert back, so the session zone never shifts values
     def parsed(fmt: str) -> Column:
@@ -91,6 +96,8 @@ def coerce_timestamp(c, formats=TIMESTAMP_FORMATS) -> Column:
         if "yy" not in fmt or "yyyy" in fmt:
             return ts
         return F.when(F.year(ts) >= 2000 + TWO_DIGIT_PIVOT, ts - F.expr("INTERVAL '100' YEAR")).otherwise(ts)
-    ts = F.coalesce(*[F.when(s.rlike(shape), parsed(fmt)) for fmt, shape in formats])
+    ts = F.lit(None).cast("timestamp_ntz")
+    for fmt in reversed(formats):
+        ts = F.when(shape.isin(*shapes(fmt)), parsed(fmt)).otherwise(ts)
     in_range = ts.between(F.lit(TIMESTAMP_MIN).cast("timestamp_ntz"), F.lit(TIMESTAMP_MAX).cast("timestamp_ntz"))
     return F.when(in_range, ts)

@@ -1,5 +1,7 @@
 """Dedupe checks (U2, U3, D1-D4, A1) on ``events``, ``documents``, ``pages``, ``orders``."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from recordlake.functions import normalize_url
@@ -7,6 +9,8 @@ from recordlake.operators.dedupe import (
     anti_join_seen, batch_of, dedupe_by_priority, dedupe_first_batch, dedupe_keep_first, distinct_rows,
     normalize_key_strip_upper, normalize_key_upper,
 )
+from recordlake.operators.ledger import anti_join_ledger, append_keys
+from recordlake.session import staging_path
 from recordlake.workloads._tables import table
 
 
@@ -129,6 +133,26 @@ def q_anti_join_seen(spark, d):
     return anti_join_seen(c, seen, "c_custkey")
 
 
+def q_anti_join_ledger(spark, d):
+    """A1 through a bucketed key ledger that two loads have filled: customers of neither, and of the second load's
+    rows only those that the first had not entered."""
+    orders = table(spark, d, "orders")
+    keys = orders.select(F.col("o_custkey").alias("c_custkey"), F.year("o_orderdate").alias("y"))
+    name = f"ledger_{uuid.uuid4().hex[:10]}"
+    append_keys(keys.where("y < 1995"), name, "c_custkey", staging_path(spark, "ledger"), buckets=8)
+    append_keys(keys.where("y = 1995"), name, "c_custkey", buckets=8)
+    left = anti_join_ledger(table(spark, d, "customer"), name, "c_custkey").withColumn("entries", F.lit(0).cast("long"))
+    entered = spark.table(name).groupBy("c_custkey").agg(F.count("*").alias("entries"))
+    seen = table(spark, d, "customer").join(entered, "c_custkey")
+    return left.unionByName(seen.select(*left.columns))
+
+
+SQL_ANTI_LEDGER = """
+SELECT c.*, CAST(CASE WHEN EXISTS (SELECT 1 FROM orders o WHERE o.o_custkey = c.c_custkey AND year(o.o_orderdate) <= 1995)
+                      THEN 1 ELSE 0 END AS BIGINT) AS entries FROM customer c
+"""
+
+
 SQL_ANTI = """
 SELECT * FROM customer c WHERE NOT EXISTS (
   SELECT 1 FROM orders o WHERE o.o_custkey = c.c_custkey AND o.o_orderdate < TIMESTAMP '1996-01-01')
@@ -140,6 +164,7 @@ QUERIES = {
     "distinct_rows": q_distinct_rows,
     "dedupe_by_url_priority": q_dedupe_by_url_priority,
     "anti_join_seen": q_anti_join_seen,
+    "anti_join_ledger": q_anti_join_ledger,
 }
 ORACLE = {
     "dedupe_keep_first": SQL_KEEP_FIRST,
@@ -147,4 +172,5 @@ ORACLE = {
     "distinct_rows": SQL_DISTINCT,
     "dedupe_by_url_priority": SQL_URL_PRIORITY,
     "anti_join_seen": SQL_ANTI,
+    "anti_join_ledger": SQL_ANTI_LEDGER,
 }

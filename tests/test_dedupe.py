@@ -98,3 +98,23 @@ def test_global_positions_without_broadcast(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert got == [(0, "f9", 0, 0), (0, "f9", 1, 1), (1, "f1", 0, 2), (1, "f2", 10, 3), (1, "f2", 11, 4)]
+
+
+def test_key_ledger_is_never_shuffled(spark, tmp_root):
+    from recordlake.operators.ledger import anti_join_ledger, append_keys, drop_ledger
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (None, "d")], "k long, v string")
+        append_keys(rows, "ledger_test", "k", f"{tmp_root}/ledger", buckets=4)
+        new = spark.createDataFrame([(2, "x"), (3, "y"), (3, "z"), (None, "n")], "k long, v string")
+        out = anti_join_ledger(new, "ledger_test", "k")
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert sorted((r.k or 0, r.v) for r in out.collect()) == [(0, "n"), (3, "y"), (3, "z")]
+        side = plan[plan.index("LeftAnti"):]
+        assert side.count("Exchange hashpartitioning") == 1 and "Bucketed: true" in plan  # the new rows alone
+        append_keys(new, "ledger_test", "k", buckets=4)
+        append_keys(new, "ledger_test", "k", buckets=4)
+        assert sorted(r.k for r in spark.table("ledger_test").collect()) == [1, 2, 3]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        drop_ledger(spark, "ledger_test")
