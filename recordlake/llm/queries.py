@@ -27,7 +27,7 @@ def op1(spark, sf_dir):
 
 
 def op2(spark, sf_dir):
-    return near.near_classes(table(spark, sf_dir, "documents")).drop("fh", "row")
+    return near.near_classes(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "class_size", "kept")
 
 
 def op3(spark, sf_dir):
@@ -104,6 +104,23 @@ def _shingles(key: str, source: str) -> str:
             f"lambda i: array_to_string(w[i:i + 4], ' '))) s from (select {key}, {words} w from {source}) where len(w) >= 5")
 
 
+def _classes() -> str:
+    """Texts of equal words are one node; nodes whose shingle sets are similar are linked; classes are what links reach."""
+    words = r"regexp_extract_all(lower(coalesce(text, '')), '[0-9a-z\x{80}-\x{10FFFF}]+')"
+    return (f"with recursive d as (select doc_id, array_to_string(w, ' ') node, w from (select doc_id, {words} w from documents)), "
+            "n as (select distinct node, w from d where node <> ''), "
+            "s as (select distinct node, unnest(case when len(w) < 5 then [node] else "
+            "list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) end) s from n), "
+            "z as (select node, count(*) size from s group by 1), "
+            "p as (select a.node a, b.node b, count(*) c from s a join s b using (s) where a.node <> b.node group by 1, 2), "
+            "e as (select a, b from p join z x on x.node = a join z y on y.node = b where c >= 0.8 * (x.size + y.size - c)), "
+            "reach as (select node a, node b from n union select r.a, e.b from reach r join e on e.a = r.b), "
+            "m as (select a node, min(b) comp from reach group by 1), "
+            "c as (select doc_id, coalesce(comp, 'no words ' || doc_id) comp from d left join m using (node)) "
+            "select doc_id, min(doc_id) over g class_id, count(*) over g class_size, doc_id = min(doc_id) over g kept "
+            "from c window g as (partition by comp)")
+
+
 def _mix() -> str:
     """Targets by water filling, rows by the digest's order, each source's run of words repeated up to its quota."""
     taken = " + ".join(f"greatest(0, least(pos + {e} * source_size + size, quota) - (pos + {e} * source_size))" for e in range(3))
@@ -160,6 +177,7 @@ def _merkle() -> str:
 
 
 ORACLE = {
+    "op2_probminhash": _classes(),
     "op4_minhash_containment":
         "with i as (" + _shingles("item_id", "benchmark") + "), "
         "d as (" + _shingles("doc_id", "documents") + "), "
