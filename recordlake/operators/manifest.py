@@ -13,8 +13,6 @@ import datetime as _dt
 import uuid
 import warnings
 
-from py4j.protocol import Py4JJavaError
-from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,6 +20,7 @@ from pyspark.sql import types as T
 from recordlake.config import discovery as D
 from recordlake.functions.paths import local_path
 from recordlake.operators.ranking import ranked
+from recordlake.sources.heads import read_head
 
 # --------------------------------------------------------------- schemas
 
@@ -190,20 +189,18 @@ def load_manifest(spark: SparkSession, root: str, schema: T.StructType = MANIFES
                   before: int | None = None) -> tuple[DataFrame, int]:
     """M4: newest complete version (below ``before``, if given), else the previous one, else an empty table.
 
-    Returns (manifest, version number; 0 when there is no version). A version that
-    can't be read in full is skipped with a warning; if versions exist and none can be
-    read, this raises.
+    Returns (manifest, version number; 0 when there is no version). A version is checked by its files' footers
+    alone: each must be readable, and their rows add up to the count that was written with the version. One that
+    fails is skipped with a warning; if versions exist and none can be read, this raises. (Damage inside a file
+    whose footer is fine shows when the manifest is used, as an error.)
     """
     found = [(v, p) for v, p in _version_dirs(spark, root) if before is None or v < before]
     for version, path in found:
-        df = spark.read.schema(schema).parquet(path)
-        try:
-            df.write.format("noop").mode("overwrite").save()  # reads all parts, so that failures show here
-            return df, version
-        except (PySparkException, Py4JJavaError) as e:
-            if "FAILED_READ_FILE" not in str(e):  # anything but an unreadable file is an error of its own
-                raise
-            warnings.warn(f"manifest version {version} has an unreadable file", stacklevel=2)
+        rows, head = _read_text(spark, f"{path}/{ROWS}"), read_head(spark, path, ".parquet")
+        whole = (head.error is None and rows in (None, str(head.rows))) or rows == "0"
+        if whole:
+            return spark.read.schema(schema).parquet(path), version
+        warnings.warn(f"manifest version {version} has an unreadable file", stacklevel=2)
     if found:
         raise RuntimeError(f"none of {len(found)} manifest versions under {root} can be read")
     return spark.createDataFrame([], schema), 0
@@ -221,31 +218,51 @@ def save_manifest(df: DataFrame, root: str, version: int, replay: bool = False)
     unfinished run left there is replaced."""
     path = f"{root.rstrip('/')}/version={version}"
     df.write.mode("overwrite" if replay else "errorifexists").parquet(path)
+    head = read_head(df.sparkSession, path, ".parquet")
+    _write_text(df.sparkSession, f"{path}/{ROWS}", str(head.rows or 0))
     return path
 
 
+#: File of a version folder with the number of its rows.
+ROWS = "_rows"
+
+
+def _read_text(spark: SparkSession, path: str) -> str | None:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return None
+    stream = fs.open(p)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def _write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file that is there whole or not at all."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    draft = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}")
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    out = fs.create(draft, False)
+    try:
+        out.writeBytes(text)
+    finally:
+        out.close()
+    if not fs.rename(draft, p):
+        raise OSError(f"can't write {path}")
+
+
 def epoch_entry(spark: SparkSession, root: str, stream: str, epoch: int, run_time: str) -> tuple[int, str]:
     """(version, run time) of a stream's epoch: those in the ledger ``root/_epochs/<stream>/<epoch>``, where
     an earlier run of this epoch has left them, else the next version and ``run_time``, entered now."""
-    jvm = spark.sparkContext._jvm
-    entry = jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/_epochs/{stream}/{epoch}")
-    fs = entry.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if fs.exists(entry):
-        stream_in = fs.open(entry)
-        try:
-            version, when = bytes(stream_in.readAllBytes()).decode().split(" ", 1)
-        finally:
-            stream_in.close()
+    entry = f"{root.rstrip('/')}/_epochs/{stream}/{epoch}"
+    found = _read_text(spark, entry)
+    if found is not None:
+        version, when = found.split(" ", 1)
         return int(version), when
     version = next_version(spark, root)
-    draft = jvm.org.apache.hadoop.fs.Path(f"{entry.toString()}.{uuid.uuid4().hex}")
-    out = fs.create(draft, False)
-    try:
-        out.writeBytes(f"{version} {run_time}")
-    finally:
-        out.close()
-    if not fs.rename(draft, entry):  # an entry is there whole or not at all
-        raise OSError(f"can't write {entry.toString()}")
+    _write_text(spark, entry, f"{version} {run_time}")
     return version, run_time
 
 

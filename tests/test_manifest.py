@@ -75,6 +75,23 @@ def test_load_manifest_fallbacks(spark, tmp_root):
     assert next_version(spark, root) == 4  # after the incomplete folder too
 
 
+def test_a_version_that_lost_a_file_gives_way_to_the_one_before(spark, tmp_root):
+    import glob
+    import os
+
+    import pytest
+    root = f"{tmp_root}/manifest"
+    save_manifest(manifest(spark, [m_row("a")]), root, 1)
+    save_manifest(manifest(spark, [m_row(u) for u in "abcdef"]).repartition(3), root, 2)
+    os.unlink(sorted(glob.glob(f"{root}/version=2/part-*.parquet"))[-1])
+    with pytest.warns(UserWarning, match="version 2"):
+        df, v = load_manifest(spark, root)
+    assert v == 1 and df.count() == 1
+    save_manifest(manifest(spark, [m_row("a")]).limit(0), root, 3)
+    df, v = load_manifest(spark, root)
+    assert v == 3 and df.count() == 0
+
+
 def versioned(spark, rows):
     return spark.createDataFrame(rows, VERSIONED_SCHEMA)
 
