@@ -10,9 +10,9 @@ from recordlake.operators.dedupe import dedupe_keep_first
 from recordlake.operators.manifest import (
     MANIFEST_V1_SCHEMA, change_status, content_fingerprint, create_manifest_table, latest_active, load_manifest,
     manifest_upsert, plan_downloads, record_failures, record_versions, run_summary, save_manifest,
-    verify_fingerprints,
+    scan_fingerprints, verify_fingerprints,
 )
-from recordlake.session import staging_path
+from recordlake.session import staging_path, written
 from recordlake.workloads import _sql as S
 from recordlake.workloads._tables import table
 from recordlake.workloads.dedupe import sql_normalize_url
@@ -50,6 +50,45 @@ FROM pages WHERE page_id % 10 = 3 OR page_id % 6 = 0
 """
 
 
+def _stored_pages(spark, d):
+    """Every page kept as a file of its own."""
+    root = staging_path(spark, "stored")
+    p = table(spark, d, "pages")
+    p.select("page_id", F.col("html").alias("value")).write.partitionBy("page_id").text(root)
+    return scan_fingerprints(spark, f"{root}/page_id=*/part-*")
+
+
+def _page_of(path):
+    return F.regexp_extract(path, r"page_id=(\d+)", 1).cast("long")
+
+
+def q_stored_file_fingerprints(spark, d):
+    """M1 over stored files."""
+    return _stored_pages(spark, d).select(_page_of("path").alias("page_id"), "bytes", "sha256")
+
+
+SQL_STORED = """
+SELECT page_id, CAST(strlen(html) + 1 AS BIGINT) AS bytes, sha256(html || chr(10)) AS sha256 FROM pages
+"""
+
+
+def q_verify_stored_files(spark, d):
+    """M11 over stored files: entries with another digest, and entries whose file is gone."""
+    stored = written(_stored_pages(spark, d), "fingerprints")
+    page = _page_of("path")
+    manifest = stored.select(page.alias("page_id"),
+                             F.when(page % 10 == 3, F.concat("path", F.lit(".gone"))).otherwise(F.col("path")).alias("saved_path"),
+                             F.when(page % 6 == 0, F.lit("stale")).otherwise(F.col("sha256")).alias("sha256"))
+    return verify_fingerprints(manifest, stored).select("page_id", "sha256", "stored_sha256")
+
+
+SQL_VERIFY_STORED = """
+SELECT page_id, CASE WHEN page_id % 6 = 0 THEN 'stale' ELSE sha256(html || chr(10)) END AS sha256,
+       CASE WHEN page_id % 10 = 3 THEN NULL ELSE sha256(html || chr(10)) END AS stored_sha256
+FROM pages WHERE page_id % 10 = 3 OR page_id % 6 = 0
+"""
+
+
 # ---- M2 / M3 / M10
 
 def _observations_and_manifest(spark, d):
@@ -313,6 +352,8 @@ SELECT period, url, saved_path, 1 AS version, 'active' AS status, true AS has_cr
 QUERIES = {
     "content_fingerprint": q_content_fingerprint,
     "verify_fingerprints": q_verify_fingerprints,
+    "stored_file_fingerprints": q_stored_file_fingerprints,
+    "verify_stored_files": q_verify_stored_files,
     "change_status": q_change_status,
     "manifest_upsert": q_manifest_upsert,
     "run_summary": q_run_summary,
@@ -325,6 +366,8 @@ QUERIES = {
 ORACLE = {
     "content_fingerprint": SQL_FINGERPRINT,
     "verify_fingerprints": SQL_VERIFY,
+    "stored_file_fingerprints": SQL_STORED,
+    "verify_stored_files": SQL_VERIFY_STORED,
     "change_status": SQL_CHANGE_STATUS,
     "manifest_upsert": SQL_UPSERT,
     "run_summary": SQL_SUMMARY,
