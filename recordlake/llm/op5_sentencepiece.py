@@ -35,7 +35,8 @@ from recordlake.llm.pieces import SPACE, Matcher, Vocabulary
 from recordlake.llm.shingles import mix
 
 #: Units whose encodings a worker remembers (by 64-bit hashes); beyond, it starts anew.
-REMEMBERED = 2_000_000
+#: Units that a worker remembers (about 40 bytes each); characters that it encodes at once.
+REMEMBERED, CHUNK_CHARS = 1_000_000, 1_000_000
 _PAIRS = 1 << 21
 
 
@@ -279,7 +280,7 @@ def encode(spark: SparkSession, df: DataFrame, text: str = "text", path: str | N
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, decoder = _tools(vocabulary)
-        for batch, texts in chunks(batches, "t"):
+        for batch, texts in chunks(batches, "t", CHUNK_CHARS):
             tokens, at = encoder.encode(texts)
             null = np.array([t is None for t in texts])
             out = [pa.array(np.diff(at), pa.int64(), mask=null)]
