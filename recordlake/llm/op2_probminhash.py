@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recordlake.llm.common import anchored, chunks, col, keep_positions, positioned, stage
+from recordlake.llm.common import anchored, chunks, col, keep_positions, positioned, small, stage
 from recordlake.llm.shingles import mix, shingle_hashes
 
 SIMILARITY = 0.8
@@ -183,7 +183,10 @@ def shingle_sets(docs: DataFrame, wanted: DataFrame, text: str = "text") -> Data
 
 
 def compare(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """``pairs`` (a, b, ...) with ``sim``, the exact Jaccard similarity of their shingle sets."""
+    """``pairs`` (a, b, ...; staged) with ``sim``, the exact Jaccard similarity of their shingle sets. Only the sets
+    that the pairs name are shuffled."""
+    named = stage(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "compared")
+    sets = sets.join(small(named), "node", "left_semi")
     both = (pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa")), "a")
             .join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb")), "b"))
     shared = F.size(F.array_intersect("sa", "sb"))
@@ -233,7 +236,7 @@ def links(docs: DataFrame, sketched: DataFrame, similarity: float = SIMILARITY,
     buckets = stage(met.select("key", "node").join(central, "node"), "buckets")
     members = buckets.select("node").distinct()
     wanted = stage(nodes.select("node", "at.fh", "at.row", "bits").join(members, "node"), "wanted")
-    sets = stage(shingle_sets(docs, wanted.drop("bits"), text), "sets")
+    sets = stage(shingle_sets(docs, small(wanted.drop("bits")), text), "sets")
     bits = wanted.select("node", "bits")
 
     labels = stage(buckets.select("node", F.col("node").alias("comp")).distinct(), "labels")
