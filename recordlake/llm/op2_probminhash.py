@@ -231,7 +231,7 @@ def links(docs: DataFrame, sketched: DataFrame, similarity: float = SIMILARITY,
                                      F.bit_xor(F.xxhash64(F.lit(1), "node")).alias("y")).where("n > 1")
     # Buckets with the same members (equal in number and in two sums of 64 bits) are one: the others add no pair.
     shared = stage(shared.groupBy("n", "x", "y").agg(F.min("key").alias("key"), F.count("*").alias("times")), "shared")
-    met = stage(rows.join(shared.select("key", (F.col("n") * F.col("times")).alias("n")), "key"), "met")
+    met = stage(rows.join(small(shared.select("key", (F.col("n") * F.col("times")).alias("n"))), "key"), "met")
     central = met.groupBy("node").agg(F.sum("n").alias("meets"))
     buckets = stage(met.select("key", "node").join(central, "node"), "buckets")
     members = buckets.select("node").distinct()
