@@ -137,8 +137,11 @@ def extract_table_links(pages: DataFrame, id_col: str = "page_id", html_col: str
     """For each row, at any depth, of each table, with at least two ``<td>`` at any depth: the first cell's
     full text is the context; every link of the other cells is a row, once for each cell that holds it."""
     t = _with_table_links(parsed_pages(pages, id_col, html_col, url_col))
-    t = t.select("page_id", "page_url", F.explode("table_links").alias("l"))
-    return t.select("page_id", "page_url", *[F.col("l")[c].alias(c) for c in ("table_pos", "row_pos", "link_pos", "context", "href")])
+    names = ("table_pos", "row_pos", "link_pos", "context", "href")
+    # an expression, not the column itself: for a column the optimizer adds a filter on its size, pushes that down to the
+    # scan and so works the page out several times more
+    rows = F.transform("table_links", lambda c: F.struct(*[c[n].alias(n) for n in names]))
+    return t.select("page_id", "page_url", F.explode(rows).alias("l")).select("page_id", "page_url", "l.*")
 
 
 def page_candidates(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", url_col: str = "url") -> DataFrame:

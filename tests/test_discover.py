@@ -203,3 +203,12 @@ def test_discovery_has_one_shuffle_and_no_python(spark):
     pages = spark.createDataFrame([(1, BASE, HTML)], "page_id long, url string, html string")
     plan = discover_candidates(pages)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 1 and "Window" not in plan and "Python" not in plan and "InPandas" not in plan
+
+
+def test_table_links_parse_each_page_once(spark, tmp_path):
+    page = '<table><tr><td>LCA</td><td><a href="/a.xlsx">a</a></td></tr></table>'
+    spark.createDataFrame([(1, "https://h.com/", page)], "page_id long, url string, html string").write.parquet(f"{tmp_path}/p")
+    links = extract_table_links(spark.read.parquet(f"{tmp_path}/p"))
+    plan = links._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract_all(") == 1 and "Filter (" not in plan
+    assert [tuple(r) for r in links.collect()] == [(1, "https://h.com/", 0, 0, 0, "LCA", "/a.xlsx")]
