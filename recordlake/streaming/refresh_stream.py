@@ -32,7 +32,8 @@ def fold_epoch(spark: SparkSession, batch: DataFrame, manifest_root: str, stream
     version, run_time = epoch_entry(spark, manifest_root, stream, epoch, utc_now_iso())
     manifest, _ = load_manifest(spark, manifest_root, MANIFEST_V1_SCHEMA, before=version)
     obs = last_observations(batch).drop("observed_at")
-    new = manifest_upsert(manifest, change_status(obs, manifest), run_time, data_root=data_root)
+    # joined by merging: a broadcast would pass the manifest through the driver once an epoch
+    new = manifest_upsert(manifest, change_status(obs, manifest.hint("merge")), run_time, data_root=data_root)
     # cut lineage from the version being read before writing the next one
     save_manifest(new.checkpoint(eager=True), manifest_root, version, replay=True)
     return version

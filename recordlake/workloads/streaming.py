@@ -1,13 +1,16 @@
 """Streaming check: observations arriving as files are folded into manifest
-versions by an ``availableNow`` stream (one micro-batch per file)."""
+versions by an ``availableNow`` stream (one micro-batch per file; from ``EPOCHS`` files on, that many
+micro-batches, as each writes the whole manifest)."""
 
 from pyspark.sql import functions as F
 
 from recordlake.operators.manifest import MANIFEST_V1_SCHEMA, load_manifest
 from recordlake.session import staging_path
-from recordlake.streaming.refresh_stream import start_manifest_stream
+from recordlake.streaming.refresh_stream import STREAM_SCHEMA, start_manifest_stream
 from recordlake.workloads.manifest import _observations_and_manifest, _sql_base
 
+EPOCHS = 8
+
 
 def q_manifest_stream_fold(spark, d):
     obs, _ = _observations_and_manifest(spark, d)
@@ -16,7 +19,8 @@ def q_manifest_stream_fold(spark, d):
     # first arrival: half of the files; second arrival: all files again
     obs.where(F.length("url") % 2 == 0).write.mode("append").json(src)
     obs.write.mode("append").json(src)
-    q = start_manifest_stream(spark, src, f"{base}/manifest", f"{base}/checkpoint", max_files_per_trigger=1)
+    files = len(spark.read.schema(STREAM_SCHEMA).json(src).inputFiles())
+    q = start_manifest_stream(spark, src, f"{base}/manifest", f"{base}/checkpoint", max_files_per_trigger=max(1, -(-files // EPOCHS)))
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))

@@ -60,3 +60,28 @@ def test_an_epoch_that_runs_again_writes_its_own_version(spark, tmp_root):
     os.unlink(f"{root}/version=3/_SUCCESS")
     assert fold_epoch(spark, batch(("u3", "e", "h")), root, "other", 1) == 3
     assert load_manifest(spark, root)[0].count() == 3
+
+
+def test_folding_passes_no_manifest_through_the_driver(spark, tmp_path, monkeypatch):
+    """At most EPOCHS versions however many files arrive, and no broadcast in any of them."""
+    import recordlake.streaming.refresh_stream as stream
+    import recordlake.workloads.streaming as check
+    plans = []
+
+    def seen(*args, **kw):
+        out = upsert(*args, **kw)
+        plans.append(out._jdf.queryExecution().executedPlan().toString())
+        return out
+    upsert = stream.manifest_upsert
+    monkeypatch.setattr(stream, "manifest_upsert", seen)
+    monkeypatch.setattr(check, "EPOCHS", 3)
+    rows = [(k, f"https://h.com/{'x' * (k % 3)}{k}", f"page {k}") for k in range(40)]
+    spark.createDataFrame(rows, "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    coalesce = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(coalesce, "false")
+    try:
+        got = check.q_manifest_stream_fold(spark, str(tmp_path)).collect()
+    finally:
+        spark.conf.unset(coalesce)
+    assert {r["url"] for r in got} == {u for k, u, _ in rows if k % 11} and len(got) == len({r["url"] for r in got})
+    assert 2 <= len(plans) <= 3 and not any("Broadcast" in p for p in plans)
