@@ -75,10 +75,14 @@ def content_fingerprint(files: DataFrame, content_col: str = "content") -> DataF
                 .withColumn("bytes", F.length(F.col(content_col)).cast("long"))
 
 
-def scan_fingerprints(spark: SparkSession, path_glob: str) -> DataFrame:
-    """M1 over stored files: path, bytes, sha256 (``binaryFile`` source)."""
-    files = spark.read.format("binaryFile").load(path_glob)
-    return content_fingerprint(files).select("path", "bytes", "sha256")
+def scan_fingerprints(spark: SparkSession, path_glob: str, name: str | None = None) -> DataFrame:
+    """M1 over stored files: path, bytes, sha256 (``binaryFile`` source). With ``name``, a pattern of file
+    names, those below the folder ``path_glob``: many folders are listed by Spark's tasks then, whereas a
+    glob is followed by the driver folder by folder."""
+    reader = spark.read.format("binaryFile")
+    if name is not None:
+        reader = reader.option("recursiveFileLookup", "true").option("pathGlobFilter", name)
+    return content_fingerprint(reader.load(path_glob)).select("path", "bytes", "sha256")
 
 
 def verify_fingerprints(manifest: DataFrame, stored: DataFrame, path_col: str = "saved_path") -> DataFrame:

@@ -51,11 +51,13 @@ FROM pages WHERE page_id % 10 = 3 OR page_id % 6 = 0
 
 
 def _stored_pages(spark, d):
-    """Every page kept as a file of its own."""
+    """Every page kept as a file of its own. A file takes its time whatever its size, so the tasks that make
+    them are as many as keep all cores busy, however few splits the pages have."""
     root = staging_path(spark, "stored")
-    p = table(spark, d, "pages")
-    p.select("page_id", F.col("html").alias("value")).write.partitionBy("page_id").text(root)
-    return scan_fingerprints(spark, f"{root}/page_id=*/part-*")
+    tasks = max(4 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    p = table(spark, d, "pages").select("page_id", F.col("html").alias("value")).repartition(tasks, "page_id")
+    p.write.partitionBy("page_id").text(root)
+    return scan_fingerprints(spark, root, name="part-*")
 
 
 def _page_of(path):

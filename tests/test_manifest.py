@@ -218,3 +218,17 @@ def test_versions_of_a_hot_url_are_counted_in_slices(spark):
     assert len(sizes) == 1 or sizes[-1] <= 2 * sizes[len(sizes) // 2]  # no task holds the hot url
     got = ranked(spark.createDataFrame([(None, 2), (None, 1), ("a", 1), (None, None)], "k string, o int"), ["k"], ["o"]).collect()
     assert sorted((r.k or "", r.o or 0, r._rank, r._size) for r in got) == [("", 0, 1, 3), ("", 1, 2, 3), ("", 2, 3, 3), ("a", 1, 1, 1)]
+
+
+def test_stored_files_are_made_and_listed_by_many_tasks(spark, tmp_path):
+    """The pages of one input file are not stored by one task, nor are their folders followed by the driver."""
+    from pyspark.sql import functions as F
+    from recordlake.workloads.manifest import _page_of, _stored_pages, q_verify_stored_files
+    rows = [(k, "u", f"<p>{k}</p>") for k in range(60)]
+    spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1).write.parquet(f"{tmp_path}/pages.parquet")
+    stored = _stored_pages(spark, str(tmp_path)).select("path", "bytes", _page_of("path").alias("page_id"))
+    tasks = F.regexp_extract("path", r"/part-(\d+)", 1)
+    assert stored.select(tasks).distinct().count() > 1
+    assert {r["page_id"]: r["bytes"] for r in stored.collect()} == {k: len(h) + 1 for k, _, h in rows}
+    bad = q_verify_stored_files(spark, str(tmp_path)).collect()
+    assert {r["page_id"] for r in bad} == {k for k in range(60) if k % 10 == 3 or k % 6 == 0} and len(bad) == 16
