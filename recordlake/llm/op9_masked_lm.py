@@ -90,14 +90,18 @@ class Network:
         return parts, np.tanh(np.einsum("nps,ps->ns", parts, self.scale))
 
     def log_class(self, context: np.ndarray, target: np.ndarray) -> np.ndarray:
-        z = self.hidden(context)[1] @ self.out + self.bias
+        z = self.hidden(context)[1] @ self.out
+        z += self.bias
         z -= z.max(axis=1, keepdims=True)
-        return z[np.arange(len(z)), target] - np.log(np.exp(z).sum(axis=1))
+        own = z[np.arange(len(z)), target]
+        return own - np.log(np.exp(z, out=z).sum(axis=1))
 
     def gradient(self, context: np.ndarray, target: np.ndarray) -> "Network":
         parts, h = self.hidden(context)
-        z = h @ self.out + self.bias
-        p = np.exp(z - z.max(axis=1, keepdims=True))
+        p = h @ self.out
+        p += self.bias
+        p -= p.max(axis=1, keepdims=True)
+        np.exp(p, out=p)
         p /= p.sum(axis=1, keepdims=True)
         p[np.arange(len(p)), target] -= 1
         p /= len(p)
@@ -106,9 +110,10 @@ class Network:
         dh = (p @ self.out.T) * (1 - h * h)
         g.scale[:] = np.einsum("nps,ns->ps", parts, dh)
         each = (dh[:, None, :] * self.scale).reshape(-1, SIZE)
-        order = np.argsort(context.ravel(), kind="stable")
-        where = context.ravel()[order]
-        first = np.flatnonzero(np.diff(where, prepend=-1))
+        where = context.ravel().astype(np.uint16)  # INPUTS fits; 16 bits are sorted by radix
+        order = np.argsort(where, kind="stable")
+        where = where[order]
+        first = np.flatnonzero(np.append(True, where[1:] != where[:-1]))
         g.embed[where[first]] = np.add.reduceat(each[order], first, axis=0)
         g.embed[INPUTS] = 0
         return g
@@ -118,12 +123,11 @@ def contexts(words: np.ndarray, offsets: np.ndarray, at: np.ndarray) -> np.ndarr
     """Input values of the neighbours of the words at ``at``; ``INPUTS`` beyond a text's ends."""
     text = np.searchsorted(offsets, at, side="right") - 1
     lo, hi = offsets[text], offsets[text + 1]
-    value = words >> 4
     out = np.empty((len(at), len(PLACES)), np.int64)
     for k, d in enumerate(PLACES):
         p = at + d
         inside = (p >= lo) & (p < hi)
-        out[:, k] = np.where(inside, value[np.where(inside, p, 0)], INPUTS)
+        out[:, k] = np.where(inside, words[np.where(inside, p, 0)] >> 4, INPUTS)
     return out
 
 

@@ -284,3 +284,17 @@ def test_edit_join_misses_no_pair(d):
     for k, (i, j) in enumerate((i, j) for i in range(80) for j in range(80)):
         if true[k] and i < j:
             assert (i, j) in met and bin(int(p[i] ^ p[j])).count("1") <= 4 * d
+
+
+def test_neighbours_cost_what_their_words_cost(spark):
+    """A batch's neighbours are looked up without a pass over all words of the chunk."""
+    import tracemalloc
+    words, at = np.arange(1_000_000, dtype=np.int64) % lm.BUCKETS, np.array([0, 5, 1_000_000])
+    tracemalloc.start()
+    got = lm.contexts(words, at, np.array([0, 4, 5, 500_000]))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    none = lm.INPUTS
+    assert got.tolist() == [[none, none, 0, 0], [0, 0, none, none], [none, none, 0, 0],
+                            [int(words[500_000 + d]) >> 4 for d in lm.PLACES]]
+    assert peak < 1_000_000
