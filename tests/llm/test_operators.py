@@ -286,6 +286,32 @@ def test_edit_join_misses_no_pair(d):
             assert (i, j) in met and bin(int(p[i] ^ p[j])).count("1") <= 4 * d
 
 
+@pytest.mark.parametrize("together", [lines.TOGETHER, 2])
+def test_near_lines_of_a_large_group_are_all_found(spark, together):
+    """Also those whose keys have more rows than a task compares; blank and short lines are left out."""
+    r = random.Random(7)
+    base = [f"The same long line, number {i:03d} of a group." for i in range(0, 120, 7)]
+    base += [x.replace("long", "lo\u00e9g") for x in base[:4]] + [x + "!" for x in base[:3]] + ["zz" * 15, " \t" * 12, "The same"]
+    docs = spark.createDataFrame([(i, "\n".join(r.sample(base, 9) + [x])) for i, x in enumerate(base)], "doc_id long, text string")
+    real = {hashlib.md5(x.encode()).digest(): x for x in base if len(x) >= lines.SHORTEST and x.strip()}
+    got = [tuple(sorted((real[bytes(p.a)], real[bytes(p.b)]))) for p in lines.near_pairs(docs, together=together).collect()]
+    want = {(x, y) for x in real.values() for y in real.values() if x < y and _distance(x, y) <= lines.DISTANCE}
+    assert len(got) == len(want) > 50 and set(got) == want
+
+
+def test_pairs_of_a_key_are_made_once():
+    """Equal rows of several blocks, and lines that meet under several keys, make no pair again."""
+    n = 50
+    line = np.tile(np.arange(n, dtype=np.int64), 6)
+    key = np.repeat(np.arange(3, dtype=np.uint64), 2 * n)
+    x, y, rest = lines.alike(key, line, np.zeros(len(line), np.uint64), np.ones(len(line), bool), 8, 2 * n)
+    assert len(x) == n * (n - 1) // 2 and (x < y).all() and not len(rest)
+    x, y, rest = lines.alike(key, line, np.zeros(len(line), np.uint64), line < 1, 8, 2 * n)
+    assert sorted(y.tolist()) == list(range(1, n)) and not x.any()
+    x, y, rest = lines.alike(key, line, np.zeros(len(line), np.uint64), line < 1, 8, n - 1)
+    assert not len(x) and len(rest) == 3 * n
+
+
 def test_neighbours_cost_what_their_words_cost(spark):
     """A batch's neighbours are looked up without a pass over all words of the chunk."""
     import tracemalloc
