@@ -7,6 +7,7 @@ import zipfile
 from collections.abc import Iterable, Iterator
 from pathlib import Path
 
+import pyarrow.compute as pc
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -93,18 +94,17 @@ def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
 
 def chunks(batches: Iterable, column: str = "text", most: int = CHUNK_CHARS) -> Iterator[tuple]:
     """(record batch, texts) with at most about ``most`` characters of text each;
-    null texts stay None."""
+    null texts stay None. No other texts of a batch are Python strings meanwhile."""
     for batch in batches:
-        texts = batch.column(batch.schema.get_field_index(column)).to_pylist()
+        texts = batch.column(batch.schema.get_field_index(column))
         start, size = 0, 0
-        for i, t in enumerate(texts):
-            n = len(t) if t else 0
+        for i, n in enumerate(pc.fill_null(pc.utf8_length(texts), 0).to_pylist()):
             if size and size + n > most:
-                yield batch.slice(start, i - start), texts[start:i]
+                yield batch.slice(start, i - start), texts.slice(start, i - start).to_pylist()
                 start, size = i, 0
             size += n
         if start < len(texts):
-            yield batch.slice(start), texts[start:]
+            yield batch.slice(start), texts.slice(start).to_pylist()
 
 
 def keep_positions(docs: DataFrame, positions: DataFrame, how: str) -> DataFrame:

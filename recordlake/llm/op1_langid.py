@@ -37,7 +37,7 @@ ROUNDS = 3
 SMOOTHING = 0.05
 UNKNOWN = np.log(1e-7)
 #: Bytes of words and scores that a task remembers; characters that it scores at once.
-REMEMBERED, CHUNK_CHARS = 32 << 20, 1_000_000
+REMEMBERED, CHUNK_CHARS = 32 << 20, 250_000
 UNDETERMINED = "und"
 
 _LETTER: list[np.ndarray] = []
@@ -149,7 +149,7 @@ def train(spark: SparkSession, docs: DataFrame, doc_id: str = "doc_id", text: st
     sample = rows.where(draw < share[F.col("lang")]).select("lang", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, texts in chunks(batches):
+        for batch, texts in chunks(batches, most=CHUNK_CHARS):
             names = batch.column(batch.schema.get_field_index("lang")).to_pylist()
             found: dict[tuple[str, str], int] = {}
             data, starts, length, at = words(texts)

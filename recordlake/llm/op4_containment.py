@@ -40,6 +40,8 @@ BINS = 4
 EXACT = 12  # items of up to so many shingles are found without sketches
 BITS = 2 ** 25
 _BUCKET = 32_768  # bits of one bitmap row
+#: Characters of text that a task sketches at once.
+CHUNK_CHARS = 500_000
 
 
 def sketch(hashes: np.ndarray, group: np.ndarray, groups: int, bins: int) -> tuple[np.ndarray, np.ndarray]:
@@ -76,7 +78,7 @@ def item_index(items: DataFrame, item_id: str = "item_id", text: str = "text") -
     kind = src.schema["item_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, texts in chunks(batches):
+        for batch, texts in chunks(batches, most=CHUNK_CHARS):
             words = np.diff(word_hashes(texts)[1])
             hashes, offsets = shingle_hashes([t if n >= WORDS else None for t, n in zip(texts, words)])
             text_of = np.repeat(np.arange(len(texts)), np.diff(offsets))
@@ -131,7 +133,7 @@ def leaks(spark: SparkSession, docs: DataFrame, items: DataFrame, doc_id: str =
         return of.value[p >> 3] >> (p & 7).astype(np.uint8) & 1 == 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, texts in chunks(batches):
+        for batch, texts in chunks(batches, most=CHUNK_CHARS):
             hashes, offsets = shingle_hashes(texts)
             counts = np.diff(offsets)
             seg, size = segments(counts)

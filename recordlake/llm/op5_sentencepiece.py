@@ -36,7 +36,7 @@ from recordlake.llm.shingles import mix
 
 #: Units whose encodings a worker remembers (by 64-bit hashes); beyond, it starts anew.
 #: Units that a worker remembers (about 40 bytes each); characters that it encodes at once.
-REMEMBERED, CHUNK_CHARS = 1_000_000, 1_000_000
+REMEMBERED, CHUNK_CHARS = 1_000_000, 500_000
 _PAIRS = 1 << 21
 
 

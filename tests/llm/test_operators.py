@@ -312,6 +312,25 @@ def test_pairs_of_a_key_are_made_once():
     assert not len(x) and len(rest) == 3 * n
 
 
+def test_texts_of_a_batch_are_converted_in_parts():
+    """A task holds the texts of a chunk as Python strings, not those of its batch."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from recordlake.llm.common import chunks
+    texts = [f"{i:06d}" * 2_000 if i % 5 else None for i in range(400)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(400)), pa.array(texts)], ["id", "text"])
+    tracemalloc.start()
+    got = [(b.column(0).to_pylist(), max(map(len, filter(None, t)), default=0), sum(len(x or "") for x in t))
+           for b, t in chunks([batch], most=50_000)]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert [i for ids, _, _ in got for i in ids] == list(range(400)) and all(n <= 50_000 for _, _, n in got)
+    assert peak < 1_000_000
+    assert [t for _, part in chunks([batch], most=50_000) for t in part] == texts
+
+
 def test_neighbours_cost_what_their_words_cost(spark):
     """A batch's neighbours are looked up without a pass over all words of the chunk."""
     import tracemalloc
