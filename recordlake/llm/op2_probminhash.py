@@ -15,7 +15,9 @@ then classes are merged, and what is left gets new centres. The first centres ar
 that meet most others, the same in all buckets of a group, so most classes are whole after few
 comparisons. Then every open member's shingles that no other open member has are counted: they
 bound its similarity to any other, and members or pairs whose bound is too low are done without
-a comparison. Only members outside a bucket's
+a comparison. In buckets of more than ``CROWD`` open members only shingles that many texts have count
+for that bound; pairs that share a rarer one are found by the rare shingles themselves, so outliers of
+a crowd aren't compared with all of it. Only members outside a bucket's
 largest class ever become centres, each once, and a bucket is done when none is left, so
 every two members have then been compared, bounded or are in one class. A group of near copies soon is
 one class, so buckets aren't expanded into all their pairs, and no bucket has a cap. Every
@@ -34,7 +36,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from recordlake.llm.common import anchored, chunks, col, keep_positions, positioned, small, stage
@@ -50,6 +52,8 @@ MOST_UNLIKE = 72
 FIRST_ROUNDS, LIKELY = 2, 44
 #: Centres a bucket and round: this many times more each round, so rounds grow with the logarithm of a bucket.
 SLOT_GROWTH = 16
+#: Open members beyond which a bucket is a crowd. A shingle is rare in a crowd of k texts if at most sqrt(k) have it.
+CROWD = 64
 #: Characters of text that a task sketches at once.
 CHUNK_CHARS = 1_000_000
 
@@ -250,8 +254,9 @@ def links(docs: DataFrame, sketched: DataFrame, similarity: float = SIMILARITY,
                .agg(F.max(F.struct("n", "comp")).alias("top"), F.count("*").alias("classes")))
         top = stage(top.where("classes > 1").select("key", F.col("top.comp").alias("top")), "top")
         active = stage(named.join(top, "key"), "active")
+        rare = None
         if round_ == FIRST_ROUNDS + 1:
-            active = stage(bounded(active, sets, similarity), "active")
+            active, rare = bounded(active, sets, similarity)
         waiting = active.where("comp != top and not done")
         by_chance = F.xxhash64("node", F.lit(round_))
         order = F.struct(by_chance) if round_ == FIRST_ROUNDS else F.struct("meets", by_chance)
@@ -259,7 +264,7 @@ def links(docs: DataFrame, sketched: DataFrame, similarity: float = SIMILARITY,
             F.max_by(F.struct("node", "comp", "size", "rest"), order).alias("c"))
         centres = stage(centres.select("key", F.col("c.node").alias("c"), F.col("c.comp").alias("cc"),
                                        F.col("c.size").alias("csize"), F.col("c.rest").alias("crest")), "centres")
-        if not centres.take(1):
+        if not centres.take(1) and (rare is None or not rare.take(1)):
             break
         most = LIKELY if first_rounds else MOST_UNLIKE
         # A former centre has met all members; of two centres of a round, one is a member to the other.
@@ -268,7 +273,8 @@ def links(docs: DataFrame, sketched: DataFrame, similarity: float = SIMILARITY,
         new_pair = F.lit(True) if first_rounds else ~F.col("done") & (~F.col("met") | (F.col("node") < F.col("c")))
         pairs = (turn.join(centres, "key").where(new_pair & (F.col("comp") != F.col("cc"))
                                                  & (F.lit(first_rounds) | can_link("size", "rest", "csize", "crest", similarity)))
-                 .select(F.least("node", "c").alias("a"), F.greatest("node", "c").alias("b")).distinct())
+                 .select(F.least("node", "c").alias("a"), F.greatest("node", "c").alias("b")))
+        pairs = (pairs if rare is None else pairs.unionByName(rare)).distinct()
         pairs = stage(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"), "met")
         # compact signatures stay out of the buckets: only pairs fetch them, once however many buckets they share
         pairs = pairs.join(bits.select(F.col("node").alias("a"), F.col("bits").alias("ab")), "a").join(
@@ -293,9 +299,10 @@ def can_link(size: str, rest: str, other_size: str, other_rest: str, similarity:
     return most >= similarity * (F.col(size) + F.col(other_size) - most) - 1e-6
 
 
-def bounded(active: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+def bounded(active: DataFrame, sets: DataFrame, similarity: float) -> tuple[DataFrame, DataFrame]:
     """``active`` with ``size`` (of a text's shingle set) and ``rest`` (those that another active text
-    has too). Texts whose ``rest`` is too small to be linked to any other are left out."""
+    has too; in crowds those that aren't rare there). Texts whose ``rest`` is too small to be linked to any other
+    are left out. And a, b: the pairs of different classes in crowds that may be linked by what they share of rare shingles."""
     mine = sets.join(active.select("node").distinct(), "node").select("node", F.xxhash64("node").alias("id"), "shingles")
     mine = stage(mine, "open")
     once = (mine.select("id", F.explode("shingles").alias("s")).groupBy("s")
@@ -303,7 +310,41 @@ def bounded(active: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     sizes = mine.select("node", "id", F.size("shingles").alias("size")).join(once, "id", "left").select(
         "node", "size", (F.col("size") - F.coalesce("own", F.lit(0))).cast("int").alias("rest"))
     sizes = stage(sizes.where(F.col("rest") >= similarity * F.col("size") - 1e-6), "sizes")
-    return active.drop("size", "rest").join(sizes, "node")
+    active = stage(active.drop("size", "rest").join(sizes, "node"), "active")
+    crowds = stage(active.groupBy("key").agg(F.count("*").alias("crowd")).where(F.col("crowd") > CROWD), "crowds")
+    if not crowds.take(1):
+        return active, None
+    inside = active.join(small(crowds), "key").groupBy("node").agg(F.max("crowd").alias("crowd"), F.first("comp").alias("comp"))
+    common, rare = crowded(stage(mine.drop("id").join(inside, "node"), "inside"), similarity)
+    active = active.join(small(crowds), "key", "left").join(common, "node", "left").withColumn(
+        "rest", F.when(F.col("crowd").isNull(), F.col("rest")).otherwise(F.coalesce("common", F.lit(0))).cast("int"))
+    active = active.where(F.col("rest") >= similarity * F.col("size") - 1e-6).drop("crowd", "common")
+    return stage(active, "active"), rare
+
+
+def crowded(texts: DataFrame, similarity: float) -> tuple[DataFrame, DataFrame]:
+    """For ``texts`` (node, shingles, crowd, comp; staged): node, common (its shingles that aren't rare); and a, b: pairs of
+    different classes that share a rare shingle, among them all similar enough that share one.
+
+    Shingles are ordered by (rare first, texts that have them, hash). What similar texts share first in this order is among
+    the first shingles of both, as many as either can have that the other hasn't, and one more. If it isn't rare,
+    they share no rare one. At most sqrt(crowd) texts have a rare shingle, so these pairs grow slower than a crowd's square.
+    """
+    each = texts.select("node", "crowd", F.explode("shingles").alias("s"))
+    shared = each.groupBy("s").agg(F.count("*").alias("n"), F.max("crowd").alias("crowd")).where("n > 1")
+    shared = stage(shared.select("s", "n", (F.col("n") * F.col("n") <= F.col("crowd")).alias("rare")), "shared")
+    each = stage(each.drop("crowd").join(shared, "s"), "each")
+    counts = each.groupBy("node").agg(F.count("*").alias("rest"), F.count_if(~F.col("rare")).alias("common"))
+    size = F.size("shingles")
+    apart = texts.join(counts, "node").select(
+        "node", "comp", (F.col("rest") + 1 - F.ceil(similarity * size - 1e-6)).alias("first"))
+    place = F.row_number().over(Window.partitionBy("node").orderBy("n", "s"))
+    first = each.where("rare").withColumn("place", place).join(apart, "node").where("place <= first")
+    first = stage(first.select("s", "node", "comp"), "first")
+    pairs = first.select("s", F.col("node").alias("a"), F.col("comp").alias("ca")).join(
+        first.select("s", F.col("node").alias("b"), F.col("comp").alias("cb")), "s")
+    pairs = pairs.where("a < b and ca != cb").select("a", "b").distinct()
+    return counts.select("node", "common"), stage(pairs, "rare")
 
 
 def merged(labels: DataFrame, edges: DataFrame) -> DataFrame:
