@@ -38,7 +38,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, and whether decoding them gives its text back."""
-    return encode(spark, docs, ids=True, check=True).drop("text", "n_chars")
+    return encode(spark, docs, ids=True, check=True, without=("text", "n_chars"))
 
 
 STAGES = [("language_id", language), ("exact_dedup", exact_copies), ("near_dedup", near_copies),

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import zipfile
 from collections.abc import Iterable, Iterator
 from pathlib import Path
 
+import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -92,9 +94,23 @@ def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
+#: Tools that a Python worker keeps for its next tasks: those of one operator, as stages share the process.
+WORKER: dict = {}
+
+
+def give_back() -> None:
+    """Return a Python worker's unused memory to the system, for the stages that share its executor."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of glibc only
+    if trim:
+        trim(0)
+
+
 def chunks(batches: Iterable, column: str = "text", most: int = CHUNK_CHARS) -> Iterator[tuple]:
     """(record batch, texts) with at most about ``most`` characters of text each;
-    null texts stay None. No other texts of a batch are Python strings meanwhile."""
+    null texts stay None. No other texts of a batch are Python strings meanwhile. Memory that
+    an earlier task or this one left unused is given back."""
+    give_back()
     for batch in batches:
         texts = batch.column(batch.schema.get_field_index(column))
         start, size = 0, 0
@@ -105,6 +121,8 @@ def chunks(batches: Iterable, column: str = "text", most: int = CHUNK_CHARS) ->
             size += n
         if start < len(texts):
             yield batch.slice(start), texts.slice(start).to_pylist()
+        del batch, texts  # not held while the next is read
+    give_back()
 
 
 def keep_positions(docs: DataFrame, positions: DataFrame, how: str) -> DataFrame:

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recordlake.llm import pieces
-from recordlake.llm.common import anchored, chunks, col, keep_positions, positioned, stage
+from recordlake.llm.common import WORKER, anchored, chunks, col, keep_positions, positioned, stage
 from recordlake.llm.op5_sentencepiece import hashed
 from recordlake.llm.pieces import SPACE, Matcher, Vocabulary
 
@@ -207,9 +207,6 @@ class Scorer:
         return out, np.diff(at)
 
 
-_WORKER: dict = {}
-
-
 def identify(spark: SparkSession, docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, fh, row, lang_pred, score, n_words: one row per row of ``docs``."""
     src = positioned(docs, doc_id=col(doc_id), text=col(text))
@@ -218,10 +215,10 @@ def identify(spark: SparkSession, docs: DataFrame, model: Model, doc_id: str = "
     key = uuid.uuid4().hex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if key not in _WORKER:
-            _WORKER.clear()
-            _WORKER[key] = Scorer(shared.value) if shared.value.languages else None
-        scorer = _WORKER[key]
+        if key not in WORKER:
+            WORKER.clear()
+            WORKER[key] = Scorer(shared.value) if shared.value.languages else None
+        scorer = WORKER[key]
         names = np.array([*shared.value.languages, UNDETERMINED], object)
         try:
             yield from predictions(batches, scorer, names)

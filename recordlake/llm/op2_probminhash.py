@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from recordlake.llm.common import anchored, chunks, col, keep_positions, positioned, small, stage
+from recordlake.llm.common import WORKER, anchored, chunks, col, keep_positions, positioned, small, stage
 from recordlake.llm.shingles import mix, shingle_hashes
 
 SIMILARITY = 0.8
@@ -145,6 +145,7 @@ def sketch(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", bands: i
     kind = src.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        WORKER.clear()
         for batch, texts in chunks(batches, most=CHUNK_CHARS):
             hashes, offsets = shingle_hashes(texts)
             nodes = _content(hashes, offsets)
@@ -163,6 +164,7 @@ def sketch(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", bands: i
                 + [pa.array(nodes, pa.binary())]
                 + [pa.array([None if k is None else x[k] for k in mine], pa.list_(pa.int64())) for x in (keys, bits)],
                 ["doc_id", "fh", "row", "node", "bands", "bits"])
+            del batch, texts  # not held while the next are read
     return src.mapInArrow(run, f"doc_id {kind}, fh long, row long, node binary, bands array<long>, bits array<long>")
 
 
@@ -183,6 +185,7 @@ def shingle_sets(docs: DataFrame, wanted: DataFrame, text: str = "text") -> Data
             yield pa.RecordBatch.from_arrays(
                 [batch.column(batch.schema.get_field_index("node")),
                  pa.ListArray.from_arrays(pa.array(at), pa.array(e.view(np.int64)))], ["node", "shingles"])
+            del batch, texts
     return src.mapInArrow(run, "node binary, shingles array<long>")
 
 

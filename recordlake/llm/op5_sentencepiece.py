@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recordlake.llm import pieces
-from recordlake.llm.common import chunks, col, ship, whole
+from recordlake.llm.common import WORKER, chunks, col, ship, whole
 from recordlake.llm.pieces import SPACE, Matcher, Vocabulary
 from recordlake.llm.shingles import mix
 
@@ -255,26 +255,25 @@ class Decoder:
         return out[1:] if out[:1] == " " else out
 
 
-_WORKER: dict = {}
-
-
 def _tools(vocabulary) -> tuple[Encoder, Decoder]:
     """This worker's encoder and decoder for the broadcast vocabulary."""
     v = vocabulary.value
     key = (v.size, len(v.text), hash(tuple(v.text)))
-    if key not in _WORKER:
-        _WORKER.clear()
-        _WORKER[key] = Encoder(v), Decoder(v)
-    return _WORKER[key]
+    if key not in WORKER:
+        WORKER.clear()
+        WORKER[key] = Encoder(v), Decoder(v)
+    return WORKER[key]
 
 
 def encode(spark: SparkSession, df: DataFrame, text: str = "text", path: str | None = None,
-           ids: bool = True, check: bool = False) -> DataFrame:
+           ids: bool = True, check: bool = False, without: Sequence[str] = ()) -> DataFrame:
     """``df`` with n_tokens and, as asked for, ids (array<int>); ids_crc32 (of the ids as
-    little-endian 32-bit numbers) and round_trip (whether decoding them gives the text back)."""
+    little-endian 32-bit numbers) and round_trip (whether decoding them gives the text back). Columns
+    ``without`` are left out: a text that isn't returned is sent to Python once and not back."""
     ship(spark)
     vocabulary = spark.sparkContext.broadcast(pieces.load(path))
-    src = df.select(whole(df).alias("d"), col(text).alias("t"))
+    kept = df.drop(*without)
+    src = df.select(whole(kept).alias("d"), col(text).alias("t"))
     new = {"n_tokens": "long"} | ({"ids": "array<int>"} if ids else {})
     new |= {"ids_crc32": "long", "round_trip": "boolean"} if check else {}
 
@@ -292,9 +291,10 @@ def encode(spark: SparkSession, df: DataFrame, text: str = "text", path: str | N
                 same = [decoder.decode(flat[i:j]) == (t or "") for t, i, j in zip(texts, at, at[1:])]
                 out += [pa.array(crc, pa.int64(), mask=null), pa.array(same, pa.bool_(), mask=null)]
             yield pa.RecordBatch.from_arrays([batch.column(batch.schema.get_field_index("d")), *out], ["d", *new])
+            del batch, texts  # not held while the next are read
     more = ", ".join(f"{k} {v}" for k, v in new.items())
     found = src.mapInArrow(run, f"d {src.schema['d'].dataType.simpleString()}, {more}")
-    return found.select(*[F.col("d")[c].alias(c) for c in df.columns if c.lower() not in new], *new)
+    return found.select(*[F.col("d")[c].alias(c) for c in kept.columns if c.lower() not in new], *new)
 
 
 def decode(spark: SparkSession, df: DataFrame, ids: str = "ids", out: str = "decoded",

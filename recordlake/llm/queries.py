@@ -42,7 +42,7 @@ def op4(spark, sf_dir):
 
 def op5(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return sentencepiece_.encode(spark, docs, ids=False, check=True).drop("text")
+    return sentencepiece_.encode(spark, docs, ids=False, check=True, without=["text"])
 
 
 def op6(spark, sf_dir):

@@ -343,3 +343,28 @@ def test_neighbours_cost_what_their_words_cost(spark):
     assert got.tolist() == [[none, none, 0, 0], [0, 0, none, none], [none, none, 0, 0],
                             [int(words[500_000 + d]) >> 4 for d in lm.PLACES]]
     assert peak < 1_000_000
+
+
+def test_chunks_and_their_caller_hold_one_batch():
+    from recordlake.llm.common import chunks
+    import pyarrow as pa
+    held = []
+
+    def batches():
+        for _ in range(4):
+            held.append(pa.total_allocated_bytes())
+            yield pa.RecordBatch.from_arrays([pa.array(["x" * 1000] * 5000)], ["text"])
+    for batch, texts in chunks(batches(), most=10_000_000):
+        assert len(texts) == batch.num_rows == 5000
+        del batch, texts
+    assert max(held) < held[0] + 5_000_000
+
+
+def test_texts_that_are_not_returned_are_sent_to_python_once(spark, docs):
+    out = sp.encode(spark, docs, check=True, without=["text"])
+    assert out.columns == [c for c in docs.columns if c != "text"] + ["n_tokens", "ids", "ids_crc32", "round_trip"]
+    plan = out._jdf.queryExecution().analyzed().toString()
+    sent = next(x for x in plan.splitlines() if "struct" in x and " AS t#" in x)
+    assert sent.split(" AS d#")[0].count("text") == 0
+    whole = sp.encode(spark, docs, check=True).drop("text")
+    assert sorted(map(str, out.collect())) == sorted(map(str, whole.collect()))
