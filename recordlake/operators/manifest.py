@@ -10,6 +10,7 @@ manifest grows with the number of files, so it is not forced to broadcast).
 from __future__ import annotations
 
 import datetime as _dt
+import re
 import uuid
 import warnings
 
@@ -20,7 +21,8 @@ from pyspark.sql import types as T
 from recordlake.config import discovery as D
 from recordlake.functions.paths import local_path
 from recordlake.operators.ranking import ranked
-from recordlake.sources.heads import read_head
+from recordlake.session import staging_path
+from recordlake.sources.heads import read_head, sub_folders
 
 # --------------------------------------------------------------- schemas
 
@@ -75,14 +77,29 @@ def content_fingerprint(files: DataFrame, content_col: str = "content") -> DataF
                 .withColumn("bytes", F.length(F.col(content_col)).cast("long"))
 
 
-def scan_fingerprints(spark: SparkSession, path_glob: str, name: str | None = None) -> DataFrame:
+def scan_fingerprints(spark: SparkSession, path_glob: str, name: str | None = None,
+                      folders: int | None = None) -> DataFrame:
     """M1 over stored files: path, bytes, sha256 (``binaryFile`` source). With ``name``, a pattern of file
     names, those below the folder ``path_glob``: many folders are listed by Spark's tasks then, whereas a
-    glob is followed by the driver folder by folder."""
+    glob is followed by the driver folder by folder. The driver holds about 1 KB for each file that it has listed;
+    with ``folders``, a folder that has more sub-folders is worked through in parts of as many, and the digests go
+    to the shared folder."""
     reader = spark.read.format("binaryFile")
+    # Spark counts a small file as 4 MB and so makes a task of a few; a task reads as many as leave a few tasks a core
+    tasks = max(4 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
     if name is not None:
         reader = reader.option("recursiveFileLookup", "true").option("pathGlobFilter", name)
-    return content_fingerprint(reader.load(path_glob)).select("path", "bytes", "sha256")
+
+    def scanned(paths):
+        return content_fingerprint(reader.load(paths)).select("path", "bytes", "sha256").coalesce(tasks)
+
+    found = sub_folders(spark, path_glob) if name is not None and folders else []
+    if not folders or len(found) <= folders:
+        return scanned(path_glob)
+    target, parts = staging_path(spark, "scan"), -(-len(found) // folders)
+    for k in range(parts):
+        scanned([re.sub(r"([\[\]{}*?\\])", r"\\\1", f) for f in found[k::parts]]).write.mode("append").parquet(target)
+    return spark.read.schema("path string, bytes long, sha256 string").parquet(target)
 
 
 def verify_fingerprints(manifest: DataFrame, stored: DataFrame, path_col: str = "saved_path") -> DataFrame:

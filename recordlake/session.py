@@ -59,3 +59,12 @@ def written(df, name: str):
 def staging_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared folder for intermediate tables."""
     return f"{shared_dir(spark)}/recordlake/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def local_folder(spark: SparkSession, path: str) -> str | None:
+    """``path`` as ``open`` takes it, if it is on the local file system (which executors share where the shared
+    folder is there); else None."""
+    sc = spark.sparkContext
+    p = sc._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(sc._jsc.hadoopConfiguration())
+    return fs.makeQualified(p).toUri().getPath() if fs.getUri().getScheme() == "file" else None

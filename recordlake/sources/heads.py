@@ -53,6 +53,20 @@ def data_files(spark: SparkSession, path: str) -> list[str]:
     return [f for name, f in sorted(found) if not name.startswith(("_", "."))]
 
 
+def sub_folders(spark: SparkSession, path: str) -> list[str]:
+    """The folders in a folder by name, hidden ones left out; none if it holds files too or isn't there."""
+    p, fs = _fs(spark, path)
+    out = []
+    for s in fs.listStatus(p) if fs.exists(p) else []:
+        name = s.getPath().getName()
+        if name.startswith(".") or name.startswith("_") and "=" not in name:  # as Spark has it
+            continue
+        if not s.isDirectory():
+            return []
+        out.append(s.getPath().toString())
+    return sorted(out)
+
+
 def first_record(spark: SparkSession, path: str, multiline: bool = True) -> list[str]:
     """First record of a CSV file, as written; with ``multiline`` a quoted cell may hold line breaks."""
     p, fs = _fs(spark, path)

@@ -1,9 +1,12 @@
-"""Sinks (K1-K6). Writes go through Spark's commit protocol; no ``coalesce(1)``."""
+"""Sinks (K1-K6). Writes go through Spark's commit protocol, except ``write_local_files``; no ``coalesce(1)``."""
 
 from __future__ import annotations
 
+import os
+import shutil
 import uuid
 
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 
@@ -53,3 +56,30 @@ def append_table(df: DataFrame, table: str) -> None:
 def write_partitioned_layout(df: DataFrame, path: str, keys=("program", "year")) -> None:
     """``{root}/{program}/{year}/...`` as a partitioned write."""
     df.write.mode("overwrite").partitionBy(*keys).parquet(path)
+
+
+def write_local_files(df: DataFrame, root: str) -> None:
+    """A file for each ``name`` of (name, content binary) below the local folder ``root`` that all executors share,
+    in a folder for each task: ``root/part-00012/<name>``. Rows of one name must be in one partition; their contents
+    follow each other. Spark's writers start two ``chmod`` processes for each file on a local file system (for it and
+    for its checksum file), which takes far longer than the file, so the tasks write these files themselves. A task's
+    folder gets its name when it is whole, once, however often the task is tried."""
+    def store(batches):
+        task = TaskContext.get()
+        folder = f"{root}/part-{task.partitionId():05d}"
+        draft = f"{root}/_draft-{task.partitionId():05d}-{task.taskAttemptId()}"  # no reader looks below "_"
+        for batch in batches:
+            os.makedirs(draft, exist_ok=True)
+            for name, content in zip(batch["name"], batch["content"]):
+                with open(f"{draft}/{name.as_py()}", "ab") as f:
+                    f.write(content.as_py())
+        if os.path.isdir(draft):
+            try:
+                os.rename(draft, folder)
+            except OSError:  # another attempt has ended
+                if not os.path.isdir(folder):
+                    raise
+                shutil.rmtree(draft)
+        yield from ()
+
+    df.select("name", "content").mapInArrow(store, "name string").write.format("noop").mode("overwrite").save()

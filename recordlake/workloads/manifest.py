@@ -12,7 +12,8 @@ from recordlake.operators.manifest import (
     manifest_upsert, plan_downloads, record_failures, record_versions, run_summary, save_manifest,
     scan_fingerprints, verify_fingerprints,
 )
-from recordlake.session import staging_path, written
+from recordlake.session import local_folder, staging_path, written
+from recordlake.sources.sinks import write_local_files
 from recordlake.workloads import _sql as S
 from recordlake.workloads._tables import table
 from recordlake.workloads.dedupe import sql_normalize_url
@@ -50,14 +51,28 @@ FROM pages WHERE page_id % 10 = 3 OR page_id % 6 = 0
 """
 
 
+#: Stored pages in a folder, about, and folders that are listed at once (half as many are still listed by tasks).
+PAGES_A_FOLDER, FOLDERS_AT_ONCE = 500, 72
+
+
 def _stored_pages(spark, d):
     """Every page kept as a file of its own. A file takes its time whatever its size, so the tasks that make
-    them are as many as keep all cores busy, however few splits the pages have."""
+    them are as many as keep all cores busy, however few splits the pages have. Each makes a folder; so many that
+    Spark's tasks list them."""
     root = staging_path(spark, "stored")
-    tasks = max(4 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    p = table(spark, d, "pages").select("page_id", F.col("html").alias("value")).repartition(tasks, "page_id")
-    p.write.partitionBy("page_id").text(root)
-    return scan_fingerprints(spark, root, name="part-*")
+    pages = table(spark, d, "pages").select("page_id", F.col("html").alias("value"))
+    tasks = max(4 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")),
+                1 + int(spark.conf.get("spark.sql.sources.parallelPartitionDiscovery.threshold")),
+                -(-pages.count() // PAGES_A_FOLDER))
+    p = pages.repartition(tasks, "page_id")
+    folder = local_folder(spark, root)
+    if folder is None:
+        p.withColumn("part", F.pmod(F.hash("page_id"), F.lit(tasks))).write.partitionBy("part", "page_id").text(root)
+        return scan_fingerprints(spark, root, name="part-*", folders=FOLDERS_AT_ONCE)
+    name = F.concat(F.lit("page_id="), F.coalesce(F.col("page_id").cast("string"), F.lit("__HIVE_DEFAULT_PARTITION__")))
+    line = F.concat(F.coalesce(F.col("value"), F.lit("")).cast("binary"), F.lit("\n").cast("binary"))
+    write_local_files(p.select(name.alias("name"), line.alias("content")), folder)
+    return scan_fingerprints(spark, root, name="page_id=*", folders=FOLDERS_AT_ONCE)
 
 
 def _page_of(path):

@@ -232,3 +232,75 @@ def test_stored_files_are_made_and_listed_by_many_tasks(spark, tmp_path):
     assert {r["page_id"]: r["bytes"] for r in stored.collect()} == {k: len(h) + 1 for k, _, h in rows}
     bad = q_verify_stored_files(spark, str(tmp_path)).collect()
     assert {r["page_id"] for r in bad} == {k for k in range(60) if k % 10 == 3 or k % 6 == 0} and len(bad) == 16
+
+
+def _page_files(spark, tmp_path):
+    """Pages, more than tasks, with a null text and a repeated id; the bytes of the file of each id."""
+    n = 90 + 8 * spark.sparkContext.defaultParallelism
+    rows = [(k, "u", None if k == 7 else f"<p>{k} é</p>") for k in range(n)] + [(5, "u", "<p>5 é</p>")]
+    spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1).write.parquet(f"{tmp_path}/pages.parquet")
+    return {k: b"" if h is None else h.encode() for k, _, h in rows[:n]} | {5: "<p>5 é</p>\n<p>5 é</p>".encode()}
+
+
+def _digests(texts):
+    import hashlib
+    return {k: (len(t) + 1, hashlib.sha256(t + b"\n").hexdigest()) for k, t in texts.items()}
+
+
+def test_stored_pages_take_one_file_each_and_few_tasks_read_them(spark, tmp_path):
+    """Neither a folder nor a checksum file for each page, nor a task for each few files."""
+    import os
+    from recordlake.workloads.manifest import _page_of, _stored_pages
+    expect = _digests(_page_files(spark, tmp_path))
+    stored = _stored_pages(spark, str(tmp_path))
+    got = stored.select(_page_of("path").alias("k"), "path", "bytes", "sha256").collect()
+    assert len(got) == len(expect) and {r["k"]: (r["bytes"], r["sha256"]) for r in got} == expect
+    folders = {os.path.dirname(r["path"]) for r in got}
+    assert len(folders) < len(expect)
+    files = [f for d in folders for f in os.listdir(d.removeprefix("file:"))]
+    assert sorted(files) == sorted(f"page_id={k}" for k in expect)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "4m")  # a file a task, as Spark counts
+        tasks = _stored_pages(spark, str(tmp_path)).rdd.getNumPartitions()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert tasks <= max(4 * spark.sparkContext.defaultParallelism, 8) < len(expect)
+
+
+def test_stored_pages_elsewhere_are_written_by_spark(spark, tmp_path, monkeypatch):
+    from recordlake.workloads import manifest as M
+    expect = _digests(_page_files(spark, tmp_path))
+    monkeypatch.setattr(M, "local_folder", lambda *a: None)
+    monkeypatch.setattr(M, "FOLDERS_AT_ONCE", 10)
+    got = M.q_stored_file_fingerprints(spark, str(tmp_path)).collect()
+    assert len(got) == len(expect) and {r["page_id"]: (r["bytes"], r["sha256"]) for r in got} == expect
+
+
+def test_local_files_are_those_of_one_attempt(spark, tmp_path):
+    """A task that is tried again leaves what it made the first time."""
+    import os
+    from recordlake.sources.sinks import write_local_files
+    df = spark.createDataFrame([("a", b"1"), ("b", b"2"), ("a", b"1")], "name string, content binary").coalesce(1)
+    for _ in range(2):
+        write_local_files(df, f"{tmp_path}/x")
+    assert os.listdir(f"{tmp_path}/x") == ["part-00000"]
+    assert {f: open(f"{tmp_path}/x/part-00000/{f}", "rb").read() for f in os.listdir(f"{tmp_path}/x/part-00000")} == {"a": b"11", "b": b"2"}
+
+
+def test_files_are_scanned_in_parts(spark, tmp_path):
+    """Sub-folders are worked through a few at a time; hidden ones are left out; names are no patterns."""
+    from recordlake.operators.manifest import scan_fingerprints
+    root = tmp_path / "files"
+    for folder in ("a", "b[1]", "c*", "d/deep", "e", "_draft-1", ".f", "_k=1"):
+        (root / folder).mkdir(parents=True)
+        for f in ("x.bin", "y.txt"):
+            (root / folder / f).write_bytes(folder.encode())
+    expect = {folder: len(folder) for folder in ("a", "b[1]", "c*", "d/deep", "e", "_k=1")}
+    for folders in (None, 2, 100):
+        got = scan_fingerprints(spark, str(root), name="*.bin", folders=folders).collect()
+        assert {r["path"].split("/files/")[1].removesuffix("/x.bin"): r["bytes"] for r in got} == expect and len(got) == len(expect)
+    assert all(f.endswith(".parquet") for f in scan_fingerprints(spark, str(root), name="*.bin", folders=2).inputFiles())
+    (root / "z.bin").write_bytes(b"z")  # beside the folders
+    got = scan_fingerprints(spark, str(root), name="*.bin", folders=2).collect()
+    assert len(got) == len(expect) + 1
