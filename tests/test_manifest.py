@@ -304,3 +304,18 @@ def test_files_are_scanned_in_parts(spark, tmp_path):
     (root / "z.bin").write_bytes(b"z")  # beside the folders
     got = scan_fingerprints(spark, str(root), name="*.bin", folders=2).collect()
     assert len(got) == len(expect) + 1
+
+
+def test_stored_pages_are_verified_in_parts(spark, tmp_path, monkeypatch):
+    """Also where the driver lists a few folders at a time: stale and lost pages with both digests, no folder a page."""
+    import os
+    from recordlake.workloads import manifest as M
+    digests = {k: h for k, (_, h) in _digests(_page_files(spark, tmp_path)).items()}
+    made = []
+    monkeypatch.setattr(M, "FOLDERS_AT_ONCE", 10, raising=False)
+    monkeypatch.setattr(M, "staging_path", lambda s, name: made.append(f"{tmp_path}/{name}") or made[-1])
+    bad = M.q_verify_stored_files(spark, str(tmp_path)).collect()
+    assert len(bad) == len({r["page_id"] for r in bad})
+    assert {r["page_id"]: (r["sha256"], r["stored_sha256"]) for r in bad} == {
+        k: ("stale" if k % 6 == 0 else h, None if k % 10 == 3 else h) for k, h in digests.items() if k % 6 == 0 or k % 10 == 3}
+    assert sum(len(folders) for _, folders, _ in os.walk(made[0])) < len(digests)
